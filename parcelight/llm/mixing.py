@@ -119,7 +119,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     schema = "doc_id long, text_hash long, source string, size long, source_size long, target double, whole long, rank int, p double, pick long, block long, blocks long"
 
     def moved(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["pick", "doc_id", "size"], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["size", "pick", "doc_id"], ascending=[False, True, True], kind="stable").reset_index(drop=True)  # the smallest stay open longest
         rank, b, blocks = (int(pdf[c].iloc[0]) for c in ("rank", "block", "blocks"))
         size = pdf["size"].to_numpy(np.int64)
         p = flight(pdf["p"].to_numpy(np.float64), size, random.Random(f"{seed} {rank} {blocks} {b} {len(pdf)}"))
