@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sharding
+from . import mixing, sharding, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.group(table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -21,7 +25,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op8_sharding": op8_sharding, "op9_mixing": op9_mixing}
+    return {"op1_simhash": op1_simhash, "op8_sharding": op8_sharding, "op9_mixing": op9_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
