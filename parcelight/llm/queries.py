@@ -6,16 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sharding, simhash
+from . import bpe, mixing, sharding, simhash, unigram
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group(table(spark, sf_dir, "documents"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    return bpe.encode(table(spark, sf_dir, "documents"), path or vocabulary("word_bpe_49k.json"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -24,8 +35,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    return unigram.token_counts(table(spark, sf_dir, "documents"), unigram.model_pieces(path or vocabulary("piece_bpe_32k.model")))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_simhash": op1_simhash, "op8_sharding": op8_sharding, "op9_mixing": op9_mixing}
+    return {"op1_simhash": op1_simhash, "op6_bpe": op6_bpe, "op8_sharding": op8_sharding, "op9_mixing": op9_mixing, "op10_token_counts": op10_token_counts}
 
 
 def oracle_sql() -> dict[str, str]:
