@@ -4,12 +4,14 @@ Every document of a source has the same rate r = target / source size. It is tak
 the fractional rest as inclusion probability. The cube method makes these choices: probabilities move at random along
 directions that keep both the words and the number of documents expected from a source, until all but two are 0 or 1.
 Blocks of a bounded number of documents are moved on their own; what stays undecided in them meets in new blocks, round
-by round, until one block per source is left and its last two documents are rounded (the landing).
+by round, until one block per source is left. There the larger half of the documents moves first; its last two are
+rounded (the landing), what that adds or takes is made up for by the smaller ones, and so on down to the smallest.
 """
 
 from __future__ import annotations
 
 import random
+from functools import reduce
 from itertools import product
 
 import numpy as np
@@ -24,6 +26,8 @@ WEIGHTS = (5, 2, 1)
 #: No source and no document is taken more often than this.
 MOST = 3
 EPS = 1e-9
+#: The sources' targets are sent to all executors if there are no more sources than this.
+FEW = 20_000
 
 
 def words(text_col: str) -> F.Column:
@@ -97,6 +101,33 @@ def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out
 
 
+def settle(p: np.ndarray, size: np.ndarray, rng: random.Random) -> np.ndarray:
+    """Decide all: flight and landing over the larger half by size, then the same for the rest.
+
+    The words that a landing gains or loses are first taken from the probabilities of the documents still to come, so
+    that what is left over at the end is the rounding of the smallest.
+    """
+    out = p.copy()
+    todo = np.flatnonzero((p > EPS) & (p < 1 - EPS))
+    out[p <= EPS], out[p >= 1 - EPS] = 0.0, 1.0
+    todo = todo[np.argsort(-size[todo], kind="stable")]
+    owed = 0.0
+    while len(todo):
+        now, todo = np.split(todo, [-(-len(todo) // 2)])
+        x = size[now].astype(np.float64)
+        for _ in range(8):  # at most a few rounds, as probabilities that reach 0 or 1 can't move further
+            room = np.where(owed > 0, 1 - out[now], out[now]) * x
+            if abs(owed) < EPS or room.sum() < EPS:
+                break
+            move = np.clip(owed / room.sum(), -1, 1) * room
+            out[now] = np.clip(out[now] + np.divide(move, x, out=np.zeros_like(x), where=x > 0), 0, 1)
+            owed -= float(move.sum())
+        before = float(np.dot(out[now], x))
+        out[now] = landing(flight(out[now], size[now], rng), size[now])
+        owed += before - float(np.dot(out[now], x))
+    return out
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, most: float = MOST, block: int = 2000, seed: int = 9) -> DataFrame:
     """How often the mix takes each row of docs.
 
@@ -107,6 +138,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     sized = cut(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(source_col).cast("string").alias("source"), words(text_col).alias("size")))
     goal = cut(targets(sized, weights, most))
+    if goal.count() <= FEW:
+        goal = F.broadcast(goal)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     drawn = (
         sized.join(goal, sized["source"].eqNullSafe(goal["source"]))
@@ -114,7 +147,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         .withColumn("rate", rate)
         .withColumn("whole", F.floor(F.col("rate") + F.lit(EPS)))
         .withColumn("p", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0)))
-        .select("doc_id", "text_hash", "source", "size", "source_size", "target", "whole", "rank", "p", F.xxhash64("doc_id", "text_hash", F.lit(seed)).alias("pick"))
+        .select("doc_id", "text_hash", "source", "size", "source_size", "target", "whole", "rank", "n", "p", F.xxhash64("doc_id", "text_hash", F.lit(seed)).alias("pick"))
     )
     schema = "doc_id long, text_hash long, source string, size long, source_size long, target double, whole long, rank int, p double, pick long, block long, blocks long"
 
@@ -122,22 +155,25 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         pdf = pdf.sort_values(["size", "pick", "doc_id"], ascending=[False, True, True], kind="stable").reset_index(drop=True)  # the smallest stay open longest
         rank, b, blocks = (int(pdf[c].iloc[0]) for c in ("rank", "block", "blocks"))
         size = pdf["size"].to_numpy(np.int64)
-        p = flight(pdf["p"].to_numpy(np.float64), size, random.Random(f"{seed} {rank} {blocks} {b} {len(pdf)}"))
-        pdf["p"] = landing(p, size) if blocks == 1 else p
+        p, rng = pdf["p"].to_numpy(np.float64), random.Random(f"{seed} {rank} {blocks} {b} {len(pdf)}")
+        if blocks == 1:
+            pdf["p"] = settle(p, size, rng)
+        elif b > 0:  # block 0 waits for the last round, where its small documents even out what the large ones leave
+            pdf["p"] = flight(p, size, rng)
         return pdf
 
-    open_, done = drawn, []
-    counts = {r["rank"]: r["n"] for r in goal.select("rank", "n").collect()}  # a row for each source
-    while counts:
-        many = docs.sparkSession.createDataFrame([(r, -(-n // block)) for r, n in counts.items()], "rank int, blocks long")
-        dealt = open_.join(many, "rank").withColumn("block", F.pmod(F.col("pick"), F.col("blocks"))).select(*(x.split()[0] for x in schema.split(", ")))
+    names = [x.split()[0] for x in schema.split(", ")]
+    blocks = lambda n: F.when(n <= 4 * block, F.lit(1)).otherwise(F.ceil(n / block)).cast("long")
+    done, open_ = [], drawn.withColumn("blocks", blocks(F.col("n")))
+    while True:
+        dealt = open_.withColumn("block", F.pmod(F.col("pick"), F.col("blocks"))).select(names)
         state = cut(dealt.groupBy("rank", "block").applyInPandas(moved, schema))
         decided = F.col("p").isin(0.0, 1.0)
         done.append(state.filter(decided))
-        open_ = state.filter(~decided).drop("block", "blocks").withColumn("pick", F.xxhash64("pick", F.lit(seed)))
-        counts = {r["rank"]: r["count"] for r in open_.groupBy("rank").count().collect()}
-    out = drawn.limit(0).withColumns({"block": F.lit(0).cast("long"), "blocks": F.lit(0).cast("long")}).select(*(x.split()[0] for x in schema.split(", "))) if not done else done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
+        left = state.filter(~decided).drop("block", "blocks").withColumn("pick", F.xxhash64("pick", F.lit(seed)))
+        if left.isEmpty():
+            break
+        open_ = left.join(left.groupBy("rank").agg(blocks(F.count(F.lit(1))).alias("blocks")), "rank")
+    out = reduce(DataFrame.unionByName, done)
     copies = (F.col("whole") + F.col("p")).cast("long")
     return out.select("doc_id", "text_hash", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))

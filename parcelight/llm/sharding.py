@@ -30,7 +30,7 @@ def longest_first(sizes: list[tuple[int, int]], shards: int) -> dict[int, int]:
     return out
 
 
-def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", bins: int = 4096, cell: int = 10_000) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", bins: int = 4096, cell: int = 1000) -> DataFrame:
     """Put every row of docs into a shard and number the rows of each shard without gaps.
 
     Returns doc_id, size, text_crc32, law, shard, slot, grown_shard; one row for each input row. size is the text's
