@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, mixing, sharding, simhash, unigram
+from . import bpe, langid, mixing, quality, sharding, simhash, unigram
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +24,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group(table(spark, sf_dir, "documents"))
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(F.col("doc_id"), 4, 2))
+    model = langid.learn(docs.where("not held_out").select("text", "lang"))
+    return langid.classify(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", langid.held_out(F.col("doc_id"), 5, 0).alias("held_out"))
+    marked = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.learn(docs.where("not held_out").join(marked, "doc_id"))
+    return quality.score(docs, model)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), path or vocabulary("word_bpe_49k.json"))
 
@@ -40,7 +54,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None)
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_simhash": op1_simhash, "op6_bpe": op6_bpe, "op8_sharding": op8_sharding, "op9_mixing": op9_mixing, "op10_token_counts": op10_token_counts}
+    return {"op1_simhash": op1_simhash, "op2_langid": op2_langid, "op3_quality": op3_quality, "op6_bpe": op6_bpe, "op8_sharding": op8_sharding, "op9_mixing": op9_mixing, "op10_token_counts": op10_token_counts}
 
 
 def oracle_sql() -> dict[str, str]:
