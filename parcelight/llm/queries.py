@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, quality, sharding, simhash, unigram
+from . import ann, bpe, langid, minhash, mixing, quality, sharding, simhash, unigram
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,15 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model)
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), path or vocabulary("word_bpe_49k.json"))
 
@@ -54,7 +63,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None)
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_simhash": op1_simhash, "op2_langid": op2_langid, "op3_quality": op3_quality, "op6_bpe": op6_bpe, "op8_sharding": op8_sharding, "op9_mixing": op9_mixing, "op10_token_counts": op10_token_counts}
+    return {"op1_simhash": op1_simhash, "op2_langid": op2_langid, "op3_quality": op3_quality, "op4_fingerprints": op4_fingerprints, "op5_nearest": op5_nearest, "op6_bpe": op6_bpe, "op8_sharding": op8_sharding, "op9_mixing": op9_mixing, "op10_token_counts": op10_token_counts}
 
 
 def oracle_sql() -> dict[str, str]:
