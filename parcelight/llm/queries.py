@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, minhash, mixing, quality, sharding, simhash, unigram
+from . import ann, bpe, langid, minhash, mixing, quality, sharding, simhash, suffix, unigram
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
     return bpe.encode(table(spark, sf_dir, "documents"), path or vocabulary("word_bpe_49k.json"))
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -63,7 +67,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None)
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_simhash": op1_simhash, "op2_langid": op2_langid, "op3_quality": op3_quality, "op4_fingerprints": op4_fingerprints, "op5_nearest": op5_nearest, "op6_bpe": op6_bpe, "op8_sharding": op8_sharding, "op9_mixing": op9_mixing, "op10_token_counts": op10_token_counts}
+    return {"op1_simhash": op1_simhash, "op2_langid": op2_langid, "op3_quality": op3_quality, "op4_fingerprints": op4_fingerprints, "op5_nearest": op5_nearest, "op6_bpe": op6_bpe, "op7_substrings": op7_substrings, "op8_sharding": op8_sharding, "op9_mixing": op9_mixing, "op10_token_counts": op10_token_counts}
 
 
 def oracle_sql() -> dict[str, str]:
