@@ -47,7 +47,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without what also starts earlier; one of which only white space is left goes."""
     found = suffix.dedup(docs, texts_too=True).where("n_removed > 0")
-    changed = found.select("doc_id", F.col("mark").alias("text_hash"), "kept_text").dropDuplicates(["doc_id", "text_hash"])
+    changed = found.select("doc_id", "text_hash", "kept_text").dropDuplicates(["doc_id", "text_hash"])
     left = matched(hashed(docs), changed, "left").withColumn("text", F.coalesce("kept_text", "text"))
     emptied = F.col("kept_text").isNotNull() & ~F.col("kept_text").rlike(r"\S")
     length: Column = F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))

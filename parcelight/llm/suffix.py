@@ -2,14 +2,16 @@
 
 Every window of ``WINDOW`` bytes is represented by its anchor: of the ``SPAN`` grams of ``GRAM`` bytes in it, the one with
 the least hash, the rightmost if several. Equal windows have the same anchor at the same place, so only occurrences of
-anchors are dealt out by hash, one for about every 32 bytes; anchors that occur once are dropped. The others come
-together with the bytes around them, in groups of a bounded size.
+anchors are dealt out by hash, one for about every 32 bytes, each with a second hash of all that its windows cover.
+Occurrences that agree in both, 128 bits in all, repeat the earliest of them, and only that one goes on; an anchor that
+then occurs once is done. The others come together with the bytes around them, in groups of a bounded size.
 
 In a group, polynomial prefix hashes and binary search give the common extension of any two suffixes. Windows inside the
 common extension of an occurrence and the earliest one repeat. The windows that remain are sorted as suffixes, by
 mergesort with comparisons through common extensions, logarithmic in the window's length, and neighbours that agree
-over the whole window repeat. What the hashes call equal is compared byte by byte before it counts. An anchor with more
-occurrences than a group holds has several groups; windows that are first in theirs then meet once more by their hash.
+over the whole window repeat. What these hashes call equal is compared byte by byte before it counts. An anchor with
+more occurrences than a group holds has several groups; windows that are first in theirs then meet once more by 128 bits
+of hash.
 """
 
 from __future__ import annotations
@@ -91,13 +93,21 @@ def doubled(x: np.ndarray, pick, fill: int) -> np.ndarray:
     return x
 
 
-def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places, hashes and owned windows of the anchors in the pieces starts to ends of data.
+def offsets(owned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least and the greatest bit set."""
+    low = np.log2((owned & (~owned + np.uint64(1))).astype(np.float64)).astype(np.int64)
+    upper, lower = owned >> np.uint64(32), owned & np.uint64(0xFFFFFFFF)
+    high = np.where(upper > 0, 32 + np.log2(np.maximum(upper, np.uint64(1))), np.log2(np.maximum(lower, np.uint64(1)))).astype(np.int64)
+    return low, high
+
+
+def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places, hashes, owned windows and covered bytes' hashes of the anchors in the pieces starts to ends of data.
 
     Bit o of an anchor's owned windows is set if it is the anchor of the window that starts o bytes before it.
     """
     if len(data) < WINDOW:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * 3
     n = len(data) - GRAM + 1
     h = mixed(Hashes(data).of(np.arange(n), GRAM)) | np.uint64(1)
     steps = np.zeros(len(data) + 1, np.int32)
@@ -120,7 +130,9 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
         ok = (padded[at - o + SPAN] == hashes) & (at - o + SPAN - 1 < following)
         owned |= ok.astype(np.uint64) << np.uint64(o)
     some = owned != 0
-    return at[some], hashes[some], owned[some]
+    at, hashes, owned = at[some], hashes[some], owned[some]
+    low, high = offsets(owned)
+    return at, hashes, owned, mixed(Hashes(data, 1).of(at - high, high - low + WINDOW) ^ mixed(owned))
 
 
 def pieces(rows: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -145,20 +157,25 @@ def joined(held: list[tuple[bytes, int, int]]) -> tuple[np.ndarray, np.ndarray,
     return np.frombuffer(b"".join(x for x, _, _ in held), np.uint8), np.concatenate(([0], ends[:-1])), ends, np.array([k for _, k, _ in held]), np.array([at for _, _, at in held])
 
 
-def found(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, place, hash and owned windows of all anchors, by row and place. What pieces own of one anchor is put together."""
+def found(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, place, hash, owned windows and covered bytes' hash of all anchors, by row and place. What two pieces own of
+    one anchor is put together."""
     out = []
     for data, starts, ends, row, base in pieces(rows):
-        at, h, owned = anchors(data, starts, ends)
+        at, h, owned, c = anchors(data, starts, ends)
         p = np.searchsorted(ends, at, side="right")
-        out.append((row[p], at - starts[p] + base[p], h, owned))
+        out.append((row[p], at - starts[p] + base[p], h, owned, c))
     if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    row, at, h, owned = (np.concatenate(x) for x in zip(*out, strict=True))
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * 3
+    row, at, h, owned, c = (np.concatenate(x) for x in zip(*out, strict=True))
     order = np.lexsort((at, row))
-    row, at, h, owned = row[order], at[order], h[order], owned[order]
-    new = np.concatenate(([True], (row[1:] != row[:-1]) | (at[1:] != at[:-1])))
-    return row[new], at[new], h[new], np.bitwise_or.reduceat(owned, np.flatnonzero(new))
+    row, at, h, owned, c = row[order], at[order], h[order], owned[order], c[order]
+    new = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (at[1:] != at[:-1]))))
+    if len(new) < len(row):
+        c = mixed(np.add.reduceat(c, new)) if len(new) else c
+    else:
+        c = mixed(c)
+    return row[new], at[new], h[new], np.bitwise_or.reduceat(owned, new) if len(new) else owned, c
 
 
 def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -310,52 +327,58 @@ def signed(x: np.ndarray) -> pa.Array:
 
 def repeats(docs: DataFrame) -> DataFrame:
     """doc, mark, starts for the documents with repeated windows, from docs (doc: order, mark, text): an array of
-    struct (pos, bits), bit o for the window that starts o bytes before pos."""
+    struct (pos, bits), bit o for the window that starts o bytes before pos; no bit at all for all that the anchor owns."""
     who = "doc long, mark long"
 
     def list_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
-            row, at, h, _ = found(texts(batch))
+            row, at, h, _, c = found(texts(batch))
             row = pa.array(row)
-            yield pa.RecordBatch.from_arrays([signed(h), batch.column(0).take(row), batch.column(1).take(row), pa.array(at.astype(np.int32))], ["h", "doc", "mark", "pos"])
-
-    def shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of rows sorted by hash, those whose hash occurs again, with the number of their group."""
-        h, count, kept = None, 0, None  # the run at the end of the last batch: hash, rows so far, its only row
+            yield pa.RecordBatch.from_arrays([signed(h), signed(c), batch.column(0).take(row), batch.column(1).take(row), pa.array(at.astype(np.int32))], ["h", "c", "doc", "mark", "pos"])
 
+    def told_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of rows sorted by both hashes: those that repeat the one before, with part -1, and of the others those whose
+        anchor occurs again, with the number of their group."""
+        last, h, count, kept = None, None, 0, None  # the last row's hashes; the last anchor, its rows so far, its only row
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = batch.column(0).to_numpy()
-            start = np.concatenate(([True], x[1:] != x[:-1]))
-            size = np.diff(np.concatenate((np.flatnonzero(start), [len(x)])))
-            nth = np.arange(len(x)) - np.repeat(np.flatnonzero(start), size)
-            more = x[0] == h
-            nth[: size[0]] += count if more else 0
-            total = np.repeat(size, size)
-            total[: size[0]] += count if more else 0
-            part = pa.array((nth // GROUP).astype(np.int32))
-            out = pa.RecordBatch.from_arrays([*batch.columns, part], [*batch.schema.names, "part"])
-            if more and kept is not None:
-                yield kept
+            x, y = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            twin = np.concatenate(([last == (x[0], y[0])], (x[1:] == x[:-1]) & (y[1:] == y[:-1])))
+            last = (x[-1], y[-1])
+            plain = pa.RecordBatch.from_arrays([batch.column(i) for i in (0, 2, 3, 4)], ["h", "doc", "mark", "pos"])
+            if twin.any():
+                some = plain.filter(pa.array(twin))
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(np.full(some.num_rows, -1, np.int32))], [*some.schema.names, "part"])
+            plain, x = plain.filter(pa.array(~twin)), x[~twin]
+            if not len(x):
+                continue
+            first = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
+            size = np.diff(np.concatenate((first, [len(x)])))
+            nth, total = np.arange(len(x)) - np.repeat(first, size), np.repeat(size, size)
+            if x[0] == h:
+                nth[: size[0]] += count
+                total[: size[0]] += count
+                if kept is not None:
+                    yield kept
             kept = None
-            whole = total > 1
+            out = pa.RecordBatch.from_arrays([*plain.columns, pa.array((nth // GROUP).astype(np.int32))], [*plain.schema.names, "part"])
             if total[-1] == 1:
                 kept = out.slice(len(x) - 1)
             h, count = x[-1], int(total[-1])
-            some = out.filter(pa.array(whole))
+            some = out.filter(pa.array(total > 1))
             if some.num_rows:
                 yield some
 
-    listed = docs.mapInArrow(list_anchors, f"h long, {who}, pos int")
-    again = listed.repartition("h").sortWithinPartitions("h", "doc", "mark", "pos").mapInArrow(shared_only, f"h long, {who}, pos int, part int")
-    by_doc = again.groupBy("doc", "mark").agg(F.collect_list(F.struct("pos", "part")).alias("at"))
+    listed = docs.mapInArrow(list_anchors, f"h long, c long, {who}, pos int")
+    again = cut(listed.repartition("h").sortWithinPartitions("h", "c", "doc", "mark", "pos").mapInArrow(told_apart, f"h long, {who}, pos int, part int"))
+    by_doc = again.where("part >= 0").groupBy("doc", "mark").agg(F.collect_list(F.struct("pos", "part")).alias("at"))
 
     def with_context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in in_parts(batches, "z", 1 << 20):
             raws = [unpack(z) for z in batch.column(2).to_pylist()]
-            row, at, h, owned = found(raws)
+            row, at, h, owned, _ = found(raws)
             lists = batch.column(3)
             wanted = lists.flatten()
             sizes = np.diff(lists.offsets.to_numpy())
@@ -364,8 +387,7 @@ def repeats(docs: DataFrame) -> DataFrame:
             most = 1 << 40
             place = np.searchsorted(row * most + at, asked * most + pos)  # every wanted place is an anchor
             mine = owned[place]
-            low = np.log2((mine & (~mine + np.uint64(1))).astype(np.float64)).astype(np.int64)  # least offset owned
-            high = np.array([int(x).bit_length() - 1 for x in mine.tolist()], np.int64)
+            low, high = offsets(mine)
             context = [raws[r][p - b : p - a + WINDOW] for r, p, a, b in zip(asked.tolist(), pos.tolist(), low.tolist(), high.tolist(), strict=True)]
             take = pa.array(asked)
             yield pa.RecordBatch.from_arrays(
@@ -397,7 +419,8 @@ def repeats(docs: DataFrame) -> DataFrame:
 
     RESULT = ["doc", "mark", "pos", "bits", "k1", "k2"]
     compared = cut(contexts.repartition("h", "part").sortWithinPartitions("h", "part", "doc", "mark", "pos").mapInArrow(compare, f"{who}, pos int, bits long, k1 long, k2 long"))
-    marks = compared.where("bits <> 0").select("doc", "mark", "pos", "bits")
+    whole = again.where("part < 0").select("doc", "mark", "pos", F.lit(0).cast("long").alias("bits"))
+    marks = whole.unionByName(compared.where("bits <> 0").select("doc", "mark", "pos", "bits"))
     spread = compared.where("bits = 0")
     if not spread.isEmpty():
         firsts = spread.groupBy("k1", "k2").agg(F.min(F.struct("doc", "mark", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -436,40 +459,51 @@ def whole_characters(raw: np.ndarray, gone: np.ndarray) -> np.ndarray:
     return gone & ~kept[char] if len(char) else gone
 
 
-def prepared(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(rows, owners): rows has doc_id, doc, mark, n_bytes, first (whether no earlier document has the same text);
-    owners has doc, mark, text of all rows with at least a window's bytes."""
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = base.select("doc_id", "doc", F.xxhash64("text").alias("mark"), F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("sha"))
-    rows = cut(rows)
+def prepared(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, bool]:
+    """(rows, long, unique): rows has doc_id, doc, mark, text_hash, n_bytes, first (whether no earlier document has the
+    same text); long has doc, mark, text of all rows with at least a window's bytes; unique: no id comes twice."""
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.xxhash64(text_col).alias("text_hash"))
+    rows = cut(base.select("doc_id", "doc", "text_hash", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("sha")))
     owner = rows.groupBy("sha").agg(F.min("doc").alias("owner"))
     rows = rows.join(owner, "sha").withColumn("first", F.col("doc") == F.col("owner")).drop("owner")
-    return rows, base.where(F.octet_length("text") >= WINDOW).select("doc", F.xxhash64("text").alias("mark"), "text")
+    unique = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    mark = F.lit(0).cast("long") if unique else F.xxhash64(F.unhex(F.sha2("text", 256)))  # tells texts of one id apart
+    rows = rows.withColumn("mark", F.lit(0).cast("long") if unique else F.xxhash64("sha"))
+    return rows, base.where(F.octet_length("text") >= WINDOW).select("doc", mark.alias("mark"), "text"), unique
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts_too: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of docs; with texts_too also mark (XXH64 of the text)
-    and kept_text, without the characters that lie wholly in removed bytes (null where nothing was removed).
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of docs; with texts_too also text_hash (XXH64) and
+    kept_text, without the characters that lie wholly in removed bytes (null where nothing was removed).
 
     A byte is removed if it lies in a string of 100 bytes that also starts earlier: in a document with a smaller id, or
     further left in the same one. A null text is the empty text. A null id comes after all others; different texts with
     one id come in the order of a hash. Repeated rows (same id, same text) are one document and share their result. An
     empty table gives no rows. Other columns of docs are ignored. Texts of any length are read whole.
     """
-    rows, long_ = prepared(docs, id_col, text_col)
+    rows, long_, unique = prepared(docs, id_col, text_col)
     rows = cut(rows)
     again = rows.where(~F.col("first")).select("doc", "mark").distinct()
-    found_ = repeats(long_.dropDuplicates(["doc", "mark"]) if _repeated_rows(rows) else long_)
+    if not unique:
+        long_ = cut(long_.dropDuplicates(["doc", "mark"]))
+    found_ = repeats(long_)
     marks = found_.join(again, ["doc", "mark"], "left_anti")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in in_parts(batches, "z", 1 << 20):
-            out = []
-            for z, starts in zip(batch.column(2), batch.column(3), strict=True):
-                raw = np.frombuffer(unpack(z.as_py()), np.uint8)
-                s = starts.values
-                gone = covered(len(raw), s.field("pos").to_numpy().astype(np.int64), s.field("bits").to_numpy().view(np.uint64))
+            raws = [unpack(z) for z in batch.column(2).to_pylist()]
+            row, at, _, owned, _ = found(raws)
+            lists = batch.column(3)
+            flat = lists.flatten()
+            size = np.diff(lists.offsets.to_numpy())
+            pos, bits = flat.field("pos").to_numpy().astype(np.int64), flat.field("bits").to_numpy().view(np.uint64).copy()
+            most, whole = 1 << 40, np.flatnonzero(bits == 0)
+            bits[whole] = owned[np.searchsorted(row * most + at, (np.repeat(np.arange(len(raws)), size) * most + pos)[whole])]
+            end, out = np.cumsum(size), []
+            for k, r in enumerate(raws):
+                raw, own = np.frombuffer(r, np.uint8), slice(end[k] - size[k], end[k])
+                gone = covered(len(raw), pos[own], bits[own])
                 spans = int(np.count_nonzero(gone & ~np.concatenate(([False], gone[:-1]))))
                 text = raw[~whole_characters(raw, gone)].tobytes().decode() if texts_too else None
                 out.append((int(gone.sum()), spans, hashlib.sha256(raw[~gone].tobytes()).hexdigest(), text))
@@ -483,7 +517,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts
     done = done.dropDuplicates(["doc", "mark"])
     all_gone = ~F.col("first") & (F.col("n_bytes") >= WINDOW)
     either = lambda gone, partly, kept: F.when(all_gone, gone).otherwise(F.coalesce(partly, kept))
-    more: list[Column] = [F.col("mark"), F.when(all_gone, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text")] if texts_too else []
+    more: list[Column] = [F.col("text_hash"), F.when(all_gone, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text")] if texts_too else []
     return rows.join(done, ["doc", "mark"], "left").select(
         "doc_id",
         "n_bytes",
@@ -493,7 +527,3 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts
         *more,
     )
 
-
-def _repeated_rows(rows: DataFrame) -> bool:
-    """Whether any row comes twice with the same id and text."""
-    return not rows.groupBy("doc", "mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
