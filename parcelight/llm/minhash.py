@@ -59,8 +59,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.mean(a == b))
 
 
-def shown(s: np.ndarray) -> str:
-    return s.astype(">u2").tobytes().hex()
+def packed(s: np.ndarray) -> bytes:
+    return s.astype(">u2").tobytes()
 
 
 def edited(text: str, following: str) -> str:
@@ -69,14 +69,14 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
-FIELDS = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+FIELDS = "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def compared(text: str, own: np.ndarray, following: str, other: np.ndarray) -> tuple:
     new = edited(text, following)
     raw = new.encode()
     s = signature(shingles(raw)) if new != text else own
-    return len(text), hashlib.sha256(raw).hexdigest(), shown(own), shown(s), likeness(own, s), likeness(own, other)
+    return len(text), hashlib.sha256(raw).digest(), packed(own), packed(s), likeness(own, s), likeness(own, other)
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -114,7 +114,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     def record(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    kinds = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64()]
+    kinds = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int64(), *[pa.binary()] * 3, pa.float64(), pa.float64()]
     names = [x.split()[0] for x in schema.split(", ")]
     found = cut(dealt.mapInArrow(run, schema))
     # the first row of the range after each range, cyclically; only range numbers are sorted in one place
@@ -130,7 +130,8 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), [kinds[0], *kinds[4:]], strict=True)], [names[0], *names[4:]])
 
-    return found.where("kind = 'row'").drop("part", "kind", "text").unionByName(ends.mapInArrow(finish, f"doc_id long, {FIELDS}"))
+    out = found.where("kind = 'row'").drop("part", "kind", "text").unionByName(ends.mapInArrow(finish, f"doc_id long, {FIELDS}"))
+    return out.withColumns({c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")})
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
