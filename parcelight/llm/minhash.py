@@ -12,6 +12,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -134,12 +135,36 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return out.withColumns({c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")})
 
 
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def crowded_links(index: DataFrame, similarity: float, block: int) -> DataFrame:
+    """Edges a, b for bands that many nodes share: index has band, n, node, shingles.
+
+    A band's nodes are dealt into blocks, pairs of blocks are compared on their own, and what comes out is a forest that
+    connects the nodes that are alike, not the pairs.
+    """
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    dealt = index.withColumn("mine", F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("band", "node", "shingles", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+
+    def forest(pdf: pd.DataFrame) -> pd.DataFrame:
+        node, sets = pdf["node"].tolist(), [set(x.tolist()) for x in pdf["shingles"]]
+        group, edges = list(range(len(node))), []
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if group[i] != group[j] and (shared := len(a & sets[j])) >= similarity * (len(a) + len(sets[j]) - shared):
+                    old, new = group[i], group[j]
+                    group = [new if g == old else g for g in group]
+                    edges.append((node[i], node[j]))
+        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
+
+    return dealt.groupBy("band", "i", "j").applyInPandas(forest, "a long, b long").distinct()
+
+
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 32, hot: int = 200, block: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, class_id for each row of docs: texts whose five-word shingles have a Jaccard similarity of at least
     ``similarity`` are linked, and class_id is the smallest doc_id reachable.
 
     Texts with the same shingles are one node, so copies make no pairs. Nodes that share a band of the signature are
-    candidates; those whose signatures agree too little are dropped, the rest is verified on the shingle sets. Null and
+    candidates, verified on the shingle sets; bands that more than ``hot`` nodes share are compared in blocks. Null and
     empty texts are all alike. A null id is a row like others, smallest only if there is no other. Repeated rows each
     give a row; an empty table gives none; other columns of docs are ignored.
     """
@@ -160,12 +185,18 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 32, i
     width = PERMUTATIONS // bands
     band = F.array(*[F.xxhash64(F.lit(i), F.slice("signature", 1 + i * width, width)) for i in range(bands)])
     index = nodes.select("node", F.explode(band).alias("band"))
-    x, y = index.alias("x"), index.alias("y")
+    crowded = cut(index.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot))
+    some = not crowded.isEmpty()
+    cold = index.join(crowded, "band", "left_anti") if some else index
+    x, y = cold.alias("x"), cold.alias("y")
     pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.node") < F.col("y.node"))).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     side = lambda n: nodes.select(F.col("node").alias(n), F.col("shingles").alias(f"set_{n}"))
     shared = F.size(F.array_intersect("set_a", "set_b"))
     alike = shared >= F.lit(similarity) * (F.size("set_a") + F.size("set_b") - shared)
-    roots = components(pairs.join(side("a"), "a").join(side("b"), "b").where(alike).select("a", "b"))
+    edges = pairs.join(side("a"), "a").join(side("b"), "b").where(alike).select("a", "b")
+    if some:
+        edges = edges.unionByName(crowded_links(index.join(crowded, "band").join(nodes.select("node", "shingles"), "node"), similarity, block))
+    roots = components(edges)
     named = least.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     classes = named.join(named.groupBy("root").agg(F.min("least").alias("class_id")), "root").select("node", "class_id")
     return rows.select("doc_id", "node").join(classes, "node").select("doc_id", "class_id")

@@ -35,7 +35,8 @@ def test_fingerprint_edits(docs):
     assert one["edited_sha256"] == hashlib.sha256(b"abcdab").hexdigest() and one["near_next"] == 1.0
 
 
-def test_minhash_near_duplicates(docs):
+@pytest.mark.parametrize("hot", [200, 1])
+def test_minhash_near_duplicates(docs, hot):
     rnd = random.Random(2)
     rows = []
     for i in range(30):
@@ -46,7 +47,7 @@ def test_minhash_near_duplicates(docs):
         if i % 3 == 0:
             rows.append((200 + i, " ".join(w[:75] + [f"v{k}{i}" for k in range(75)])))
     rows += [(500, None), (501, ""), (0, rows[0][1]), (None, rows[0][1])]
-    out = Counter((r["doc_id"], r["class_id"]) for r in minhash.near_duplicates(docs(rows, extra=True)).collect())
+    out = Counter((r["doc_id"], r["class_id"]) for r in minhash.near_duplicates(docs(rows, extra=True), hot=hot, block=2).collect())
     sets = [set(minhash.shingles((t or "").encode()).tolist()) for _, t in rows]
     label = list(range(len(rows)))
     for _ in range(3):
