@@ -142,3 +142,27 @@ def rasterised_boxes(layer: DataFrame, height: int, width: int, buffer: int = 0)
     span = lambda a, b, n: F.sequence(F.greatest(F.col(a) + buffer, F.lit(0)), F.least(F.col(b) - buffer, F.lit(n)) - 1)
     some = (F.least(F.col("x1") - buffer, F.lit(width)) > F.greatest(F.col("x0") + buffer, F.lit(0))) & (F.least(F.col("y1") - buffer, F.lit(height)) > F.greatest(F.col("y0") + buffer, F.lit(0)))
     return layer.where(some).withColumn("col", F.explode(span("x0", "x1", width))).withColumn("row", F.explode(span("y0", "y1", height)))
+
+
+def zone_overlap(grid: DataFrame, zone: str, shrink: float = 1e-4) -> tuple[float, float, float, float] | None:
+    """The box that the bounds of all zones of a grid share, a little smaller; None if there is none."""
+    per_zone = total_bounds(grid, zone)
+    b = per_zone.agg(F.max("x0").alias("x0"), F.max("y0").alias("y0"), F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.count(F.lit(1)).alias("n")).first()
+    if not b["n"]:
+        return None
+    box = (b["x0"] + shrink, b["y0"] + shrink, b["x1"] - shrink, b["y1"] - shrink)
+    return box if box[0] <= box[2] and box[1] <= box[3] else None
+
+
+def overlap_tiles(grid: DataFrame, zone: str) -> DataFrame:
+    """Grid tiles with in_overlap: whether they meet what the zones share."""
+    box = zone_overlap(grid, zone)
+    if box is None:
+        return grid.withColumn("in_overlap", F.lit(False))
+    apart, hit = split_by_box(grid, box)
+    return apart.withColumn("in_overlap", F.lit(False)).unionByName(hit.withColumn("in_overlap", F.lit(True)))
+
+
+def box_centre_distance(x: float, y: float) -> Column:
+    """Distance of a box's centre to a point."""
+    return F.hypot((F.col("x0") + F.col("x1")) / 2 - x, (F.col("y0") + F.col("y1")) / 2 - y)

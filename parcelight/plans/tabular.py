@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..operators import metrics, raster, sampling, scenes, stats
+from ..operators import metrics, raster, sampling, scenes, stats, training
 from ..sources import fixtures as fx
 from .registry import query
 
@@ -281,3 +281,19 @@ def event_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 def interval_utm_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs = spark.createDataFrame([("2024-01",), ("2024-02",), ("2024-03",)], "interval_no string")
     return jobs.withColumn("utm", F.explode(F.array(F.lit(32634), F.lit(32635))))
+
+
+@query(f"""with {FACTORS}, m as (select distinct eopatch, patchlet, ts from obs), n as (select *, row_number() over (partition by eopatch order by patchlet, ts) - 1 as n from m),
+  k as (select eopatch, patchlet, ts, n // 10 as chunk, n % 10 as chunk_pos from n where {_FOLD} in (1, 2))
+  select patchlet, ts, chunk, chunk_pos, round((mean_b0 - norm_meanstd_mean_b0) / norm_meanstd_std_b0, 5) as z0, round(mean_b1 / norm_perc99_b1, 5) as q1
+  from k join images using (patchlet, ts) join factors on month = date_trunc('month', ts)""")
+def training_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    im = images(spark, sf_dir)
+    meta = fx.obs(spark, sf_dir).select("eopatch", "patchlet", "ts").distinct()
+    placed = sampling.assign_chunks(meta, "eopatch", ["patchlet", "ts"], 10).withColumn("fold", sampling.fold(F.col("patchlet"), 3, 7))
+    name = F.concat_ws("-", F.col("eopatch").cast("string"), F.col("chunk").cast("string"))
+    info = stats.with_factors(placed, im, stats.monthly_factors(im), KEYS).withColumns({"number": F.col("chunk"), "chunk": name})
+    chunks = placed.join(im, KEYS).select("patchlet", "ts", name.alias("chunk"), "chunk_pos", F.col("chunk").alias("number"), F.array("mean_b0", "mean_b1", "mean_b2", "mean_b3").alias("x"))
+    made = training.elements(chunks, info, [1, 2])
+    out = made.select("patchlet", "ts", F.col("number").alias("chunk"), F.col("chunk_pos").cast("long").alias("chunk_pos"), training.normalised(F.col("x"), "to_meanstd")[0].alias("z0"), training.normalised(F.col("x"), "to_perc99")[1].alias("q1"))
+    return rounded(out, [], 5)
