@@ -1,9 +1,9 @@
 """Quality scores from supervised subword embeddings.
 
-Each word is its own hashed vector and those of its character n-grams; a document is the mean of all of them, and a
-softmax over two outputs gives the score. Vectors and outputs are learned together by stochastic gradient descent in
-numpy. A word that repeats the one before has a feature of its own. As the output is linear in the mean, a trained model keeps one number for each hashed feature, and a word's sum
-over its features is looked up once.
+Each word has a hashed vector, and so has each of its character n-grams; a document is the mean of all of them, and a
+softmax over two outputs gives the score. A word that repeats the one before has a feature of its own. Vectors and
+outputs are learned together by stochastic gradient descent in numpy. As the output is linear in the mean, a trained
+model keeps one number for each hashed feature.
 """
 
 from __future__ import annotations
@@ -22,18 +22,37 @@ from pyspark.sql import types as T
 
 from .common import in_parts, texts, unsigned_fraction
 
-#: Hashed features, vector size, n-gram lengths in bytes, and the words remembered in a worker.
-BUCKETS, SIZE, GRAMS, KEPT = 1 << 17, 12, (2, 3, 4), 200_000
+#: Hashed features (a power of two), vector size, n-gram lengths in bytes, and the words hashed at a time.
+BITS, SIZE, GRAMS, STEP = 17, 12, (2, 3, 4), 100_000
+BUCKETS = 1 << BITS
 EPOCHS, RATE, SEED = 4, 0.5, 3
+#: Odd factors of a gram's bytes, and of its hash.
+FACTORS, MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32), np.uint32(0x165667B1)
 #: The feature of a word that repeats the one before it.
 AGAIN = zlib.crc32(b"<again>") % BUCKETS
 
 
-def features(word: bytes) -> list[int]:
-    """The hashed features of a word: itself, and the n-grams of the word between markers."""
-    marked = b"<" + word[:64] + b">"  # a word beyond 64 bytes is hashed whole below; its n-grams come from its start
-    grams = {marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1)}
-    return [zlib.crc32(b" " + word) % BUCKETS, *sorted(zlib.crc32(g) % BUCKETS for g in grams)]
+def features(text: bytes) -> Iterator[np.ndarray]:
+    """The hashed features of a text, as often as they occur, in parts: of each word itself and its n-grams, where the
+    spaces around a word count as its first and last byte."""
+    words, crc = text.split(), zlib.crc32
+    for at in range(0, len(words), STEP):
+        some = words[at : at + STEP]
+        data = np.frombuffer(b" " + b" ".join(some) + b" ", np.uint8)
+        inner, wide = data != 32, data.astype(np.uint32)
+        out = [np.array([crc(w) for w in some], np.uint32) & np.uint32(BUCKETS - 1), np.full(sum(map(eq, some, words[at + 1 : at + 1 + STEP])), AGAIN, np.uint32)]
+        for n in GRAMS:
+            size = len(data) - n + 1
+            if size < 1:
+                continue
+            h, ok = np.full(size, n, np.uint32), np.ones(size, bool)
+            for k in range(n):
+                h += wide[k : k + size] * FACTORS[k]
+                h ^= h >> np.uint32(15)
+                if 0 < k < n - 1:
+                    ok &= inner[k : k + size]
+            out.append((h[ok] * MIX) >> np.uint32(32 - BITS))
+        yield np.concatenate(out)
 
 
 @dataclass(frozen=True)
@@ -46,25 +65,13 @@ class Model:
 
 class Scorer:
     def __init__(self, model: Model) -> None:
-        self.weight, self.bias = np.frombuffer(model.weight, np.float32).astype(np.float64), model.bias
-        self.words: dict[bytes, tuple[float, int]] = {}
-
-    def word(self, word: bytes) -> tuple[float, int]:
-        ids = features(word)
-        if len(self.words) >= KEPT:
-            self.words.clear()
-        self.words[word] = out = (float(self.weight[ids].sum()), len(ids))
-        return out
+        self.weight, self.bias = np.frombuffer(model.weight, np.float32), model.bias
 
     def score(self, text: bytes) -> float:
-        known, word, words, total, n = self.words.get, self.word, text.split(), 0.0, 0
-        for w in words:
-            s, k = known(w) or word(w)
-            total += s
-            n += k
-        again = sum(map(eq, words, words[1:]))
-        total += again * self.weight[AGAIN]
-        n += again
+        total, n = 0.0, 0
+        for ids in features(text):
+            total += float(self.weight[ids].sum(dtype=np.float64))
+            n += len(ids)
         return float(1 / (1 + np.exp(-np.clip(total / max(n, 1) + self.bias, -40, 40))))
 
 
@@ -106,22 +113,15 @@ def learn(labelled: DataFrame, sample: int = 5000) -> Model:
     schema = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("times", T.BinaryType()), T.StructField("quality", T.IntegerType()), T.StructField("by", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, list[int]] = {}
         for batch in in_parts(batches):
             out = []
             for t, q in zip(texts(batch), batch.column(1).to_pylist(), strict=True):
-                words, ids = t.split(), []
-                for w in words:
-                    if w not in seen:
-                        if len(seen) >= KEPT // 4:
-                            seen.clear()
-                        seen[w] = features(w)
-                    ids += seen[w]
-                ids += [AGAIN] * sum(map(eq, words, words[1:]))
-                u, c = np.unique(np.array(ids, np.int32), return_counts=True)
-                out.append((u.tobytes(), c.astype(np.int32).tobytes(), q, zlib.crc32(t)))
+                times = sum((np.bincount(ids, minlength=BUCKETS) for ids in features(t)), np.zeros(BUCKETS, np.int64))
+                u = np.flatnonzero(times)
+                out.append((u.astype(np.int32).tobytes(), times[u].astype(np.int32).tobytes(), q, zlib.crc32(t)))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)][:2] + [pa.array([r[2] for r in out], pa.int32()), pa.array([r[3] for r in out], pa.int64())], ["ids", "times", "quality", "by"])
+                a, b, c, d = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c, pa.int32()), pa.array(d, pa.int64())], ["ids", "times", "quality", "by"])
 
     got = sorted(drawn.mapInArrow(run, schema).collect(), key=lambda r: (r["by"], r["quality"], bytes(r["ids"])))
     return train([(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["times"], np.int32), r["quality"]) for r in got])
