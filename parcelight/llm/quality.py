@@ -28,6 +28,8 @@ BUCKETS = 1 << BITS
 EPOCHS, RATE, SEED = 4, 0.5, 3
 #: Odd factors of a gram's bytes, and of its hash.
 FACTORS, MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32), np.uint32(0x165667B1)
+#: A text of a few words says little: as many features that speak for neither label are added when scoring.
+PRIOR = 15
 #: The feature of a word that repeats the one before it.
 AGAIN = zlib.crc32(b"<again>") % BUCKETS
 
@@ -72,7 +74,7 @@ class Scorer:
         for ids in features(text):
             total += float(self.weight[ids].sum(dtype=np.float64))
             n += len(ids)
-        return float(1 / (1 + np.exp(-np.clip(total / max(n, 1) + self.bias, -40, 40))))
+        return float(1 / (1 + np.exp(-np.clip(total / (n + PRIOR) + self.bias, -40, 40))))
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
