@@ -23,38 +23,55 @@ from .common import cut, in_parts, texts
 from .components import components
 
 
-def fingerprint(text: bytes, size: int, seed: int = 42, distinct: bool = False) -> int:
-    """The 64-bit SimHash of a text's lower-cased word shingles: a bit is 1 if set in over half of their XXH64 values.
-
-    With fewer than size words the whole sequence is the one shingle; without words the fingerprint is 0. distinct counts
-    repeated shingles once.
-    """
+def shingle_hashes(text: bytes, size: int, seed: int = 42) -> np.ndarray:
+    """The XXH64 values of a text's lower-cased word shingles; of the whole sequence if it has fewer than size words."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined, k = b" ".join(words), min(size, len(words))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    n = len(words) - k + 1
-    pieces = [joined[a:b] for a, b in zip(starts[:n].tolist(), ends[k - 1 :].tolist(), strict=True)]
-    if distinct:
-        pieces = list(dict.fromkeys(pieces))
+    starts = np.concatenate(([0], ends[:-1] + 1))[: len(words) - k + 1]
     digest = xxhash.xxh64_intdigest
-    votes, n = np.zeros(64, np.int64), len(pieces)
-    for at in range(0, n, 1 << 16):
-        h = np.array([digest(x, seed) for x in pieces[at : at + (1 << 16)]], dtype=">u8")
-        votes += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * votes > n).tobytes(), "big")
+    return np.array([digest(joined[a:b], seed) for a, b in zip(starts.tolist(), ends[k - 1 :].tolist(), strict=True)], np.uint64)
+
+
+#: Crowded keys are sent to all executors if there are no more than this.
+FEW_KEYS = 100_000
+
+
+def majority(h: np.ndarray) -> int:
+    """The 64 bits of which each is set if it is set in over half of the hashes; 0 for none."""
+    votes = np.zeros(64, np.int64)
+    for at in range(0, len(h), 1 << 16):
+        some = h[at : at + (1 << 16)].astype(">u8")
+        votes += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * votes > len(h)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, size: int, seeds: tuple[int, ...] = (42,), distinct: bool = False) -> DataFrame:
-    """docs (doc_id, text and others) with the text replaced by an array fp of signed 64-bit fingerprints, one for each seed."""
+def rehashed(h: np.ndarray, k: int) -> np.ndarray:
+    """The k-th of a family of hashes made from one: for 0 itself, else mixed with another constant for each k."""
+    if not k:
+        return h
+    x = (h ^ (h >> np.uint64(30)) ^ np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprints(docs: DataFrame, size: int, seed: int = 42, wide: int = 1, distinct: bool = False) -> DataFrame:
+    """docs (doc_id, text and others) with the text replaced by an array fp of ``wide`` signed 64-bit SimHash fingerprints.
+
+    The first takes the shingles' XXH64 values, the others take hashes of these. distinct counts repeated shingles once.
+    """
     rest = [x for x in docs.columns if x != "text"]
     kinds = dict(docs.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
-            rows = [np.array([fingerprint(t, size, s, distinct) for s in seeds], np.uint64).view(np.int64).tolist() for t in texts(batch)]
+            rows = []
+            for t in texts(batch):
+                h = shingle_hashes(t, size, seed)
+                h = np.unique(h) if distinct else h
+                rows.append(np.array([majority(rehashed(h, k)) for k in range(wide)], np.uint64).view(np.int64).tolist())
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(x)) for x in rest), pa.array(rows, pa.list_(pa.int64()))], [*rest, "fp"])
 
     return docs.mapInArrow(run, ", ".join([*(f"`{x}` {kinds[x]}" for x in rest), "fp array<long>"]))
@@ -105,26 +122,34 @@ def links(fps: DataFrame, bits: int, tables: int = 1, hot: int = 256, block: int
     of_segment = F.array(*[F.struct(F.lit(i).alias("cut"), F.col("fp").bitwiseAND(F.lit(signed(((1 << n) - 1) << a))).alias("part")) for i, (a, n) in enumerate(cuts)])
     counted = one.select("place", F.explode(of_segment).alias("k")).groupBy("place", "k.cut", "k.part").agg(F.count(F.lit(1)).alias("n"))
     crowded = cut(counted.where(F.col("n") > hot))
-    numbers = F.array(*[F.lit(i) for i in range(len(per))])
-    index = one.select("node", "place", "fp", F.explode(numbers).alias("number"))
-    mask = F.element_at(F.array(*[F.lit(m) for _, m, _, _ in per]), F.col("number") + 1)
-    index = index.select((F.col("place") * len(per) + F.col("number")).cast("short").alias("at"), "fp", "node", F.xxhash64("place", "number", F.col("fp").bitwiseAND(mask)).alias("key"))
+    numbers = F.sequence(F.col("place") * len(per), F.col("place") * len(per) + len(per) - 1)
+    index = one.select(F.explode(numbers).alias("at"), "fp", "node").select(F.col("at").cast("short").alias("at"), "fp", "node")
+    masks = F.array(*[F.lit(m) for _, m, _, _ in per])
+
+    def key(at: Column, fp: Column) -> Column:
+        """Computed where it is needed, so that it does not travel."""
+        return F.xxhash64(at, fp.bitwiseAND(F.element_at(masks, (at % len(per) + 1).cast("int"))))
+
     some = not crowded.isEmpty()
     if some:
-        first = F.array(*[F.lit(sum(n for _, n in cuts[:i])) for i in range(len(cuts))])
-        length = F.array(*[F.lit(n) for _, n in cuts])
-        start = F.element_at(first, F.col("cut") + 1)
-        keys = crowded.select("place", "part", "n", F.explode(F.sequence(start, start + F.element_at(length, F.col("cut") + 1) - 1)).alias("number"))
-        keys = keys.select(F.xxhash64("place", "number", F.col("part").bitwiseAND(mask)).alias("key"), "n").groupBy("key").agg(F.sum("n").alias("n"))
-        keys = cut(keys)
-        full = index.join(keys, "key")
-        index = index.join(keys, "key", "left_anti")
+        first = F.element_at(F.array(*[F.lit(sum(n for _, n in cuts[:i])) for i in range(len(cuts))]), F.col("cut") + 1)
+        length = F.element_at(F.array(*[F.lit(n) for _, n in cuts]), F.col("cut") + 1)
+        begin = F.col("place") * len(per) + first
+        spread = crowded.select("part", "n", F.explode(F.sequence(begin, begin + length - 1)).alias("at")).withColumn("at", F.col("at").cast("short"))
+        keys = cut(spread.select(key(F.col("at"), F.col("part")).alias("key"), "n").groupBy("key").agg(F.sum("n").alias("n")))
+        if keys.count() <= FEW_KEYS:
+            keys = F.broadcast(keys)
+        mine = key(F.col("at"), F.col("fp")) == F.col("key")
+        full = index.join(keys, mine)
+        index = index.join(keys, mine, "left_anti")
     x, y = index.alias("x"), index.alias("y")
     diff = F.col("x.fp").bitwiseXOR(F.col("y.fp"))
-    number = F.col("x.at") % len(per)
-    near = (F.col("x.key") == F.col("y.key")) & (F.col("x.at") == F.col("y.at")) & (F.col("x.node") < F.col("y.node")) & (F.bit_count(diff) <= bits) & meets_first(bits, number, diff)
+    met = (key(F.col("x.at"), F.col("x.fp")) == key(F.col("y.at"), F.col("y.fp"))) & (F.col("x.at") == F.col("y.at")) & (F.col("x.node") < F.col("y.node"))
+    near = met & (F.bit_count(diff) <= bits) & meets_first(bits, F.col("x.at") % len(per), diff)
     pairs = x.join(y, near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    return pairs.unionByName(crowded_links(full, bits, block)) if some else pairs
+    if not some:
+        return pairs
+    return pairs.unionByName(crowded_links(full, bits, block))
 
 
 def crowded_links(index: DataFrame, bits: int, block: int) -> DataFrame:
@@ -167,7 +192,7 @@ def group(docs: DataFrame, bits: int = 4, size: int = 4, seed: int = 42, id_col:
     never the smallest unless all of a component's are null. Repeated rows each give a row. An empty table gives no rows,
     and other columns of docs are ignored. Very long texts are read whole.
     """
-    rows = cut(fingerprints(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), size, (seed,)).select("doc_id", F.col("fp")[0].alias("fp")))
+    rows = cut(fingerprints(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), size, seed).select("doc_id", F.col("fp")[0].alias("fp")))
     least = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(least.select(F.col("fp").alias("node"), F.array("fp").alias("fp")), bits))
     named = least.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
@@ -184,10 +209,9 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, size: int = 5, bit
     Jaccard similarity of their shingles, at ``similarity`` or more. Groups are the connected components. Ties, nulls
     and empty texts as in ``group``; the smallest is by doc_id (nulls last), then by text hash.
     """
-    seeds = tuple(range(42, 42 + wide))
     most = int(64 * wide * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
-    rows = cut(fingerprints(base, size, seeds, True).withColumn("node", F.xxhash64("fp")))
+    rows = cut(fingerprints(base, size, 42, wide, True).withColumn("node", F.xxhash64("fp")))
     nodes = cut(rows.groupBy("node").agg(F.first("fp").alias("fp")))
     found = links(nodes, bits, tables).distinct()
     a, b = nodes.select(F.col("node").alias("a"), F.col("fp").alias("fa")), nodes.select(F.col("node").alias("b"), F.col("fp").alias("fb"))

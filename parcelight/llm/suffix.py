@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -333,14 +334,27 @@ def repeats(docs: DataFrame) -> DataFrame:
     def list_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
             row, at, h, _, c = found(texts(batch))
-            row = pa.array(row)
-            yield pa.RecordBatch.from_arrays([signed(h), signed(c), batch.column(0).take(row), batch.column(1).take(row), pa.array(at.astype(np.int32))], ["h", "c", "doc", "mark", "pos"])
+            doc, mark = (batch.column(k).to_numpy()[row] for k in (0, 1))
+            # what repeats an earlier occurrence of this very batch is settled; it travels under a key of its own
+            order = np.lexsort((at, mark, doc, c, h))
+            twin = np.zeros(len(h), bool)
+            twin[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (c[order[1:]] == c[order[:-1]])
+            spread = mixed(mixed(doc.astype(np.uint64)) ^ at.astype(np.uint64))
+            yield pa.RecordBatch.from_arrays([signed(np.where(twin, spread, h)), signed(np.where(twin, np.uint64(0), c)), pa.array(doc), pa.array(mark), pa.array(at.astype(np.int32)), pa.array(twin)], ["h", "c", "doc", "mark", "pos", "twin"])
 
     def told_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of rows sorted by both hashes: those that repeat the one before, with part -1, and of the others those whose
+        """Of rows sorted by both hashes: those settled or like the one before, with part -1, and of the others those whose
         anchor occurs again, with the number of their group."""
         last, h, count, kept = None, None, 0, None  # the last row's hashes; the last anchor, its rows so far, its only row
+        def settled(some: pa.RecordBatch) -> pa.RecordBatch:
+            columns = [some.column(some.schema.get_field_index(k)) for k in ("h", "doc", "mark", "pos")]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(some.num_rows, -1, np.int32))], ["h", "doc", "mark", "pos", "part"])
+
         for batch in batches:
+            known = batch.column(5)
+            if known.true_count:
+                yield settled(batch.filter(known))
+                batch = batch.filter(pc.invert(known))
             if not batch.num_rows:
                 continue
             x, y = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -348,8 +362,7 @@ def repeats(docs: DataFrame) -> DataFrame:
             last = (x[-1], y[-1])
             plain = pa.RecordBatch.from_arrays([batch.column(i) for i in (0, 2, 3, 4)], ["h", "doc", "mark", "pos"])
             if twin.any():
-                some = plain.filter(pa.array(twin))
-                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(np.full(some.num_rows, -1, np.int32))], [*some.schema.names, "part"])
+                yield settled(plain.filter(pa.array(twin)))
             plain, x = plain.filter(pa.array(~twin)), x[~twin]
             if not len(x):
                 continue
@@ -370,7 +383,7 @@ def repeats(docs: DataFrame) -> DataFrame:
             if some.num_rows:
                 yield some
 
-    listed = docs.mapInArrow(list_anchors, f"h long, c long, {who}, pos int")
+    listed = docs.mapInArrow(list_anchors, f"h long, c long, {who}, pos int, twin boolean")
     again = cut(listed.repartition("h").sortWithinPartitions("h", "c", "doc", "mark", "pos").mapInArrow(told_apart, f"h long, {who}, pos int, part int"))
     by_doc = again.where("part >= 0").groupBy("doc", "mark").agg(F.collect_list(F.struct("pos", "part")).alias("at"))
 
