@@ -110,11 +110,12 @@ def meets_first(bits: int, number: Column, x: Column) -> Column:
     return out
 
 
-def links(fps: DataFrame, bits: int, tables: int = 1, hot: int = 256, block: int = 1024) -> DataFrame:
+def links(fps: DataFrame, bits: int, tables: int = 1, hot: int = 256, block: int = 1024, most: int | None = None) -> DataFrame:
     """Edges a, b between the nodes of fps (node, fp: array of long) that connect all that are near.
 
     Two nodes are near if the fingerprints at one of the first ``tables`` places of fp differ in at most ``bits`` bits.
-    A pair that meets in a key of bounded size is listed once for each such place; see ``crowded_links`` for the others.
+    A pair that meets in a key of bounded size is listed once for each such place; see ``crowded_links`` for the others, which also holds their whole fp to ``most``
+    differing bits, as a forest of candidates that are verified later could lose links.
     """
     per, cuts = variants(bits), segments(bits)
     place = F.posexplode(F.slice("fp", 1, tables)).alias("place", "fp")
@@ -149,11 +150,13 @@ def links(fps: DataFrame, bits: int, tables: int = 1, hot: int = 256, block: int
     pairs = x.join(y, near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     if not some:
         return pairs
-    return pairs.unionByName(crowded_links(full, bits, block))
+    if most is not None:
+        full = full.join(fps.select("node", F.col("fp").alias("whole")), "node")
+    return pairs.unionByName(crowded_links(full, bits, block, most))
 
 
-def crowded_links(index: DataFrame, bits: int, block: int) -> DataFrame:
-    """Edges for keys that many nodes share: index has key, at, fp, node, n.
+def crowded_links(index: DataFrame, bits: int, block: int, most: int | None = None) -> DataFrame:
+    """Edges for keys that many nodes share: index has key, at, fp, node, n, and with most the node's whole fp.
 
     A key's nodes are dealt into blocks, and each pair of blocks is compared on its own. What comes out is not the pairs
     but a forest that connects the same nodes: fewer edges than nodes.
@@ -161,10 +164,11 @@ def crowded_links(index: DataFrame, bits: int, block: int) -> DataFrame:
     blocks = F.ceil(F.col("n") / block).cast("int")
     mine = F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("int")
     dealt = index.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", "at", "fp", "node", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+    dealt = dealt.select("key", "at", "fp", "node", *["whole"] * (most is not None), F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
 
     def forest(pdf: pd.DataFrame) -> pd.DataFrame:
         fp, node = pdf["fp"].to_numpy(np.int64).view(np.uint64), pdf["node"].to_numpy(np.int64)
+        whole = None if most is None else np.array(pdf["whole"].tolist(), np.int64).view(np.uint64)
         parent = list(range(len(fp)))
 
         def root(i: int) -> int:
@@ -174,7 +178,10 @@ def crowded_links(index: DataFrame, bits: int, block: int) -> DataFrame:
 
         edges = []
         for i in range(len(fp) - 1):
-            for j in (np.flatnonzero(np.bitwise_count(fp[i + 1 :] ^ fp[i]) <= bits) + i + 1).tolist():
+            near = np.flatnonzero(np.bitwise_count(fp[i + 1 :] ^ fp[i]) <= bits) + i + 1
+            if whole is not None:
+                near = near[np.bitwise_count(whole[near] ^ whole[i]).sum(axis=1, dtype=np.int64) <= most]
+            for j in near.tolist():
                 p, q = root(i), root(j)
                 if p != q:
                     parent[max(p, q)] = min(p, q)
@@ -201,7 +208,7 @@ def group(docs: DataFrame, bits: int = 4, size: int = 4, seed: int = 42, id_col:
     return rows.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, size: int = 5, bits: int = 7, tables: int = 4, wide: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, size: int = 5, bits: int = 7, tables: int = 4, wide: int = 8, id_col: str = "doc_id", text_col: str = "text", hot: int = 256) -> DataFrame:
     """doc_id, text_hash, copies, kept for each distinct (id, text) of docs: kept marks one of each group, the smallest.
 
     Each text has ``wide`` fingerprints over its distinct ``size``-word shingles. Texts that come within ``bits`` bits in
@@ -213,7 +220,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, size: int = 5, bit
     base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
     rows = cut(fingerprints(base, size, 42, wide, True).withColumn("node", F.xxhash64("fp")))
     nodes = cut(rows.groupBy("node").agg(F.first("fp").alias("fp")))
-    found = links(nodes, bits, tables).distinct()
+    found = links(nodes, bits, tables, hot, most=most).distinct()
     a, b = nodes.select(F.col("node").alias("a"), F.col("fp").alias("fa")), nodes.select(F.col("node").alias("b"), F.col("fp").alias("fb"))
     apart = F.aggregate(F.zip_with("fa", "fb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, n: s + n)
     roots = components(found.join(a, "a").join(b, "b").where(apart <= most).select("a", "b"))

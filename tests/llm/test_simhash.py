@@ -98,3 +98,16 @@ def test_near_duplicates_keep_one(docs):
 def test_more_hashes_differ():
     h = np.arange(1, 2000, dtype=np.uint64)
     assert len({simhash.majority(simhash.rehashed(h, k)) for k in range(8)}) == 8
+
+
+def test_crowded_keys_lose_no_link(docs):
+    rnd = random.Random(11)
+    base = [f"w{rnd.randrange(4000)}" for _ in range(200)]
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for k in rnd.sample(range(200), i % 9):
+            w[k] = f"x{i}{k}"
+        rows.append((i, " ".join(w)))
+    kept = [sorted(r["doc_id"] for r in simhash.near_duplicates(docs(rows), hot=hot).where("kept").collect()) for hot in (1000, 1)]
+    assert kept[0] == kept[1]
