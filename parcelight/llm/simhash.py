@@ -10,6 +10,7 @@ than ``hot`` fingerprints share are not joined but compared in blocks that give
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, in_parts, texts
+from .common import cut, in_parts, texts, unsigned_fraction
 from .components import components
 
 
@@ -110,12 +111,11 @@ def meets_first(bits: int, number: Column, x: Column) -> Column:
     return out
 
 
-def links(fps: DataFrame, bits: int, tables: int = 1, hot: int = 256, block: int = 1024, most: int | None = None) -> DataFrame:
+def links(fps: DataFrame, bits: int, tables: int = 1, hot: int = 256, block: int = 1024) -> DataFrame:
     """Edges a, b between the nodes of fps (node, fp: array of long) that connect all that are near.
 
     Two nodes are near if the fingerprints at one of the first ``tables`` places of fp differ in at most ``bits`` bits.
-    A pair that meets in a key of bounded size is listed once for each such place; see ``crowded_links`` for the others, which also holds their whole fp to ``most``
-    differing bits, as a forest of candidates that are verified later could lose links.
+    A pair that meets in a key of bounded size is listed once for each such place; see ``crowded_links`` for the others.
     """
     per, cuts = variants(bits), segments(bits)
     place = F.posexplode(F.slice("fp", 1, tables)).alias("place", "fp")
@@ -150,13 +150,11 @@ def links(fps: DataFrame, bits: int, tables: int = 1, hot: int = 256, block: int
     pairs = x.join(y, near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     if not some:
         return pairs
-    if most is not None:
-        full = full.join(fps.select("node", F.col("fp").alias("whole")), "node")
-    return pairs.unionByName(crowded_links(full, bits, block, most))
+    return pairs.unionByName(crowded_links(full, bits, block))
 
 
-def crowded_links(index: DataFrame, bits: int, block: int, most: int | None = None) -> DataFrame:
-    """Edges for keys that many nodes share: index has key, at, fp, node, n, and with most the node's whole fp.
+def crowded_links(index: DataFrame, bits: int, block: int) -> DataFrame:
+    """Edges for keys that many nodes share: index has key, at, fp, node, n.
 
     A key's nodes are dealt into blocks, and each pair of blocks is compared on its own. What comes out is not the pairs
     but a forest that connects the same nodes: fewer edges than nodes.
@@ -164,11 +162,10 @@ def crowded_links(index: DataFrame, bits: int, block: int, most: int | None = No
     blocks = F.ceil(F.col("n") / block).cast("int")
     mine = F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("int")
     dealt = index.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", "at", "fp", "node", *["whole"] * (most is not None), F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+    dealt = dealt.select("key", "at", "fp", "node", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
 
     def forest(pdf: pd.DataFrame) -> pd.DataFrame:
         fp, node = pdf["fp"].to_numpy(np.int64).view(np.uint64), pdf["node"].to_numpy(np.int64)
-        whole = None if most is None else np.array(pdf["whole"].tolist(), np.int64).view(np.uint64)
         parent = list(range(len(fp)))
 
         def root(i: int) -> int:
@@ -179,8 +176,6 @@ def crowded_links(index: DataFrame, bits: int, block: int, most: int | None = No
         edges = []
         for i in range(len(fp) - 1):
             near = np.flatnonzero(np.bitwise_count(fp[i + 1 :] ^ fp[i]) <= bits) + i + 1
-            if whole is not None:
-                near = near[np.bitwise_count(whole[near] ^ whole[i]).sum(axis=1, dtype=np.int64) <= most]
             for j in near.tolist():
                 p, q = root(i), root(j)
                 if p != q:
@@ -208,22 +203,133 @@ def group(docs: DataFrame, bits: int = 4, size: int = 4, seed: int = 42, id_col:
     return rows.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, size: int = 5, bits: int = 7, tables: int = 4, wide: int = 8, id_col: str = "doc_id", text_col: str = "text", hot: int = 256) -> DataFrame:
+def shingle_sets(docs: DataFrame, size: int, seed: int = 42) -> DataFrame:
+    """docs (doc_id, text_hash, text) with the text replaced by its set of shingles in rising order, that set's hash as
+    node, and its SimHash fingerprint fp, which counts each shingle once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_parts(batches):
+            sets = [np.unique(shingle_hashes(t, size, seed)) for t in texts(batch)]
+            node = np.array([xxhash.xxh3_64_intdigest(h.tobytes()) for h in sets], np.uint64).view(np.int64)
+            fp = np.array([majority(h) for h in sets], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(fp), pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))], ["doc_id", "text_hash", "node", "fp", "shingles"])
+
+    return docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, text_hash long, node long, fp long, shingles array<long>")
+
+
+def least_shared(a: int, b: int, similarity: float) -> int:
+    """How many shingles sets of these sizes must share for the similarity."""
+    return math.ceil(similarity / (1 + similarity) * (a + b) - 1e-9)
+
+
+def common_shingles(rows: DataFrame, sample: int = 20_000, most: int = FEW_KEYS) -> np.ndarray:
+    """Shingles that many texts of a sample hold, the most common last. They only set the order in which prefixes are
+    taken: any order finds the same pairs, and one that leaves common shingles to the end meets fewer others."""
+    n = rows.count()
+    some = rows.where(unsigned_fraction(F.col("node"), F.lit(7)) < min(1.0, sample / max(n, 1))).dropDuplicates(["node"])
+    found = some.select(F.explode("shingles").alias("key")).groupBy("key").count().where("count > 3").orderBy(F.desc("count"), "key").limit(most).collect()
+    return np.array([r["key"] for r in reversed(found)], np.int64)
+
+
+def prefixes(rows: DataFrame, similarity: float) -> DataFrame:
+    """key, node, pos, n: the first shingles, in one order for all, of each set of n shingles; as many as sets of the
+    similarity cannot do without sharing one. Two sets that are alike have a key in common, with no exception."""
+    common = common_shingles(rows)
+    by = np.argsort(common)
+    shared = rows.sparkSession.sparkContext.broadcast((common[by], by))  # of FEW_KEYS at most
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, rank = shared.value
+        for batch in batches:
+            out: list[tuple[np.ndarray, ...]] = []
+            for node, h in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                h = h.values.to_numpy(zero_copy_only=False)
+                if not len(h):
+                    continue
+                k = len(h) - math.ceil(similarity * len(h) - 1e-9) + 1
+                late = np.full(len(h), -1)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                    late = np.where(known[at] == h, rank[at], -1)
+                h = h[np.lexsort((h, late))[:k]]
+                out.append((h, np.full(len(h), node), np.arange(len(h), dtype=np.int32), np.full(len(h), len(late), np.int32)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["key", "node", "pos", "n"])
+
+    return rows.select("node", "shingles").mapInArrow(run, "key long, node long, pos int, n int").dropDuplicates(["key", "node"])
+
+
+def verified(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """Those of the pairs (a, b) whose sets of shingles have at least this Jaccard similarity."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = cut(rows.select("node", "shingles").join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+    side = lambda n: sets.select(F.col("node").alias(n), F.col("shingles").alias(f"set_{n}"))
+    shared = F.size(F.array_intersect("set_a", "set_b"))
+    alike = shared >= F.lit(similarity) * (F.size("set_a") + F.size("set_b") - shared) - 1e-9
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(alike).select("a", "b")
+
+
+def crowded_alike(index: DataFrame, rows: DataFrame, similarity: float, block: int = 256) -> DataFrame:
+    """Edges for keys that many nodes share: index has key, node, root, total.
+
+    A key's nodes are dealt into blocks, and each pair of blocks is compared on its own, by the sets themselves. Nodes
+    with the same root are linked already and not compared. A forest that connects the same nodes comes out.
+    """
+    blocks = F.ceil(F.col("total") / block).cast("int")
+    dealt = index.withColumn("mine", F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("key", "node", "root", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+    live = dealt.groupBy("key", "i", "j").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p < q").select("key", "i", "j")
+    sets = rows.select("node", "shingles").join(index.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    dealt = dealt.join(live, ["key", "i", "j"]).join(cut(sets), "node")
+
+    def forest(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.assign(size=pdf["shingles"].map(len)).sort_values(["size", "node"])
+        node, group, size = pdf["node"].tolist(), pdf["root"].to_numpy(np.int64).copy(), pdf["size"].to_numpy()
+        sets, edges = [set(x.tolist()) for x in pdf["shingles"]], []
+        for i, a in enumerate(sets):
+            low = int(np.searchsorted(size[:i], similarity * len(a) - 1e-9))
+            for j in (np.flatnonzero(group[low:i] != group[i]) + low).tolist():
+                if group[i] != group[j] and len(a & sets[j]) >= least_shared(len(a), len(sets[j]), similarity):
+                    edges.append((node[j], node[i]))
+                    group[group == group[j]] = group[i]
+        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
+
+    return dealt.groupBy("key", "i", "j").applyInPandas(forest, "a long, b long").distinct()
+
+
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, size: int = 5, bits: int = 4, id_col: str = "doc_id", text_col: str = "text", hot: int = 256) -> DataFrame:
     """doc_id, text_hash, copies, kept for each distinct (id, text) of docs: kept marks one of each group, the smallest.
 
-    Each text has ``wide`` fingerprints over its distinct ``size``-word shingles. Texts that come within ``bits`` bits in
-    one of the first ``tables`` are candidates; they are linked if all fingerprints together put their angle, and so the
-    Jaccard similarity of their shingles, at ``similarity`` or more. Groups are the connected components. Ties, nulls
-    and empty texts as in ``group``; the smallest is by doc_id (nulls last), then by text hash.
+    Texts are linked if the Jaccard similarity of their sets of ``size``-word shingles is ``similarity`` or more, which is
+    decided on the sets; groups are the connected components. SimHash comes first: pairs within ``bits`` bits that prove
+    alike form groups. Then all pairs of different groups that share a shingle of their prefixes are compared, which
+    misses none; so ``bits`` and ``hot`` change the work but not the groups. Ties, nulls and empty texts as in
+    ``group``; the smallest is by doc_id (nulls last), then by text hash.
     """
-    most = int(64 * wide * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
-    rows = cut(fingerprints(base, size, 42, wide, True).withColumn("node", F.xxhash64("fp")))
-    nodes = cut(rows.groupBy("node").agg(F.first("fp").alias("fp")))
-    found = links(nodes, bits, tables, hot, most=most).distinct()
-    a, b = nodes.select(F.col("node").alias("a"), F.col("fp").alias("fa")), nodes.select(F.col("node").alias("b"), F.col("fp").alias("fb"))
-    apart = F.aggregate(F.zip_with("fa", "fb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, n: s + n)
-    roots = components(found.join(a, "a").join(b, "b").where(apart <= most).select("a", "b"))
+    rows = cut(shingle_sets(base, size))
+    fps = cut(rows.groupBy("fp").agg(F.min("node").alias("least")))
+    same = rows.join(fps, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    close = links(fps.select(F.col("fp").alias("node"), F.array("fp").alias("fp")), bits, hot=hot)
+    ends = [fps.select(F.col("fp").alias(x), F.col("least").alias(f"node_{x}")) for x in "ab"]
+    close = close.join(ends[0], "a").join(ends[1], "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    edges = cut(verified(cut(same.unionByName(close).distinct()), rows, similarity))
+    roots = components(edges)
+    index = prefixes(rows, similarity).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    keys = index.groupBy("key").agg(F.count(F.lit(1)).alias("total"), F.min("root").alias("p"), F.max("root").alias("q"))
+    index = cut(index.join(keys.where("p < q").select("key", "total"), "key"))
+    x, y = index.where(F.col("total") <= hot).alias("x"), index.where(F.col("total") <= hot).alias("y")
+    need = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("x.n") + F.col("y.n")) - 1e-9)
+    can = F.least("x.pos", "y.pos") + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    met = (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root")) & (can >= need)
+    pairs = cut(x.join(y, met).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+    more = verified(pairs, rows, similarity)
+    crowded = index.where(F.col("total") > hot).select("key", "node", "root", "total")
+    if not crowded.isEmpty():
+        more = more.unionByName(crowded_alike(crowded, rows, similarity))
+    more = cut(more)
+    if not more.isEmpty():
+        roots = components(edges.unionByName(more))
     rows = rows.groupBy("doc_id", "text_hash", "node").agg(F.count(F.lit(1)).alias("copies"))
     rows = cut(rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")

@@ -111,3 +111,28 @@ def test_crowded_keys_lose_no_link(docs):
         rows.append((i, " ".join(w)))
     kept = [sorted(r["doc_id"] for r in simhash.near_duplicates(docs(rows), hot=hot).where("kept").collect()) for hot in (1000, 1)]
     assert kept[0] == kept[1]
+
+
+def shingled(text):
+    w = text.lower().split()
+    return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+@pytest.mark.parametrize("hot", [256, 2])
+def test_pairs_around_the_similarity(docs, hot):
+    """Against brute force: a pair just above the similarity is one group, one just below is two."""
+    rnd = random.Random(17)
+    rows, want = [], set()
+    for i in range(0, 300, 2):
+        a = [f"w{rnd.randrange(50000)}" for _ in range(rnd.randrange(120, 260))]
+        a[:12] = [f"common{k}" for k in range(12)]
+        tail = rnd.randrange(int(len(a) * 0.07), int(len(a) * 0.14))
+        b = a[:-tail] + [f"v{rnd.randrange(50000)}" for _ in range(tail)]
+        rows += [(i, " ".join(a)), (i + 1, " ".join(b))]
+        x, y = shingled(rows[-2][1]), shingled(rows[-1][1])
+        alike = len(x & y) / len(x | y)
+        assert 0.7 < alike < 0.9
+        want |= {i} if alike >= 0.8 else {i, i + 1}
+    assert 180 < len(want) < 270
+    out = simhash.near_duplicates(docs(rows), hot=hot).where("kept").collect()
+    assert {r["doc_id"] for r in out} == want
