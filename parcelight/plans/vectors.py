@@ -148,3 +148,11 @@ def parcels_from_rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zone_overlap_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = fx.rects(spark, sf_dir).where("id % 7 > zone * 2")
     return rounded(spatial.overlap_tiles(grid, "zone").select("id", "in_overlap", spatial.box_centre_distance(250, 250).alias("distance")), [])
+
+
+@query(f"""with {fx.RECTS}, b as (select zone, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1 from rects group by 1),
+  o as (select max(x0) + 1e-4 as x0, max(y0) + 1e-4 as y0, min(x1) - 1e-4 as x1, min(y1) - 1e-4 as y1 from b)
+  select r.id, r.x0 <= o.x1 and r.x1 >= o.x0 and r.y0 <= o.y1 and r.y1 >= o.y0 as in_overlap, round(sqrt(((r.x0 + r.x1) / 2.0 - 250) ** 2 + ((r.y0 + r.y1) / 2.0 - 250) ** 2), 6) as distance from rects r, o""")
+def zone_overlap_all_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As zone_overlap_tiles, whose SQL leaves ids out, but over every rectangle."""
+    return rounded(spatial.overlap_tiles(fx.rects(spark, sf_dir), "zone").select("id", "in_overlap", spatial.box_centre_distance(250, 250).alias("distance")), [])

@@ -51,3 +51,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", ["bicubic_upscale", "contour_polygons", "cloud_masks", "reproject_tm"])
 def test_rows(spark, name):
     assert registry.QUERIES[name](spark, SF).count() > 0
+
+
+def test_overlap_tiles_of_every_rectangle(spark, duck):
+    out = registry.QUERIES["zone_overlap_all_tiles"](spark, SF)
+    assert out.select("id").distinct().count() == out.count() == duck.sql("select count(*) as n from part").df()["n"][0]
