@@ -6,8 +6,9 @@ whose dictionary makes it smallest is chosen. A narrow margin between the two sm
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 import regex
@@ -21,8 +22,10 @@ from .common import in_parts, unsigned_fraction
 #: What a text is compared in: its lower-cased UTF-8 bytes, with a space for each ASCII character that is no letter.
 LETTERS = bytes(32 if b < 128 and not chr(b).isalpha() else b for b in range(256))
 UNKNOWN = "und"
-#: A text's margin is narrow if it is under this part of its compressed size; texts under LEAST bytes have none to show.
-NARROW, LEAST = 0.0005, 128
+#: A text's margin is narrow if it is under a part of its compressed size, which is calibrated for each class of lengths:
+#: texts of fewer bytes than the first of CLASSES, than the second, and others. It is as wide as it can be, within NARROW,
+#: while it rejects at most the part LOST of the right texts of the calibration; the least with fewer than 1 / LOST.
+CLASSES, NARROW, LOST = (129, 1025), (0.01, 0.02), 0.005
 LEVEL = 9
 #: Texts up to SHORT bytes hold too few matches. They are compressed after each of LEADS pieces of the dictionary, of
 #: LEAD bytes, so that their letters are coded as that language's are; what the piece takes alone is subtracted.
@@ -41,11 +44,12 @@ class Languages:
     names: tuple[str, ...]
     contents: tuple[bytes, ...]
     counts: tuple[int, ...]
+    narrow: tuple[float, ...] = (NARROW[0],) * (len(CLASSES) + 1)
 
 
 class Classifier:
     def __init__(self, model: Languages) -> None:
-        self.names, self.tools = model.names, []
+        self.names, self.narrow, self.tools = model.names, model.narrow, []
         self.prior = sorted(range(len(model.names)), key=lambda i: (-model.counts[i], model.names[i]))
         for content in model.contents:
             d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -66,19 +70,41 @@ class Classifier:
         if not text or not self.names or not _letter(text):
             return UNKNOWN, 0.0, True
         data = normal(text)
+        best, score, margin = self.judge(data)
+        return self.names[best], score, margin < self.narrow[bisect_right(CLASSES, len(data))]
+
+    def judge(self, data: bytes) -> tuple[int, float, float]:
+        """(place of the language, score, margin as a part of the compressed size)."""
         sizes = self.sizes(data)
         best = min(self.prior, key=sizes.__getitem__)
         least = sizes[best]
         score = 1.0 / sum(2.0 ** max(-60, least - s) for s in sizes)  # a byte more halves a language's chance
         margin = min((s for i, s in enumerate(sizes) if i != best), default=2 * least) - least
-        return self.names[best], score, len(data) >= LEAST and margin < NARROW * least
+        return best, score, margin / max(least, 1)
+
+
+def calibrated(model: Languages, labelled: list[tuple[str, str]]) -> Languages:
+    """The model with the margins that suit (text, lang) it has not learned from; the least where there are none."""
+    c = Classifier(model)
+    seen: list[list[tuple[float, bool]]] = [[] for _ in model.narrow]
+    for text, lang in labelled:
+        if _letter(text):
+            data = normal(text)
+            best, _, margin = c.judge(data)
+            seen[bisect_right(CLASSES, len(data))].append((margin, model.names[best] == lang))
+    narrow = []
+    for rows in seen:
+        right = sorted(m for m, ok in rows if ok)
+        narrow.append(min(max(right[int(LOST * len(right))], NARROW[0]), NARROW[1]) if LOST * len(right) >= 1 else NARROW[0])
+    return replace(model, narrow=tuple(narrow))
 
 
 def learn(labelled: DataFrame, sample: int = 400, piece: int = 1500) -> Languages:
     """Dictionaries from labelled (text, lang): bounded samples, while the languages' counts cover every row.
 
     Of each language about ``sample`` distinct texts are drawn by hash, and of each a piece of ``piece`` characters at
-    a hashed place; fewer where there are fewer. Rows with a null or empty text or language teach nothing.
+    a hashed place; fewer where there are fewer. Rows with a null or empty text or language teach nothing. Margins are
+    calibrated on as many other texts.
     """
     rows = labelled.where("lang is not null and text is not null and text <> ''").select("lang", "text")
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row for each language
@@ -86,10 +112,14 @@ def learn(labelled: DataFrame, sample: int = 400, piece: int = 1500) -> Language
         return Languages((), (), ())
     chance = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, sample / n)))])
     place = (unsigned_fraction(F.col("text"), F.lit(2)) * F.greatest(F.length("text") - F.lit(piece), F.lit(0))).cast("int") + 1
-    drawn = rows.where(unsigned_fraction(F.col("text"), F.lit(1)) < chance[F.col("lang")]).select("lang", F.substr(F.col("text"), place, F.lit(piece)).alias("text"), F.xxhash64("text").alias("by"))
+    taught = unsigned_fraction(F.col("text"), F.lit(1)) < chance[F.col("lang")]
+    cut_out = ["lang", F.substr(F.col("text"), place, F.lit(piece)).alias("text"), F.xxhash64("text").alias("by")]
+    drawn = rows.where(taught).select(cut_out)
+    others = rows.where(~taught & (unsigned_fraction(F.col("text"), F.lit(6)) < chance[F.col("lang")])).select(cut_out).dropDuplicates(["lang", "by"]).collect()
     pieces = sorted(drawn.dropDuplicates(["lang", "by"]).collect(), key=lambda r: r["by"])
     names = tuple(sorted(counts))
-    return Languages(names, tuple(b"\n".join(normal(r["text"]) for r in pieces if r["lang"] == n) or b" " * 8 for n in names), tuple(counts[n] for n in names))
+    model = Languages(names, tuple(b"\n".join(normal(r["text"]) for r in pieces if r["lang"] == n) or b" " * 8 for n in names), tuple(counts[n] for n in names))
+    return calibrated(model, [(r["text"], r["lang"]) for r in others])
 
 
 _made: dict[int, Classifier] = {}

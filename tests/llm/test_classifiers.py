@@ -30,6 +30,18 @@ def test_language_edges(docs):
     assert langid.classify(docs([]), model).count() == 0
 
 
+def test_languages_reject_what_no_language_explains(spark):
+    docs = table(spark, SF, "documents").select("text", "lang")
+    model = langid.learn(docs)
+    ask = langid.Classifier(model).predict
+    rnd = random.Random(8)
+    short = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)) for n in (3, 5, 8) for _ in range(20)]
+    tied = [t for t in short if langid.Classifier(model).judge(langid.normal(t))[2] == 0]
+    assert tied and all(ask(t)[2] for t in tied)
+    clean = [r["text"] for r in docs.where("length(text) > 100").limit(300).collect()]
+    assert sum(ask(t)[2] for t in clean) <= 0.02 * len(clean)
+
+
 def test_quality_held_out(spark):
     labels = table(spark, SF, "labels").select("doc_id", "quality")
     out = op3_quality(spark, SF).join(labels, "doc_id").where("held_out").collect()
