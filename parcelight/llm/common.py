@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,31 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """df written as Parquet to the checkpoint folder and read again, and its path. What a loop makes in each round goes
+    here: sizes are estimated from files, while a checkpoint carries on the estimate of its plan, round after round."""
+    spark = df.sparkSession
+    checkpoint_folder(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/round-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Delete what ``stored`` has written and nobody reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+#: A table of no more rows than this may be sent to all executors.
+FEW = 100_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df (a written table, so that counting is cheap), to be broadcast in joins if it has few rows."""
+    return F.broadcast(df) if df.count() <= FEW else df
+
+
 def unsigned_fraction(*cols: Column) -> Column:
     """A fixed number in [0, 1) for each value of the columns, the same on every run."""
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 40)) / F.lit(float(1 << 40))
@@ -54,3 +81,31 @@ def in_parts(batches: Iterator[pa.RecordBatch], name: str = "text", limit: int =
                 start, held = i + 1, 0
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... for length[0] numbers, then those of the next."""
+    return np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+
+
+def frames(batches: Iterator[pa.RecordBatch], rows: int, key: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Tables of about that many rows which end between groups of equal key; the batches are sorted by the key."""
+    held: list[pa.RecordBatch] = []
+    count = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        count += batch.num_rows
+        if count >= rows:
+            whole = pa.Table.from_batches(held).combine_chunks()
+            last = whole.num_rows
+            columns = [whole[c].to_numpy() for c in key]
+            change = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns]))
+            last = int(change[-1]) + 1 if len(change) else 0
+            if last:
+                yield whole.slice(0, last)
+            held = whole.slice(last).to_batches()
+            count = whole.num_rows - last
+    if count:
+        yield pa.Table.from_batches(held).combine_chunks()

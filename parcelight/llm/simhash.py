@@ -2,80 +2,35 @@
 
 Fingerprints that differ in at most ``bits`` bits are cut into so few segments that in one of them they differ by at
 most one bit. Each segment is indexed once for each of its bits with that bit as a wildcard, so such a pair meets in an
-equality join on (segment, wildcard, remaining bits) and is then verified on all 64 bits.
-
-A pair is kept only in the first segment and wildcard in which it meets, so it is made once. Keys whose segment more
-than ``hot`` fingerprints share are not joined but compared in blocks that give back a spanning forest.
+equality join on (segment, wildcard, remaining bits) and is then verified on all 64 bits. Large groups of near copies
+come together before that, on whole segments, so that the variants need to compare only what is not linked yet.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, in_parts, texts, unsigned_fraction
+from . import jaccard
+from .common import cut, in_parts, small, texts
 from .components import components
+from .meeting import BLOCK, CELL, connected_near, dealt
+from .shingles import majority, shingle_hashes
 
 
-def shingle_hashes(text: bytes, size: int, seed: int = 42) -> np.ndarray:
-    """The XXH64 values of a text's lower-cased word shingles; of the whole sequence if it has fewer than size words."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    joined, k = b" ".join(words), min(size, len(words))
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))[: len(words) - k + 1]
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(joined[a:b], seed) for a, b in zip(starts.tolist(), ends[k - 1 :].tolist(), strict=True)], np.uint64)
-
-
-#: Crowded keys are sent to all executors if there are no more than this.
-FEW_KEYS = 100_000
-
-
-def majority(h: np.ndarray) -> int:
-    """The 64 bits of which each is set if it is set in over half of the hashes; 0 for none."""
-    votes = np.zeros(64, np.int64)
-    for at in range(0, len(h), 1 << 16):
-        some = h[at : at + (1 << 16)].astype(">u8")
-        votes += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * votes > len(h)).tobytes(), "big")
-
-
-def rehashed(h: np.ndarray, k: int) -> np.ndarray:
-    """The k-th of a family of hashes made from one: for 0 itself, else mixed with another constant for each k."""
-    if not k:
-        return h
-    x = (h ^ (h >> np.uint64(30)) ^ np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def fingerprints(docs: DataFrame, size: int, seed: int = 42, wide: int = 1, distinct: bool = False) -> DataFrame:
-    """docs (doc_id, text and others) with the text replaced by an array fp of ``wide`` signed 64-bit SimHash fingerprints.
-
-    The first takes the shingles' XXH64 values, the others take hashes of these. distinct counts repeated shingles once.
-    """
-    rest = [x for x in docs.columns if x != "text"]
-    kinds = dict(docs.dtypes)
+def fingerprints(docs: DataFrame, size: int, seed: int = 42) -> DataFrame:
+    """docs (doc_id, text) with the text replaced by its SimHash fingerprint fp, a signed 64-bit number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
-            rows = []
-            for t in texts(batch):
-                h = shingle_hashes(t, size, seed)
-                h = np.unique(h) if distinct else h
-                rows.append(np.array([majority(rehashed(h, k)) for k in range(wide)], np.uint64).view(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(x)) for x in rest), pa.array(rows, pa.list_(pa.int64()))], [*rest, "fp"])
+            found = np.array([majority(shingle_hashes(t, size, seed)) for t in texts(batch)], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.mapInArrow(run, ", ".join([*(f"`{x}` {kinds[x]}" for x in rest), "fp array<long>"]))
+    return docs.mapInArrow(run, "doc_id long, fp long")
 
 
 def segments(bits: int) -> list[tuple[int, int]]:
@@ -98,92 +53,48 @@ def variants(bits: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def meets_first(bits: int, number: Column, x: Column) -> Column:
-    """Whether variant number is the first in which two fingerprints that differ in the bits x meet."""
-    out, before, k = F.lit(False), F.lit(True), 0
-    for a, n in segments(bits):
-        part = x.bitwiseAND(F.lit(signed(((1 << n) - 1) << a)))
-        wild = F.call_function("shiftleft", F.lit(1).cast("long"), (number - k + a).cast("int"))
-        here = (number >= k) & (number < k + n) & (((part == 0) & (number == k)) | (part == wild))
-        out = out | (here & before)
-        before = before & (F.bit_count(part) > 1)
-        k += n
-    return out
-
-
-def links(fps: DataFrame, bits: int, tables: int = 1, hot: int = 256, block: int = 1024) -> DataFrame:
-    """Edges a, b between the nodes of fps (node, fp: array of long) that connect all that are near.
+def links(nodes: DataFrame, bits: int, block: int = BLOCK, dense: int = 8, pivots: int = 32) -> DataFrame:
+    """node, root for the nodes (distinct 64-bit fingerprints) of the components whose links are ``bits`` bits at most.
 
-    Two nodes are near if the fingerprints at one of the first ``tables`` places of fp differ in at most ``bits`` bits.
-    A pair that meets in a key of bounded size is listed once for each such place; see ``crowded_links`` for the others.
+    First the nodes that share a whole segment with more than ``dense`` in all are linked among themselves, in blocks of
+    ``block``; some ``pivots`` of a segment's nodes are in all of its blocks, so that large groups come together. Then the
+    wildcard variants are indexed, and only nodes of different roots compared. Keys of more than about 2 * ``block`` nodes
+    are dealt into cells, see ``meeting.dealt``. What comes out of a task is not pairs but stars of roots.
     """
     per, cuts = variants(bits), segments(bits)
-    place = F.posexplode(F.slice("fp", 1, tables)).alias("place", "fp")
-    one = cut(fps.select("node", place))
-    of_segment = F.array(*[F.struct(F.lit(i).alias("cut"), F.col("fp").bitwiseAND(F.lit(signed(((1 << n) - 1) << a))).alias("part")) for i, (a, n) in enumerate(cuts)])
-    counted = one.select("place", F.explode(of_segment).alias("k")).groupBy("place", "k.cut", "k.part").agg(F.count(F.lit(1)).alias("n"))
-    crowded = cut(counted.where(F.col("n") > hot))
-    numbers = F.sequence(F.col("place") * len(per), F.col("place") * len(per) + len(per) - 1)
-    index = one.select(F.explode(numbers).alias("at"), "fp", "node").select(F.col("at").cast("short").alias("at"), "fp", "node")
+    whole = F.array(*[F.struct(F.lit(i).alias("cut"), F.col("node").bitwiseAND(F.lit(signed(((1 << n) - 1) << a))).alias("part")) for i, (a, n) in enumerate(cuts)])
+    parts = nodes.select("node", F.explode(whole).alias("k")).select("node", "k.cut", "k.part")
+    crowded = cut(parts.groupBy("cut", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > dense))
+    labels = None
+    if not crowded.isEmpty():
+        blocks = F.ceil(F.col("n") / block).cast("int")
+        mine = F.array(F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("int"))
+        pivot = F.pmod(F.xxhash64("node", F.lit(4)), F.ceil(F.col("n") / pivots)) == 0
+        here = parts.join(small(crowded), ["cut", "part"]).select("cut", "part", "node", F.col("node").alias("root"), F.explode(F.when((blocks > 1) & pivot, F.sequence(F.lit(0), blocks - 1)).otherwise(mine)).alias("i"))
+        labels = cut(components(connected_near(here, ("cut", "part", "i"), bits)))
     masks = F.array(*[F.lit(m) for _, m, _, _ in per])
+    numbers = F.sequence(F.lit(0), F.lit(len(per) - 1))
+    rooted = nodes.withColumn("root", F.col("node")) if labels is None else nodes.join(small(labels), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
     def key(at: Column, fp: Column) -> Column:
-        """Computed where it is needed, so that it does not travel."""
-        return F.xxhash64(at, fp.bitwiseAND(F.element_at(masks, (at % len(per) + 1).cast("int"))))
+        return F.xxhash64(at, fp.bitwiseAND(F.element_at(masks, at + 1)))
 
-    some = not crowded.isEmpty()
-    if some:
+    index = rooted.select("node", "root", F.explode(numbers).alias("at")).select(key(F.col("at"), F.col("node")).alias("key"), "node", "root")
+    huge = crowded.where(F.col("n") > block)
+    edges = None
+    if not huge.isEmpty():
         first = F.element_at(F.array(*[F.lit(sum(n for _, n in cuts[:i])) for i in range(len(cuts))]), F.col("cut") + 1)
         length = F.element_at(F.array(*[F.lit(n) for _, n in cuts]), F.col("cut") + 1)
-        begin = F.col("place") * len(per) + first
-        spread = crowded.select("part", "n", F.explode(F.sequence(begin, begin + length - 1)).alias("at")).withColumn("at", F.col("at").cast("short"))
-        keys = cut(spread.select(key(F.col("at"), F.col("part")).alias("key"), "n").groupBy("key").agg(F.sum("n").alias("n")))
-        if keys.count() <= FEW_KEYS:
-            keys = F.broadcast(keys)
-        mine = key(F.col("at"), F.col("fp")) == F.col("key")
-        full = index.join(keys, mine)
-        index = index.join(keys, mine, "left_anti")
-    x, y = index.alias("x"), index.alias("y")
-    diff = F.col("x.fp").bitwiseXOR(F.col("y.fp"))
-    met = (key(F.col("x.at"), F.col("x.fp")) == key(F.col("y.at"), F.col("y.fp"))) & (F.col("x.at") == F.col("y.at")) & (F.col("x.node") < F.col("y.node"))
-    near = met & (F.bit_count(diff) <= bits) & meets_first(bits, F.col("x.at") % len(per), diff)
-    pairs = x.join(y, near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    if not some:
-        return pairs
-    return pairs.unionByName(crowded_links(full, bits, block))
-
-
-def crowded_links(index: DataFrame, bits: int, block: int) -> DataFrame:
-    """Edges for keys that many nodes share: index has key, at, fp, node, n.
-
-    A key's nodes are dealt into blocks, and each pair of blocks is compared on its own. What comes out is not the pairs
-    but a forest that connects the same nodes: fewer edges than nodes.
-    """
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    mine = F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("int")
-    dealt = index.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", "at", "fp", "node", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-
-    def forest(pdf: pd.DataFrame) -> pd.DataFrame:
-        fp, node = pdf["fp"].to_numpy(np.int64).view(np.uint64), pdf["node"].to_numpy(np.int64)
-        parent = list(range(len(fp)))
-
-        def root(i: int) -> int:
-            while parent[i] != i:
-                parent[i] = i = parent[parent[i]]
-            return i
-
-        edges = []
-        for i in range(len(fp) - 1):
-            near = np.flatnonzero(np.bitwise_count(fp[i + 1 :] ^ fp[i]) <= bits) + i + 1
-            for j in near.tolist():
-                p, q = root(i), root(j)
-                if p != q:
-                    parent[max(p, q)] = min(p, q)
-                    edges.append((node[i], node[j]))
-        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
-
-    return dealt.groupBy("key", "at", "i", "j").applyInPandas(forest, "a long, b long").distinct()
+        keys = huge.select("part", F.explode(F.sequence(first, first + length - 1)).alias("at")).select(key(F.col("at"), F.col("part")).alias("key")).distinct()
+        keys = small(cut(keys))
+        edges = connected_near(dealt(index.join(keys, "key", "left_semi"), block), CELL, bits)
+        index = index.join(keys, "key", "left_anti")
+    rest = connected_near(index, ("key",), bits)
+    roots = cut(components(rest if edges is None else edges.unionByName(rest)))
+    if labels is None:
+        return roots
+    joined = labels.join(roots.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return joined.unionByName(roots.join(labels.select("node"), "node", "left_anti"))
 
 
 def group(docs: DataFrame, bits: int = 4, size: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -194,143 +105,31 @@ def group(docs: DataFrame, bits: int = 4, size: int = 4, seed: int = 42, id_col:
     never the smallest unless all of a component's are null. Repeated rows each give a row. An empty table gives no rows,
     and other columns of docs are ignored. Very long texts are read whole.
     """
-    rows = cut(fingerprints(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), size, seed).select("doc_id", F.col("fp")[0].alias("fp")))
+    rows = cut(fingerprints(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), size, seed))
     least = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(least.select(F.col("fp").alias("node"), F.array("fp").alias("fp")), bits))
+    roots = links(least.select(F.col("fp").alias("node")), bits)
     named = least.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     component = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = named.join(component, "root").select("fp", "component_id")
     return rows.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def shingle_sets(docs: DataFrame, size: int, seed: int = 42) -> DataFrame:
-    """docs (doc_id, text_hash, text) with the text replaced by its set of shingles in rising order, that set's hash as
-    node, and its SimHash fingerprint fp, which counts each shingle once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_parts(batches):
-            sets = [np.unique(shingle_hashes(t, size, seed)) for t in texts(batch)]
-            node = np.array([xxhash.xxh3_64_intdigest(h.tobytes()) for h in sets], np.uint64).view(np.int64)
-            fp = np.array([majority(h) for h in sets], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(fp), pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))], ["doc_id", "text_hash", "node", "fp", "shingles"])
-
-    return docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, text_hash long, node long, fp long, shingles array<long>")
-
-
-def least_shared(a: int, b: int, similarity: float) -> int:
-    """How many shingles sets of these sizes must share for the similarity."""
-    return math.ceil(similarity / (1 + similarity) * (a + b) - 1e-9)
-
-
-def common_shingles(rows: DataFrame, sample: int = 20_000, most: int = FEW_KEYS) -> np.ndarray:
-    """Shingles that many texts of a sample hold, the most common last. They only set the order in which prefixes are
-    taken: any order finds the same pairs, and one that leaves common shingles to the end meets fewer others."""
-    n = rows.count()
-    some = rows.where(unsigned_fraction(F.col("node"), F.lit(7)) < min(1.0, sample / max(n, 1))).dropDuplicates(["node"])
-    found = some.select(F.explode("shingles").alias("key")).groupBy("key").count().where("count > 3").orderBy(F.desc("count"), "key").limit(most).collect()
-    return np.array([r["key"] for r in reversed(found)], np.int64)
-
-
-def prefixes(rows: DataFrame, similarity: float) -> DataFrame:
-    """key, node, pos, n: the first shingles, in one order for all, of each set of n shingles; as many as sets of the
-    similarity cannot do without sharing one. Two sets that are alike have a key in common, with no exception."""
-    common = common_shingles(rows)
-    by = np.argsort(common)
-    shared = rows.sparkSession.sparkContext.broadcast((common[by], by))  # of FEW_KEYS at most
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, rank = shared.value
-        for batch in batches:
-            out: list[tuple[np.ndarray, ...]] = []
-            for node, h in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                h = h.values.to_numpy(zero_copy_only=False)
-                if not len(h):
-                    continue
-                k = len(h) - math.ceil(similarity * len(h) - 1e-9) + 1
-                late = np.full(len(h), -1)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                    late = np.where(known[at] == h, rank[at], -1)
-                h = h[np.lexsort((h, late))[:k]]
-                out.append((h, np.full(len(h), node), np.arange(len(h), dtype=np.int32), np.full(len(h), len(late), np.int32)))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["key", "node", "pos", "n"])
-
-    return rows.select("node", "shingles").mapInArrow(run, "key long, node long, pos int, n int").dropDuplicates(["key", "node"])
-
-
-def verified(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
-    """Those of the pairs (a, b) whose sets of shingles have at least this Jaccard similarity."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = cut(rows.select("node", "shingles").join(wanted, "node", "left_semi").dropDuplicates(["node"]))
-    side = lambda n: sets.select(F.col("node").alias(n), F.col("shingles").alias(f"set_{n}"))
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    alike = shared >= F.lit(similarity) * (F.size("set_a") + F.size("set_b") - shared) - 1e-9
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(alike).select("a", "b")
-
-
-def crowded_alike(index: DataFrame, rows: DataFrame, similarity: float, block: int = 256) -> DataFrame:
-    """Edges for keys that many nodes share: index has key, node, root, total.
-
-    A key's nodes are dealt into blocks, and each pair of blocks is compared on its own, by the sets themselves. Nodes
-    with the same root are linked already and not compared. A forest that connects the same nodes comes out.
-    """
-    blocks = F.ceil(F.col("total") / block).cast("int")
-    dealt = index.withColumn("mine", F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", "node", "root", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    live = dealt.groupBy("key", "i", "j").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p < q").select("key", "i", "j")
-    sets = rows.select("node", "shingles").join(index.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    dealt = dealt.join(live, ["key", "i", "j"]).join(cut(sets), "node")
-
-    def forest(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(size=pdf["shingles"].map(len)).sort_values(["size", "node"])
-        node, group, size = pdf["node"].tolist(), pdf["root"].to_numpy(np.int64).copy(), pdf["size"].to_numpy()
-        sets, edges = [set(x.tolist()) for x in pdf["shingles"]], []
-        for i, a in enumerate(sets):
-            low = int(np.searchsorted(size[:i], similarity * len(a) - 1e-9))
-            for j in (np.flatnonzero(group[low:i] != group[i]) + low).tolist():
-                if group[i] != group[j] and len(a & sets[j]) >= least_shared(len(a), len(sets[j]), similarity):
-                    edges.append((node[j], node[i]))
-                    group[group == group[j]] = group[i]
-        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
-
-    return dealt.groupBy("key", "i", "j").applyInPandas(forest, "a long, b long").distinct()
-
-
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, size: int = 5, bits: int = 4, id_col: str = "doc_id", text_col: str = "text", hot: int = 256) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, size: int = 5, bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, copies, kept for each distinct (id, text) of docs: kept marks one of each group, the smallest.
 
     Texts are linked if the Jaccard similarity of their sets of ``size``-word shingles is ``similarity`` or more, which is
-    decided on the sets; groups are the connected components. SimHash comes first: pairs within ``bits`` bits that prove
-    alike form groups. Then all pairs of different groups that share a shingle of their prefixes are compared, which
-    misses none; so ``bits`` and ``hot`` change the work but not the groups. Ties, nulls and empty texts as in
-    ``group``; the smallest is by doc_id (nulls last), then by text hash.
+    decided on the sets; groups are the connected components. SimHash comes first: fingerprints (of the sets) that
+    ``links`` connects within ``bits`` bits and whose sets prove alike form groups. Then ``jaccard.groups`` compares what
+    differs in more bits across these groups, and misses none; so ``bits`` changes the work but not the groups. Ties,
+    nulls and empty texts as in ``group``; the smallest is by doc_id (nulls last), then by text hash.
     """
-    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
-    rows = cut(shingle_sets(base, size))
-    fps = cut(rows.groupBy("fp").agg(F.min("node").alias("least")))
-    same = rows.join(fps, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
-    close = links(fps.select(F.col("fp").alias("node"), F.array("fp").alias("fp")), bits, hot=hot)
-    ends = [fps.select(F.col("fp").alias(x), F.col("least").alias(f"node_{x}")) for x in "ab"]
-    close = close.join(ends[0], "a").join(ends[1], "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    edges = cut(verified(cut(same.unionByName(close).distinct()), rows, similarity))
-    roots = components(edges)
-    index = prefixes(rows, similarity).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    keys = index.groupBy("key").agg(F.count(F.lit(1)).alias("total"), F.min("root").alias("p"), F.max("root").alias("q"))
-    index = cut(index.join(keys.where("p < q").select("key", "total"), "key"))
-    x, y = index.where(F.col("total") <= hot).alias("x"), index.where(F.col("total") <= hot).alias("y")
-    need = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("x.n") + F.col("y.n")) - 1e-9)
-    can = F.least("x.pos", "y.pos") + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    met = (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root")) & (can >= need)
-    pairs = cut(x.join(y, met).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-    more = verified(pairs, rows, similarity)
-    crowded = index.where(F.col("total") > hot).select("key", "node", "root", "total")
-    if not crowded.isEmpty():
-        more = more.unionByName(crowded_alike(crowded, rows, similarity))
-    more = cut(more)
-    if not more.isEmpty():
-        roots = components(edges.unionByName(more))
-    rows = rows.groupBy("doc_id", "text_hash", "node").agg(F.count(F.lit(1)).alias("copies"))
+    corpus = jaccard.Corpus(docs, similarity, size, id_col, text_col)
+    fps = cut(corpus.rows.groupBy("fp").agg(F.min("node").alias("least")))
+    same = corpus.rows.select("fp", "node").distinct().join(fps, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    ends = [fps.select(F.col("fp").alias(x), F.col("least").alias(y)) for x, y in (("node", "a"), ("root", "b"))]
+    close = links(fps.select(F.col("fp").alias("node")), bits).where("node <> root").join(ends[0], "node").join(ends[1], "root").select("a", "b")
+    roots = jaccard.groups(corpus, corpus.verified(same.unionByName(close)))
+    rows = corpus.rows.groupBy("doc_id", "text_hash", "node").agg(F.count(F.lit(1)).alias("copies"))
     rows = cut(rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
     best = rows.groupBy("root").agg(F.min(order).alias("best"))

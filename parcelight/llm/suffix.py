@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, in_parts, texts
+from .common import cut, frames, in_parts, ranges, texts
 
 WINDOW, SPAN = 100, 64
 GRAM = WINDOW - SPAN + 1
@@ -179,11 +179,6 @@ def found(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return row[new], at[new], h[new], np.bitwise_or.reduceat(owned, new) if len(new) else owned, c
 
 
-def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """start[0], start[0] + 1, ... for length[0] numbers, then those of the next."""
-    return np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-
-
 def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Whether the bytes from a and from b agree over length, for each."""
     out = np.ones(len(a), bool)
@@ -299,29 +294,6 @@ def windows(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return some[i], o.astype(np.int64)
 
 
-def frames(batches: Iterator[pa.RecordBatch], rows: int, key: tuple[str, ...]) -> Iterator[pa.Table]:
-    """Tables of about that many rows which end between groups of equal key; the batches are sorted by the key."""
-    held: list[pa.RecordBatch] = []
-    count = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        count += batch.num_rows
-        if count >= rows:
-            whole = pa.Table.from_batches(held).combine_chunks()
-            last = whole.num_rows
-            columns = [whole[c].to_numpy() for c in key]
-            change = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns]))
-            last = int(change[-1]) + 1 if len(change) else 0
-            if last:
-                yield whole.slice(0, last)
-            held = whole.slice(last).to_batches()
-            count = whole.num_rows - last
-    if count:
-        yield pa.Table.from_batches(held).combine_chunks()
-
-
 def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 

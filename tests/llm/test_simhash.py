@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from parcelight.llm import simhash
+from parcelight.llm import jaccard, meeting, simhash
 from parcelight.llm.components import components
 
 
@@ -33,9 +33,9 @@ def brute(nodes, bits):
     return {n: root(n) for n in nodes}
 
 
-@pytest.mark.parametrize("hot", [1000, 3])
+@pytest.mark.parametrize("block", [4096, 5])
 @pytest.mark.parametrize("bits", [4, 7])
-def test_links_brute_force(spark, hot, bits):
+def test_links_brute_force(spark, block, bits):
     """Crowded keys and others connect exactly what lies within the distance."""
     rnd = random.Random(bits)
     fps = set()
@@ -45,12 +45,31 @@ def test_links_brute_force(spark, hot, bits):
             fps.add(simhash.signed(x))
             for _ in range(rnd.choice((1, 2, 3, bits, bits + 1))):
                 x ^= 1 << rnd.randrange(64)
-    rows = spark.createDataFrame([(f, [f]) for f in fps], "node long, fp array<long>")
-    out = {r["node"]: r["root"] for r in components(simhash.links(rows, bits, hot=hot, block=5)).collect()}
+    rows = spark.createDataFrame([(f,) for f in fps], "node long")
+    out = {r["node"]: r["root"] for r in simhash.links(rows, bits, block=block, dense=2, pivots=2).collect()}
     want = brute(sorted(fps), bits)
     assert {n: out.get(n, n) for n in fps} == want
 
 
+def test_cells_let_all_roots_meet(spark):
+    rnd = random.Random(4)
+    rows = [(k, 1000 * k + i, rnd.choice((1, 1, 1, 2, 3, 4 + i))) for k in range(3) for i in range((4, 40, 90)[k])] + [(9, i, 7) for i in range(50)]
+    cells = {}
+    for r in meeting.dealt(spark.createDataFrame(rows, "key long, node long, root long"), block=10).collect():
+        cells.setdefault((r["key"], r["i"], r["j"]), []).append((r["node"], r["root"]))
+    met = {(k, x[0], y[0]) for (k, _, _), members in cells.items() for x in members for y in members}
+    assert all((k, a, b) in met for k, a, x in rows for l, b, y in rows if k == l and x != y and k != 9)
+    assert not any(k == 9 for k, _, _ in cells) and max(map(len, cells.values())) < 45
+
+
+def test_pairs_and_stars():
+    cell = np.array([0, 0, 0, 1, 2, 2])
+    got = [(a, b) for i, j in meeting.pairs(cell) for a, b in zip(i.tolist(), j.tolist(), strict=True)]
+    assert got == [(0, 1), (0, 2), (1, 2), (4, 5)]
+    a, b = meeting.stars(np.array([5, 9, 3, 20, 21]), np.array([9, 3, 3, 22, 20]))
+    assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == [(3, 5), (3, 9), (20, 21), (20, 22)]
+
+
 def test_components_of_paths_and_cycles(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (102, 100), (7, 7)]
     random.Random(1).shuffle(edges)
@@ -95,32 +114,16 @@ def test_near_duplicates_keep_one(docs):
     assert [r["copies"] for r in out if r["doc_id"] == 1] == [2]
 
 
-def test_more_hashes_differ():
-    h = np.arange(1, 2000, dtype=np.uint64)
-    assert len({simhash.majority(simhash.rehashed(h, k)) for k in range(8)}) == 8
-
-
-def test_crowded_keys_lose_no_link(docs):
-    rnd = random.Random(11)
-    base = [f"w{rnd.randrange(4000)}" for _ in range(200)]
-    rows = []
-    for i in range(60):
-        w = list(base)
-        for k in rnd.sample(range(200), i % 9):
-            w[k] = f"x{i}{k}"
-        rows.append((i, " ".join(w)))
-    kept = [sorted(r["doc_id"] for r in simhash.near_duplicates(docs(rows), hot=hot).where("kept").collect()) for hot in (1000, 1)]
-    assert kept[0] == kept[1]
-
-
 def shingled(text):
     w = text.lower().split()
     return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
-@pytest.mark.parametrize("hot", [256, 2])
-def test_pairs_around_the_similarity(docs, hot):
-    """Against brute force: a pair just above the similarity is one group, one just below is two."""
+@pytest.mark.parametrize("dense", [32, 1])
+def test_pairs_around_the_similarity(docs, dense, monkeypatch):
+    """Against brute force: a pair just above the similarity is one group, one just below is two; with sparse and with
+    crowded shingles."""
+    monkeypatch.setattr(jaccard.groups, "__defaults__", (2, dense))
     rnd = random.Random(17)
     rows, want = [], set()
     for i in range(0, 300, 2):
@@ -134,5 +137,29 @@ def test_pairs_around_the_similarity(docs, hot):
         assert 0.7 < alike < 0.9
         want |= {i} if alike >= 0.8 else {i, i + 1}
     assert 180 < len(want) < 270
-    out = simhash.near_duplicates(docs(rows), hot=hot).where("kept").collect()
+    out = simhash.near_duplicates(docs(rows)).where("kept").collect()
     assert {r["doc_id"] for r in out} == want
+
+
+@pytest.mark.parametrize("block", [2048, 6])
+def test_group_of_near_copies_brute_force(docs, block, monkeypatch):
+    """A large group of near copies, some of them too far from most others, is grouped as all pairs would group it."""
+    monkeypatch.setattr(jaccard, "dealt", lambda index: meeting.dealt(index, block))
+    monkeypatch.setattr(jaccard.groups, "__defaults__", (1, 4))
+    rnd = random.Random(11)
+    base = [f"w{rnd.randrange(4000)}" for _ in range(120)]
+    rows = []
+    for i in range(90):
+        w = list(base)
+        for k in rnd.sample(range(120), i % 7):
+            w[k] = f"x{i}{k}"
+        rows.append((i, " ".join(w)))
+    sets = [shingled(t) for _, t in rows]
+    label = list(range(len(rows)))
+    for _ in range(4):
+        for a, x in enumerate(sets):
+            for b, y in enumerate(sets):
+                if len(x & y) >= 0.8 * len(x | y):
+                    label[a] = label[b] = min(label[a], label[b])
+    out = simhash.near_duplicates(docs(rows)).where("kept").collect()
+    assert {r["doc_id"] for r in out} == set(label)
