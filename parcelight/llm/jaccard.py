@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, frames, in_parts, small, stored, texts, unsigned_fraction
@@ -21,16 +21,28 @@ from .components import components
 from .meeting import CELL, ROWS, dealt, numbered, pairs
 from .shingles import majority, shingle_hashes
 
-#: Bits of a sketch; texts sampled and shingles kept for the order; rows of a shingle compared without sketches at most.
-SKETCH, SAMPLE, COMMON, DENSE = 256, 20_000, 100_000, 32
+#: Texts sampled and shingles kept for the order; the part of the sample that makes a shingle hot; rows of a shingle
+#: compared without sketches at most.
+SAMPLE, COMMON, HOT, DENSE = 10_000, 100_000, 0.01, 32
 _EPS = 1e-9
 
 
 def sketch(h: np.ndarray) -> np.ndarray:
-    """Parities of the numbers of elements in SKETCH classes. Two sets differ in at least as many elements as their
-    sketches differ in bits."""
+    """Parities of the numbers of elements in classes, a power of two of them, about as many as elements and 256 at least.
+    Two sets differ in at least as many elements as their sketches differ in bits; one of twice the size is folded first:
+    its halves are put together by exclusive or."""
+    bits = max(256, 1 << (len(h) - 1).bit_length()) if len(h) else 256
     mixed = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return np.packbits(np.bincount((mixed >> np.uint64(56)).astype(np.int64), minlength=SKETCH) & 1).view(np.int64)
+    classes = ((mixed >> np.uint64(32)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(classes, minlength=bits) & 1).view(np.int64)
+
+
+def folded(column: pa.ChunkedArray) -> np.ndarray:
+    """Sketches folded to 256 bits each."""
+    lists = column.combine_chunks()
+    words, size = lists.flatten().to_numpy().view(np.uint64), np.diff(lists.offsets.to_numpy())
+    quads = np.bitwise_xor.reduceat(words.reshape(-1, 4), (np.cumsum(size) - size) // 4, axis=0)
+    return quads
 
 
 def alike_bits(similarity: float, total: Column | np.ndarray) -> Column | np.ndarray:
@@ -38,9 +50,12 @@ def alike_bits(similarity: float, total: Column | np.ndarray) -> Column | np.nda
     return (1 - similarity) / (1 + similarity) * total + _EPS
 
 
-def common_shingles(base: DataFrame, size: int) -> np.ndarray:
-    """Shingles that many texts of a sample of about SAMPLE hold, the most common last; COMMON of them at most. They only
-    set the order in which prefixes are taken: any order finds the same pairs, this one meets fewer others."""
+def common_shingles(base: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several texts of a sample of about SAMPLE hold, the most common last, COMMON of them at most; and
+    those that the part HOT holds, of which there are few for the same reason: a text has few that are common.
+
+    They only set the order in which prefixes are taken and the way in which a shingle's rows are counted: any choice
+    finds the same pairs, this one meets fewer others."""
     n = base.count()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,8 +64,8 @@ def common_shingles(base: DataFrame, size: int) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(shingle_hashes(t, size)).view(np.int64))], ["key"])
 
     drawn = base.where(unsigned_fraction(F.col("text_hash"), F.lit(7)) < min(1.0, SAMPLE / max(n, 1))).dropDuplicates(["text_hash"]).select("text")
-    found = drawn.mapInArrow(sets, "key long").groupBy("key").count().where("count > 3").orderBy(F.desc("count"), "key").limit(COMMON).collect()
-    return np.array([r["key"] for r in reversed(found)], np.int64)
+    found = drawn.mapInArrow(sets, "key long").groupBy("key").count().where("count > 2").orderBy(F.desc("count"), "key").limit(COMMON).collect()
+    return np.array([r["key"] for r in reversed(found)], np.int64), np.array([r["key"] for r in found if r["count"] > HOT * SAMPLE], np.int64)
 
 
 class Corpus:
@@ -60,7 +75,7 @@ class Corpus:
     def __init__(self, docs: DataFrame, similarity: float, size: int, id_col: str, text_col: str) -> None:
         self.similarity, self.size = similarity, size
         self.base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
-        known = common_shingles(self.base, size)
+        known, self.hot = common_shingles(self.base, size)
         by = np.argsort(known)
         shared = docs.sparkSession.sparkContext.broadcast((known[by], by))  # COMMON entries at most
 
@@ -81,7 +96,9 @@ class Corpus:
                     yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (node, fp)), pa.array(n, pa.int32()), pa.array(bits, pa.list_(pa.int64())), pa.array(first, pa.list_(pa.int64()))], ["doc_id", "text_hash", "node", "fp", "n", "sketch", "prefix"])
 
         self.rows, _ = stored(self.base.mapInArrow(run, "doc_id long, text_hash long, node long, fp long, n int, sketch array<long>, prefix array<long>"))
-        self.sets = self.rows.select("node", "n", "sketch", "prefix").dropDuplicates(["node"])
+        sets = self.rows.select("node", "n", "sketch", "prefix")
+        copied = small(cut(self.rows.groupBy("node").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("node")))
+        self.sets = sets.join(copied, "node", "left_anti").unionByName(sets.join(copied, "node", "left_semi").dropDuplicates(["node"]))
 
     def verified(self, candidates: DataFrame) -> DataFrame:
         """Those of the candidates (a, b) whose sets are alike. Only these texts are read again."""
@@ -98,7 +115,7 @@ class Corpus:
                 yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))], ["node", "shingles"])
 
         picked = self.base.join(one, (F.col("text_hash") == F.col("its_hash")) & F.col("doc_id").eqNullSafe(F.col("its_id")), "left_semi")
-        sets = cut(picked.select("text").mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"]))
+        sets = picked.select("text").mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
         side = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}"))
         shared = F.size(F.array_intersect("set_a", "set_b"))
         alike = shared >= F.lit(self.similarity) * (F.size("set_a") + F.size("set_b") - shared) - _EPS
@@ -118,7 +135,7 @@ def met(index: DataFrame, key: tuple[str, ...], similarity: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in frames(batches, ROWS, key):
             node, root, n, pos = (t[c].to_numpy().astype(np.int64) for c in ("node", "root", "n", "pos"))
-            bits = t["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(n), -1) if with_sketch else None
+            bits = folded(t["sketch"]) if with_sketch else None
             for i, j in pairs(numbered(t, key)):
                 need = np.ceil(similarity / (1 + similarity) * (n[i] + n[j]) - _EPS)
                 ok = (root[i] != root[j]) & (np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need)
@@ -138,40 +155,58 @@ def unlike(index: DataFrame) -> DataFrame:
     return keys.where("p < q").select("key", "total")
 
 
+def several(index: DataFrame, hot: np.ndarray) -> DataFrame:
+    """index (key, root and others) with the number of a key's rows as total, without keys all of whose rows have one root.
+
+    A window over the key takes one shuffle. The keys known to be hot are counted by partial aggregates and joined, so
+    that no task gets all rows of one."""
+    whole = Window.partitionBy("key")
+    counted = lambda df: df.withColumns({"total": F.count(F.lit(1)).over(whole), "p": F.min("root").over(whole), "q": F.max("root").over(whole)}).where("p < q").drop("p", "q")
+    if not len(hot):
+        return counted(index)
+    keys = F.broadcast(index.sparkSession.createDataFrame([(int(k),) for k in hot], "key long"))  # COMMON at most
+    out = index.join(keys, "key", "left_semi")
+    return counted(index.join(keys, "key", "left_anti")).unionByName(out.join(unlike(out), "key"))
+
+
 def groups(corpus: Corpus, edges: DataFrame, pivots: int = 3, dense: int = DENSE) -> DataFrame:
     """node, root of all nodes with a link, those of edges (a, b: some that are alike) among them.
 
-    Shingles that more than ``dense`` nodes share come first: each node is compared with a few pivots, which brings large
-    groups together and makes no more pairs than rows. Then all nodes of different groups that still share a shingle are
-    compared, with sketches and in cells of a bounded size where there are many.
+    First each node is compared with one pivot of each shingle that it shares (with ``pivots`` of those that more than
+    ``dense`` nodes share). That brings groups together and makes no more pairs than rows; fewer, as all shingles prefer
+    the same pivots. Then all nodes of different groups that still share a shingle are compared, with sketches and in
+    cells of a bounded size where there are many.
     """
     similarity = corpus.similarity
     roots = cut(components(edges))
-    index = rooted(corpus.sets.select("node", "n", F.posexplode("prefix").alias("pos", "key")), roots)
-    mixed, _ = stored(index.join(unlike(index), "key"))
-    crowded = mixed.where(F.col("total") > dense)
-    met_pairs = []
-    if not crowded.isEmpty():
-        least = [F.min(F.struct(F.xxhash64("node", F.lit(s)).alias("by"), "node", "root", "n")).alias(f"p{s}") for s in range(pivots)]
-        chosen = crowded.groupBy("key").agg(*least).select("key", F.explode(F.array(*[f"p{s}" for s in range(pivots)])).alias("p"))
-        may = (F.col("root") != F.col("p.root")) & (F.least("n", "p.n") >= F.lit(similarity) * F.greatest("n", "p.n") - _EPS)
-        tried = crowded.join(chosen, "key").where(may).select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
-        edges = edges.unionByName(corpus.verified(possible(tried, corpus)))
-        roots = cut(components(edges))
+    mixed, _ = stored(several(rooted(corpus.sets.select("node", "n", F.posexplode("prefix").alias("pos", "key")), roots), corpus.hot))
+    crowded, sparse = mixed.where(F.col("total") > dense), mixed.where(F.col("total") <= dense)
+    some = not crowded.isEmpty()
+    may = lambda p: (F.col("root") != F.col(f"{p}.root")) & (F.least("n", f"{p}.n") >= F.lit(similarity) * F.greatest("n", f"{p}.n") - _EPS)
+    pair = lambda p: [F.least("node", f"{p}.node").alias("a"), F.greatest("node", f"{p}.node").alias("b")]
+    pivot = lambda s: F.min(F.struct(F.xxhash64("node", F.lit(s)).alias("by"), "node", "root", "n"))
+    tried = sparse.withColumn("p", pivot(0).over(Window.partitionBy("key"))).where(may("p")).select(*pair("p"))
+    if some:
+        chosen = crowded.groupBy("key").agg(*[pivot(s).alias(f"p{s}") for s in range(pivots)]).select("key", F.explode(F.array(*[f"p{s}" for s in range(pivots)])).alias("p"))
+        tried = tried.unionByName(crowded.join(chosen, "key").where(may("p")).select(*pair("p")))
+    edges = edges.unionByName(corpus.verified(possible(tried, corpus)))
+    roots = cut(components(edges))
+    found = met(rooted(sparse, roots), ("key",), similarity)
+    if some:
         again = rooted(crowded, roots)
         again = again.join(unlike(again).select("key"), "key", "left_semi").join(corpus.sets.select("node", "sketch"), "node")
-        met_pairs.append(met(dealt(again), CELL, similarity))
-    met_pairs.append(possible(met(rooted(mixed.where(F.col("total") <= dense), roots), ("key",), similarity), corpus))
-    found = met_pairs[0] if len(met_pairs) == 1 else met_pairs[0].unionByName(met_pairs[1])
-    more = corpus.verified(found)
+        found = found.unionByName(met(dealt(again), CELL, similarity))
+    more = corpus.verified(possible(found, corpus))
     return roots if more.isEmpty() else cut(components(edges.unionByName(more)))
 
 
 def possible(candidates: DataFrame, corpus: Corpus) -> DataFrame:
-    """Those of the candidates (a, b) that their sketches do not rule out."""
+    """Those of the candidates (a, b) that their sketches do not rule out; one is less than twice as large as the other."""
     candidates = cut(candidates.distinct())
     wanted = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     some = cut(corpus.rows.select("node", "n", "sketch").join(wanted, "node", "left_semi").dropDuplicates(["node"]))
     side = lambda x: some.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
-    differ = sum((F.bit_count(F.col("s_a")[k].bitwiseXOR(F.col("s_b")[k])) for k in range(SKETCH // 64)), F.lit(0))
+    least = F.least(F.size("s_a"), F.size("s_b"))
+    fold = lambda c: F.when(F.size(c) == least, F.col(c)).otherwise(F.zip_with(F.slice(c, 1, least), F.slice(c, least + 1, least), lambda x, y: x.bitwiseXOR(y)))
+    differ = F.aggregate(F.zip_with(fold("s_a"), fold("s_b"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
     return candidates.join(side("a"), "a").join(side("b"), "b").where(differ <= alike_bits(corpus.similarity, F.col("n_a") + F.col("n_b"))).select("a", "b")
