@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelight.llm import bpe, langid, mixing, simhash, suffix
-from parcelight.llm.common import checkpoint_folder, table
+from parcelight.llm.common import checkpoint_folder, cut, small, table
 from parcelight.llm.queries import vocabulary
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -37,8 +37,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each group of near duplicates."""
-    found = simhash.near_duplicates(docs)
-    kept = matched(hashed(docs), found.where(~F.col("kept")).select("doc_id", "text_hash"), "left_anti")
+    found = cut(simhash.near_duplicates(docs))
+    kept = matched(hashed(docs), small(cut(found.where(~F.col("kept")).select("doc_id", "text_hash"))), "left_anti")
     if not found.where("kept and copies > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id", "text_hash"])
     return kept.select(COLUMNS)
