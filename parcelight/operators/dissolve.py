@@ -6,21 +6,13 @@ found at once. The result does not depend on the order of layers or the size of
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .components import components
 from .spatial import box_join
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint(eager=True)
-
-
 def overlap_edges(layer: DataFrame, cell: float, key: str = "id") -> DataFrame:
     """a < b for rows of one layer whose boxes share a point."""
     pairs = box_join(layer, layer, cell).select(F.col(f"l.{key}").alias("a"), F.col(f"r.{key}").alias("b"))
@@ -28,22 +20,9 @@ def overlap_edges(layer: DataFrame, cell: float, key: str = "id") -> DataFrame:
 
 
 def connected(nodes: DataFrame, edges: DataFrame, key: str = "id") -> DataFrame:
-    """nodes with component: the smallest key reachable over edges (a, b).
-
-    Each round takes the least label around, then the label of that label, so that paths shrink by halves; a round's
-    labels are written to the checkpoint folder.
-    """
-    both = _cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = _cut(both.select(F.col("a").alias("n")).distinct().withColumn("c", F.col("n")))
-    while True:
-        around = both.join(labels, both["b"] == labels["n"]).groupBy("a").agg(F.min("c").alias("m"))
-        step = labels.join(around, labels["n"] == around["a"]).select("n", F.least("c", "m").alias("c"), F.col("c").alias("old"))
-        jump = step.select(F.col("n").alias("t"), F.col("c").alias("u"))
-        new = _cut(step.join(jump, step["c"] == jump["t"]).select("n", F.least("c", "u").alias("c"), "old"))
-        if new.where("c <> old").isEmpty():
-            break
-        labels = new.select("n", "c")
-    return nodes.join(labels, nodes[key] == labels["n"], "left").withColumn("component", F.coalesce("c", F.col(key))).drop("n", "c")
+    """nodes with component: the smallest key reachable over edges (a, b)."""
+    roots = components(edges).withColumnRenamed("node", "n")
+    return nodes.join(roots, nodes[key] == roots["n"], "left").withColumn("component", F.coalesce("root", F.col(key))).drop("n", "root")
 
 
 def dissolve_boxes(layer: DataFrame, cell: float, key: str = "id") -> DataFrame:

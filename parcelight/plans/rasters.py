@@ -216,7 +216,7 @@ def patchlet_windows_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(sampling.sample_windows(_ratios(spark, sf_dir), "img", 3, 0.4, False, 42), [])
 
 
-@query(_sample_sql("ratio >= 0.5").replace("select img, i::int as i,", ", s as (select img, i::int as i,") + ") select s.patchlet, e.row - s.row as row, e.col - s.col as col, e.extent from s join ext8 e on e.img = s.img and e.row between s.row and s.row + 3 and e.col between s.col and s.col + 3")
+@query(_sample_sql("ratio >= 0.5").replace("select img, i::int as i,", ", s as (select img, i::int as i,") + ") select s.patchlet, e.row - s.row as row, e.col - s.col as col, e.extent from s cross join range(4) a(i) cross join range(4) b(j) join ext8 e on e.img = s.img and e.row = s.row + a.i and e.col = s.col + b.j")
 def patchlet_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = sampling.sample_windows(_ratios(spark, sf_dir), "img", 3, 0.5, True, 42)
     return sampling.slice_windows(fx.ext8(spark, sf_dir), windows, "img", 4).select("patchlet", "row", "col", "extent")
