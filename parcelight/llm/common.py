@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.components import checkpoint_folder
+
 #: Words are runs of anything but space and the ASCII controls 09 to 0D; ``bytes.split()`` cuts at exactly these.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -20,35 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint_folder(spark: SparkSession) -> None:
-    """Use the cluster's spark.checkpoint.dir; only where none is set (tests, a local session) take a temporary one."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the checkpoint folder, which survives the loss of executors, and go on from there."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> tuple[DataFrame, str]:
-    """df written as Parquet to the checkpoint folder and read again, and its path. What a loop makes in each round goes
-    here: sizes are estimated from files, while a checkpoint carries on the estimate of its plan, round after round."""
-    spark = df.sparkSession
-    checkpoint_folder(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/round-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path), path
-
-
-def dropped(spark: SparkSession, path: str) -> None:
-    """Delete what ``stored`` has written and nobody reads any more."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 #: A table of no more rows than this may be sent to all executors.
 FEW = 100_000
 

@@ -1,35 +1,7 @@
-"""Connected components of an edge table, by alternating large-star and small-star steps."""
+"""Connected components: those of the library."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from ..operators.components import components
 
-from .common import dropped, stored
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """node, root for every node of edges (a, b, both long, a null in neither): root is the smallest node reachable.
-
-    Each step keeps at most as many edges as before and is written to the checkpoint folder as Parquet, where the step
-    before is deleted. A step groups nothing into one place: minima come from partial aggregates, and the joins on them
-    can be split where a node is hot. The loop ends when every node points at a root that points nowhere, after a number
-    of steps logarithmic in the longest path.
-    """
-    links, path = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    while True:
-        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        large, between = stored(large.distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        before, (links, path) = path, stored(small.where("u <> v").distinct())
-        for old in (before, between):
-            dropped(edges.sparkSession, old)
-        # a star forest: each node has one parent, and no parent has a parent
-        twice = links.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u")
-        chained = links.select(F.col("v").alias("u")).join(links.select("u"), "u", "left_semi")
-        if twice.unionByName(chained).isEmpty():
-            break
-    return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+__all__ = ["components"]

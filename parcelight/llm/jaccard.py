@@ -16,8 +16,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, frames, in_parts, small, stored, texts, unsigned_fraction
-from .components import components
+from ..operators.components import components, stored
+from .common import cut, frames, in_parts, small, texts, unsigned_fraction
 from .meeting import CELL, ROWS, dealt, numbered, pairs
 from .shingles import majority, shingle_hashes
 
