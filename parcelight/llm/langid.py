@@ -1,7 +1,7 @@
 """Language identification by compression with per-language zstandard dictionaries.
 
-A language's dictionary is raw content: pieces of its sample texts. A text is compressed with each, and the language
-whose dictionary makes it smallest is chosen. A narrow margin between the two smallest is a rejection.
+A language's dictionaries are raw content: its sample texts, whole. A text of any length is compressed with each, and the
+language whose dictionaries make it smallest is chosen. A narrow margin between the two smallest is a rejection.
 """
 
 from __future__ import annotations
@@ -26,10 +26,13 @@ UNKNOWN = "und"
 #: texts of fewer bytes than the first of CLASSES, than the second, and others. It is as wide as it can be, within NARROW,
 #: while it rejects at most the part LOST of the right texts of the calibration; the least with fewer than 1 / LOST.
 CLASSES, NARROW, LOST = (129, 1025), (0.01, 0.02), 0.005
-LEVEL = 9
-#: Texts up to SHORT bytes hold too few matches. They are compressed after each of LEADS pieces of the dictionary, of
-#: LEAD bytes, so that their letters are coded as that language's are; what the piece takes alone is subtracted.
-SHORT, SHORT_LEVEL, LEADS, LEAD = 128, 19, 3, 1500
+#: A language's texts are dealt into PARTS dictionaries; what a text takes with each is added up. That tells apart by less
+#: than a byte, which short texts need, and serves long ones alike.
+PARTS = 4
+#: Matches from four bytes on, found by two hash tables: slower searches tell short texts apart less well.
+SETTINGS = dict(window_log=21, chain_log=17, hash_log=17, search_log=1, min_match=4, target_length=8, strategy=zstandard.STRATEGY_DFAST, write_content_size=False, write_checksum=False, write_dict_id=False)
+#: Goes before every text: with it a block is always compressed, not stored as it is, as short ones would be.
+LEAD = b" " * 64
 _letter = regex.compile(r"\p{L}").search
 
 
@@ -42,7 +45,7 @@ class Languages:
     """Dictionaries by language, and in the same order how common each language was in the sample's source."""
 
     names: tuple[str, ...]
-    contents: tuple[bytes, ...]
+    contents: tuple[tuple[bytes, ...], ...]
     counts: tuple[int, ...]
     narrow: tuple[float, ...] = (NARROW[0],) * (len(CLASSES) + 1)
 
@@ -51,19 +54,17 @@ class Classifier:
     def __init__(self, model: Languages) -> None:
         self.names, self.narrow, self.tools = model.names, model.narrow, []
         self.prior = sorted(range(len(model.names)), key=lambda i: (-model.counts[i], model.names[i]))
-        for content in model.contents:
-            d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=LEVEL)
-            self.tools.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
-        self.plain = zstandard.ZstdCompressor(level=SHORT_LEVEL).compress
-        most = min((len(c) // LEADS for c in model.contents), default=0)  # alike for all languages
-        self.leads = [[c[k * min(LEAD, most) :][: min(LEAD, most)] + b" " for k in range(LEADS)] for c in model.contents]
-        self.alone = [sum(len(self.plain(x)) for x in leads) for leads in self.leads]
+        for contents in model.contents:
+            own = []
+            for content in contents:
+                d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                settings = zstandard.ZstdCompressionParameters(**SETTINGS)
+                d.precompute_compress(compression_params=settings)
+                own.append(zstandard.ZstdCompressor(dict_data=d, compression_params=settings).compress)
+            self.tools.append(own)
 
     def sizes(self, data: bytes) -> list[int]:
-        if len(data) > SHORT:
-            return [len(f(data)) for f in self.tools]
-        return [sum(len(self.plain(x + data)) for x in leads) - alone for leads, alone in zip(self.leads, self.alone, strict=True)]
+        return [sum(len(f(LEAD + data)) for f in own) for own in self.tools]
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score, rejected): equal sizes go to the language more common in training."""
@@ -78,48 +79,58 @@ class Classifier:
         sizes = self.sizes(data)
         best = min(self.prior, key=sizes.__getitem__)
         least = sizes[best]
-        score = 1.0 / sum(2.0 ** max(-60, least - s) for s in sizes)  # a byte more halves a language's chance
+        score = 1.0 / sum(2.0 ** max(-60, (least - s) / PARTS) for s in sizes)  # a byte more halves a language's chance
         margin = min((s for i, s in enumerate(sizes) if i != best), default=2 * least) - least
         return best, score, margin / max(least, 1)
 
 
-def calibrated(model: Languages, labelled: list[tuple[str, str]]) -> Languages:
-    """The model with the margins that suit (text, lang) it has not learned from; the least where there are none."""
-    c = Classifier(model)
-    seen: list[list[tuple[float, bool]]] = [[] for _ in model.narrow]
-    for text, lang in labelled:
-        if _letter(text):
-            data = normal(text)
-            best, _, margin = c.judge(data)
-            seen[bisect_right(CLASSES, len(data))].append((margin, model.names[best] == lang))
+def calibrated(model: Languages, labelled: DataFrame) -> Languages:
+    """The model with the margins that suit labelled (text, lang) it has not learned from, a bounded number of rows; the
+    least margins where there are none."""
+    shared = labelled.sparkSession.sparkContext.broadcast(model)  # its sample is bounded
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = classifier(shared)
+        for batch in in_parts(batches):
+            seen = []
+            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if _letter(text):
+                    data = normal(text)
+                    best, _, margin = c.judge(data)
+                    seen.append((bisect_right(CLASSES, len(data)), margin, c.names[best] == lang))
+            if seen:
+                a, b, d = zip(*seen, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.float64()), pa.array(d, pa.bool_())], ["size", "margin", "right"])
+
+    seen = labelled.select("text", "lang").mapInArrow(run, "size int, margin double, right boolean").collect()
     narrow = []
-    for rows in seen:
-        right = sorted(m for m, ok in rows if ok)
+    for k in range(len(model.narrow)):
+        right = sorted(r["margin"] for r in seen if r["size"] == k and r["right"])
         narrow.append(min(max(right[int(LOST * len(right))], NARROW[0]), NARROW[1]) if LOST * len(right) >= 1 else NARROW[0])
     return replace(model, narrow=tuple(narrow))
 
 
-def learn(labelled: DataFrame, sample: int = 400, piece: int = 1500) -> Languages:
-    """Dictionaries from labelled (text, lang): bounded samples, while the languages' counts cover every row.
+def learn(labelled: DataFrame, sample: int = 400) -> Languages:
+    """Dictionaries from labelled (text, lang): bounded numbers of rows, texts whole, while counts cover every row.
 
-    Of each language about ``sample`` distinct texts are drawn by hash, and of each a piece of ``piece`` characters at
-    a hashed place; fewer where there are fewer. Rows with a null or empty text or language teach nothing. Margins are
-    calibrated on as many other texts.
+    Of each language about ``sample`` distinct texts are drawn by hash, of which there are so many however often one is
+    repeated; all where there are fewer. Rows with a null or empty text or language teach nothing. Margins are calibrated
+    on as many other texts.
     """
-    rows = labelled.where("lang is not null and text is not null and text <> ''").select("lang", "text")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row for each language
-    if not counts:
+    rows = labelled.where("lang is not null and text is not null and text <> ''").select("lang", "text", F.xxhash64("text").alias("by"))
+    found = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("by").alias("texts")).collect()  # a row for each language
+    if not found:
         return Languages((), (), ())
-    chance = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, sample / n)))])
-    place = (unsigned_fraction(F.col("text"), F.lit(2)) * F.greatest(F.length("text") - F.lit(piece), F.lit(0))).cast("int") + 1
-    taught = unsigned_fraction(F.col("text"), F.lit(1)) < chance[F.col("lang")]
-    cut_out = ["lang", F.substr(F.col("text"), place, F.lit(piece)).alias("text"), F.xxhash64("text").alias("by")]
-    drawn = rows.where(taught).select(cut_out)
-    others = rows.where(~taught & (unsigned_fraction(F.col("text"), F.lit(6)) < chance[F.col("lang")])).select(cut_out).dropDuplicates(["lang", "by"]).collect()
-    pieces = sorted(drawn.dropDuplicates(["lang", "by"]).collect(), key=lambda r: r["by"])
-    names = tuple(sorted(counts))
-    model = Languages(names, tuple(b"\n".join(normal(r["text"]) for r in pieces if r["lang"] == n) or b" " * 8 for n in names), tuple(counts[n] for n in names))
-    return calibrated(model, [(r["text"], r["lang"]) for r in others])
+    chance = F.create_map(*[x for r in found for x in (F.lit(r["lang"]), F.lit(min(1.0, sample / r["texts"])))])
+    taught = unsigned_fraction(F.col("by"), F.lit(1)) < chance[F.col("lang")]
+    once = lambda df: df.dropDuplicates(["lang", "by"])
+    texts = sorted(once(rows.where(taught)).collect(), key=lambda r: r["by"])
+    names = tuple(sorted(r["lang"] for r in found))
+    own = [[normal(r["text"]) for r in texts if r["lang"] == n] or [b" " * 8] for n in names]
+    counts = {r["lang"]: r["n"] for r in found}
+    model = Languages(names, tuple(tuple(b"\n".join(x[k::PARTS] or x[:1]) for k in range(PARTS)) for x in own), tuple(counts[n] for n in names))
+    others = once(rows.where(~taught & (unsigned_fraction(F.col("by"), F.lit(6)) < chance[F.col("lang")])))
+    return calibrated(model, others)
 
 
 _made: dict[int, Classifier] = {}

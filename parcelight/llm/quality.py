@@ -104,14 +104,15 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
 
 
 def learn(labelled: DataFrame, sample: int = 5000) -> Model:
-    """A model from labelled (text, quality): about ``sample`` rows drawn by hash, all if there are fewer, texts whole.
+    """A model from labelled (text, quality): about ``sample`` distinct texts drawn by hash, all if there are fewer, whole.
 
+    A text that is repeated teaches its labels once, so no text outweighs others and none is drawn with all its copies.
     Rows without a label teach nothing; null texts count as empty. Executors send back hashed features with their
     counts, so what the driver holds is bounded by the sample and the number of features.
     """
-    rows = labelled.where("quality in (0, 1)")
-    n = rows.count()
-    drawn = rows.where(unsigned_fraction(F.col("text"), F.lit(5)) < min(1.0, sample / max(n, 1))).select("text", F.col("quality").cast("int").alias("quality"))
+    rows = labelled.where("quality in (0, 1)").select("text", F.col("quality").cast("int").alias("quality"), F.xxhash64("text").alias("by"))
+    n = rows.agg(F.approx_count_distinct("by")).first()[0]
+    drawn = rows.where(unsigned_fraction(F.col("by"), F.lit(5)) < min(1.0, sample / max(n, 1))).dropDuplicates(["by", "quality"]).drop("by")
     schema = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("times", T.BinaryType()), T.StructField("quality", T.IntegerType()), T.StructField("by", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
