@@ -30,7 +30,14 @@ def rotation(dims: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """The rows times a power of two each, so that squares of very large or small components neither overflow nor vanish;
+    cosines stay as they are."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+
+
 def unit(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -49,6 +56,7 @@ def centroids(x: np.ndarray, lists: int, rounds: int = 8) -> np.ndarray:
 def scan(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, bound: np.ndarray, k: int) -> list[tuple[int, int, float]]:
     """(query, candidate, cosine) for up to k nearest of each query among the vectors x that the tests let through."""
     turn = rotation(x.shape[1])
+    x, q = scaled(x), scaled(q)
     xr, qr = unit(x) @ turn, unit(q) @ turn
     dims, out = x.shape[1], []
     norm = np.sqrt((x * x).sum(axis=1))
@@ -82,8 +90,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = 64,
     """query_id, rank, vec_id, score: for each row of queries its k nearest rows of vectors, itself (by id) left out.
 
     score is the cosine in double precision; ties go to the smaller id. Both tables have the same columns. Vectors that
-    are null, of another length than most, zero, or hold a null, NaN or infinite component take no part. Repeated rows
-    of an id count once. The centroids are fitted on about ``sample`` vectors drawn by hash; every vector is indexed.
+    are null, of another length than most, zero, or hold a null, NaN or infinite component take no part. An id that comes
+    repeatedly counts once, with the least of its vectors. The centroids are fitted on about ``sample`` vectors drawn by hash; every vector is indexed.
     A query scans the part ``probe`` of the lists. Of vectors that are exactly equal only the k + 1 with the smallest ids
     are indexed, as ties go to them and no more can be among k nearest. An empty table gives no rows.
     """
@@ -96,8 +104,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = 64,
     dims, n = sizes[0]["size"], sizes[0]["count"]
     rows = rows.where(F.size("v") == dims)
     same = Window.partitionBy("v").orderBy("id")
-    kept = rows.dropDuplicates(["id", "v"]).withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1).drop("nth")
-    drawn = rows.where(unsigned_fraction(F.col("id"), F.lit(8)) < min(1.0, sample / n)).collect()  # about sample rows
+    kept = rows.groupBy("id").agg(F.min("v").alias("v")).withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1).drop("nth")
+    drawn = rows.where(unsigned_fraction(F.col("id"), F.lit(8)) < min(1.0, sample / n)).groupBy("id").agg(F.min("v").alias("v")).collect()  # about sample ids
     few = max(1, min(lists, round(n**0.5)))
     fitted = sorted(drawn, key=lambda r: (r["id"], r["v"])) or rows.orderBy("id").limit(1).collect()
     centers = centroids(unit(np.array([r["v"] for r in fitted], np.float64)), few)
@@ -116,7 +124,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = 64,
 
     schema = "id long, v array<double>, near array<int>"
     index = cut(kept.mapInArrow(placed(1), schema).select("id", "v", F.col("near")[0].alias("list")))
-    asked = cut(clean(queries).where(F.size("v") == dims).dropDuplicates(["id"]).mapInArrow(placed(probes), schema))
+    asked = cut(clean(queries).where(F.size("v") == dims).groupBy("id").agg(F.min("v").alias("v")).mapInArrow(placed(probes), schema))
     in_list = {r["list"]: r["count"] for r in index.groupBy("list").count().collect()}  # a row for each list
 
     def found(asks: DataFrame) -> DataFrame:
@@ -143,5 +151,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = 64,
     first = cut(top(found(asked.select("id", "v", F.col("near")[0].alias("list"), F.lit(-1.0).alias("bound")))))
     bounds = first.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("bound"))
     others = asked.join(bounds, "id", "left").select("id", "v", F.coalesce("bound", F.lit(-1.0)).alias("bound"), F.explode(F.slice("near", 2, max(1, len(centers)))).alias("list"))
-    hits = first.drop("rank").unionByName(found(others))
-    return top(hits).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    hits = cut(top(first.drop("rank").unionByName(found(others))))
+    # a query whose lists hold fewer than k candidates goes through all lists
+    full = hits.groupBy(F.col("query_id").alias("id")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).select("id")
+    short = cut(asked.join(full, "id", "left_anti").select("id", "v"))
+    if probes < len(centers) and not short.isEmpty():
+        every = F.explode(F.sequence(F.lit(0), F.lit(len(centers) - 1))).alias("list")
+        whole = top(found(short.select("id", "v", F.lit(-1.0).alias("bound"), every)))
+        hits = hits.join(full, hits["query_id"] == full["id"], "left_semi").unionByName(whole)
+    return hits.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

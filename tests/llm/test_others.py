@@ -105,6 +105,23 @@ def test_nearest_few_and_none(spark):
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_nearest_of_odd_vectors(spark):
+    """Extreme magnitudes, an id with several vectors, and lists too small for k results."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 8))
+    rows = [(i, (v * 10.0 ** (200 if i % 3 == 0 else -200 if i % 3 == 1 else 0)).tolist(), 0) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows + [(7, rows[7][1], 0), (7, [1e308] * 8, 1)], "vec_id long, embedding array<double>, label int").selectExpr("*", "'x' as id", "'x' as list", "'x' as v", "'x' as near", "'x' as bound", "'x' as rank")
+    out = ann.nearest(df, df.where("vec_id % 50 = 0"), lists=30, probe=0.04).collect()
+    least = min(rows[7][1], [1e308] * 8)
+    x[7] = np.array(least) / np.abs(least).max()
+    n = np.sqrt((x * x).sum(axis=1))
+    assert sorted((r["query_id"], r["rank"]) for r in out) == [(q, k) for q in (0, 50) for k in range(1, 6)]
+    for r in out:
+        q, v = r["query_id"], r["vec_id"]
+        assert r["score"] == pytest.approx(float(x[q] @ x[v]) / (n[q] * n[v]), abs=1e-12) and q != v
+    assert len({(r["query_id"], r["vec_id"]) for r in out}) == len(out)
+
+
 def test_longest_first():
     assert longest_first([(1, 5), (2, 4), (3, 3), (4, 3), (5, 3)], 2) == {1: 0, 2: 1, 3: 1, 4: 0, 5: 1}
 
