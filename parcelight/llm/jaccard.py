@@ -128,14 +128,16 @@ def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def met(index: DataFrame, key: tuple[str, ...], similarity: float) -> DataFrame:
-    """a, b: nodes of rows (node, root, n, pos and maybe sketch) in one group of the key that have different roots and
-    may be alike. A group has a bounded number of rows."""
+    """a, b: nodes of rows (node, root, n, pos and maybe sketch and keys) in one group of the key that have different roots
+    and may be alike. A group has a bounded number of rows. With keys, all that a node has, a pair is made only under the
+    least key that both have."""
     with_sketch = "sketch" in index.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in frames(batches, ROWS, key):
             node, root, n, pos = (t[c].to_numpy().astype(np.int64) for c in ("node", "root", "n", "pos"))
-            bits = folded(t["sketch"]) if with_sketch else None
+            bits, keys = (folded(t["sketch"]), [set(x) for x in t["keys"].to_pylist()]) if with_sketch else (None, None)
+            own = t["key"].to_numpy()
             for i, j in pairs(numbered(t, key)):
                 need = np.ceil(similarity / (1 + similarity) * (n[i] + n[j]) - _EPS)
                 ok = (root[i] != root[j]) & (np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need)
@@ -143,6 +145,8 @@ def met(index: DataFrame, key: tuple[str, ...], similarity: float) -> DataFrame:
                 if with_sketch and len(i):
                     ok = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) <= alike_bits(similarity, n[i] + n[j])
                     i, j = i[ok], j[ok]
+                    least = np.fromiter((min(keys[x] & keys[y]) for x, y in zip(i.tolist(), j.tolist(), strict=True)), np.int64, len(i))
+                    i, j = i[least == own[i]], j[least == own[i]]
                 if len(i):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], ["a", "b"])
 
@@ -194,7 +198,9 @@ def groups(corpus: Corpus, edges: DataFrame, pivots: int = 3, dense: int = DENSE
     found = met(rooted(sparse, roots), ("key",), similarity)
     if some:
         again = rooted(crowded, roots)
-        again = again.join(unlike(again).select("key"), "key", "left_semi").join(corpus.sets.select("node", "sketch"), "node")
+        again = cut(again.join(unlike(again).select("key"), "key", "left_semi"))
+        keys = again.groupBy("node").agg(F.collect_set("key").alias("keys"))  # of a prefix at most
+        again = again.join(keys, "node").join(corpus.sets.select("node", "sketch"), "node")
         found = found.unionByName(met(dealt(again), CELL, similarity))
     more = corpus.verified(possible(found, corpus))
     return roots if more.isEmpty() else cut(components(edges.unionByName(more)))
