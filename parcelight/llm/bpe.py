@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_parts
+from .common import in_parts, lean, tool
 
 #: Distinct words remembered in a worker.
 KEPT = 200_000
@@ -182,16 +182,9 @@ class Encoder:
         return b"".join(out)[1:]
 
 
-_made: dict[int, Encoder] = {}
-
-
 def encoder(file: Broadcast) -> Encoder:
     """One encoder for each worker process."""
-    key = hash(file.value)
-    if key not in _made:
-        _made.clear()
-        _made[key] = Encoder(file.value)
-    return _made[key]
+    return tool(("encoder", hash(file.value)), lambda: Encoder(file.value))
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
@@ -224,4 +217,4 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * keep
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = f"doc_id {dict(base.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(lean(run, tools=True), schema)

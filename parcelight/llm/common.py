@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,42 @@ def unsigned_fraction(*cols: Column) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
 
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+_tool: dict[Hashable, object] = {}
+
+
+def tool(key: Hashable, make: Callable[[], object]) -> object:
+    """What make() gives: made once in a worker process, and held until a task asks for another or for none."""
+    if key not in _tool:
+        _tool.clear()
+        _tool[key] = make()
+    return _tool[key]
+
+
+def trim() -> None:
+    """Give memory that is no longer used back to the system."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(ctypes.CDLL(None), "malloc_trim"):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run: Batches, tools: bool = False) -> Batches:
+    """run, for mapInArrow. Worker processes outlive their tasks, so what each operator leaves in them would add up beside
+    the executor's heap: unused memory is given back at a task's end, and what ``tool`` holds as well, unless run has use
+    for it."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not tools and _tool:
+            _tool.clear()
+            trim()
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return task
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """The UTF-8 bytes of a text column; null is the empty text."""
     column = batch.column(batch.schema.get_field_index(name)).cast(pa.binary())

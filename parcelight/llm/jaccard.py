@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import components, stored
-from .common import cut, frames, in_parts, small, texts, unsigned_fraction
+from .common import cut, frames, in_parts, lean, small, texts, unsigned_fraction
 from .meeting import CELL, ROWS, dealt, numbered, pairs
 from .shingles import majority, shingle_hashes
 
@@ -64,7 +64,7 @@ def common_shingles(base: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(shingle_hashes(t, size)).view(np.int64))], ["key"])
 
     drawn = base.where(unsigned_fraction(F.col("text_hash"), F.lit(7)) < min(1.0, SAMPLE / max(n, 1))).dropDuplicates(["text_hash"]).select("text")
-    found = drawn.mapInArrow(sets, "key long").groupBy("key").count().where("count > 2").orderBy(F.desc("count"), "key").limit(COMMON).collect()
+    found = drawn.mapInArrow(lean(sets), "key long").groupBy("key").count().where("count > 2").orderBy(F.desc("count"), "key").limit(COMMON).collect()
     return np.array([r["key"] for r in reversed(found)], np.int64), np.array([r["key"] for r in found if r["count"] > HOT * SAMPLE], np.int64)
 
 
@@ -95,7 +95,7 @@ class Corpus:
                     node, fp, n, bits, first = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (node, fp)), pa.array(n, pa.int32()), pa.array(bits, pa.list_(pa.int64())), pa.array(first, pa.list_(pa.int64()))], ["doc_id", "text_hash", "node", "fp", "n", "sketch", "prefix"])
 
-        self.rows, _ = stored(self.base.mapInArrow(run, "doc_id long, text_hash long, node long, fp long, n int, sketch array<long>, prefix array<long>"))
+        self.rows, _ = stored(self.base.mapInArrow(lean(run), "doc_id long, text_hash long, node long, fp long, n int, sketch array<long>, prefix array<long>"))
         sets = self.rows.select("node", "n", "sketch", "prefix")
         copied = small(cut(self.rows.groupBy("node").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("node")))
         self.sets = sets.join(copied, "node", "left_anti").unionByName(sets.join(copied, "node", "left_semi").dropDuplicates(["node"]))
@@ -115,7 +115,7 @@ class Corpus:
                 yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))], ["node", "shingles"])
 
         picked = self.base.join(one, (F.col("text_hash") == F.col("its_hash")) & F.col("doc_id").eqNullSafe(F.col("its_id")), "left_semi")
-        sets = picked.select("text").mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
+        sets = picked.select("text").mapInArrow(lean(run), "node long, shingles array<long>").dropDuplicates(["node"])
         side = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}"))
         shared = F.size(F.array_intersect("set_a", "set_b"))
         alike = shared >= F.lit(self.similarity) * (F.size("set_a") + F.size("set_b") - shared) - _EPS
@@ -150,7 +150,7 @@ def met(index: DataFrame, key: tuple[str, ...], similarity: float) -> DataFrame:
                 if len(i):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], ["a", "b"])
 
-    return index.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long")
+    return index.repartition(*key).sortWithinPartitions(*key).mapInArrow(lean(run), "a long, b long")
 
 
 def unlike(index: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_parts, unsigned_fraction
+from .common import in_parts, lean, tool, unsigned_fraction
 
 #: What a text is compared in: its lower-cased UTF-8 bytes, with a space for each ASCII character that is no letter.
 LETTERS = bytes(32 if b < 128 and not chr(b).isalpha() else b for b in range(256))
@@ -102,7 +102,7 @@ def calibrated(model: Languages, labelled: DataFrame) -> Languages:
                 a, b, d = zip(*seen, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.float64()), pa.array(d, pa.bool_())], ["size", "margin", "right"])
 
-    seen = labelled.select("text", "lang").mapInArrow(run, "size int, margin double, right boolean").collect()
+    seen = labelled.select("text", "lang").mapInArrow(lean(run, tools=True), "size int, margin double, right boolean").collect()
     narrow = []
     for k in range(len(model.narrow)):
         right = sorted(r["margin"] for r in seen if r["size"] == k and r["right"])
@@ -133,16 +133,9 @@ def learn(labelled: DataFrame, sample: int = 400) -> Languages:
     return calibrated(model, others)
 
 
-_made: dict[int, Classifier] = {}
-
-
 def classifier(model: Broadcast) -> Classifier:
     """One classifier for each worker process."""
-    key = hash(model.value)
-    if key not in _made:
-        _made.clear()
-        _made[key] = Classifier(model.value)
-    return _made[key]
+    return tool(("languages", hash(model.value)), lambda: Classifier(model.value))
 
 
 def classify(docs: DataFrame, model: Languages, text_col: str = "text") -> DataFrame:
@@ -163,7 +156,7 @@ def classify(docs: DataFrame, model: Languages, text_col: str = "text") -> DataF
             names, scores, rejected = zip(*said, strict=True) if said else ((), (), ())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], [*batch.schema.names, "lang_pred", "score", "rejected"])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(lean(run, tools=True), schema)
 
 
 def held_out(id_: Column, parts: int, part: int) -> Column:

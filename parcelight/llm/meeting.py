@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import frames, ranges
+from .common import frames, lean, ranges
 
 #: Rows of a key that meet in one place at most, rows read at a time, and pairs compared at a time.
 BLOCK, ROWS, PAIRS = 2048, 50_000, 1 << 19
@@ -89,4 +89,4 @@ def connected_near(index: DataFrame, key: tuple[str, ...], bits: int) -> DataFra
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return index.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long")
+    return index.repartition(*key).sortWithinPartitions(*key).mapInArrow(lean(run), "a long, b long")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import in_parts, texts, unsigned_fraction
+from .common import in_parts, lean, texts, tool, unsigned_fraction
 
 #: Hashed features (a power of two), vector size, n-gram lengths in bytes, and the words hashed at a time.
 BITS, SIZE, GRAMS, STEP = 17, 12, (2, 3, 4), 100_000
@@ -126,20 +126,13 @@ def learn(labelled: DataFrame, sample: int = 5000) -> Model:
                 a, b, c, d = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c, pa.int32()), pa.array(d, pa.int64())], ["ids", "times", "quality", "by"])
 
-    got = sorted(drawn.mapInArrow(run, schema).collect(), key=lambda r: (r["by"], r["quality"], bytes(r["ids"])))
+    got = sorted(drawn.mapInArrow(lean(run), schema).collect(), key=lambda r: (r["by"], r["quality"], bytes(r["ids"])))
     return train([(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["times"], np.int32), r["quality"]) for r in got])
 
 
-_made: dict[int, Scorer] = {}
-
-
 def scorer(model: Broadcast) -> Scorer:
     """One scorer for each worker process."""
-    key = hash(model.value)
-    if key not in _made:
-        _made.clear()
-        _made[key] = Scorer(model.value)
-    return _made[key]
+    return tool(("scorer", hash(model.value)), lambda: Scorer(model.value))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
@@ -159,4 +152,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: floa
             found = [s.score(t) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.float64()), pa.array([int(x >= threshold) for x in found], pa.int32())], [*rest, "score", "predicted"])
 
-    return base.mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in rest), "score double, predicted int"]))
+    return base.mapInArrow(lean(run, tools=True), ", ".join([*(f"`{c}` {kinds[c]}" for c in rest), "score double, predicted int"]))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import jaccard
-from .common import cut, in_parts, small, texts
+from .common import cut, in_parts, lean, small, texts
 from .components import components
 from .meeting import BLOCK, CELL, connected_near, dealt
 from .shingles import majority, shingle_hashes
@@ -30,7 +30,7 @@ def fingerprints(docs: DataFrame, size: int, seed: int = 42) -> DataFrame:
             found = np.array([majority(shingle_hashes(t, size, seed)) for t in texts(batch)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.mapInArrow(run, "doc_id long, fp long")
+    return docs.mapInArrow(lean(run), "doc_id long, fp long")
 
 
 def segments(bits: int) -> list[tuple[int, int]]:

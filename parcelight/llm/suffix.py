@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, frames, in_parts, ranges, texts
+from .common import cut, frames, in_parts, lean, ranges, texts
 
 WINDOW, SPAN = 100, 64
 GRAM = WINDOW - SPAN + 1
@@ -355,8 +355,8 @@ def repeats(docs: DataFrame) -> DataFrame:
             if some.num_rows:
                 yield some
 
-    listed = docs.mapInArrow(list_anchors, f"h long, c long, {who}, pos int, twin boolean")
-    again = cut(listed.repartition("h").sortWithinPartitions("h", "c", "doc", "mark", "pos").mapInArrow(told_apart, f"h long, {who}, pos int, part int"))
+    listed = docs.mapInArrow(lean(list_anchors), f"h long, c long, {who}, pos int, twin boolean")
+    again = cut(listed.repartition("h").sortWithinPartitions("h", "c", "doc", "mark", "pos").mapInArrow(lean(told_apart), f"h long, {who}, pos int, part int"))
     by_doc = again.where("part >= 0").groupBy("doc", "mark").agg(F.collect_list(F.struct("pos", "part")).alias("at"))
 
     def with_context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,7 +380,7 @@ def repeats(docs: DataFrame) -> DataFrame:
             )
 
     CONTEXT = ["h", "part", "doc", "mark", "pos", "owned", "back", "context"]
-    contexts = by_doc.join(packed(docs), ["doc", "mark"]).select("doc", "mark", "z", "at").mapInArrow(with_context, f"h long, part int, {who}, pos int, owned long, back short, context binary")
+    contexts = by_doc.join(packed(docs), ["doc", "mark"]).select("doc", "mark", "z", "at").mapInArrow(lean(with_context), f"h long, part int, {who}, pos int, owned long, back short, context binary")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in frames(batches, ROWS, ("h", "part")):
@@ -403,7 +403,7 @@ def repeats(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(doc[i]), pa.array(mark[i]), pa.array((pos[i] - o).astype(np.int32)), pa.array(np.zeros(len(i), np.int64)), *keys], RESULT)
 
     RESULT = ["doc", "mark", "pos", "bits", "k1", "k2"]
-    compared = cut(contexts.repartition("h", "part").sortWithinPartitions("h", "part", "doc", "mark", "pos").mapInArrow(compare, f"{who}, pos int, bits long, k1 long, k2 long"))
+    compared = cut(contexts.repartition("h", "part").sortWithinPartitions("h", "part", "doc", "mark", "pos").mapInArrow(lean(compare), f"{who}, pos int, bits long, k1 long, k2 long"))
     whole = again.where("part < 0").select("doc", "mark", "pos", F.lit(0).cast("long").alias("bits"))
     marks = whole.unionByName(compared.where("bits <> 0").select("doc", "mark", "pos", "bits"))
     spread = compared.where("bits = 0")
@@ -422,7 +422,7 @@ def packed(docs: DataFrame) -> DataFrame:
         for batch in in_parts(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([pack(t) for t in texts(batch)], pa.binary())], ["doc", "mark", "z"])
 
-    return docs.mapInArrow(run, "doc long, mark long, z binary")
+    return docs.mapInArrow(lean(run), "doc long, mark long, z binary")
 
 
 def covered(n: int, pos: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -496,7 +496,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts
                 a, b, c, d = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c), pa.array(d, pa.string())], ["doc", "mark", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
-    done = marks.join(packed(long_), ["doc", "mark"]).select("doc", "mark", "z", "starts").mapInArrow(finish, "doc long, mark long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+    done = marks.join(packed(long_), ["doc", "mark"]).select("doc", "mark", "z", "starts").mapInArrow(lean(finish), "doc long, mark long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
     if not texts_too:
         done = done.drop("kept_text")
     done = done.dropDuplicates(["doc", "mark"])

@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_parts
+from .common import in_parts, lean, tool
 
 #: Distinct words remembered in a worker.
 KEPT = 400_000
@@ -88,16 +88,9 @@ def model_pieces(path: str) -> list[tuple[str, float]]:
     return [(model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size())]
 
 
-_made: dict[int, Counter] = {}
-
-
 def counter(pieces: Broadcast) -> Counter:
     """One counter for each worker process."""
-    key = hash(tuple(pieces.value))
-    if key not in _made:
-        _made.clear()
-        _made[key] = Counter(pieces.value)
-    return _made[key]
+    return tool(("counter", hash(tuple(pieces.value))), lambda: Counter(pieces.value))
 
 
 def token_counts(docs: DataFrame, pieces: list[tuple[str, float]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -115,4 +108,4 @@ def token_counts(docs: DataFrame, pieces: list[tuple[str, float]], id_col: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(len, texts)), pa.int64()), pa.array([c.count(t) for t in texts], pa.int64())], ["doc_id", "n_chars", "n_tokens"])
 
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return base.mapInArrow(run, f"doc_id {dict(base.dtypes)['doc_id']}, n_chars long, n_tokens long")
+    return base.mapInArrow(lean(run, tools=True), f"doc_id {dict(base.dtypes)['doc_id']}, n_chars long, n_tokens long")
