@@ -84,14 +84,14 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for each row of docs.
 
     A text's edited form ends in the beginning of the next one by falling id; after the last comes the first. Rows are
-    dealt by ranges of the id and sorted, so the next row is at hand; only for the last row of each range it comes from
+    dealt by ranges of id and hash and sorted, so the next row is at hand; only for the last row of each range it comes from
     another one, and these few rows (one for each range) meet in a join. A null text is the empty text. A null id comes
-    after all others. Repeated ids follow one another in the order of their texts. An empty table gives no rows. Other
+    after all others. Repeated ids follow one another in the order of a hash (XXH64) of their texts. An empty table gives no rows. Other
     columns of docs are ignored; texts of any length are read whole.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
-    dealt = base.repartitionByRange(F.col("doc_id").desc_nulls_last()).sortWithinPartitions(*order)
+    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]  # the hash lets rows of one id lie in several ranges
+    dealt = base.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     schema = f"doc_id long, part int, kind string, text string, {FIELDS}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
