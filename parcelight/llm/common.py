@@ -36,6 +36,19 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= FEW else df
 
 
+def numbered(rows: DataFrame, name: str = "nth", chunk: int = 1 << 16) -> DataFrame:
+    """rows with a number from 0 that tells equal ones apart. Equal rows are counted and dealt out again, in chunks, so no
+    task meets all copies of one; the columns' names must not begin with an underscore."""
+    counted = cut(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n")))
+    n, part = F.col("_n"), F.col("_part")
+    out = counted.where(n <= chunk).withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), n - 1))).drop("_n")
+    many = counted.where(n > chunk)
+    if many.isEmpty():
+        return out
+    parts = many.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk)))).repartition(*rows.columns, "_part")
+    return out.unionByName(parts.withColumn(name, F.explode(F.sequence(part * chunk, F.least(n, (part + 1) * chunk) - 1))).drop("_n", "_part"))
+
+
 def unsigned_fraction(*cols: Column) -> Column:
     """A fixed number in [0, 1) for each value of the columns, the same on every run."""
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 40)) / F.lit(float(1 << 40))

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut
+from .common import WORD, cut, numbered
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -133,21 +133,24 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     Returns doc_id, text_hash, source, size, source_size, target, copies, taken (copies x size); one row for each input
     row. A null text has size 0. A null source is a source of its own, the last. Documents without words are drawn like
-    others and take no words. Repeated rows are drawn one by one. Choices depend on the ids, the texts and the seed
+    others and take no words. Repeated rows are drawn one by one, and spread over
+    the blocks like others. Choices depend on the ids, the texts and the seed
     alone, so reruns agree. An empty table gives no rows. Other columns of docs are ignored.
     """
-    sized = cut(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(source_col).cast("string").alias("source"), words(text_col).alias("size")))
+    sized = numbered(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(source_col).cast("string").alias("source"), words(text_col).alias("size")))
     goal = cut(targets(sized, weights, most))
     if goal.count() <= FEW:
         goal = F.broadcast(goal)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    one = F.xxhash64("doc_id", "text_hash", F.lit(seed))
+    pick = F.when(F.col("nth") == 0, one).otherwise(F.xxhash64(one, "nth"))  # copies leave other rows' picks as they are
     drawn = (
         sized.join(goal, sized["source"].eqNullSafe(goal["source"]))
         .drop(goal["source"])
         .withColumn("rate", rate)
         .withColumn("whole", F.floor(F.col("rate") + F.lit(EPS)))
         .withColumn("p", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0)))
-        .select("doc_id", "text_hash", "source", "size", "source_size", "target", "whole", "rank", "n", "p", F.xxhash64("doc_id", "text_hash", F.lit(seed)).alias("pick"))
+        .select("doc_id", "text_hash", "source", "size", "source_size", "target", "whole", "rank", "n", "p", pick.alias("pick"))
     )
     schema = "doc_id long, text_hash long, source string, size long, source_size long, target double, whole long, rank int, p double, pick long, block long, blocks long"
 

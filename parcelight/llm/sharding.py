@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut
+from .common import numbered
 
 #: A group is scheduled on its own if it is larger than this part of a shard's share.
 BIG = 256
@@ -40,7 +40,7 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    base = cut(
+    base = numbered(
         docs.select(
             F.col(id_col).alias("doc_id"),
             (F.octet_length(text) + F.lit(1)).cast("long").alias("size"),
@@ -63,13 +63,13 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
         base.join(F.broadcast(keys), "key", "left")
         .withColumn("item", F.coalesce("own", F.pmod(F.xxhash64("key"), F.lit(bins)).cast("int")))
         .join(F.broadcast(items), "item")
-        .withColumn("cell", F.pmod(F.xxhash64("doc_id", "text_crc32", F.lit(7)), F.col("cells").cast("long")).cast("int"))
-        .select("doc_id", "size", "text_crc32", "shard", "item", "cell")
+        .withColumn("cell", F.pmod(F.xxhash64("doc_id", "text_crc32", "nth", F.lit(7)), F.col("cells").cast("long")).cast("int"))
+        .select("doc_id", "size", "text_crc32", "nth", "shard", "item", "cell")
     )
     counts = placed.groupBy("shard", "item", "cell").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy("item", "cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("item", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("item", "cell").orderBy(F.col("doc_id").asc_nulls_last(), "text_crc32")
+    within = Window.partitionBy("item", "cell").orderBy(F.col("doc_id").asc_nulls_last(), "text_crc32", "nth")
     return (
         placed.join(offsets, ["item", "cell"])
         .withColumn("slot", F.col("offset") + F.row_number().over(within) - F.lit(1))

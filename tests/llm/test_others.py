@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from parcelight.llm import ann, minhash, mixing, sharding
+from parcelight.llm.common import numbered
 from parcelight.llm.sharding import longest_first
 
 
@@ -35,6 +36,27 @@ def test_fingerprint_edits(docs):
     assert one["edited_sha256"] == hashlib.sha256(b"abcdab").hexdigest() and one["near_next"] == 1.0
 
 
+def test_fingerprint_edits_of_one_id(docs):
+    """Rows without an id, or of one id, are ordered by the hash of their texts over several ranges."""
+    rnd = random.Random(3)
+    rows = [(None if i % 2 else 7, " ".join(f"w{rnd.randrange(90)}" for _ in range(30))) for i in range(400)]
+    hashed = docs(rows).selectExpr("doc_id", "text", "xxhash64(text) as h").collect()
+    ordered = sorted((r for r in hashed), key=lambda r: (r["doc_id"] is None, r["h"], r["text"]))
+    want = Counter()
+    for k, r in enumerate(ordered):
+        t, following = r["text"], ordered[(k + 1) % len(ordered)]["text"]
+        want[r["doc_id"], hashlib.sha256((t[: len(t) - len(t) // 3] + following[: len(t) // 3]).encode()).hexdigest()] += 1
+    assert Counter((r["doc_id"], r["edited_sha256"]) for r in minhash.fingerprint_edits(docs(rows)).collect()) == want
+
+
+@pytest.mark.parametrize("chunk", [3, 1 << 16])
+def test_numbered_rows(spark, chunk):
+    rows = [(None, "x")] * 7 + [(1, None)] * 3 + [(1, "x"), (2, "x")]
+    out = numbered(spark.createDataFrame(rows, "a long, b string"), chunk=chunk).collect()
+    assert Counter((r["a"], r["b"], r["nth"]) for r in out) == Counter((*k, i) for k, n in Counter(rows).items() for i in range(n))
+    assert numbered(spark.createDataFrame([], "a long, b string")).count() == 0
+
+
 @pytest.mark.parametrize("hot", [200, 1])
 def test_minhash_near_duplicates(docs, hot):
     rnd = random.Random(2)
@@ -142,6 +164,21 @@ def test_shards(docs):
     assert sharding.shard(docs([])).count() == 0
 
 
+def test_one_row_many_times(docs):
+    """Slots and draws of a row that makes up most of a table, with and without an id."""
+    rows = [(None, "same text here", "en", "a")] * 900 + [(4, "same text here", "en", "a")] * 600 + [(i, f"some other text {i}", "en", "bc"[i % 2]) for i in range(300)]
+    out = sharding.shard(docs(rows), shards=4, bins=8, cell=50).collect()
+    assert len(out) == len(rows) and len({r["shard"] for r in out if r["size"] == 15}) == 1
+    for s in range(4):
+        assert sorted(r["slot"] for r in out if r["shard"] == s) == list(range(sum(r["shard"] == s for r in out)))
+    mixed = mixing.mix(docs(rows), block=20).collect()
+    again = mixing.mix(docs(rows[::-1]), block=20).collect()
+    assert len(mixed) == len(rows) and Counter(map(tuple, mixed)) == Counter(map(tuple, again))
+    for s in "abc":
+        own = [r for r in mixed if r["source"] == s]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 10 and all(r["taken"] <= 3 * r["size"] for r in own)
+
+
 def test_small_bins_share_a_shard(docs):
     rows = [(i, f"text {i % 700}") for i in range(3000)]
     out = sharding.shard(docs(rows), shards=2, bins=8, cell=50).collect()
