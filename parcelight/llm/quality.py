@@ -22,11 +22,11 @@ from pyspark.sql import types as T
 
 from .common import in_parts, lean, texts, tool, unsigned_fraction
 
-#: Hashed features (a power of two), vector size, n-gram lengths in bytes, and the words hashed at a time.
+#: Hashed features (a power of two), vector size, n-gram lengths in characters, and the words hashed at a time.
 BITS, SIZE, GRAMS, STEP = 17, 12, (2, 3, 4), 100_000
 BUCKETS = 1 << BITS
 EPOCHS, RATE, SEED = 4, 0.5, 3
-#: Odd factors of a gram's bytes, and of its hash.
+#: Odd factors of a gram's code points, and of its hash.
 FACTORS, MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32), np.uint32(0x165667B1)
 #: A text of a few words says little: as many features that speak for neither label are added when scoring.
 PRIOR = 15
@@ -36,15 +36,15 @@ AGAIN = zlib.crc32(b"<again>") % BUCKETS
 
 def features(text: bytes) -> Iterator[np.ndarray]:
     """The hashed features of a text, as often as they occur, in parts: of each word itself and its n-grams, where the
-    spaces around a word count as its first and last byte."""
+    spaces around a word count as its first and last character."""
     words, crc = text.split(), zlib.crc32
     for at in range(0, len(words), STEP):
         some = words[at : at + STEP]
-        data = np.frombuffer(b" " + b" ".join(some) + b" ", np.uint8)
-        inner, wide = data != 32, data.astype(np.uint32)
+        wide = np.frombuffer((b" " + b" ".join(some) + b" ").decode().encode("utf-32-le"), np.uint32)
+        inner = wide != 32
         out = [np.array([crc(w) for w in some], np.uint32) & np.uint32(BUCKETS - 1), np.full(sum(map(eq, some, words[at + 1 : at + 1 + STEP])), AGAIN, np.uint32)]
         for n in GRAMS:
-            size = len(data) - n + 1
+            size = len(wide) - n + 1
             if size < 1:
                 continue
             h, ok = np.full(size, n, np.uint32), np.ones(size, bool)
