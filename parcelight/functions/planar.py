@@ -75,6 +75,80 @@ def contains(p: list[Ring], q: list[Ring]) -> bool:
     return all(contains_point(p, x, y) or any(_side(u, v, (x, y)) == 0 and _on(u, v, (x, y)) for u, v in edges(p)) for x, y in q[0])
 
 
+def directed_edges(rings: list[Ring]) -> list[tuple]:
+    """Edges (a, b) with the polygon on their left."""
+    out = []
+    for k, r in enumerate(rings):
+        ring = r if (ring_area(r) > 0) == (k == 0) else r[::-1]
+        out += [(a, b) for a, b in zip(ring, [*ring[1:], *ring[:1]], strict=True) if a != b]
+    return out
+
+
+def covered(p: list[Ring], q: list[Ring], yields: bool) -> list[tuple[int, float, float]]:
+    """What of p's directed edges vanishes in the union with q: edge, and from where to where along it (0 to 1). An edge
+    that both share vanishes if they lie on both sides of it, and if they lie on one side, where p yields."""
+    out, other = [], directed_edges(q)
+    for n, (a, b) in enumerate(directed_edges(p)):
+        dx, dy = b[0] - a[0], b[1] - a[1]
+        square = dx * dx + dy * dy
+        cuts, along = {0.0, 1.0}, []
+        for c, d in other:
+            s, t = _side(a, b, c), _side(a, b, d)
+            u, v = (((e[0] - a[0]) * dx + (e[1] - a[1]) * dy) / square for e in (c, d))
+            if max(abs(s), abs(t)) <= 1e-9 * square:
+                along.append((min(u, v), max(u, v), v > u))
+                cuts |= {u, v}
+            elif min(s, t) <= 0 <= max(s, t):
+                cuts.add(u + (v - u) * s / (s - t))
+        cuts = sorted(c for c in cuts if 0 <= c <= 1)
+        for u, v in zip(cuts, cuts[1:]):
+            m = (u + v) / 2
+            facing = [same for low, high, same in along if low < m < high]
+            if v - u > 1e-12 and (yields or not all(facing) if facing else contains_point(q, a[0] + m * dx, a[1] + m * dy)):
+                out.append((n, u, v))
+    return out
+
+
+def polygons(edges: list[tuple], digits: int = 6) -> list[list[Ring]]:
+    """Polygons whose boundary is made of edges (a, b) with the inside on their left. Ends meet if they agree in so many
+    digits; where more than two edges meet, a ring turns left. Points on straight edges go."""
+    onward: dict[tuple, list] = {}
+    for a, b in sorted({tuple((round(x, digits), round(y, digits)) for x, y in e) for e in edges}):
+        if a != b:
+            onward.setdefault(a, []).append(b)
+    turn = lambda a, b, c: math.atan2(_side(a, b, c), (b[0] - a[0]) * (c[0] - b[0]) + (b[1] - a[1]) * (c[1] - b[1]))
+    loops = []
+    for start in list(onward):
+        while onward[start]:
+            ring = [start, onward[start].pop(0)]
+            while ring[-1] != start and onward.get(ring[-1]):
+                nexts = onward[ring[-1]]
+                nexts.remove(leftmost := max(nexts, key=lambda c: turn(ring[-2], ring[-1], c)))
+                ring.append(leftmost)
+            passed: dict[tuple, None] = {}
+            for b in ring:  # a ring that passes a point twice is two rings
+                if b in passed:
+                    loop = [passed.popitem()[0]]
+                    while loop[-1] != b:
+                        loop.append(passed.popitem()[0])
+                    loops.append(loop[::-1])
+                passed[b] = None
+    rings = []
+    for ring in loops:
+        bent = [b for a, b, c in zip([*ring[-1:], *ring[:-1]], ring, [*ring[1:], *ring[:1]], strict=True) if abs(_side(a, b, c)) > 10**-digits * math.dist(a, c)]
+        if len(bent) > 2:
+            rings.append(bent)
+    outer = sorted(([r] for r in rings if ring_area(r) > 0), key=lambda g: ring_area(g[0]))
+    for hole in (r for r in rings if ring_area(r) < 0):
+        (ax, ay), (bx, by) = hole[:2]
+        n = math.dist(hole[0], hole[1])
+        x, y = (ax + bx) / 2 + (by - ay) / n * 10**-digits, (ay + by) / 2 - (bx - ax) / n * 10**-digits  # just inside the hole
+        around = next((g for g in outer if contains_point(g[:1], x, y)), None)
+        if around is not None:
+            around.append(hole)
+    return outer
+
+
 def simplify(line: Ring, tolerance: float) -> Ring:
     """Douglas-Peucker on an open line; its ends stay."""
     if len(line) < 3:

@@ -6,11 +6,16 @@ found at once. The result does not depend on the order of layers or the size of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import planar
 from .components import components
-from .spatial import box_join
+from .spatial import BOX, box_join, exact
 
 
 def overlap_edges(layer: DataFrame, cell: float, key: str = "id") -> DataFrame:
@@ -40,3 +45,97 @@ def merge_zones(layer: DataFrame, zone: str, cell: float, max_area: float | None
     merged = named.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
     out = merged.withColumn("box_area", (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")))
     return out if max_area is None else out.where(F.col("box_area") < max_area)
+
+
+def shape(rings: list) -> list[planar.Ring]:
+    return [[(p["x"], p["y"]) for p in r] for r in rings]
+
+
+def outline(layer: DataFrame, cell: float, key: str = "id") -> DataFrame:
+    """component, ax, ay, bx, by: what bounds the union of each component's polygons, as edges with the inside on their
+    left. layer has key, component, box and rings (null and empty rings bound nothing).
+
+    Each polygon's edges are cut where another one of its component covers them: pairs are compared on their own, and
+    what is left of an edge is the gaps between the covered parts. No component is gathered anywhere.
+    """
+    layer = layer.where("size(rings) > 0").select(F.col(key).alias("id"), "component", *BOX, "rings")
+    fields = ["id", "component", "edge", "t0", "t1", "ax", "ay", "bx", "by"]
+    kinds = dict(layer.dtypes)
+    schema = f"id {kinds['id']}, component {kinds['component']}, edge int, t0 double, t1 double, ax double, ay double, bx double, by double"
+
+    def listed(rows: Iterator[tuple], ids: list[pa.DataType]) -> pa.RecordBatch:
+        made = [*ids, pa.int32(), *[pa.float64()] * 6]
+        columns = list(zip(*rows, strict=True)) or [[]] * len(fields)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, made, strict=True)], fields)
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = ((r["id"], r["component"], n, 1.0, 1.0, *a, *z) for r in b.to_pylist() for n, (a, z) in enumerate(planar.directed_edges(shape(r["rings"]))))
+            yield listed(rows, [b.schema.field(0).type, b.schema.field(1).type])
+
+    def hidden(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for p, q in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                mine = shape(p["rings"])
+                edges = planar.directed_edges(mine)
+                rows += [(p["id"], p["component"], n, u, v, *edges[n][0], *edges[n][1]) for n, u, v in planar.covered(mine, shape(q["rings"]), p["id"] > q["id"])]
+            types = b.schema.field(0).type
+            yield listed(rows, [types.field("id").type, types.field("component").type])
+
+    pairs = box_join(layer, layer, cell).where("l.id <> r.id and l.component = r.component")
+    parts = layer.select("id", "component", "rings").mapInArrow(ends, schema).unionByName(pairs.mapInArrow(hidden, schema))
+    before = Window.partitionBy("id", "edge").orderBy("t0", "t1").rowsBetween(Window.unboundedPreceding, -1)
+    gaps = parts.withColumn("since", F.coalesce(F.max("t1").over(before), F.lit(0.0))).where("t0 - since > 1e-12")
+    along = lambda t, k: F.col(f"a{k}") + F.col(t) * (F.col(f"b{k}") - F.col(f"a{k}"))
+    return gaps.select("component", along("since", "x").alias("ax"), along("since", "y").alias("ay"), along("t0", "x").alias("bx"), along("t0", "y").alias("by"))
+
+
+def measures(edges: DataFrame) -> DataFrame:
+    """component, area, perimeter and bounds of what an outline bounds."""
+    strip = (F.col("ax") - F.col("bx")) * (F.col("ay") + F.col("by")) / 2
+    return edges.groupBy("component").agg(
+        F.sum(strip).alias("area"), F.sum(F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))).alias("perimeter"), F.min("ax").alias("x0"), F.min("ay").alias("y0"), F.max("ax").alias("x1"), F.max("ay").alias("y1")
+    )
+
+
+def traced(edges: DataFrame) -> DataFrame:
+    """component, part, rings: an outline as polygons, holes after the exterior; parts of a component touch in points at
+    most. One component's outline (not its shapes) is gathered in a task."""
+    kind = dict(edges.dtypes)["component"]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        made = planar.polygons([((a, b), (c, d)) for a, b, c, d in pdf[["ax", "ay", "bx", "by"]].itertuples(index=False)])
+        rows = [(pdf["component"].iloc[0], n, [[{"x": x, "y": y} for x, y in r] for r in g]) for n, g in enumerate(made)]
+        return pd.DataFrame(rows, columns=["component", "part", "rings"])
+
+    return edges.groupBy("component").applyInPandas(run, f"component {kind}, part int, rings array<array<struct<x:double,y:double>>>")
+
+
+def met(left: DataFrame, right: DataFrame, cell: float, key: str = "id") -> DataFrame:
+    """Edges a < b for rows of two layers whose polygons share a point."""
+    pairs = exact(box_join(left, right, cell).where(F.col(f"l.{key}") != F.col(f"r.{key}")))
+    a, b = F.col(f"l.{key}"), F.col(f"r.{key}")
+    return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+
+
+def dissolve(layer: DataFrame, cell: float, key: str = "id") -> tuple[DataFrame, DataFrame]:
+    """(key and component of each polygon, the outline of each component): polygons that share a point are one shape."""
+    layer = layer.select(key, *BOX, "rings")
+    named = connected(layer, met(layer, layer, cell, key), key)
+    return named.select(key, "component"), outline(named, cell, key)
+
+
+def merge_zone_shapes(layer: DataFrame, zone: str, cell: float, max_area: float | None = None, key: str = "id") -> tuple[DataFrame, DataFrame]:
+    """Two zones' polygons as one layer, in one reference system: (component, n, area, perimeter, bounds; outline).
+
+    Polygons that share a point with one of the other zone are dissolved, the others pass as they are, and shapes whose
+    own area is max_area or more go.
+    """
+    a, b = (layer.where(F.col(zone) == z).select(key, *BOX, "rings") for z in (0, 1))
+    named = connected(layer.select(key, *BOX, "rings"), met(a, b, cell, key), key)
+    edges = outline(named, cell, key)
+    made = measures(edges).join(named.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "component")
+    if max_area is not None:
+        made = made.where(F.col("area") < max_area)
+    return made, edges

@@ -57,9 +57,12 @@ def monthly_norm_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(factors(spark, sf_dir), [])
 
 
-@query(f"with {IMAGES} select date_trunc('month', ts)::timestamp as month, " + ", ".join(f"round(stddev_samp(mean_b{i}), 6) as mean_b{i}_std, round(avg(mean_b{i}), 6) as mean_b{i}_mean" for i in range(4)) + " from images group by 1")
+@query(f"with {IMAGES} select date_trunc('month', ts)::timestamp as month, " + ", ".join(f"round(stddev_samp(mean_b{i}) + 3e-8, 6) as mean_b{i}_std, round(avg(mean_b{i}) + 3e-8, 6) as mean_b{i}_mean" for i in range(4)) + " from images group by 1")
 def monthly_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(stats.monthly_spread(images(spark, sf_dir)), [])
+    """Means of hundredths often end in an exact half of the last digit, which the order of a sum tips either way: a
+    little is added before rounding."""
+    out = stats.monthly_spread(images(spark, sf_dir))
+    return rounded(out.select("month", *[(F.col(c) + 3e-8).alias(c) for c in out.columns if c != "month"]), [])
 
 
 _META = "meta as (select distinct eopatch, patchlet, ts from obs)"

@@ -90,6 +90,40 @@ def zone_merge_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dissolve.merge_zones(fx.rects(spark, sf_dir), "zone", CELL, 60)
 
 
+_UNION = """ones as (select component, id, unnest(range(x0, x1)) as gx, y0, y1 from rects join comp using (id)),
+  cells as (select distinct component, gx, unnest(range(y0, y1)) as gy from ones),
+  sides as (select c.component, count(*) as cells, count(e.gx) + count(f.gx) as joined from cells c
+    left join cells e on e.component = c.component and e.gx = c.gx + 1 and e.gy = c.gy left join cells f on f.component = c.component and f.gx = c.gx and f.gy = c.gy + 1 group by 1),
+  unions as (select component, (select count(*) from comp k where k.component = s.component) as n, cells::double as area, (4 * cells - 2 * joined)::double as perimeter from sides s)"""
+
+
+def _ringed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.rects(spark, sf_dir).withColumn("rings", spatial.rectangle_rings(*(F.col(c) for c in spatial.BOX)))
+
+
+@query(f"with recursive {fx.RECTS}, {_GRAPH.format(more='')}, {_UNION} select * from unions")
+def dissolve_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Area and perimeter of the union of rectangles that meet: unit cells and their free sides, counted, in the SQL."""
+    members, edges = dissolve.dissolve(_ringed(spark, sf_dir), CELL)
+    out = dissolve.measures(edges).join(members.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "component")
+    return rounded(out.select("component", "n", "area", "perimeter"), [])
+
+
+@query(f"with recursive {fx.RECTS}, {_GRAPH.format(more='and (a.zone <> b.zone or a.id = b.id)')}, {_UNION} select * from unions where area < 40")
+def zone_merge_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two zones merged on their shapes, with a limit on the area of the union."""
+    out, _ = dissolve.merge_zone_shapes(_ringed(spark, sf_dir), "zone", CELL, 40)
+    return rounded(out.select("component", "n", "area", "perimeter"), [])
+
+
+@query(f"with recursive {fx.RECTS}, {_GRAPH.format(more='')}, {_UNION} select component, area from unions")
+def dissolve_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The area of the traced polygons, less their holes, is that of the union."""
+    _, edges = dissolve.dissolve(_ringed(spark, sf_dir), CELL)
+    made = dissolve.traced(edges)
+    return rounded(made.groupBy("component").agg(F.sum(spatial.area(F.col("rings"))).alias("area")), [])
+
+
 @query(f"with {fx.RECTS}, g as (select a.i::int as row, b.j::int as col from range(500) a(i), range(500) b(j)) select id, row, col from rects join g on row >= y0 + 1 and row < y1 - 1 and col >= x0 + 1 and col < x1 - 1")
 def rasterise_rects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.rasterised_boxes(fx.rects(spark, sf_dir), 500, 500, 1).select("id", "row", "col")
@@ -142,11 +176,14 @@ def parcels_from_rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out.groupBy("img").agg(F.count(F.lit(1)).alias("polygons"), F.sum(F.round(F.col("area"), 6)).alias("area"), F.sum(spatial.vertex_count(F.col("rings"))).alias("vertices")), [], 5)
 
 
-@query(f"""with {fx.RECTS}, b as (select zone, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1 from rects where id % 7 > zone * 2 group by 1),
+@query(f"""with {fx.RECTS}, moved as (select id, zone, x0 + 40 * zone as x0, y0 - 30 * zone as y0, x1 + 40 * zone as x1, y1 - 30 * zone as y1 from rects),
+  b as (select zone, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1 from moved group by 1),
   o as (select max(x0) + 1e-4 as x0, max(y0) + 1e-4 as y0, min(x1) - 1e-4 as x1, min(y1) - 1e-4 as y1 from b)
-  select r.id, r.x0 <= o.x1 and r.x1 >= o.x0 and r.y0 <= o.y1 and r.y1 >= o.y0 as in_overlap, round(sqrt(((r.x0 + r.x1) / 2.0 - 250) ** 2 + ((r.y0 + r.y1) / 2.0 - 250) ** 2), 6) as distance from rects r, o where r.id % 7 > r.zone * 2""")
+  select r.id, r.x0 <= o.x1 and r.x1 >= o.x0 and r.y0 <= o.y1 and r.y1 >= o.y0 as in_overlap, round(sqrt(((r.x0 + r.x1) / 2.0 - 250) ** 2 + ((r.y0 + r.y1) / 2.0 - 250) ** 2), 6) as distance from moved r, o""")
 def zone_overlap_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = fx.rects(spark, sf_dir).where("id % 7 > zone * 2")
+    """One zone's rectangles are moved, so that the zones' bounds differ."""
+    grid = fx.rects(spark, sf_dir)
+    grid = grid.withColumns({c: F.col(c) + by * F.col("zone") for c, by in (("x0", 40), ("y0", -30), ("x1", 40), ("y1", -30))})
     return rounded(spatial.overlap_tiles(grid, "zone").select("id", "in_overlap", spatial.box_centre_distance(250, 250).alias("distance")), [])
 
 
@@ -154,5 +191,5 @@ def zone_overlap_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
   o as (select max(x0) + 1e-4 as x0, max(y0) + 1e-4 as y0, min(x1) - 1e-4 as x1, min(y1) - 1e-4 as y1 from b)
   select r.id, r.x0 <= o.x1 and r.x1 >= o.x0 and r.y0 <= o.y1 and r.y1 >= o.y0 as in_overlap, round(sqrt(((r.x0 + r.x1) / 2.0 - 250) ** 2 + ((r.y0 + r.y1) / 2.0 - 250) ** 2), 6) as distance from rects r, o""")
 def zone_overlap_all_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As zone_overlap_tiles, whose SQL leaves ids out, but over every rectangle."""
+    """As zone_overlap_tiles, with the rectangles where they are."""
     return rounded(spatial.overlap_tiles(fx.rects(spark, sf_dir), "zone").select("id", "in_overlap", spatial.box_centre_distance(250, 250).alias("distance")), [])
