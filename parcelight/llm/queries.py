@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, divergence, interaction, langid, minhash, mixing, quality, sharding, simhash, suffix, unigram
+from . import ann, bpe, divergence, interaction, langid, minhash, mixing, passages, quality, sharding, simhash, suffix, unigram
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,13 +70,17 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.dedup(table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interaction.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_simhash": op1_simhash, "op2_langid": op2_langid, "op3_quality": op3_quality, "op4_fingerprints": op4_fingerprints, "op5_nearest": op5_nearest, "op6_bpe": op6_bpe, "op7_substrings": op7_substrings, "op8_sharding": op8_sharding, "op9_mixing": op9_mixing, "op10_token_counts": op10_token_counts} | {"op11_divergence": op11_divergence, "op13_filter_audit": op13_filter_audit}
+    return {"op1_simhash": op1_simhash, "op2_langid": op2_langid, "op3_quality": op3_quality, "op4_fingerprints": op4_fingerprints, "op5_nearest": op5_nearest, "op6_bpe": op6_bpe, "op7_substrings": op7_substrings, "op8_sharding": op8_sharding, "op9_mixing": op9_mixing, "op10_token_counts": op10_token_counts} | {"op11_divergence": op11_divergence, "op12_passages": op12_passages, "op13_filter_audit": op13_filter_audit}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op11_divergence": divergence.SQL, "op13_filter_audit": interaction.SQL}
+    return {"op11_divergence": divergence.SQL, "op12_passages": passages.SQL, "op13_filter_audit": interaction.SQL}
