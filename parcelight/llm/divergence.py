@@ -37,7 +37,7 @@ def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "sour
         def out() -> Iterator[pa.RecordBatch]:
             for (lang, source), words in n.items():
                 within = seen[lang, source]
-                columns = [pa.array([lang] * len(words)), pa.array([source] * len(words)), pa.array(list(words), pa.binary()).cast(pa.string()), pa.array(words.values(), pa.int64()), pa.array([within[w] for w in words], pa.int64())]
+                columns = [pa.array([lang] * len(words), pa.string()), pa.array([source] * len(words), pa.string()), pa.array(list(words), pa.binary()).cast(pa.string()), pa.array(words.values(), pa.int64()), pa.array([within[w] for w in words], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
             n.clear()
             seen.clear()
@@ -71,8 +71,8 @@ def probability(n: Column, total: Column, v: Column) -> Column:
 
 
 def distance(p: Column, q: Column) -> Column:
-    """floor((p - q)^2 / (p + q))."""
-    return F.call_function("div", (p - q) * (p - q), p + q)
+    """floor((p - q)^2 / (p + q)); 0 where both are 0, as in a language without kept terms."""
+    return F.call_function("div", (p - q) * (p - q), F.greatest(p + q, F.lit(1)))
 
 
 class Audit:
@@ -109,7 +109,6 @@ class Audit:
         side = lambda df, x, cols: df.select("lang", *[F.col(c).alias(f"{c}_{x}") for c in cols])
         two = side(self.groups, "a", sides).join(side(self.groups, "b", sides), "lang").where("source_a < source_b")
         neither = two.select("lang", F.col("source_a").alias("a"), F.col("source_b").alias("b"), ((F.col("v_a") - F.col("k_a") - F.col("k_b")) * distance(F.col("zero_a"), F.col("zero_b"))).alias("value"))
-        neither = neither.withColumn("value", F.coalesce("value", F.lit(0).cast("long")))  # no kept term: 0 / 0
 
         histogram = self.postings.groupBy("lang", "source", "n", "p").agg(F.count(F.lit(1)).alias("terms"))
         against = histogram.join(small(side(self.groups, "b", ["source", "zero"])), "lang").where("source <> source_b")
