@@ -23,12 +23,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, frames, in_parts, lean, ranges, texts
+from .common import cut, frames, in_parts, lean, ranges, small, texts
 
 #: Words of a passage that counts as repeated, and of a seed.
 WINDOW, SEED = 35, 16
 #: Different surroundings of a seed that are compared in one task; rows compared at a time.
-GROUP, ROWS = 4096, 1 << 14
+GROUP, ROWS = 1 << 16, 1 << 14
 #: Documents without an id come last.
 LAST = (1 << 63) - 1
 #: An odd multiplier, so that it has an inverse modulo 2^64.
@@ -156,6 +156,19 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(lean(run), "doc long, mark long, z binary")
 
 
+def unpacked(batches: Iterator[pa.RecordBatch], limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of the batches with the texts of their column z; about limit bytes of text each, however small they travel."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        start, held, raws = 0, 0, []
+        for i, z in enumerate(batch.column(batch.schema.get_field_index("z"))):
+            raws.append(unpack(z.as_buffer()))
+            held += len(raws[-1])
+            if held >= limit or i + 1 == batch.num_rows:
+                yield batch.slice(start, i + 1 - start), raws
+                start, held, raws = i + 1, 0, []
+
+
 def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, group: int = GROUP) -> DataFrame:
     """doc, mark, start, end: words of docs (doc, mark, text; no two rows alike in doc and mark) that lie in a window of so
     many words which occurs anywhere else. Stretches overlap; end may lie behind a text's last word."""
@@ -170,20 +183,20 @@ def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, group: int
 
     seeds = docs.mapInArrow(lean(list_seeds), "h long, c long, doc long, mark long, pos int")
     several = seeds.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("p"), F.max("c").alias("q")).where("n > 1").select("h", (F.col("p") == F.col("q")).alias("alike"))
-    met = cut(seeds.join(several, "h"))
+    met = cut(seeds.join(small(cut(several)), "h"))  # written first, or Spark would not split the rows of a common seed
     unlike = met.where("not alike").select("h", "c", "doc", "mark", "pos")
     kinds = cut(unlike.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "mark", "pos")).alias("one")))
     copied = unlike.join(kinds.where("n > 1").select("h", "c"), ["h", "c"], "left_semi")
     whole = met.where("alike").select("doc", "mark", "pos").unionByName(copied.select("doc", "mark", "pos"))
     settled = whole.select("doc", "mark", F.greatest(F.col("pos") - reach, F.lit(0)).alias("start"), (F.col("pos") + window).alias("end"))
 
-    sizes = kinds.groupBy("h").agg((F.count(F.lit(1)) > group).alias("crowded"))
-    asked = kinds.join(sizes, "h").groupBy("one.doc", "one.mark").agg(F.collect_list(F.struct("one.pos", "crowded")).alias("at"))
+    many = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group).select("h", F.lit(True).alias("many"))
+    told = kinds.join(small(cut(many)), "h", "left").select("one.*", F.col("many").isNotNull().alias("crowded"))
+    asked = told.groupBy("doc", "mark").agg(F.collect_list(F.struct("pos", "crowded")).alias("at"))
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in in_parts(batches, "z", 1 << 20):
-            w = Words([unpack(z) for z in batch.column(2).to_pylist()], window, seed)
+        for batch, raws in unpacked(batches):
+            w = Words(raws, window, seed)
             _, at, low, high, h, _ = w.seeds()
             size = np.diff(batch.column(3).offsets.to_numpy())
             wanted = batch.column(3).flatten()
@@ -219,9 +232,10 @@ def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, group: int
     plain = seen.where("size(windows) = 0").drop("windows").repartition("h").sortWithinPartitions("h")
     longer = plain.mapInArrow(lean(compare), "doc long, mark long, start int, end int")
     firsts = seen.where("size(windows) > 0").select("h", "doc", "mark", (F.col("pos") - F.col("back")).alias("low"), F.posexplode("windows").alias("nth", "window"))
-    twice = firsts.groupBy("h", "window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "window")
-    start = F.col("low") + F.col("nth")
-    counted = firsts.join(twice, ["h", "window"], "left_semi").select("doc", "mark", start.alias("start"), (start + window).alias("end"))
+    firsts = firsts.select("h", "window", "doc", "mark", (F.col("low") + F.col("nth")).alias("start"))
+    place = F.struct("doc", "mark", "start")  # a window that holds its seed twice comes twice
+    twice = firsts.groupBy("h", "window").agg(F.min(place).alias("p"), F.max(place).alias("q")).where("p < q").select("h", "window")
+    counted = firsts.join(small(cut(twice)), ["h", "window"], "left_semi").select("doc", "mark", "start", (F.col("start") + window).alias("end"))
     return settled.unionByName(longer).unionByName(counted)
 
 
@@ -250,6 +264,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
 
     rows = cut(base.mapInArrow(lean(count_words), f"doc_id {id_type}, doc long, n_words long, words_sha binary, sha binary"))
     copies = rows.where(F.col("n_words") >= window).groupBy("sha").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sha", F.lit(True).alias("copied"))
+    copies = small(cut(copies))
     unique = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
     # texts of one id are told apart by a hash
     rows = cut(rows.join(copies, "sha", "left").withColumn("mark", F.lit(0).cast("long") if unique else F.xxhash64("sha")))
@@ -261,14 +276,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     listed = stretches.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "end")).alias("at"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in in_parts(batches, "z", 1 << 20):
+        for batch, raws in unpacked(batches):
             end, flat = batch.column(3).offsets.to_numpy(), batch.column(3).flatten()
             starts, ends = flat.field("start").to_numpy(), flat.field("end").to_numpy()
             end = end - end[0]
             out = []
-            for k, z in enumerate(batch.column(2).to_pylist()):
-                words = unpack(z).split()
+            for k, raw in enumerate(raws):
+                words = raw.split()
                 steps = np.zeros(len(words) + 1, np.int64)
                 np.add.at(steps, starts[end[k] : end[k + 1]], 1)
                 np.add.at(steps, np.minimum(ends[end[k] : end[k + 1]], len(words)), -1)
