@@ -223,3 +223,25 @@ def contours(x: np.ndarray, threshold: float, outside: float | None = None) -> l
             at = follow[at]
         rings.append(ring)
     return rings
+
+
+def contour_segments(x: np.ndarray, threshold: float, outside: float | None = None) -> tuple[np.ndarray, ...]:
+    """What ``contours`` puts together, as segments: row and col of the cell (its upper left pixel, -1 at the edges), ax,
+    ay, bx, by. What exceeds the threshold is on the left, with x to the right and y up."""
+    low = threshold - 1.0 if outside is None else outside
+    z = np.pad(x.astype(float), 1, constant_values=low)
+    rows, cols = np.mgrid[-1 : x.shape[0], -1 : x.shape[1]]
+    corner = [z[:-1, :-1], z[:-1, 1:], z[1:, 1:], z[1:, :-1]]  # with y up, counter-clockwise
+    high = [c > threshold for c in corner]
+    along = lambda a, b: np.divide(threshold - a, b - a, out=np.full(a.shape, 0.5), where=a != b)
+    tl, tr, br, bl = corner
+    across = [(cols + 0.5 + along(tl, tr), rows + 0.5), (cols + 1.5, rows + 0.5 + along(tr, br)), (cols + 0.5 + along(bl, br), rows + 1.5), (cols + 0.5, rows + 0.5 + along(tl, bl))]
+    out: list[tuple[np.ndarray, ...]] = []
+    for first in range(4):
+        for run in (1, 2, 3):  # high corners in a row, low ones before and after
+            hit = ~high[first - 1] & ~high[(first + run) % 4]
+            for k in range(run):
+                hit = hit & high[(first + k) % 4]
+            a, b = across[(first + run - 1) % 4], across[first - 1]
+            out.append(tuple(np.broadcast_to(v, hit.shape)[hit] for v in (rows, cols, *a, *b)))
+    return tuple(np.concatenate(v) for v in zip(*out, strict=True))

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import planar
+from ..functions import overlay
 from .components import components
+from .rings import polygons
 from .spatial import BOX, box_join, exact
 
 
@@ -47,8 +48,64 @@ def merge_zones(layer: DataFrame, zone: str, cell: float, max_area: float | None
     return out if max_area is None else out.where(F.col("box_area") < max_area)
 
 
-def shape(rings: list) -> list[planar.Ring]:
-    return [[(p["x"], p["y"]) for p in r] for r in rings]
+FIELDS = ("id", "component", "edge", "t0", "t1", "x0", "y0", "x1", "y1")
+
+
+def _schema(key: str, component: str) -> str:
+    return f"id {key}, component {component}, edge int, {', '.join(f'{c} double' for c in FIELDS[3:])}"
+
+
+def _listed(ids: pa.Array, component: pa.Array, row: np.ndarray, edge: np.ndarray, *values: np.ndarray) -> pa.RecordBatch:
+    take = pa.array(row.astype(np.int64))
+    return pa.RecordBatch.from_arrays([ids.take(take), component.take(take), pa.array(edge.astype(np.int32)), *map(pa.array, values)], FIELDS)
+
+
+def _numbered(shape: np.ndarray) -> np.ndarray:
+    """The number of each edge in its polygon."""
+    start = np.concatenate(([True], shape[1:] != shape[:-1])) if len(shape) else np.zeros(0, bool)
+    return np.arange(len(shape)) - np.maximum.accumulate(np.where(start, np.arange(len(shape)), 0))
+
+
+def edge_ends(layer: DataFrame) -> DataFrame:
+    """For each edge of a layer (id, component, rings) a piece of no length at its end, which also holds its beginning."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            shape, edges = overlay.edges_of(b.column(2))
+            ones, (ax, ay, bx, by) = np.ones(len(shape)), edges.T
+            yield _listed(b.column(0), b.column(1), shape, _numbered(shape), ones, ones, bx, by, ax, ay)
+
+    kinds = dict(layer.dtypes)
+    return layer.select("id", "component", "rings").mapInArrow(run, _schema(kinds["id"], kinds["component"]))
+
+
+def covered(pairs: DataFrame, sides: tuple[int, ...]) -> DataFrame:
+    """What of the left polygons' edges goes: the pieces on such sides of the right one. pairs has l and r (structs with
+    id, component and rings) and yields: whether a piece with both polygons on the same side goes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            p, q = b.column(0), b.column(1)
+            mine, other = overlay.edges_of(p.field("rings")), overlay.edges_of(q.field("rings"))
+            found = overlay.pieces(overlay.Pairs(mine, other, b.num_rows))
+            side, pair, edge = found["side"], found["pair"].astype(int), found["edge"].astype(int)
+            gone = np.isin(side, sides) | ((side == overlay.SAME) & np.asarray(b.column(2))[pair])
+            yield _listed(p.field("id"), p.field("component"), pair[gone], _numbered(mine[0])[edge[gone]], *(found[c][gone] for c in FIELDS[3:]))
+
+    left = pairs.schema["l"].dataType
+    kind = lambda c: left[c].dataType.simpleString()
+    return pairs.select("l", "r", "yields").mapInArrow(run, _schema(kind("id"), kind("component")))
+
+
+def uncovered(parts: DataFrame) -> DataFrame:
+    """component, ax, ay, bx, by: what the pieces of an edge leave of it."""
+    edge = Window.partitionBy("id", "edge")
+    before = edge.orderBy("t0", "t1").rowsBetween(Window.unboundedPreceding, -1)
+    point = lambda t, x, y: F.struct(F.col(t).alias("t"), F.col(x).alias("x"), F.col(y).alias("y"))
+    whole = F.first(F.when((F.col("t0") == 1) & (F.col("t1") == 1), F.struct(F.col("x1").alias("x"), F.col("y1").alias("y"))), ignorenulls=True)
+    begin = F.struct(F.lit(0.0).alias("t"), whole.over(edge)["x"].alias("x"), whole.over(edge)["y"].alias("y"))
+    gaps = parts.withColumn("since", F.coalesce(F.max(point("t1", "x1", "y1")).over(before), begin)).where("t0 - since.t > 1e-12")
+    return gaps.select("component", F.col("since.x").alias("ax"), F.col("since.y").alias("ay"), F.col("x0").alias("bx"), F.col("y0").alias("by"))
 
 
 def outline(layer: DataFrame, cell: float, key: str = "id") -> DataFrame:
@@ -59,36 +116,8 @@ def outline(layer: DataFrame, cell: float, key: str = "id") -> DataFrame:
     what is left of an edge is the gaps between the covered parts. No component is gathered anywhere.
     """
     layer = layer.where("size(rings) > 0").select(F.col(key).alias("id"), "component", *BOX, "rings")
-    fields = ["id", "component", "edge", "t0", "t1", "ax", "ay", "bx", "by"]
-    kinds = dict(layer.dtypes)
-    schema = f"id {kinds['id']}, component {kinds['component']}, edge int, t0 double, t1 double, ax double, ay double, bx double, by double"
-
-    def listed(rows: Iterator[tuple], ids: list[pa.DataType]) -> pa.RecordBatch:
-        made = [*ids, pa.int32(), *[pa.float64()] * 6]
-        columns = list(zip(*rows, strict=True)) or [[]] * len(fields)
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, made, strict=True)], fields)
-
-    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = ((r["id"], r["component"], n, 1.0, 1.0, *a, *z) for r in b.to_pylist() for n, (a, z) in enumerate(planar.directed_edges(shape(r["rings"]))))
-            yield listed(rows, [b.schema.field(0).type, b.schema.field(1).type])
-
-    def hidden(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for p, q in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                mine = shape(p["rings"])
-                edges = planar.directed_edges(mine)
-                rows += [(p["id"], p["component"], n, u, v, *edges[n][0], *edges[n][1]) for n, u, v in planar.covered(mine, shape(q["rings"]), p["id"] > q["id"])]
-            types = b.schema.field(0).type
-            yield listed(rows, [types.field("id").type, types.field("component").type])
-
-    pairs = box_join(layer, layer, cell).where("l.id <> r.id and l.component = r.component")
-    parts = layer.select("id", "component", "rings").mapInArrow(ends, schema).unionByName(pairs.mapInArrow(hidden, schema))
-    before = Window.partitionBy("id", "edge").orderBy("t0", "t1").rowsBetween(Window.unboundedPreceding, -1)
-    gaps = parts.withColumn("since", F.coalesce(F.max("t1").over(before), F.lit(0.0))).where("t0 - since > 1e-12")
-    along = lambda t, k: F.col(f"a{k}") + F.col(t) * (F.col(f"b{k}") - F.col(f"a{k}"))
-    return gaps.select("component", along("since", "x").alias("ax"), along("since", "y").alias("ay"), along("t0", "x").alias("bx"), along("t0", "y").alias("by"))
+    pairs = box_join(layer, layer, cell).where("l.id <> r.id and l.component = r.component").withColumn("yields", F.col("l.id") > F.col("r.id"))
+    return uncovered(edge_ends(layer).unionByName(covered(pairs, (overlay.INSIDE, overlay.OPPOSITE))))
 
 
 def measures(edges: DataFrame) -> DataFrame:
@@ -99,19 +128,6 @@ def measures(edges: DataFrame) -> DataFrame:
     )
 
 
-def traced(edges: DataFrame) -> DataFrame:
-    """component, part, rings: an outline as polygons, holes after the exterior; parts of a component touch in points at
-    most. One component's outline (not its shapes) is gathered in a task."""
-    kind = dict(edges.dtypes)["component"]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        made = planar.polygons([((a, b), (c, d)) for a, b, c, d in pdf[["ax", "ay", "bx", "by"]].itertuples(index=False)])
-        rows = [(pdf["component"].iloc[0], n, [[{"x": x, "y": y} for x, y in r] for r in g]) for n, g in enumerate(made)]
-        return pd.DataFrame(rows, columns=["component", "part", "rings"])
-
-    return edges.groupBy("component").applyInPandas(run, f"component {kind}, part int, rings array<array<struct<x:double,y:double>>>")
-
-
 def met(left: DataFrame, right: DataFrame, cell: float, key: str = "id") -> DataFrame:
     """Edges a < b for rows of two layers whose polygons share a point."""
     pairs = exact(box_join(left, right, cell).where(F.col(f"l.{key}") != F.col(f"r.{key}")))
@@ -126,16 +142,13 @@ def dissolve(layer: DataFrame, cell: float, key: str = "id") -> tuple[DataFrame,
     return named.select(key, "component"), outline(named, cell, key)
 
 
-def merge_zone_shapes(layer: DataFrame, zone: str, cell: float, max_area: float | None = None, key: str = "id") -> tuple[DataFrame, DataFrame]:
-    """Two zones' polygons as one layer, in one reference system: (component, n, area, perimeter, bounds; outline).
+def merge_zone_shapes(layer: DataFrame, zone: str, cell: float, max_area: float | None = None, key: str = "id") -> DataFrame:
+    """Two zones' polygons as one layer, in one reference system: component, part, area, rings of single polygons.
 
-    Polygons that share a point with one of the other zone are dissolved, the others pass as they are, and shapes whose
-    own area is max_area or more go.
+    Polygons that share a point with one of the other zone are dissolved, the others pass as they are. Parts that touch in
+    points only are polygons of their own, and those whose own area is max_area or more go.
     """
     a, b = (layer.where(F.col(zone) == z).select(key, *BOX, "rings") for z in (0, 1))
     named = connected(layer.select(key, *BOX, "rings"), met(a, b, cell, key), key)
-    edges = outline(named, cell, key)
-    made = measures(edges).join(named.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "component")
-    if max_area is not None:
-        made = made.where(F.col("area") < max_area)
-    return made, edges
+    made = polygons(outline(named, cell, key))
+    return made if max_area is None else made.where(F.col("area") < max_area)

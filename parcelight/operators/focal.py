@@ -81,4 +81,5 @@ def blocks(tiles: DataFrame, keys: list[str], size: int, halo: int) -> DataFrame
     high = lambda c, n: F.least((F.col(c) + 1) * size + halo, F.col(n)).cast("int")
     cut = cut.withColumns({"top": low("block_row"), "left": low("block_col"), "bottom": high("block_row", "h"), "right": high("block_col", "w")})
     lines = F.transform(F.sequence(F.col("top"), F.col("bottom") - 1), lambda r: F.slice("px", (r * F.col("w") + F.col("left") + 1).cast("int"), F.col("right") - F.col("left")))
-    return cut.select(*keys, "block_row", "block_col", "top", "left", (F.col("bottom") - F.col("top")).alias("h"), (F.col("right") - F.col("left")).alias("w"), F.flatten(lines).alias("px"))
+    cut = cut.withColumn("_px", F.flatten(lines))  # before h and w are given anew, or the lambda would take the new ones
+    return cut.select(*keys, "block_row", "block_col", "top", "left", (F.col("bottom") - F.col("top")).alias("h"), (F.col("right") - F.col("left")).alias("w"), F.col("_px").alias("px"))

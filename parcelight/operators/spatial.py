@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import planar
+from ..functions import overlay, planar
 
 BOX = ("x0", "y0", "x1", "y1")
 
@@ -36,15 +36,14 @@ def box_join(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
     return met.select(F.struct(*[F.col(f"a.{c}") for c in left.columns]).alias("l"), F.struct(*[F.col(f"b.{c}") for c in right.columns]).alias("r"))
 
 
-def exact(pairs: DataFrame, test: str = "intersects") -> DataFrame:
-    """Of pairs whose structs have rings, those that intersect (or of which the left contains the right one)."""
-    check = getattr(planar, test)
+def exact(pairs: DataFrame, test: str = "share_point") -> DataFrame:
+    """Of pairs whose structs have rings, those that share a point (or of which the left covers the right one)."""
+    check = getattr(overlay, test)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            shape = lambda row: [[(p["x"], p["y"]) for p in ring] for ring in row["rings"]]
-            left, right = (b.column(b.schema.get_field_index(c)).to_pylist() for c in ("l", "r"))
-            yield b.filter(pa.array([check(shape(p), shape(q)) for p, q in zip(left, right, strict=True)], pa.bool_()))
+            left, right = (overlay.edges_of(b.column(b.schema.get_field_index(c)).field("rings")) for c in ("l", "r"))
+            yield b.filter(pa.array(check(overlay.Pairs(left, right, b.num_rows))))
 
     return pairs.mapInArrow(run, pairs.schema)
 
@@ -100,6 +99,16 @@ def area(rings: Column) -> Column:
     return ring_area(F.element_at(rings, 1)) - F.aggregate(F.transform(holes, ring_area), F.lit(0.0), lambda s, v: s + v)
 
 
+def perimeter(rings: Column) -> Column:
+    """Length of all rings."""
+
+    def length(ring: Column) -> Column:
+        following = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
+        return F.aggregate(F.zip_with(ring, following, lambda p, q: F.hypot(q["x"] - p["x"], q["y"] - p["y"])), F.lit(0.0), lambda s, v: s + v)
+
+    return F.aggregate(F.transform(rings, length), F.lit(0.0), lambda s, v: s + v)
+
+
 def vertex_count(rings: Column) -> Column:
     return F.aggregate(F.transform(rings, F.size), F.lit(0), lambda s, n: s + n)
 

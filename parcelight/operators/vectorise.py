@@ -1,8 +1,8 @@
 """From probability rasters to parcel polygons.
 
-Blocks are traced on their own; where their polygons meet a border, they are edges of one graph, and each component is
-dissolved in raster space: its pixels are traced once more as a whole. So no ring union is needed, and the result does
-not depend on the size of blocks.
+Each block gives the boundary segments of its own cells. Segments of neighbouring blocks meet in the same points, since
+both work them out from the same two pixels; rings are put together from segments (``rings``), so no polygon is stitched
+or merged, none has to fit into a block or a task, and the result does not depend on the size of blocks.
 """
 
 from __future__ import annotations
@@ -11,11 +11,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels, planar
-from .dissolve import connected
+from . import rings
 
 
 def contour_rings(tiles: DataFrame, keys: list[str], threshold: float) -> DataFrame:
@@ -35,52 +36,29 @@ def contour_rings(tiles: DataFrame, keys: list[str], threshold: float) -> DataFr
     return tiles.select(*keys, "h", "w", "px").mapInPandas(run, schema)
 
 
-def label_blocks(blocks: DataFrame, keys: list[str], threshold: float) -> DataFrame:
-    """keys, block_row, block_col, row, col (in the raster), component (in the block) of pixels over the threshold."""
-    kinds = dict(blocks.dtypes)
-    where = [*keys, "block_row", "block_col"]
-    schema = ", ".join([*(f"{k} {kinds[k]}" for k in where), "row int, col int, value double, part long"])
+def contour_edges(blocks: DataFrame, key: str, threshold: float, size: int) -> DataFrame:
+    """component (the key), ax, ay, bx, by: the boundary of what exceeds the threshold, in raster coordinates (x = column).
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for row in b.itertuples(index=False):
-                x = np.asarray(row.px, float).reshape(row.h, row.w)
-                parts = kernels.label(x > threshold)
-                r, c = np.nonzero(parts)
-                yield pd.DataFrame({**{k: np.full(len(r), getattr(row, k)) for k in where}, "row": r + row.top, "col": c + row.left, "value": x[r, c], "part": parts[r, c]})
+    blocks: key, block_row, block_col, top, left, h, w, px; size x size pixels with a halo of one. A cell of four pixels
+    belongs to the block of its upper left one; those beyond the upper and left edge belong to the first blocks. Pixels
+    that no block has are low.
+    """
+    schema = f"component {dict(blocks.dtypes)[key]}, ax double, ay double, bx double, by double"
 
-    return blocks.select(*where, "top", "left", "h", "w", "px").mapInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                n, m, top, left, h, w = (b[c][i].as_py() for c in ("block_row", "block_col", "top", "left", "h", "w"))
+                r, c, *xy = kernels.contour_segments(np.asarray(b["px"][i].values, float).reshape(h, w), threshold)
+                own = lambda at, k: (at // size == k) | ((at < 0) & (k == 0))
+                mine = own(r + top, n) & own(c + left, m)
+                component = b["component"].take(pa.array(np.full(int(mine.sum()), i)))
+                yield pa.RecordBatch.from_arrays([component, *[pa.array(v[mine] + by) for v, by in zip(xy, (left, top) * 2, strict=True)]], ["component", *rings.XY])
 
+    return blocks.select(F.col(key).alias("component"), "block_row", "block_col", "top", "left", "h", "w", "px").mapInArrow(run, schema)
 
-def parcels(blocks: DataFrame, key: str, threshold: float) -> DataFrame:
-    """key, component, row, col, value of pixels over the threshold, components joined across block borders.
 
-    Blocks have a halo of one pixel. A pixel in two blocks belongs to one component of each, which makes them one; only
-    such pixels become edges.
-    """
-    pixels = label_blocks(blocks, [key], threshold).withColumn("node", F.xxhash64(key, "block_row", "block_col", "part"))
-    per_pixel = pixels.groupBy(key, "row", "col").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.first("value").alias("value"))
-    nodes = pixels.select(F.col("node").alias("id")).distinct()
-    many = pixels.join(per_pixel.where("a <> b").select(key, "row", "col", "a"), [key, "row", "col"]).where("a <> node").select("a", F.col("node").alias("b")).distinct()
-    named = connected(nodes, many).select(F.col("id").alias("a"), "component")
-    return per_pixel.join(named, "a").select(key, "component", "row", "col", "value")
-
-
-def trace(pixels: DataFrame, key: str, threshold: float) -> DataFrame:
-    """key, component, area and rings (exterior first) of each component's polygon, in raster coordinates (x = column)."""
-    schema = f"{key} {dict(pixels.dtypes)[key]}, component long, area double, rings array<array<struct<x: double, y: double>>>"
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        r0, c0 = int(pdf["row"].min()), int(pdf["col"].min())
-        x = np.full((int(pdf["row"].max()) - r0 + 1, int(pdf["col"].max()) - c0 + 1), threshold - 1.0)
-        x[pdf["row"] - r0, pdf["col"] - c0] = pdf["value"]
-        rings = sorted(kernels.contours(x, threshold), key=lambda r: -abs(planar.ring_area(r)))
-        out = []
-        outer = [r for r in rings if planar.ring_area(r) * planar.ring_area(rings[0]) > 0]
-        for ext in outer:
-            holes = [h for h in rings if h not in outer and planar.contains_point([ext], *h[0])]
-            shape = [[{"x": p + c0, "y": q + r0} for p, q in ring] for ring in (ext, *holes)]
-            out.append((pdf[key].iloc[0], pdf["component"].iloc[0], planar.area([ext, *holes]), shape))
-        return pd.DataFrame(out, columns=[key, "component", "area", "rings"])
-
-    return pixels.groupBy(key, "component").applyInPandas(run, schema)
+def parcels(blocks: DataFrame, key: str, threshold: float, size: int) -> DataFrame:
+    """key, part, area, rings (exterior first) of what exceeds the threshold, in raster coordinates. In a saddle high ground
+    is kept apart."""
+    return rings.polygons(contour_edges(blocks, key, threshold, size)).withColumnRenamed("component", key)

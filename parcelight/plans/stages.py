@@ -144,9 +144,9 @@ def vectors(tiles: DataFrame, config: VectorisationConfig) -> DataFrame:
     placed = pixels.select("zone", (F.col("g_row") + F.col("row")).alias("row"), (F.col("g_col") + F.col("col")).alias("col"), "v", weight.alias("weight"))
     merged = mosaic.overlap_average(placed, ["zone", "row", "col"], "v", "weight")
     size = config.chunk_size
-    reach = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    spread = merged.select("zone", "row", "col", "value", F.explode(reach).alias("s"))
-    block = spread.select("zone", "row", "col", "value", F.floor((F.col("row") + F.col("s.i")) / size).cast("int").alias("block_row"), F.floor((F.col("col") + F.col("s.j")) / size).cast("int").alias("block_col")).distinct()
+    # a pixel belongs to its block, and to its neighbours where it lies at a border: at most to four
+    near = lambda c: F.array_distinct(F.array(*[F.floor((F.col(c) + i) / size).cast("int") for i in (-1, 0, 1)]))
+    block = merged.withColumn("block_row", F.explode(near("row"))).withColumn("block_col", F.explode(near("col")))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         top, left = int(pdf["row"].min()), int(pdf["col"].min())
@@ -157,4 +157,4 @@ def vectors(tiles: DataFrame, config: VectorisationConfig) -> DataFrame:
 
     kinds = dict(tiles.dtypes)
     blocks = block.groupBy("zone", "block_row", "block_col").applyInPandas(run, f"zone {kinds['zone']}, block_row int, block_col int, top int, left int, h int, w int, px array<double>")
-    return vectorise.trace(vectorise.parcels(blocks, "zone", config.threshold), "zone", config.threshold)
+    return vectorise.parcels(blocks, "zone", config.threshold, size)

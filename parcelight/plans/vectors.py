@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from ..operators import dissolve, spatial
+from ..operators import areas, dissolve, rings, spatial
 from ..sources import fixtures as fx
 from .registry import query
 from .tabular import rounded
@@ -109,18 +109,25 @@ def dissolve_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out.select("component", "n", "area", "perimeter"), [])
 
 
-@query(f"with recursive {fx.RECTS}, {_GRAPH.format(more='and (a.zone <> b.zone or a.id = b.id)')}, {_UNION} select * from unions where area < 40")
+_PARTS = """corner as (select component, gx, gy, row_number() over () as k from cells),
+  beside as (select a.component, a.k as p, b.k as q from corner a join corner b on a.component = b.component and abs(a.gx - b.gx) + abs(a.gy - b.gy) <= 1),
+  spread as (select component, p, q from beside union select r.component, r.p, e.q from spread r join beside e on e.p = r.q),
+  member as (select component, p, min(q) as part from spread group by 1, 2),
+  parts as (select component, part, count(*) as area from member group by 1, 2)"""
+
+
+@query(f"with recursive {fx.RECTS}, {_GRAPH.format(more='and (a.zone <> b.zone or a.id = b.id)')}, {_UNION}, {_PARTS} select component, count(*) as parts, sum(area)::double as area from parts where area < 40 group by 1")
 def zone_merge_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two zones merged on their shapes, with a limit on the area of the union."""
-    out, _ = dissolve.merge_zone_shapes(_ringed(spark, sf_dir), "zone", CELL, 40)
-    return rounded(out.select("component", "n", "area", "perimeter"), [])
+    """Two zones merged on their shapes, with a limit on the area of each polygon of the union."""
+    out = dissolve.merge_zone_shapes(_ringed(spark, sf_dir), "zone", CELL, 40)
+    return rounded(out.groupBy("component").agg(F.count(F.lit(1)).alias("parts"), F.sum("area").alias("area")), [])
 
 
 @query(f"with recursive {fx.RECTS}, {_GRAPH.format(more='')}, {_UNION} select component, area from unions")
 def dissolve_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The area of the traced polygons, less their holes, is that of the union."""
     _, edges = dissolve.dissolve(_ringed(spark, sf_dir), CELL)
-    made = dissolve.traced(edges)
+    made = rings.polygons(edges)
     return rounded(made.groupBy("component").agg(F.sum(spatial.area(F.col("rings"))).alias("area")), [])
 
 
@@ -167,11 +174,11 @@ def bounds_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def parcels_from_rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Blocks of images with halos, labelled, joined across borders, traced and simplified."""
+    """Blocks of images with halos; their boundary segments, put together and simplified."""
     from ..operators import focal, vectorise
 
     tiles = fx.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("img"), F.lit(8).alias("h"), F.lit(8).alias("w"), F.transform("embedding", lambda v: v.cast("double")).alias("px"))
-    made = vectorise.trace(vectorise.parcels(focal.blocks(tiles, ["img"], 4, 1), "img", 0.0), "img", 0.0)
+    made = vectorise.parcels(focal.blocks(tiles, ["img"], 4, 1), "img", 0.0, 4)
     out = spatial.simplified(made, "rings", 0.25)
     return rounded(out.groupBy("img").agg(F.count(F.lit(1)).alias("polygons"), F.sum(F.round(F.col("area"), 6)).alias("area"), F.sum(spatial.vertex_count(F.col("rings"))).alias("vertices")), [], 5)
 
@@ -193,3 +200,36 @@ def zone_overlap_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zone_overlap_all_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As zone_overlap_tiles, with the rectangles where they are."""
     return rounded(spatial.overlap_tiles(fx.rects(spark, sf_dir), "zone").select("id", "in_overlap", spatial.box_centre_distance(250, 250).alias("distance")), [])
+
+
+@query(f"with {fx.RECTS}, {fx.ELLS} select distinct a.id as left_id, b.id as right_id from arms a join arms b on a.zone = 0 and b.zone = 1 and {_MEET}")
+def spatial_join_concave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Concave polygons that share a point; some of their boxes do where they do not."""
+    a, b = (fx.ells(spark, sf_dir).where(F.col("zone") == z) for z in (0, 1))
+    return spatial.exact(spatial.box_join(a, b, CELL)).select(F.col("l.id").alias("left_id"), F.col("r.id").alias("right_id"))
+
+
+@query(f"with {fx.RECTS}, {fx.ELLS} select a.id as left_id, b.id as right_id, count(*)::double as area from cells a join cells b on a.gx = b.gx and a.gy = b.gy and a.zone = 0 and b.zone = 1 group by 1, 2")
+def overlay_intersections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What concave polygons of two zones share."""
+    a, b = (fx.ells(spark, sf_dir).where(F.col("zone") == z) for z in (0, 1))
+    return areas.intersections(a, b, CELL).groupBy("left_id", "right_id").agg(F.sum("area").alias("area"))
+
+
+_SIDES = """(select p.id, count(*) as cells, count(e.gx) + count(f.gx) as joined from {t} p
+  left join {t} e on e.id = p.id and e.gx = p.gx + 1 and e.gy = p.gy left join {t} f on f.id = p.id and f.gx = p.gx and f.gy = p.gy + 1 group by 1)"""
+
+
+@query(f"with {fx.RECTS}, {fx.ELLS}, kept as (select id, gx, gy from cells a where zone = 0 and not exists (select 1 from cells b where b.zone = 1 and a.gx = b.gx and a.gy = b.gy)) select id, cells::double as area, (4 * cells - 2 * joined)::double as perimeter from {_SIDES.format(t='kept')}")
+def overlay_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each polygon of one zone less all of the other."""
+    a, b = (fx.ells(spark, sf_dir).where(F.col("zone") == z) for z in (0, 1))
+    out = areas.difference(a, b, CELL)
+    return out.groupBy("id").agg(F.sum("area").alias("area"), F.sum(spatial.perimeter(F.col("rings"))).alias("perimeter"))
+
+
+@query(f"with {fx.RECTS}, {fx.ELLS}, shared as (select distinct 0 as id, a.gx, a.gy from cells a join cells b on a.gx = b.gx and a.gy = b.gy and a.zone = 0 and b.zone = 1) select cells::double as area, (4 * cells - 2 * joined)::double as perimeter from {_SIDES.format(t='shared')}")
+def zone_overlap_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the unions of two zones share."""
+    a, b = (fx.ells(spark, sf_dir).where(F.col("zone") == z) for z in (0, 1))
+    return areas.shared(a, b, CELL).agg(F.sum("area").alias("area"), F.sum(spatial.perimeter(F.col("rings"))).alias("perimeter"))

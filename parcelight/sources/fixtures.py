@@ -72,6 +72,22 @@ RECTS = """rects0 as (select p_partkey as id, (p_partkey % 2)::int as zone, (con
   rects as (select id, zone, x0, y0, (x0 + p_size % 7 + 1)::int as x1, (y0 + p_size % 5 + 1)::int as y1 from rects0)"""
 
 
+def ells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Concave polygons: the rectangles without the quarter beyond (mx, my); thin ones stay rectangles."""
+    middle = lambda a, b: F.floor((F.col(a) + F.col(b) + 1) / 2).cast("int")
+    at = lambda x, y: F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    made = rects(spark, sf_dir).withColumns({"mx": middle("x0", "x1"), "my": middle("y0", "y1")})
+    whole = F.array(at("x0", "y0"), at("x1", "y0"), at("x1", "y1"), at("x0", "y1"))
+    bent = F.array(at("x0", "y0"), at("x1", "y0"), at("x1", "my"), at("mx", "my"), at("mx", "y1"), at("x0", "y1"))
+    return made.withColumn("rings", F.array(F.when((F.col("mx") < F.col("x1")) & (F.col("my") < F.col("y1")), bent).otherwise(whole)))
+
+
+ELLS = """ells as (select *, ((x0 + x1 + 1) // 2)::int as mx, ((y0 + y1 + 1) // 2)::int as my from rects),
+  ones as (select id, zone, mx, my, x1, y1, unnest(range(x0, x1)) as gx, y0 from ells),
+  cells as (select id, zone, gx, gy from (select id, zone, mx, my, gx, unnest(range(y0, y1)) as gy from ones) where not (gx >= mx and gy >= my)),
+  arms as (select id, zone, x0, y0, case when mx < x1 and my < y1 then my else y1 end as y1, x1 from ells union all select id, zone, x0, y0, y1, mx from ells where mx < x1 and my < y1)"""
+
+
 def mgrs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tile names in the grid's style."""
     key = F.col("n_nationkey")

@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from parcelight.functions import planar
-from parcelight.operators import dissolve, spatial
+from parcelight.operators import dissolve, rings, spatial
 
 
 def regular(x, y, r, n, turn):
@@ -35,7 +35,7 @@ def test_union_of_turned_polygons(spark):
         own = [shapes[k] for k in part if part[k] == c]
         seen = sum(any(planar.contains_point(g, x, y) for g in own) for x in grid for y in grid)
         assert abs(seen * step * step - area[c]) < 0.05 * area[c] + 0.2
-    drawn = dissolve.traced(edges).groupBy("component").agg(F.sum(spatial.area(F.col("rings"))).alias("area")).collect()
+    drawn = rings.polygons(edges).groupBy("component").agg(F.sum(spatial.area(F.col("rings"))).alias("area")).collect()
     assert {r["component"] for r in drawn} == set(area)
     assert all(abs(r["area"] - area[r["component"]]) < 1e-4 for r in drawn)
 
@@ -47,11 +47,11 @@ def test_shared_edges_holes_and_shapes_inside(spark):
     _, edges = dissolve.dissolve(layer(spark, shapes), 4.0)
     out = {r["component"]: r for r in dissolve.measures(edges).collect()}
     assert {k: (r["area"], r["perimeter"]) for k, r in out.items()} == {0: (16.0, 32.0), 4: (1.0, 4.0), 5: (2.0, 6.0), 7: (100.0, 40.0), 9: (2.0, 8.0)}
-    drawn = dissolve.traced(edges).collect()
+    drawn = rings.polygons(edges).collect()
     assert {(r["component"], r["part"]): [len(g) for g in r["rings"]] for r in drawn} == {(0, 0): [4, 4], (4, 0): [4], (5, 0): [4], (7, 0): [4], (9, 0): [4], (9, 1): [4]}
 
 
 def test_no_shapes(spark):
     empty = layer(spark, [[[(0, 0), (1, 0), (1, 1)]]]).where("false")
     members, edges = dissolve.dissolve(empty, 1.0)
-    assert members.count() == 0 and dissolve.traced(edges).count() == 0
+    assert members.count() == 0 and rings.polygons(edges).count() == 0
