@@ -25,6 +25,12 @@ def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
 def edges_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(polygon, edges) of an array of polygons (lists of rings of points): exteriors run counter-clockwise, holes
     clockwise. Null and empty ones have no edges."""
+    shape, _, edges = ring_edges(column)
+    return shape, edges
+
+
+def ring_edges(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As edges_of, with the number of the ring in between; a ring's edges follow one another."""
     rings = column.flatten()
     shape = np.repeat(np.arange(len(column)), np.asarray(column.value_lengths().fill_null(0)))
     size = np.asarray(rings.value_lengths().fill_null(0)).astype(np.int64)
@@ -39,9 +45,10 @@ def edges_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     np.add.at(area, ring, (out[:, 0] - out[:, 2]) * (out[:, 1] + out[:, 3]))
     first = np.concatenate(([True], shape[1:] != shape[:-1])) if len(shape) else np.zeros(0, bool)
     turn = ((area > 0) != first)[ring]
-    out[turn] = out[turn][:, [2, 3, 0, 1]]
+    back = np.where(turn, (end - 1 + end - size)[ring] - n, n) if len(n) else n  # rings that run the other way, from their end
+    out = np.where(turn[:, None], out[back][:, [2, 3, 0, 1]], out)
     some = (out[:, 0] != out[:, 2]) | (out[:, 1] != out[:, 3])
-    return shape[ring][some], out[some]
+    return shape[ring][some], ring[some], out[some]
 
 
 class Pairs:
@@ -189,3 +196,21 @@ def covers(pairs: Pairs) -> np.ndarray:
     out[mine["pair"][(mine["side"] == OUTSIDE) | (mine["side"] == OPPOSITE)].astype(int)] = False
     out[other["pair"][other["side"] == INSIDE].astype(int)] = False
     return out & (pairs.pn > 0)
+
+
+def corners_on(pairs: Pairs) -> tuple[np.ndarray, ...]:
+    """(pair, edge, t, points): the second polygons' corners that lie on edges of the first ones, between their ends."""
+    out, shift = [], 0
+    for first, k in pairs.parts():
+        count = k.qn[k.pk]
+        i, j = np.repeat(np.arange(len(k.p)), count), ranges(k.q0[k.pk], count)
+        e, f = k.p[i], k.q[j]
+        dx, dy = e[:, 2] - e[:, 0], e[:, 3] - e[:, 1]
+        square = dx * dx + dy * dy
+        t = ((f[:, 0] - e[:, 0]) * dx + (f[:, 1] - e[:, 1]) * dy) / square
+        hit = (np.abs(side(e, f)[0]) <= NEAR * np.sqrt(square)) & (t > 1e-12) & (t < 1 - 1e-12)
+        out.append((first + k.pk[i[hit]], shift + i[hit], t[hit], f[hit, :2]))
+        shift += len(k.p)
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros((0, 2))
+    return tuple(np.concatenate(v) for v in zip(*out, strict=True))

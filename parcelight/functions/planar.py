@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+
 Ring = list[tuple[float, float]]
 
 
@@ -179,6 +181,33 @@ def simplify_ring(ring: Ring, tolerance: float) -> Ring:
     return out if len(out) >= 3 else ring
 
 
+def kept_points(x: np.ndarray, y: np.ndarray, tolerance: float, closed: bool = False, bent: bool = False) -> np.ndarray:
+    """Places of the points of a line that Douglas and Peucker's method keeps. closed: the line ends where it begins, and
+    keeps two more points; bent: it keeps one more if only its ends would be left."""
+    x, y = np.asarray(x, float), np.asarray(y, float)
+    keep = np.zeros(len(x), bool)
+    keep[[0, -1]] = True
+
+    def farthest(a: int, b: int) -> tuple[float, int]:
+        dx, dy = x[b] - x[a], y[b] - y[a]
+        n = math.hypot(dx, dy)
+        px, py = x[a + 1 : b] - x[a], y[a + 1 : b] - y[a]
+        d = np.abs(dx * py - dy * px) / n if n else np.hypot(px, py)
+        return (float(d.max()), a + 1 + int(d.argmax())) if len(d) else (-1.0, -1)
+
+    todo = [(0, len(x) - 1)]
+    need = 2 if closed else int(bent)
+    while todo:
+        a, b = todo.pop()
+        far, at = farthest(a, b)
+        if at >= 0 and (far > tolerance or need > 0):
+            need -= 1
+            keep[at] = True
+            parts = [(a, at), (at, b)]
+            todo += sorted(parts, key=lambda p: farthest(*p)[0]) if need > 0 else parts
+    return np.flatnonzero(keep)
+
+
 #: WGS 84 and the UTM grid (fixed values).
 SEMI_MAJOR, FLATTENING, SCALE, FALSE_EASTING, FALSE_NORTHING = 6378137.0, 1 / 298.257223563, 0.9996, 500000.0, 10000000.0
 

@@ -9,11 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import overlay
+from ..functions import offset, overlay
 from . import dissolve, rings, spatial
 from .spatial import BOX, box_join
 
 ENDS = rings.XY
+ranges = overlay.ranges
 
 
 def _shaped(layer: DataFrame, key: str) -> DataFrame:
@@ -125,3 +126,118 @@ def shared(left: DataFrame, right: DataFrame, cell: float, key: str = "id") -> D
     between = both.select("edge", pick(late, "t0"), pick(early, "t1"), pick(late, "x0"), pick(late, "y0"), pick(early, "x1"), pick(early, "y1"))
     kept = merged(mine.where(F.col("side").isin(overlay.INSIDE, overlay.SAME)).drop("side")).unionByName(merged(within.unionByName(between)))
     return rings.polygons(kept.withColumn("component", F.lit(0))).drop("component")
+
+
+def buffered(layer: DataFrame, distance: float, quarter: int = 16, key: str = "id") -> DataFrame:
+    """id, part, area, rings: each polygon widened by a distance, or narrowed if it is negative, with round corners (quarter:
+    segments of a quarter circle). One that vanishes has no row, one that falls apart several."""
+    shaped = layer.where("size(rings) > 0").select(F.col(key).alias("component"), "rings")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            shape, ring, edges = overlay.ring_edges(b.column(1))
+            bound = np.searchsorted(shape, np.arange(b.num_rows + 1))
+            made = [offset.buffered(edges[i:j], ring[i:j], distance, quarter) for i, j in zip(bound[:-1], bound[1:], strict=True)]
+            take = pa.array(np.repeat(np.arange(b.num_rows), [len(m) for m in made]))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), *[pa.array(v) for v in np.concatenate(made).T]], ["component", *ENDS])
+
+    kind = dict(shaped.dtypes)["component"]
+    return rings.polygons(shaped.mapInArrow(run, f"component {kind}, {', '.join(f'{c} double' for c in ENDS)}")).withColumnRenamed("component", "id")
+
+
+def rasterised(layer: DataFrame, height: int, width: int, resolution: float = 1.0, key: str = "id") -> DataFrame:
+    """id, row, col of the pixels whose centre is in a polygon: x = (col + 0.5) * resolution, y alike, even and odd over its
+    rings. A polygon travels as a stretch of pixels for each row."""
+    kind = dict(layer.dtypes)[key]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            shape, e = overlay.edges_of(b.column(1))
+            e = e / resolution
+            low, high = np.minimum(e[:, 1], e[:, 3]), np.maximum(e[:, 1], e[:, 3])
+            first, last = (np.clip(np.ceil(v - 0.5), 0, height).astype(np.int64) for v in (low, high))  # rows with low <= centre < high
+            k, row = np.repeat(np.arange(len(e)), last - first), overlay.ranges(first, last - first)
+            x = e[k, 0] + (row + 0.5 - e[k, 1]) * (e[k, 2] - e[k, 0]) / (e[k, 3] - e[k, 1])
+            order = np.lexsort((x, row, shape[k]))  # crossings of a row come in pairs
+            x, row, own = x[order].reshape(-1, 2), row[order][::2], shape[k][order][::2]
+            begin, end = (np.clip(np.ceil(v - 0.5), 0, width).astype(np.int32) for v in x.T)
+            some = begin < end
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(own[some])), pa.array(row[some].astype(np.int32)), pa.array(begin[some]), pa.array(end[some])], ["id", "row", "begin", "end"])
+
+    spans = layer.where("size(rings) > 0").select(F.col(key).alias("id"), "rings").mapInArrow(run, f"id {kind}, row int, begin int, end int")
+    return spans.select("id", "row", F.explode(F.sequence(F.col("begin"), F.col("end") - 1)).alias("col"))
+
+
+#: Edges of an area that may be sent to all executors.
+FEW_EDGES = 200_000
+
+
+class Bands:
+    """The edges of an area by the horizontal bands they lie in."""
+
+    def __init__(self, edges: np.ndarray) -> None:
+        self.edges = edges
+        low, high = np.minimum(edges[:, 1], edges[:, 3]), np.maximum(edges[:, 1], edges[:, 3])
+        self.low, self.n = low.min(), max(1, len(edges) // 4)
+        self.height = max((high.max() - self.low) / self.n, 1e-9)
+        self.first, last = self.band(low), self.band(high)
+        edge, band = np.repeat(np.arange(len(edges)), last - self.first + 1), ranges(self.first, last - self.first + 1)
+        order = np.argsort(band, kind="stable")
+        self.edge, band = edge[order], band[order]
+        self.start = np.searchsorted(band, np.arange(self.n + 1))
+
+    def band(self, y: np.ndarray) -> np.ndarray:
+        return np.clip(np.floor((y - self.low) / self.height), 0, self.n - 1).astype(np.int64)
+
+    def beside(self, shape: np.ndarray, edges: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(polygon, edges of the area) for those that share a band with one of n polygons, each once. A ray from a point of a
+        polygon meets no other edges."""
+        low, high = np.full(n, np.inf), np.full(n, -np.inf)
+        np.minimum.at(low, shape, edges[:, 1])
+        np.maximum.at(high, shape, edges[:, 1])
+        some = np.flatnonzero(low <= high)
+        first = self.band(low[some])
+        count = self.band(high[some]) - first + 1
+        own, band = np.repeat(np.arange(len(some)), count), ranges(first, count)
+        size = self.start[band + 1] - self.start[band]
+        k, edge = np.repeat(np.arange(len(own)), size), self.edge[ranges(self.start[band], size)]
+        home = band[k] == np.maximum(self.first[edge], first[own[k]])
+        return some[own[k[home]]], self.edges[edge[home]]
+
+
+def against(layer: DataFrame, area: DataFrame, cell: float, test: str, key: str = "id") -> DataFrame:
+    """id of the polygons of a layer that share a point with an area, or are covered by it. area: rows with box and rings,
+    polygons that do not overlap. Its edges are sent to all executors if they are few; else both are joined in cells."""
+    shaped, parts = _shaped(layer, key), area.where("size(rings) > 0")
+    corners = parts.agg(F.sum(spatial.vertex_count(F.col("rings")))).first()[0] or 0
+    if corners > FEW_EDGES:
+        parts = parts.select(F.xxhash64("rings").alias("id"), *BOX, "rings")
+        return spatial.exact(box_join(parts, shaped, cell), test).select("r.id").distinct()
+    if not corners:
+        return shaped.where("false").select("id")
+    table = parts.select("rings").toArrow().combine_chunks()  # FEW_EDGES at most
+    bands = layer.sparkSession.sparkContext.broadcast(Bands(overlay.edges_of(table.to_batches()[0].column(0))[1]))
+    check = getattr(overlay, test)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for start in range(0, b.num_rows, 1000):
+                part = b.slice(start, 1000)
+                shape, edges = overlay.edges_of(part.column(1))
+                near = bands.value.beside(shape, edges, part.num_rows)
+                order = np.argsort(near[0], kind="stable")
+                hit = check(overlay.Pairs((near[0][order], near[1][order]), (shape, edges), part.num_rows))
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(hit))], ["id"])
+
+    return shaped.select("id", "rings").mapInArrow(run, f"id {dict(shaped.dtypes)['id']}")
+
+
+def split_by_area(layer: DataFrame, area: DataFrame, cell: float, key: str = "id") -> tuple[DataFrame, DataFrame]:
+    """(rows apart from an area, rows that share a point with it), by the shapes themselves. Rows without a shape are apart."""
+    hit = against(layer, area, cell, "share_point", key).withColumnRenamed("id", key)
+    return layer.join(hit, key, "left_anti"), layer.join(hit, key, "left_semi")
+
+
+def contained_in(layer: DataFrame, area: DataFrame, cell: float, key: str = "id") -> DataFrame:
+    """Rows whose shape an area covers."""
+    return layer.join(against(layer, area, cell, "covers", key).withColumnRenamed("id", key), key, "left_semi")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from ..operators import areas, dissolve, rings, spatial
+from ..operators import arcs, areas, dissolve, rings, spatial
 from ..sources import fixtures as fx
 from .registry import query
 from .tabular import rounded
@@ -233,3 +233,49 @@ def zone_overlap_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the unions of two zones share."""
     a, b = (fx.ells(spark, sf_dir).where(F.col("zone") == z) for z in (0, 1))
     return areas.shared(a, b, CELL).agg(F.sum("area").alias("area"), F.sum(spatial.perimeter(F.col("rings"))).alias("perimeter"))
+
+
+_KEPT = "case when abs({c}) > 1.5 then {c} else 0 end"
+
+
+@query(f"with {fx.CELLS}, k as (select id, " + ", ".join(_KEPT.format(c=f'\"{c}\"') + f" as k{c}" for c in ("low", "high", "left", "right")) + " from cells) select id, (100 + 5 * (khigh - klow + kright - kleft))::double as area, 4 + (klow <> 0)::int + (khigh <> 0)::int + (kleft <> 0)::int + (kright <> 0)::int as vertices from k")
+def simplify_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sheet of neighbours, simplified along their common borders: points that are off by less than the tolerance go."""
+    out = arcs.simplified(fx.cells(spark, sf_dir), 16.0, 1.5)
+    return rounded(out.select("id", "area", spatial.vertex_count(F.col("rings")).alias("vertices")), [])
+
+
+_EDGES = """sides as (select id, unnest([[x0, y0, x1, y0], [x1, y0, x1, b], [x1, b, a, b], [a, b, a, y1], [a, y1, x0, y1], [x0, y1, x0, y0]]) as e from
+  (select *, case when mx < x1 and my < y1 then mx else x1 end as a, case when mx < x1 and my < y1 then my else y1 end as b from ells))"""
+
+
+@query(f"""with {fx.RECTS}, {fx.ELLS}, {_EDGES}, centres as (select id, mx, my, x1, y1, col, unnest(range(4 * y0, 4 * y1)) as row from (select *, unnest(range(4 * x0, 4 * x1)) as col from ells)),
+  inner_ as (select id, row, col, (row + 0.5) / 4 as y, (col + 0.5) / 4 as x from centres where not ((col + 0.5) / 4 > mx and (row + 0.5) / 4 > my and mx < x1 and my < y1))
+  select c.id, c.row, c.col from inner_ c join sides s on s.id = c.id group by 1, 2, 3
+  having min(case when e[1] = e[3] then sqrt((x - e[1]) ** 2 + greatest(least(e[2], e[4]) - y, y - greatest(e[2], e[4]), 0) ** 2) else sqrt((y - e[2]) ** 2 + greatest(least(e[1], e[3]) - x, x - greatest(e[1], e[3]), 0) ** 2) end) >= 0.6""")
+def rasterise_shrunk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Concave polygons, shrunk by 0.6, as pixels of a quarter."""
+    return areas.rasterised(areas.buffered(fx.ells(spark, sf_dir), -0.6), 2100, 2100, 0.25).select("id", F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"))
+
+
+_AREA = [(100, 100), (400, 100), (400, 400), (300, 400), (300, 200), (200, 200), (200, 400), (100, 400)]
+_BARS = "bars as (select unnest([100, 100, 300]) as x0, 100 as y0, unnest([400, 200, 400]) as x1, unnest([200, 400, 400]) as y1)"
+
+
+def _area(spark: SparkSession) -> DataFrame:
+    """A concave area of interest, open at the top."""
+    ring = "array(array(" + ", ".join(f"named_struct('x', {x}D, 'y', {y}D)" for x, y in _AREA) + "))"
+    return spark.sql(f"select 100D as x0, 100D as y0, 400D as x1, 400D as y1, {ring} as rings")
+
+
+@query(f"with {fx.RECTS}, {fx.ELLS}, {_BARS}, hit as (select distinct a.id from arms a join bars b on {_MEET}) select id, id in (select id from hit) as touches from ells")
+def split_by_concave_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polygons that share a point with an area, and those that do not."""
+    apart, hit = areas.split_by_area(fx.ells(spark, sf_dir), _area(spark), CELL)
+    return apart.select("id", F.lit(False).alias("touches")).unionByName(hit.select("id", F.lit(True).alias("touches")))
+
+
+@query(f"with {fx.RECTS}, {fx.ELLS}, {_BARS} select id from ells where id not in (select c.id from cells c anti join bars b on gx >= b.x0 and gx < b.x1 and gy >= b.y0 and gy < b.y1)")
+def concave_area_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polygons that lie in an area."""
+    return areas.contained_in(fx.ells(spark, sf_dir), _area(spark), CELL).select("id")

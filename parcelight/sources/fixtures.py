@@ -88,6 +88,22 @@ ELLS = """ells as (select *, ((x0 + x1 + 1) // 2)::int as mx, ((y0 + y1 + 1) //
   arms as (select id, zone, x0, y0, case when mx < x1 and my < y1 then my else y1 end as y1, x1 from ells union all select id, zone, x0, y0, y1, mx from ells where mx < x1 and my < y1)"""
 
 
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sheet of polygons without gaps, 40 in a row: squares of 10 whose sides have a middle point that is off the straight
+    line by -3 to 3. Neighbours share their sides."""
+    i, j = F.col("p_partkey") % 40, F.floor(F.col("p_partkey") / 40)
+    off = lambda kind, i, j: (F.conv(F.substr(F.md5(F.concat_ws(",", F.lit(kind), i.cast("string"), j.cast("string"))), F.lit(1), F.lit(8)), 16, 10).cast("bigint") % 7 - 3).cast("int")
+    base = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), i.alias("i"), j.alias("j"), off("h", i, j).alias("low"), off("h", i, j + 1).alias("high"), off("v", i, j).alias("left"), off("v", i + 1, j).alias("right"))
+    x, y = F.col("i") * 10, F.col("j") * 10
+    at = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    ring = F.array(at(x, y), at(x + 5, y + F.col("low")), at(x + 10, y), at(x + 10 + F.col("right"), y + 5), at(x + 10, y + 10), at(x + 5, y + 10 + F.col("high")), at(x, y + 10), at(x + F.col("left"), y + 5))
+    made = base.withColumn("rings", F.array(ring))
+    return made.withColumns({"x0": x - 3, "y0": y - 3, "x1": x + 13, "y1": y + 13})
+
+
+CELLS = "cells0 as (select p_partkey as id, p_partkey % 40 as i, p_partkey // 40 as j from part), cells as (select *, " + ", ".join(f"(concat('0x', substr(md5('{k},' || {i} || ',' || {j}), 1, 8))::bigint % 7 - 3)::int as \"{n}\"" for n, k, i, j in (("low", "h", "i", "j"), ("high", "h", "i", "(j + 1)"), ("left", "v", "i", "j"), ("right", "v", "(i + 1)", "j"))) + " from cells0)"
+
+
 def mgrs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tile names in the grid's style."""
     key = F.col("n_nationkey")
