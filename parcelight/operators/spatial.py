@@ -1,7 +1,9 @@
-"""Spatial joins: equi-joins on the cells of a grid, refined on boxes and, where wanted, on the exact shapes.
+"""Spatial joins: equi-joins on the cells of nested grids, refined on boxes and, where wanted, on the exact shapes.
 
-Layers have box columns x0, y0, x1, y1. A pair that shares several cells is kept only in the cell that holds the lower
-left corner of the boxes' intersection, so no distinct is needed.
+Layers have box columns x0, y0, x1, y1. Each box belongs to the grid whose cells are as large as itself, so it lies in
+four cells at most, however large it is, and cells of small boxes stay small, however dense they lie. Two boxes meet in
+the grid of the larger one. A pair that shares several cells is kept only in the cell that holds the lower left corner of
+the boxes' intersection, so no distinct is needed.
 """
 
 from __future__ import annotations
@@ -17,9 +19,23 @@ from ..functions import overlay, planar
 BOX = ("x0", "y0", "x1", "y1")
 
 
-def _cells(layer: DataFrame, cell: float) -> DataFrame:
-    span = lambda a, b: F.sequence(F.floor(F.col(a) / cell), F.floor(F.col(b) / cell))
-    return layer.withColumn("cx", F.explode(span("x0", "x1"))).withColumn("cy", F.explode(span("y0", "y1")))
+#: The finest grid's cells are 2^FINEST times the unit.
+FINEST = -30
+
+
+def level(cell: float) -> Column:
+    """The grid of a box: its cells are 2^level times cell, the least that is no smaller than the box."""
+    side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) / cell
+    return F.when(side > 2.0**FINEST, F.ceil(F.log2(side)).cast("int")).when(side.isNotNull(), F.lit(FINEST))
+
+
+def cells(layer: DataFrame, cell: float, others: list[int]) -> DataFrame:
+    """A layer with level, for each cell (grid, cx, cy) of its own grid and of the coarser ones of others."""
+    own = F.col("level")
+    grids = F.concat(F.array(own), F.filter(F.array(*[F.lit(n) for n in others]), lambda n: n > own))
+    size = F.pow(F.lit(2.0), F.col("grid")) * cell
+    span = lambda a, b: F.sequence(F.floor(F.col(a) / size), F.floor(F.col(b) / size))
+    return layer.withColumn("level", level(cell)).withColumn("grid", F.explode(grids)).withColumn("cx", F.explode(span("x0", "x1"))).withColumn("cy", F.explode(span("y0", "y1")))
 
 
 def overlap(a: str, b: str) -> Column:
@@ -29,10 +45,18 @@ def overlap(a: str, b: str) -> Column:
 
 
 def box_join(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
-    """Pairs of rows whose boxes share a point: columns l (a struct of the left row) and r. cell: about a box's size."""
-    a, b = _cells(left, cell).alias("a"), _cells(right, cell).alias("b")
-    home = (F.floor(F.greatest("a.x0", "b.x0") / cell) == F.col("a.cx")) & (F.floor(F.greatest("a.y0", "b.y0") / cell) == F.col("a.cy"))
-    met = a.join(b, (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy")) & overlap("a", "b") & home)
+    """Pairs of rows whose boxes share a point: columns l (a struct of the left row) and r. cell is the unit of the grids;
+    which one is chosen changes little. A box with a null meets none."""
+    sides = left.select(level(cell).alias("n"), F.lit(True).alias("mine")).unionByName(right.select(level(cell).alias("n"), F.lit(False).alias("mine")))
+    found = sides.where("n is not null").distinct().collect()  # one for each power of two
+    of = lambda mine: sorted(r["n"] for r in found if r["mine"] == mine)
+    if not of(True) or not of(False):
+        left, right = left.where("false"), right.where("false")
+    a, b = cells(left, cell, of(False) or [0]).alias("a"), cells(right, cell, of(True) or [0]).alias("b")
+    size = F.pow(F.lit(2.0), F.col("a.grid")) * cell
+    home = (F.floor(F.greatest("a.x0", "b.x0") / size) == F.col("a.cx")) & (F.floor(F.greatest("a.y0", "b.y0") / size) == F.col("a.cy"))
+    same = (F.col("a.grid") == F.col("b.grid")) & (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy"))
+    met = a.join(b, same & (F.col("a.grid") == F.greatest("a.level", "b.level")) & overlap("a", "b") & home)
     return met.select(F.struct(*[F.col(f"a.{c}") for c in left.columns]).alias("l"), F.struct(*[F.col(f"b.{c}") for c in right.columns]).alias("r"))
 
 
