@@ -45,8 +45,10 @@ def read_window(mosaic: DataFrame, row: int, col: int, size: int, row_name: str
     return mosaic.where(inside).withColumns({"row": F.col(row_name) - row, "col": F.col(col_name) - col})
 
 
-def chunk_grid(spark: SparkSession, height: int, width: int, size: int, overlap: int) -> DataFrame:
-    """Corners of the chunks that cover a raster, every size - overlap pixels."""
+def chunks(rasters: DataFrame, size: int, overlap: int) -> DataFrame:
+    """Rasters (h, w and whatever else) with row and col, the corners of the chunks that cover them, every size - overlap
+    pixels. A chunk that would only hold the overlap at the right edge is left out; a raster without columns has one chunk
+    for each row of chunks, one without rows none."""
     step = size - overlap
-    rows = spark.range(1).select(F.explode(F.sequence(F.lit(0), F.lit(height - 1), F.lit(step))).alias("row"))
-    return rows.withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(max(0, width - 1)), F.lit(step)))).where(F.col("col") <= max(0, width - overlap))
+    rows = rasters.where("h > 0").withColumn("row", F.explode(F.sequence(F.lit(0), F.col("h") - 1, F.lit(step))))
+    return rows.withColumn("col", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.col("w") - 1), F.lit(step)))).where(F.col("col") <= F.greatest(F.lit(0), F.col("w") - overlap))

@@ -83,3 +83,14 @@ def fold_plan(n_folds: int, seed: int = 0) -> list[dict]:
         pick = int(hashlib.md5(f"{test}|{seed}".encode()).hexdigest()[:8], 16) % len(others)
         out.append({"test": test, "val": others[pick], "train": [f for f in others if f != others[pick]]})
     return out
+
+
+def fold_sizes(rows: DataFrame, fold_: Column, n_folds: int, seed: int = 0) -> DataFrame:
+    """test, val, train of the plan, with the rows that each of them has: n_test, n_val, n_train (0 where there are none)."""
+    counts = rows.groupBy(fold_.alias("fold")).agg(F.count(F.lit(1)).alias("n"))
+    role = lambda p: F.when(F.col("fold") == p["test"], "n_test").when(F.col("fold") == p["val"], "n_val").otherwise("n_train")
+    plan = fold_plan(n_folds, seed)
+    roles = F.array(*[F.struct(F.lit(p["test"]).alias("test"), F.lit(p["val"]).alias("val"), F.lit(",".join(map(str, p["train"]))).alias("train"), role(p).alias("role")) for p in plan])
+    out = counts.withColumn("p", F.explode(roles)).select("p.*", "n")
+    of = lambda name: F.coalesce(F.sum(F.when(F.col("role") == name, F.col("n"))), F.lit(0).cast("long")).alias(name)
+    return out.groupBy("test", "val", "train").agg(of("n_test"), of("n_val"), of("n_train"))

@@ -119,19 +119,44 @@ def normalised_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("img", "row", "col", F.round(F.col("normalised").cast("double"), 5).alias("normalised"))
 
 
-@query()
+def _grown(t: str, n: int, out: str) -> str:
+    """SQL that doubles the n x n images of t (img, row, col, v) by cubic convolution and stretches them to [0, 1]."""
+    return f"""{out}_t as (select o::int as o, k::int as k, abs((o + 0.5) / 2 - 0.5 - k) as t from range({2 * n}) a(o), range({n}) b(k)),
+      {out}_n as (select o, k, case when t <= 1 then 1.5 * t ** 3 - 2.5 * t ** 2 + 1 else -0.5 * t ** 3 + 2.5 * t ** 2 - 4 * t + 2 end as w from {out}_t where t < 2),
+      {out}_w as (select o, k, w / sum(w) over (partition by o) as w from {out}_n),
+      {out}_r as (select img, o as row, col, sum(v * w) as v from {t} join {out}_w on k = row group by all), {out}_c as (select img, row, o as col, sum(v * w) as v from {out}_r join {out}_w on k = col group by all),
+      {out} as (select img, row, col, (v - min(v) over (partition by img)) / (max(v) over (partition by img) - min(v) over (partition by img)) as v from {out}_c)"""
+
+
+def _near(t: str, n: int, radius: int, made: str, out: str) -> str:
+    """SQL with made, an aggregate over the disk of a radius, for each pixel of n x n images."""
+    return f"""{out} as (select img, (row + i)::int as row, (col + j)::int as col, {made} as v from {t} join (select i, j from range(-{radius}, {radius + 1}) a(i), range(-{radius}, {radius + 1}) b(j) where i * i + j * j <= {radius * radius}) on true
+      where row + i between 0 and {n - 1} and col + j between 0 and {n - 1} group by 1, 2, 3)"""
+
+
+def _smooth(t: str, n: int, radius: int, out: str) -> str:
+    return _near(t, n, radius, "avg(v)", f"{out}_m") + f", {out} as (select img, row, col, (v - min(v) over (partition by img)) / (max(v) over (partition by img) - min(v) over (partition by img)) as v from {out}_m)"
+
+
+@query(f"with {fx.IMG8}, {_grown('img8', 8, 'up')} select img, row, col, round(v, 6) as v from up")
 def bicubic_upscale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = fx.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("img"), F.lit(8).alias("h"), F.lit(8).alias("w"), F.col("embedding").alias("px"))
-    return rounded(raster.to_pixels(focal.on_tiles(t, ["img"], lambda x: kernels.upscale(x, 2)), ["img"]), [])
+    return rounded(raster.to_pixels(focal.on_tiles(_values(spark, sf_dir), ["img"], lambda x: kernels.upscale(x, 2)), ["img"]), [])
 
 
-@query()
+@query(
+    f"with {fx.IMG8}, e as (select img, row, col, (v > 0)::int as v from img8), {_near('e', 8, 1, 'max(v)', 'd')}, c as (select i.img, i.row, i.col, least(2, greatest(0, 1 + i.v - (d.v > 0 and e.v = 0)::int)) as v from img8 i join e using (img, row, col) join d using (img, row, col)), "
+    f"{_grown('c', 8, 'a')}, {_smooth('a', 16, 2, 'b')}, {_grown('b', 16, 'f')}, {_smooth('f', 32, 4, 'g')} select img, row, col, round(v, 6) as v from g"
+)
 def combine_upsample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = fx.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("img"), F.lit(8).alias("h"), F.lit(8).alias("w"), F.transform("embedding", lambda v: v.cast("double")).alias("px"))
-    made = focal.on_tiles(t, ["img"], lambda x: kernels.combine_upsample(x, kernels.boundary((x > 0).astype(float), 1).astype(float)))
+    made = focal.on_tiles(_values(spark, sf_dir), ["img"], lambda x: kernels.combine_upsample(x, kernels.boundary((x > 0).astype(float), 1).astype(float)))
     return rounded(raster.to_pixels(made, ["img"]), [])
 
 
+def _values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The images as tiles."""
+    return fx.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("img"), F.lit(8).alias("h"), F.lit(8).alias("w"), F.transform("embedding", lambda v: v.cast("double")).alias("px"))
+
+
 @query()
 def contour_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rings around positive ground, with their area."""
@@ -141,34 +166,31 @@ def contour_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contour_rings(t, ["img"], 0.0)
 
 
-@query()
+@query(f"with {fx.IMG8}, {_near('img8', 8, 2, 'avg(v)', 'm')}, t as (select img, row, col, (v > 0)::int as v from m), {_near('t', 8, 1, 'max(v)', 'd')} select img, row, col, (v > 0)::int::double as cloud from d")
 def cloud_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fx.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("img"), F.lit(8).alias("h"), F.lit(8).alias("w"), F.transform("embedding", lambda v: v.cast("double")).alias("px"))
     return raster.to_pixels(focal.on_tiles(t, ["img"], lambda x: kernels.cloud_mask(x, 4, 0.0, 3)), ["img"], "cloud")
 
 
 def _weight_sql(top: str) -> str:
-    return f"""with g as (select a.i::int as row, b.j::int as col from range(40) a(i), range(32) b(j)) select row, col,
-      round((case when col < 8 then col / 7 when col >= 24 then (31 - col) / 7 else 1 end) * (case when row < 12 then {top} when row >= 28 then (39 - row) / 11 else 1 end), 6) as weight from g"""
+    return f"""with {fx.IMG8}, w as (select *, (case when col < 2 then col when col >= 6 then 7 - col else 1 end) * (case when row < 4 then {top} when row >= 4 then (7 - row) / 3 else 1 end) as weight from img8)
+      select img, row, col, round(weight, 6) as weight, round(v * weight, 6) as weighted from w"""
 
 
-@query(_weight_sql("row / 11"))
-def edge_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(mosaic.weights(spark, 40, 32, (4, 6)), [])
-
-
-@query(_weight_sql("((row * 32 + col) // 12) / 31"))
-def edge_weights_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(mosaic.weights(spark, 40, 32, (4, 6), drift=True), [])
+def _weighted(spark: SparkSession, sf_dir: str, drift: bool) -> DataFrame:
+    weight = mosaic.edge_weight(F.col("row"), F.col("col"), 8, 8, (1, 2), drift)
+    return rounded(fx.img8(spark, sf_dir).withColumn("weight", weight).select("img", "row", "col", "weight", (F.col("v") * F.col("weight")).alias("weighted")), [])
 
 
+@query(_weight_sql("row / 3"))
+def edge_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images with the weights of their pixels: ramps of 2 columns and 4 rows."""
+    return _weighted(spark, sf_dir, False)
 
 
-def _mosaic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    img = F.col("img")
-    pixels = fx.img8(spark, sf_dir).withColumn("w", mosaic.edge_weight(F.col("row"), F.col("col"), 8, 8, (1, 1)))
-    placed = mosaic.place(pixels.withColumn("zone", img % 25), F.floor(img / 25) % 5, F.floor(img / 125) % 4, 6)
-    return mosaic.overlap_average(placed, ["zone", "g_row", "g_col"], "v", "w")
+@query(_weight_sql("((row * 8 + col) // 4) / 7"))
+def edge_weights_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _weighted(spark, sf_dir, True)
 
 
 @query(f"""with {fx.IMG8}, placed as (select img % 25 as zone, ((img // 25) % 5) * 6 + row as g_row, ((img // 125) % 4) * 6 + col as g_col, v,
@@ -187,8 +209,8 @@ def window_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ratio_sql(select: str, where: str) -> str:
-    return f"""with {fx.EXT8}, g as (select a.i::int as row, b.j::int as col from range(5) a(i), range(5) b(j)),
-      r as (select img, g.row, g.col, sum(extent) / 16.0 as ratio from g join ext8 on ext8.row between g.row and g.row + 3 and ext8.col between g.col and g.col + 3 group by 1, 2, 3) {select} {where}"""
+    return f"""with {fx.EXT8}, wr as (select img, unnest(range(row - 3, row + 1))::int as row, col, extent from ext8), wc as (select img, row, unnest(range(col - 3, col + 1))::int as col, extent from wr),
+      r as (select img, row, col, sum(extent) / 16.0 as ratio from wc where row between 0 and 4 and col between 0 and 4 group by 1, 2, 3) {select} {where}"""
 
 
 def _ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,7 +238,10 @@ def patchlet_windows_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(sampling.sample_windows(_ratios(spark, sf_dir), "img", 3, 0.4, False, 42), [])
 
 
-@query(_sample_sql("ratio >= 0.5").replace("select img, i::int as i,", ", s as (select img, i::int as i,") + ") select s.patchlet, e.row - s.row as row, e.col - s.col as col, e.extent from s cross join range(4) a(i) cross join range(4) b(j) join ext8 e on e.img = s.img and e.row = s.row + a.i and e.col = s.col + b.j")
+@query(
+    _sample_sql("ratio >= 0.5").replace("select img, i::int as i,", ", s as materialized (select img, i::int as i,")
+    + "), o as materialized (select patchlet, img, row as r0, col as c0, unnest(range(16))::int as k from s) select o.patchlet, o.k // 4 as row, o.k % 4 as col, e.extent from o join ext8 e on e.img = o.img and e.row = o.r0 + o.k // 4 and e.col = o.c0 + o.k % 4"
+)
 def patchlet_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = sampling.sample_windows(_ratios(spark, sf_dir), "img", 3, 0.5, True, 42)
     return sampling.slice_windows(fx.ext8(spark, sf_dir), windows, "img", 4).select("patchlet", "row", "col", "extent")
@@ -228,6 +253,10 @@ def patchlet_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.patchlet_bbox(w, F.lit(300000.0), F.lit(6200000.0), 256)
 
 
-@query("select a.r as row, b.c as col from range(0, 4400, 490) a(r), range(0, 3000, 490) b(c) where b.c <= 2990")
+@query("""with r as (select s_suppkey as id, (900 + s_suppkey % 9 * 250)::int as h, (s_suppkey % 7 * 333)::int as w from supplier), t as (select *, unnest(range(0, h, 490))::int as row from r), c as (select *, unnest(range(0, greatest(1, w), 490))::int as col from t)
+  select id, row, col from c where col <= greatest(0, w - 10)""")
 def chunk_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mosaic.chunk_grid(spark, 4400, 3000, 500, 10).select(F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"))
+    """The chunks of rasters of many sizes."""
+    k = F.col("s_suppkey")
+    rasters = fx.table(spark, sf_dir, "supplier").select(k.alias("id"), (900 + k % 9 * 250).cast("int").alias("h"), (k % 7 * 333).cast("int").alias("w"))
+    return mosaic.chunks(rasters, 500, 10).select("id", "row", "col")

@@ -57,12 +57,11 @@ def monthly_norm_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(factors(spark, sf_dir), [])
 
 
-@query(f"with {IMAGES} select date_trunc('month', ts)::timestamp as month, " + ", ".join(f"round(stddev_samp(mean_b{i}) + 3e-8, 6) as mean_b{i}_std, round(avg(mean_b{i}) + 3e-8, 6) as mean_b{i}_mean" for i in range(4)) + " from images group by 1")
+@query(f"with {IMAGES} select date_trunc('month', ts)::timestamp as month, " + ", ".join(f"stddev_samp(mean_b{i})::float::double as mean_b{i}_std, avg(mean_b{i})::float::double as mean_b{i}_mean" for i in range(4)) + " from images group by 1")
 def monthly_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Means of hundredths often end in an exact half of the last digit, which the order of a sum tips either way: a
-    little is added before rounding."""
+    """Given in single precision: means of hundredths often end in an exact half of a decimal digit, never of a binary one."""
     out = stats.monthly_spread(images(spark, sf_dir))
-    return rounded(out.select("month", *[(F.col(c) + 3e-8).alias(c) for c in out.columns if c != "month"]), [])
+    return out.select("month", *[F.col(c).cast("float").cast("double").alias(c) for c in out.columns if c != "month"])
 
 
 _META = "meta as (select distinct eopatch, patchlet, ts from obs)"
@@ -184,12 +183,15 @@ def fold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.obs(spark, sf_dir).groupBy(sampling.fold(F.col("patchlet"), 3, 7).alias("fold")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("patchlet").alias("patchlets"))
 
 
-@query(f"""with t as (select range::int as test from range(1, 6)), o as (select test, list_filter([1, 2, 3, 4, 5], lambda x: x <> test) as others from t),
+_FIVE = f"({_h('patchlet::varchar || chr(124) || 7')} % 5 + 1)::int"
+
+
+@query(f"""with {fx.OBS}, f as (select {_FIVE} as fold, count(*) as n from obs group by 1), t as (select range::int as test from range(1, 6)), o as (select test, list_filter([1, 2, 3, 4, 5], lambda x: x <> test) as others from t),
   v as (select test, others, others[({_h('test::varchar || chr(124) || 0')} % 4)::int + 1] as val from o)
-  select test, val::int as val, array_to_string(list_filter(others, lambda x: x <> val), ',') as train from v""")
+  select test, val::int as val, array_to_string(list_filter(others, lambda x: x <> val), ',') as train, sum(n) filter (where fold = test)::bigint as n_test, sum(n) filter (where fold = val)::bigint as n_val, sum(n) filter (where fold <> test and fold <> val)::bigint as n_train from v, f group by all""")
 def loo_fold_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = [(p["test"], p["val"], ",".join(map(str, p["train"]))) for p in sampling.fold_plan(5)]
-    return spark.createDataFrame(plan, "test int, val int, train string")
+    """Each fold left out in turn, with the pixels that test, validate and train."""
+    return sampling.fold_sizes(fx.obs(spark, sf_dir), sampling.fold(F.col("patchlet"), 5, 7), 5)
 
 
 @query(f"""with {fx.OBS}, m as (select distinct eopatch, patchlet, ts from obs), n as (select *, row_number() over (partition by eopatch order by patchlet, ts) - 1 as n from m)
@@ -280,10 +282,12 @@ def event_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.ts_series(spark, sf_dir).select("event_id", "tile", F.from_json("props", "k int")["k"].alias("k"), F.month("ts").alias("month_of_year"), F.to_date("ts").alias("day"))
 
 
-@query("select i as interval_no, u as utm from (values ('2024-01'), ('2024-02'), ('2024-03')) t(i), (values (32634), (32635)) v(u)")
+@query(f"""with {fx.OBS}, {fx.MGRS}, i as (select distinct ts as interval_start from obs), u as (select distinct case when upper(substr(name, 3, 1)) >= 'N' then 32600 else 32700 end + substr(name, 1, 2)::int as utm from mgrs) select interval_start, utm::int as utm from i, u""")
 def interval_utm_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs = spark.createDataFrame([("2024-01",), ("2024-02",), ("2024-03",)], "interval_no string")
-    return jobs.withColumn("utm", F.explode(F.array(F.lit(32634), F.lit(32635))))
+    """A job for each month that has images and each zone that has tiles."""
+    zones = fx.mgrs(spark, sf_dir).select(names.mgrs_to_epsg(F.col("name"))).distinct().collect()  # some 120 at most
+    months = fx.obs(spark, sf_dir).select(F.col("ts").alias("interval_start")).distinct()
+    return months.withColumn("utm", F.explode(F.array(*[F.lit(z[0]) for z in zones])))
 
 
 @query(f"""with {FACTORS}, m as (select distinct eopatch, patchlet, ts from obs), n as (select *, row_number() over (partition by eopatch order by patchlet, ts) - 1 as n from m),

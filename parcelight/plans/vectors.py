@@ -160,11 +160,21 @@ def reproject_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("id", F.round(F.col("rings")[0][0]["x"], 3).alias("x"), F.round(F.col("rings")[0][0]["y"], 3).alias("y"))
 
 
-@query()
+def _degrees_sql() -> str:
+    """Transverse Mercator back to degrees, by the series of third order, and the latitude by eight steps of its iteration."""
+    steps = ", ".join(f"p{k} as (select *, asin(tanh(atanh(sin(chi)) + e * atanh(e * sin({f'phi{k - 1}' if k > 1 else 'chi'})))) as phi{k} from p{k - 1})" for k in range(1, 9))
+    series = lambda f, g: " + ".join(f"b{k} * {f}({2 * k} * xi) * {g}({2 * k} * eta)" for k in (1, 2, 3))
+    return f"""with {fx.RECTS}, c as (select 1 / 298.257223563 / (2 - 1 / 298.257223563) as n), k as (select *, 6378137.0 / (1 + n) * (1 + n ** 2 / 4 + n ** 4 / 64) * 0.9996 as r, 2 * sqrt(n) / (1 + n) as e,
+        n / 2 - 2 * n ** 2 / 3 + 37 * n ** 3 / 96 as b1, n ** 2 / 48 + n ** 3 / 15 as b2, 17 * n ** 3 / 480 as b3 from c),
+      q as (select id, k.*, (x0 * 10) / r as eta, (6100000 + y0 * 10) / r as xi from rects, k), u as (select *, xi - ({series('sin', 'cosh')}) as xp, eta - ({series('cos', 'sinh')}) as ep from q),
+      p0 as (select *, asin(sin(xp) / cosh(ep)) as chi from u), {steps} select id, round(21 + degrees(atan2(sinh(ep), cos(xp))), 7) as lon, round(degrees(phi8), 7) as lat from p8"""
+
+
+@query(_degrees_sql())
 def reproject_tm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First corners in degrees."""
     out = spatial.reprojected(_polygons(spark, sf_dir), "rings", 32634, 4326)
-    return rounded(out.select("id", F.col("rings")[0][0]["x"].alias("lon"), F.col("rings")[0][0]["y"].alias("lat")), [], 9)
+    return rounded(out.select("id", F.col("rings")[0][0]["x"].alias("lon"), F.col("rings")[0][0]["y"].alias("lat")), [], 7)
 
 
 @query(f"with {fx.RECTS}, b as (select zone, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1 from rects group by 1) select max(x0) as x0, max(y0) as y0, min(x1) as x1, min(y1) as y1 from b")
@@ -279,3 +289,25 @@ def split_by_concave_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 def concave_area_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Polygons that lie in an area."""
     return areas.contained_in(fx.ells(spark, sf_dir), _area(spark), CELL).select("id")
+
+
+_KEY = "case {e} when 0 then 'h,' || r || ',' || c when 1 then 'v,' || r || ',' || (c + 1) when 2 then 'h,' || (r + 1) || ',' || c else 'v,' || r || ',' || c end"
+
+
+@query(f"""with recursive {fx.IMG8}, frame as (select img, a.i::int as row, b.j::int as col from (select distinct img from img8), range(-1, 9) a(i), range(-1, 9) b(j)), z as (select img, row, col, coalesce(v, -1) as v from frame left join img8 using (img, row, col)),
+  cell as (select a.img, a.row as r, a.col as c, [a.v > 0, b.v > 0, d.v > 0, e.v > 0] as h from z a join z b on b.img = a.img and b.row = a.row and b.col = a.col + 1 join z d on d.img = a.img and d.row = a.row + 1 and d.col = a.col + 1 join z e on e.img = a.img and e.row = a.row + 1 and e.col = a.col),
+  runs as (select *, f::int as f, k::int as k from cell, range(4) x(f), range(1, 4) y(k) where not h[(f + 3) % 4 + 1] and not h[(f + k) % 4 + 1] and h[f + 1] and (k < 2 or h[(f + 1) % 4 + 1]) and (k < 3 or h[(f + 2) % 4 + 1])),
+  seg as (select img, {_KEY.format(e='(f + k - 1) % 4')} as s, {_KEY.format(e='(f + 3) % 4')} as t from runs),
+  pts as (select a.img, 'h,' || a.row || ',' || a.col as k, a.col + 0.5 + (0 - a.v) / (b.v - a.v) as x, (a.row + 0.5)::double as y from z a join z b on b.img = a.img and b.row = a.row and b.col = a.col + 1 where (a.v > 0) <> (b.v > 0)
+    union all select a.img, 'v,' || a.row || ',' || a.col, (a.col + 0.5)::double, a.row + 0.5 + (0 - a.v) / (b.v - a.v) from z a join z b on b.img = a.img and b.row = a.row + 1 and b.col = a.col where (a.v > 0) <> (b.v > 0)),
+  reach as (select img, s as p, t as q from seg union select r.img, r.p, g.t from reach r join seg g on g.img = r.img and g.s = r.q),
+  ring as (select img, p, min(q) as ring from reach group by 1, 2),
+  areas as (select g.img, r.ring, sum((a.x - b.x) * (a.y + b.y) / 2) as area from seg g join ring r on r.img = g.img and r.p = g.s join pts a on a.img = g.img and a.k = g.s join pts b on b.img = g.img and b.k = g.t group by 1, 2)
+  select img, count(*) filter (where area > 0) as polygons, count(*) filter (where area < 0) as holes, round(sum(area), 4) as area from areas group by 1""")
+def parcels_traced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polygons with holes around positive ground, from blocks of a quarter of each image."""
+    from ..operators import focal, vectorise
+
+    tiles = fx.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("img"), F.lit(8).alias("h"), F.lit(8).alias("w"), F.transform("embedding", lambda v: v.cast("double")).alias("px"))
+    made = vectorise.parcels(focal.blocks(tiles, ["img"], 4, 1), "img", 0.0, 4)
+    return rounded(made.groupBy("img").agg(F.count(F.lit(1)).alias("polygons"), F.sum(F.size("rings").cast("long") - 1).alias("holes"), F.sum("area").alias("area")), [], 4)
