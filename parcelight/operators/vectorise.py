@@ -58,7 +58,7 @@ def contour_edges(blocks: DataFrame, key: str, threshold: float, size: int) -> D
     return blocks.select(F.col(key).alias("component"), "block_row", "block_col", "top", "left", "h", "w", "px").mapInArrow(run, schema)
 
 
-def parcels(blocks: DataFrame, key: str, threshold: float, size: int) -> DataFrame:
+def parcels(blocks: DataFrame, key: str, threshold: float, size: int, digits: int = rings.DIGITS) -> DataFrame:
     """key, part, area, rings (exterior first) of what exceeds the threshold, in raster coordinates. In a saddle high ground
     is kept apart."""
-    return rings.polygons(contour_edges(blocks, key, threshold, size)).withColumnRenamed("component", key)
+    return rings.polygons(contour_edges(blocks, key, threshold, size), digits).withColumnRenamed("component", key)

@@ -260,3 +260,15 @@ def chunk_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey")
     rasters = fx.table(spark, sf_dir, "supplier").select(k.alias("id"), (900 + k % 9 * 250).cast("int").alias("h"), (k % 7 * 333).cast("int").alias("w"))
     return mosaic.chunks(rasters, 500, 10).select("id", "row", "col")
+
+
+@query(f"with {fx.IMG8} select img, row, col, v from img8 union all select img, row, col, v * 2 + 1 from img8")
+def tiff_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images of two bands as TIFF files in a column, and their pixels again."""
+    from ..sources import tiff
+
+    doubled = F.transform("px", lambda v: v * 2 + 1)
+    rasters = _values(spark, sf_dir).select(F.col("img").cast("string").alias("name"), "h", "w", F.array("px", doubled).alias("bands"))
+    out = tiff.decoded(tiff.files_of(rasters, "f8"))
+    pixels = raster.to_pixels(out.select(F.col("file").cast("long").alias("img"), "band", "h", "w", "px"), ["img", "band"])
+    return pixels.select("img", "row", "col", "v")

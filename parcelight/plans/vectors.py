@@ -309,5 +309,5 @@ def parcels_traced(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators import focal, vectorise
 
     tiles = fx.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("img"), F.lit(8).alias("h"), F.lit(8).alias("w"), F.transform("embedding", lambda v: v.cast("double")).alias("px"))
-    made = vectorise.parcels(focal.blocks(tiles, ["img"], 4, 1), "img", 0.0, 4)
+    made = vectorise.parcels(focal.blocks(tiles, ["img"], 4, 1), "img", 0.0, 4, 10)
     return rounded(made.groupBy("img").agg(F.count(F.lit(1)).alias("polygons"), F.sum(F.size("rings").cast("long") - 1).alias("holes"), F.sum("area").alias("area")), [], 4)
