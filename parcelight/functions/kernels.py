@@ -151,6 +151,17 @@ def combine_upsample(extent: np.ndarray, edge: np.ndarray, scale: int = 2, radiu
     return smooth(upscale(x, scale), radius * scale)
 
 
+def smooth_upsample(x: np.ndarray, scale: int = 2, radius: int = 2) -> np.ndarray:
+    """What ``combine_upsample`` does to the combined image, without stretching it in between. Each step is a weighted mean,
+    which a stretch before or after it leaves the same but for the stretch; so one at the end does for all."""
+    return disk_mean(bicubic(disk_mean(bicubic(x, scale), radius), scale), radius * scale)
+
+
+def upsample_reach(scale: int = 2, radius: int = 2) -> int:
+    """How many pixels away a pixel still changes the result of ``smooth_upsample``, at most."""
+    return 2 + -(-(radius + 2) // scale) + -(-radius * scale // (scale * scale)) + 1
+
+
 def cloud_mask(probability: np.ndarray, average_over: int = 24, threshold: float = 0.4, dilation: int = 11) -> np.ndarray:
     """Smoothed cloud probability over a threshold, dilated."""
     mean = disk_mean(probability, average_over // 2) if average_over else probability

@@ -83,3 +83,32 @@ def blocks(tiles: DataFrame, keys: list[str], size: int, halo: int) -> DataFrame
     lines = F.transform(F.sequence(F.col("top"), F.col("bottom") - 1), lambda r: F.slice("px", (r * F.col("w") + F.col("left") + 1).cast("int"), F.col("right") - F.col("left")))
     cut = cut.withColumn("_px", F.flatten(lines))  # before h and w are given anew, or the lambda would take the new ones
     return cut.select(*keys, "block_row", "block_col", "top", "left", (F.col("bottom") - F.col("top")).alias("h"), (F.col("right") - F.col("left")).alias("w"), F.col("_px").alias("px"))
+
+
+def upsampled(tiles: DataFrame, keys: list[str], size: int, scale: int = 2, radius: int = 2) -> DataFrame:
+    """Extents e and boundaries b of tiles (keys, h, w, e, b) combined, enlarged twice and smoothed, in blocks of size pixels:
+    keys, top, left (in the enlarged tile), h, w, px from 0 to 1. Each block works on its own pixels and a halo; the least
+    and the greatest value of a tile are found over all its blocks. The size changes nothing in the pixels. A tile with one
+    value throughout has null pixels."""
+    both = F.zip_with("e", "b", lambda e, b: F.greatest(F.lit(0.0), F.least(F.lit(2.0), 1 + e.cast("double") - b.cast("double"))))
+    halo = kernels.upsample_reach(scale, radius)
+    parts = blocks(tiles.select(*keys, "h", "w", both.alias("px")), keys, size, halo)
+    kinds = dict(tiles.dtypes)
+    square = scale * scale
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for r in b.itertuples(index=False):
+                y = kernels.smooth_upsample(np.asarray(r.px, float).reshape(r.h, r.w), scale, radius)
+                i, j = r.block_row * size - r.top, r.block_col * size - r.left  # where the block begins in its halo
+                y = y[i * square : (i + min(size, r.h - i)) * square, j * square : (j + min(size, r.w - j)) * square]
+                rows.append((*(getattr(r, k) for k in keys), int(r.block_row * size * square), int(r.block_col * size * square), *y.shape, y.ravel()))
+            yield pd.DataFrame(rows, columns=[*keys, "top", "left", "h", "w", "px"])
+
+    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), "top int, left int, h int, w int, px array<double>"])
+    made = parts.mapInPandas(run, schema)
+    least = made.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min(F.array_min("px")).alias("low"), F.max(F.array_max("px")).alias("high"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    span = F.col("high") - F.col("low")
+    return made.join(least, same).select(*keys, "top", "left", "h", "w", F.transform("px", lambda v: F.when(span > 1e-9, (v - F.col("low")) / span)).alias("px"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NORMALIZERS = ("to_meanstd", "to_medianstd", "to_perc99")
@@ -31,9 +31,30 @@ def normalised(features: Column, how: str) -> Column:
     return F.zip_with(centred, "norm_meanstd_std", lambda x, s: x / s)
 
 
-def shuffled(rows: DataFrame, seed: int = 0) -> DataFrame:
-    """Rows in a random order, sorted by ranges over all partitions."""
-    return rows.orderBy(F.rand(seed))
+def draw(keys: list[Column], seed: int, epoch: int) -> Column:
+    """A number that orders rows by chance: another one in each epoch, the same in every run."""
+    return F.md5(F.concat_ws("|", *[F.coalesce(k.cast("string"), F.lit("")) for k in keys], F.lit(str(seed)), F.lit(str(epoch))))
+
+
+def shuffled(rows: DataFrame, keys: list[str], seed: int = 0, epoch: int = 0) -> DataFrame:
+    """Rows in a random order, sorted by ranges over all partitions. keys tell rows apart: the order follows from them, the
+    seed and the epoch, not from how rows come in, so a task that is run again gives the same."""
+    return rows.withColumn("_draw", draw([F.col(k) for k in keys], seed, epoch)).orderBy("_draw", *keys).drop("_draw")
+
+
+def interleaved(rows: DataFrame, chunk: str, pos: str, cycle: int, block: int, seed: int = 0, epoch: int = 0) -> DataFrame:
+    """Rows with stage, turn, lane: in the order of these and pos, block rows of each of about cycle chunks alternate, as a
+    reader of several files at a time sees them. Which chunks come together, and when, is drawn anew in each epoch.
+
+    Chunks are dealt to stages by their draw, so no list of all chunks is put in order; a stage has about cycle of them.
+    """
+    chunks = rows.select(F.col(chunk).alias("_chunk")).distinct()
+    stages = max(1, -(-chunks.count() // cycle))
+    drawn = chunks.withColumn("_draw", draw([F.col("_chunk")], seed, epoch))
+    drawn = drawn.withColumn("stage", (F.conv(F.substr("_draw", F.lit(1), F.lit(8)), 16, 10).cast("long") % stages).cast("int"))
+    drawn = drawn.withColumn("lane", F.row_number().over(Window.partitionBy("stage").orderBy("_draw", "_chunk")) - 1)
+    placed = rows.join(drawn.drop("_draw"), F.col(chunk).eqNullSafe(F.col("_chunk"))).drop("_chunk")
+    return placed.withColumn("turn", F.floor(F.col(pos) / block).cast("int"))
 
 
 def batches(rows: DataFrame, size: int) -> Iterator[list]:

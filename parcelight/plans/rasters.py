@@ -272,3 +272,16 @@ def tiff_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = tiff.decoded(tiff.files_of(rasters, "f8"))
     pixels = raster.to_pixels(out.select(F.col("file").cast("long").alias("img"), "band", "h", "w", "px"), ["img", "band"])
     return pixels.select("img", "row", "col", "v")
+
+
+@query(
+    f"with {fx.IMG8}, e as (select img, row, col, (v > 0)::int as v from img8), {_near('e', 8, 1, 'max(v)', 'd')}, c as (select i.img, i.row, i.col, least(2, greatest(0, 1 + i.v - (d.v > 0 and e.v = 0)::int)) as v from img8 i join e using (img, row, col) join d using (img, row, col)), "
+    f"{_grown('c', 8, 'a')}, {_smooth('a', 16, 2, 'b')}, {_grown('b', 16, 'f')}, {_smooth('f', 32, 4, 'g')} select img, row, col, round(v, 6) as v from g"
+)
+def combine_upsample_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As combine_upsample, in blocks that are put together again."""
+    t = _values(spark, sf_dir)
+    edge = focal.on_tiles(t, ["img"], lambda x: kernels.boundary((x > 0).astype(float), 1).astype(float)).select("img", F.col("px").alias("b"))
+    made = focal.upsampled(t.join(edge, "img").select("img", "h", "w", F.col("px").alias("e"), "b"), ["img"], 3)
+    out = raster.to_pixels(made, ["img", "top", "left"])
+    return rounded(out.select("img", (F.col("top") + F.col("row")).alias("row"), (F.col("left") + F.col("col")).alias("col"), "v"), [])

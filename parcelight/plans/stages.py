@@ -128,10 +128,13 @@ def merge_time(rasters: DataFrame, masks: DataFrame, interval: tuple[str, str],
     return inside.groupBy("tile", "feature").applyInPandas(run, "tile string, feature string, h int, w int, px array<double>")
 
 
-def combine(merged: DataFrame, config: PostProcessConfig) -> DataFrame:
-    """Extent and boundary of each tile combined, enlarged and smoothed."""
+def combine(merged: DataFrame, config: PostProcessConfig, block: int | None = None) -> DataFrame:
+    """Extent and boundary of each tile combined, enlarged and smoothed: tile, h, w, px. With block, in blocks of so many
+    pixels (tile, top, left, h, w, px), for tiles that are large for a task."""
     side = lambda f, n: merged.where(F.col("feature") == f).select("tile", "h", "w", F.col("px").alias(n))
     both = side(config.feature_extent, "e").join(side(config.feature_boundary, "b").drop("h", "w"), "tile")
+    if block is not None:
+        return focal.upsampled(both, ["tile"], block, config.scale_factor, config.disk_size)
     packed = both.select("tile", (F.col("h") * 2).alias("h"), "w", F.concat("e", "b").alias("px"))
     make = lambda x: kernels.combine_upsample(x[: len(x) // 2], x[len(x) // 2 :], config.scale_factor, config.disk_size)
     return focal.on_tiles(packed, ["tile"], make)

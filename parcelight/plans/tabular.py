@@ -304,3 +304,17 @@ def training_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = training.elements(chunks, info, [1, 2])
     out = made.select("patchlet", "ts", F.col("number").alias("chunk"), F.col("chunk_pos").cast("long").alias("chunk_pos"), training.normalised(F.col("x"), "to_meanstd")[0].alias("z0"), training.normalised(F.col("x"), "to_perc99")[1].alias("q1"))
     return rounded(out, [], 5)
+
+
+_DRAW = "md5(chunk || '|5|2')"
+
+
+@query(f"""with {fx.OBS}, m as (select distinct eopatch, patchlet, ts from obs), n as (select *, row_number() over (partition by eopatch order by patchlet, ts) - 1 as n from m), k as (select patchlet, ts, eopatch || '-' || (n // 10) as chunk, n % 10 as pos from n),
+  c as (select chunk, {_DRAW} as d, (select ceil(count(distinct chunk) / 8)::bigint from k) as stages from (select distinct chunk from k)), p as (select chunk, d, (concat('0x', substr(d, 1, 8))::bigint % stages)::int as stage from c),
+  l as (select chunk, stage, (row_number() over (partition by stage order by d, chunk) - 1)::int as lane from p) select patchlet, ts, chunk, pos, stage, (pos // 4)::int as turn, lane from k join l using (chunk)""")
+def interleaved_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The third epoch's order of elements: four rows each of some eight chunks in turn."""
+    meta = fx.obs(spark, sf_dir).select("eopatch", "patchlet", "ts").distinct()
+    placed = sampling.assign_chunks(meta, "eopatch", ["patchlet", "ts"], 10)
+    rows = placed.select("patchlet", "ts", F.concat_ws("-", F.col("eopatch").cast("string"), F.col("chunk").cast("string")).alias("chunk"), F.col("chunk_pos").cast("long").alias("pos"))
+    return training.interleaved(rows, "chunk", "pos", 8, 4, seed=5, epoch=2).select("patchlet", "ts", "chunk", "pos", "stage", "turn", "lane")

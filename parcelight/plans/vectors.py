@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from ..operators import arcs, areas, dissolve, rings, spatial
+from ..operators import arcs, areas, dissolve, grid, rings, spatial
 from ..sources import fixtures as fx
 from .registry import query
 from .tabular import rounded
@@ -311,3 +311,11 @@ def parcels_traced(spark: SparkSession, sf_dir: str) -> DataFrame:
     tiles = fx.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("img"), F.lit(8).alias("h"), F.lit(8).alias("w"), F.transform("embedding", lambda v: v.cast("double")).alias("px"))
     made = vectorise.parcels(focal.blocks(tiles, ["img"], 4, 1), "img", 0.0, 4, 10)
     return rounded(made.groupBy("img").agg(F.count(F.lit(1)).alias("polygons"), F.sum(F.size("rings").cast("long") - 1).alias("holes"), F.sum("area").alias("area")), [], 4)
+
+
+@query(f"with {fx.RECTS}, {fx.ELLS}, d as (select distinct gx, gy from cells where zone = 0) select (gy // 16)::int as tile_row, (gx // 16)::int as tile_col, count(*)::double as area from d group by 1, 2")
+def grid_of_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tiles that share ground with an area, the union of one zone's polygons, and how much of it."""
+    own = fx.ells(spark, sf_dir).where("zone = 0").withColumn("component", F.lit(0))
+    area = areas.boxed(rings.cut(rings.polygons(dissolve.outline(own, CELL)).select("rings")))
+    return rounded(grid.tiles(area, 16.0).groupBy("tile_row", "tile_col").agg(F.sum("area").alias("area")), [])

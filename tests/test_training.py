@@ -5,7 +5,7 @@ from parcelight.operators import training
 
 
 def test_batches_and_order(spark):
-    rows = training.shuffled(spark.range(25), 3)
+    rows = training.shuffled(spark.range(25), ["id"], 3)
     got = list(training.batches(rows, 10))
     assert [len(b) for b in got] == [10, 10, 5] and sorted(r["id"] for b in got for r in b) == list(range(25))
 
