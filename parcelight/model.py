@@ -1,24 +1,12 @@
-"""Configurations of the stages: frozen dataclasses, without credentials."""
+"""Settings of the stages: what each of them reads, and nothing about where data lie."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
-
-@dataclass(frozen=True)
-class SceneConfig:
-    """Which scenes are wanted."""
-
-    aoi_filename: str
-    time_interval: tuple[str, str]
-    maxcc: float = 1.0
-    mosaicking_order: str = "leastCC"
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
 class IngestConfig:
-    tiffs_folder: str
-    eopatches_folder: str
     band_names: tuple[str, ...] = ("B02", "B03", "B04", "B08")
     mask_name: str = "dataMask"
     data_name: str = "BANDS"
@@ -33,14 +21,10 @@ class IngestConfig:
 
 @dataclass(frozen=True)
 class RasteriseConfig:
-    eopatches_folder: str
-    parcels_path: str
-    vector_feature: str = "GSAA_ORIGINAL"
     extent_feature: str = "EXTENT"
     boundary_feature: str = "BOUNDARY"
     distance_feature: str = "DISTANCE"
     buffer_poly: float = -10.0
-    no_data_value: int = 0
     width: int = 1100
     height: int = 1100
     disk_radius: int = 2
@@ -48,77 +32,29 @@ class RasteriseConfig:
 
 @dataclass(frozen=True)
 class SamplingConfig:
-    eopatches_location: str
-    output_path: str
     sample_positive: bool = True
-    grid_definition_file: str | None = None
-    area_geometry_file: str | None = None
     mask_feature_name: str = "EXTENT"
     buffer: int = 50
     patch_size: int = 256
     num_samples: int = 10
     fraction_valid: float = 0.2
-    sampled_feature_name: str = "BANDS"
-    cloud_coverage: float = 0.05
-    literal_cloud_ratio: bool = False
     seed: int = 0
 
 
-@dataclass(frozen=True)
-class ChunkConfig:
-    patchlets_folder: str
-    output_folder: str
-    chunk_size: int = 10
-    output_dataframe: str = "patchlet-info"
-
-
-@dataclass(frozen=True)
-class NormalizationConfig:
-    npz_files_folder: str
-    metadata_file: str
-
-
 @dataclass(frozen=True)
 class SplitConfig:
-    metadata_path: str
-    npz_folder: str
     n_folds: int = 3
     seed: int = 2
 
 
-@dataclass(frozen=True)
-class TrainingDataConfig:
-    npz_folder: str
-    metadata_path: str
-    augmentations_feature: tuple[str, ...] = ("flip_left_right", "flip_up_down", "rotate", "brightness")
-    augmentations_label: tuple[str, ...] = ("flip_left_right", "flip_up_down", "rotate")
-    normalize: str = "to_meanstd"
-    n_folds: int = 3
-    fill_value: float = -2.0
-    seed: int = 0
-
-
 @dataclass(frozen=True)
 class PredictionConfig:
-    eopatches_folder: str
-    metadata_path: str
-    model_version: str
-    height: int = 1128
-    width: int = 1128
-    n_classes: int = 2
-    normalise: str = "to_meanstd"
     pad_buffer: int = 14
     crop_buffer: int = 26
-    feature_extent: str = "EXTENT_PREDICTED"
-    feature_boundary: str = "BOUNDARY_PREDICTED"
-    feature_distance: str = "DISTANCE_PREDICTED"
 
 
 @dataclass(frozen=True)
 class PostProcessConfig:
-    eopatches_folder: str
-    output_folder: str
-    time_intervals: dict[str, tuple[str, str]]
     feature_extent: str = "EXTENT_PREDICTED"
     feature_boundary: str = "BOUNDARY_PREDICTED"
     max_cloud_coverage: float = 0.05
@@ -128,28 +64,21 @@ class PostProcessConfig:
     disk_size: int = 2
     masked_temporal_merging: bool = False
     disk_size_masking: int = 5
+    block: int | None = None
 
 
 @dataclass(frozen=True)
 class VectorisationConfig:
-    rasters_folder: str
-    contours_dir: str
-    time_intervals: tuple[str, ...]
-    utms: tuple[int, ...]
     shape: tuple[int, int] = (4400, 4400)
     buffer: tuple[int, int] = (200, 200)
     chunk_size: int = 500
-    chunk_overlap: int = 10
     threshold: float = 0.6
 
 
 @dataclass(frozen=True)
-class MergeZonesConfig:
-    contours_dir: str
-    time_intervals: tuple[str, ...]
-    utms: tuple[int, ...]
+class MergeConfig:
     resulting_crs: int = 32634
     max_area: float | None = None
-    simplify_tolerance: float = 2.5
+    simplify_tolerance: float | None = 2.5
     cell: float = 1000.0
-    names: dict[str, str] = field(default_factory=dict)
+    together: bool = False

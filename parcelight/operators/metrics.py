@@ -28,6 +28,20 @@ def segmentation(pixels: DataFrame, keys: list[str], truth: str = "y", predicted
     )
 
 
+def soft_tanimoto(pixels: DataFrame, keys: list[str], truth: str = "y", probability: str = "p") -> DataFrame:
+    """keys, tanimoto, loss of probabilities against 0/1 truth: products over squares less products, the mean of both
+    classes. Rows with a null in either go; null where a class has nothing to divide by."""
+    y, p = F.col(truth).cast("double"), F.col(probability).cast("double")
+    some = pixels.where(y.isNotNull() & p.isNotNull())
+
+    def shared(a: Column, b: Column) -> Column:
+        product = F.sum(a * b)
+        return safe(product, F.sum(a * a) + F.sum(b * b) - product)
+
+    out = some.groupBy(*keys).agg(((shared(y, p) + shared(1 - y, 1 - p)) / 2).alias("tanimoto"))
+    return out.withColumn("loss", 1 - F.col("tanimoto"))
+
+
 def average_weights(models: DataFrame, keys: list[str], weight: str) -> DataFrame:
     """The mean over models of each weight."""
     return models.groupBy(*keys).agg(F.avg(weight).alias("weight"), F.count(F.lit(1)).alias("models"))

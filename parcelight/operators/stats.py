@@ -67,5 +67,8 @@ def percentile_scale(df: DataFrame, bands: list[str]) -> DataFrame:
 
 
 def month_window_mean(stats: DataFrame, column: str, ts: str = "ts") -> DataFrame:
-    """Each row with its month's mean of a column: the window form of factors joined back."""
-    return stats.withColumn(f"{column}_month", F.avg(column).over(Window.partitionBy(month_period(ts))))
+    """Each row with its month's mean of a column. Months are few and long, so their means are aggregated in parts and joined
+    back; a window would put all rows of a month into one task."""
+    month = month_period(ts)
+    means = stats.groupBy(month.alias("_month")).agg(F.avg(column).alias(f"{column}_month"))
+    return stats.join(means, month.eqNullSafe(F.col("_month"))).drop("_month")

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels
-from ..model import IngestConfig, NormalizationConfig, PostProcessConfig, PredictionConfig, RasteriseConfig, SamplingConfig, SplitConfig, VectorisationConfig
-from ..operators import focal, mosaic, raster, sampling, scenes, spatial, stats, vectorise
+from ..model import IngestConfig, MergeConfig, PostProcessConfig, PredictionConfig, RasteriseConfig, SamplingConfig, SplitConfig, VectorisationConfig
+from ..operators import focal, mosaic, raster, sampling, scenes, spatial, stats, vectorise, zones
 
 
 def ingest(bands: DataFrame, dates: DataFrame, config: IngestConfig) -> DataFrame:
@@ -63,7 +63,7 @@ def sample(labels: DataFrame, config: SamplingConfig) -> DataFrame:
     return sampling.sample_windows(inside, "tile", config.num_samples, config.fraction_valid, config.sample_positive, config.seed)
 
 
-def normalise(pixels: DataFrame, metadata: DataFrame, bands: list[str], config: NormalizationConfig) -> DataFrame:
+def normalise(pixels: DataFrame, metadata: DataFrame, bands: list[str]) -> DataFrame:
     """Metadata with statistics and monthly factors, from pixels (patchlet, timestamp, bands)."""
     made = stats.band_stats(pixels, ["patchlet", "timestamp"], bands, ("mean", "median", "perc_99", "std"))
     return stats.with_factors(metadata, made, stats.monthly_factors(made, "timestamp", len(bands)), ["patchlet", "timestamp"], "timestamp")
@@ -128,13 +128,13 @@ def merge_time(rasters: DataFrame, masks: DataFrame, interval: tuple[str, str],
     return inside.groupBy("tile", "feature").applyInPandas(run, "tile string, feature string, h int, w int, px array<double>")
 
 
-def combine(merged: DataFrame, config: PostProcessConfig, block: int | None = None) -> DataFrame:
-    """Extent and boundary of each tile combined, enlarged and smoothed: tile, h, w, px. With block, in blocks of so many
-    pixels (tile, top, left, h, w, px), for tiles that are large for a task."""
+def combine(merged: DataFrame, config: PostProcessConfig) -> DataFrame:
+    """Extent and boundary of each tile combined, enlarged and smoothed: tile, h, w, px. With config.block, in blocks of so
+    many pixels (tile, top, left, h, w, px), for tiles that are large for a task."""
     side = lambda f, n: merged.where(F.col("feature") == f).select("tile", "h", "w", F.col("px").alias(n))
     both = side(config.feature_extent, "e").join(side(config.feature_boundary, "b").drop("h", "w"), "tile")
-    if block is not None:
-        return focal.upsampled(both, ["tile"], block, config.scale_factor, config.disk_size)
+    if config.block is not None:
+        return focal.upsampled(both, ["tile"], config.block, config.scale_factor, config.disk_size)
     packed = both.select("tile", (F.col("h") * 2).alias("h"), "w", F.concat("e", "b").alias("px"))
     make = lambda x: kernels.combine_upsample(x[: len(x) // 2], x[len(x) // 2 :], config.scale_factor, config.disk_size)
     return focal.on_tiles(packed, ["tile"], make)
@@ -161,3 +161,8 @@ def vectors(tiles: DataFrame, config: VectorisationConfig) -> DataFrame:
     kinds = dict(tiles.dtypes)
     blocks = block.groupBy("zone", "block_row", "block_col").applyInPandas(run, f"zone {kinds['zone']}, block_row int, block_col int, top int, left int, h int, w int, px array<double>")
     return vectorise.parcels(blocks, "zone", config.threshold, size)
+
+
+def merge(left: DataFrame, right: DataFrame, epsg: tuple[int, int], overlap: DataFrame | None, config: MergeConfig) -> DataFrame:
+    """Two zones' polygons as one layer: source, area, rings."""
+    return zones.merged(left, right, epsg, config.resulting_crs, config.cell, overlap, config.max_area, config.simplify_tolerance, config.together)

@@ -318,3 +318,10 @@ def interleaved_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sampling.assign_chunks(meta, "eopatch", ["patchlet", "ts"], 10)
     rows = placed.select("patchlet", "ts", F.concat_ws("-", F.col("eopatch").cast("string"), F.col("chunk").cast("string")).alias("chunk"), F.col("chunk_pos").cast("long").alias("pos"))
     return training.interleaved(rows, "chunk", "pos", 8, 4, seed=5, epoch=2).select("patchlet", "ts", "chunk", "pos", "stage", "turn", "lane")
+
+
+@query(f"with {fx.OBS}, s as (select patchlet % 10 as img, valid::int as y, b2 * 10 as p from obs), t as (select img, sum(y * p) as a, sum(y * y) + sum(p * p) - sum(y * p) as b, sum((1 - y) * (1 - p)) as c, sum((1 - y) * (1 - y)) + sum((1 - p) * (1 - p)) - sum((1 - y) * (1 - p)) as d from s group by 1) select img, round((a / b + c / d) / 2, 6) as tanimoto, round(1 - (a / b + c / d) / 2, 6) as loss from t")
+def soft_tanimoto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities from 0 to 1 against the validity of pixels."""
+    pixels = fx.obs(spark, sf_dir).select((F.col("patchlet") % 10).alias("img"), F.col("valid").cast("int").alias("y"), (F.col("b2") * 10).alias("p"))
+    return rounded(metrics.soft_tanimoto(pixels, ["img"]), [])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from ..operators import arcs, areas, dissolve, grid, rings, spatial
+from ..operators import arcs, areas, dissolve, grid, rings, spatial, zones
 from ..sources import fixtures as fx
 from .registry import query
 from .tabular import rounded
@@ -319,3 +319,16 @@ def grid_of_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = fx.ells(spark, sf_dir).where("zone = 0").withColumn("component", F.lit(0))
     area = areas.boxed(rings.cut(rings.polygons(dissolve.outline(own, CELL)).select("rings")))
     return rounded(grid.tiles(area, 16.0).groupBy("tile_row", "tile_col").agg(F.sum("area").alias("area")), [])
+
+
+@query(f"""with recursive {fx.RECTS}, {fx.ELLS}, {_BARS}, sized as (select id, count(*) as area from cells group by 1 having count(*) < 12), hit as (select distinct a.id from arms a join bars b on {_MEET} join sized s on s.id = a.id),
+  meet as (select distinct a.id as p, b.id as q from arms a join arms b on a.zone = 0 and b.zone = 1 and {_MEET} where a.id in (from hit) and b.id in (from hit)), edge as (select p, q from meet union select q, p from meet union select p, p from meet union select q, q from meet),
+  reach as (select p, q from edge union select r.p, e.q from reach r join edge e on e.p = r.q), comp as (select p as id, min(q) as component from reach group by 1),
+  all_cells as (select distinct component, gx, gy from cells join comp using (id)), {_PARTS.replace("from cells", "from all_cells")},
+  made as (select 'merged' as source, area from parts union all select 'alone', area from sized where id in (from hit) and id not in (select id from comp) union all select 'apart', area from sized where id not in (from hit))
+  select source, area::double as area, count(*) as n from made where area < 12 group by 1, 2""")
+def zone_merge_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two zones of concave polygons merged where they share an area, with limits before and after."""
+    a, b = (fx.ells(spark, sf_dir).where(F.col("zone") == z) for z in (0, 1))
+    out = zones.merged(a, b, (32634, 32634), 32634, CELL, _area(spark), 12.0, None)
+    return rounded(out.groupBy("source", F.round("area", 6).alias("area")).agg(F.count(F.lit(1)).alias("n")), [])

@@ -140,3 +140,21 @@ def test_areas_of_interest(spark, monkeypatch, few):
     boxes = {r["id"] for r in spatial.split_by_box(rows, planar.bounds(area[0]))[1].collect()}
     assert boxes - touched and touched - boxes  # a box does not do
     assert areas.contained_in(rows, layer(spark, area).where("false"), 8.0).count() == 0
+
+
+def test_zones_merge_after_reprojection(spark):
+    """One zone's polygons in 32634, the other's in 32635; where they meet they become one, in 32634, and simpler."""
+    from parcelight.operators import zones
+
+    box = lambda x, y, w, h: [(x, y), (x + w / 2, y), (x + w, y), (x + w, y + h), (x, y + h)]
+    x, y = 690_000.0, 6_100_000.0
+    here = [[box(x, y, 100, 100)], [box(x + 500, y, 100, 100)], [box(x + 5000, y, 100, 100)], [box(x + 900, y, 900, 900)]]
+    there = [planar.reproject([box(x + 50, y + 50, 100, 100)], 32634, 32635), planar.reproject([box(x + 700, y, 50, 50)], 32634, 32635), planar.reproject([box(x + 599.9, y + 99.9, 50, 50)], 32634, 32635)]
+    overlap = layer(spark, [[box(x - 10, y - 10, 2000, 2000)]])
+    for together in (False, True):
+        out = zones.merged(layer(spark, here), layer(spark, there), (32634, 32635), 32634, 200.0, overlap, 100_000.0, 2.5, together).collect()
+        got = sorted((r["source"], round(r["area"] / 100), sum(map(len, r["rings"]))) for r in out)
+        assert [g[:2] for g in got] == [("alone", 25), ("apart", 100), ("merged", 125), ("merged", 175)]
+        assert dict((g[0], g[2]) for g in got[:2]) == {"alone": 4, "apart": 4} and got[3][2] == 8
+    everything = zones.merged(layer(spark, here), layer(spark, there), (32634, 32635), 32634, 200.0, tolerance=None)
+    assert sorted(r["source"] for r in everything.collect()) == ["alone", "alone", "alone", "merged", "merged"]

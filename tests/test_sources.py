@@ -84,10 +84,10 @@ def test_rasterise_and_sample(spark):
     grid = spark.createDataFrame([("t", 0.0, 0.0, 160.0, 160.0)], "tile string, x0 double, y0 double, x1 double, y1 double")
     ring = [{"x": x, "y": y} for x, y in ((20.0, 20.0), (140.0, 20.0), (140.0, 140.0), (20.0, 140.0))]
     parcels = spark.createDataFrame([(1, [ring], 20.0, 20.0, 140.0, 140.0)], "id int, rings array<array<struct<x: double, y: double>>>, x0 double, y0 double, x1 double, y1 double")
-    labels = stages.rasterise(grid, parcels, RasteriseConfig("", "", buffer_poly=-10.0, width=16, height=16), 160.0).cache()
+    labels = stages.rasterise(grid, parcels, RasteriseConfig(buffer_poly=-10.0, width=16, height=16), 160.0).cache()
     extent = np.array(labels.where("feature = 'EXTENT'").first()["px"]).reshape(16, 16)
     assert extent.sum() == 100 and extent[8, 8] == 1
-    picked = stages.sample(labels, SamplingConfig("", "", buffer=2, patch_size=4, num_samples=3, fraction_valid=0.5)).collect()
+    picked = stages.sample(labels, SamplingConfig(buffer=2, patch_size=4, num_samples=3, fraction_valid=0.5)).collect()
     assert len(picked) == 3 and all(r["ratio"] >= 0.5 and 2 <= r["row"] < 10 for r in picked)
 
 
@@ -99,9 +99,9 @@ def test_predict_merge_combine(spark):
         ramp = np.add.outer(np.arange(x.shape[0]), np.arange(x.shape[1])) / 10.0
         return {"EXTENT_PREDICTED": x[..., 0] + ramp, "BOUNDARY_PREDICTED": ramp[::-1] * 0.5}
 
-    made = stages.predict(scenes, model, PredictionConfig("", "", "v", pad_buffer=1, crop_buffer=1))
+    made = stages.predict(scenes, model, PredictionConfig(pad_buffer=1, crop_buffer=1))
     masks = spark.createDataFrame([("t", k, [k == 2] * 16, [True] * 16) for k in range(3)], "tile string, t_idx int, cloudy array<boolean>, valid array<boolean>")
-    config = PostProcessConfig("", "", {})
+    config = PostProcessConfig()
     merged = stages.merge_time(made, masks, ("2020-04-01", "2020-05-01"), config)
     extent = np.array(merged.where("feature = 'EXTENT_PREDICTED'").first()["px"])
     assert abs(extent[0] - 0.7) < 1e-9  # the median of two scenes, the cloudy one left out
@@ -116,7 +116,7 @@ def test_vectors_do_not_depend_on_blocks(spark):
     tiles = spark.createDataFrame([("z", 0, 0, 12, 20, x.ravel().tolist())], "zone string, g_row int, g_col int, h int, w int, px array<double>")
     areas = []
     for size in (5, 50):
-        out = stages.vectors(tiles, VectorisationConfig("", "", (), (), shape=(12, 20), buffer=(1, 1), chunk_size=size, threshold=0.5)).collect()
+        out = stages.vectors(tiles, VectorisationConfig(shape=(12, 20), buffer=(1, 1), chunk_size=size, threshold=0.5)).collect()
         areas.append((len(out), round(out[0]["area"], 6), len(out[0]["rings"])))
     assert areas[0] == areas[1] and areas[0][0] == 1 and areas[0][2] == 2
 
