@@ -86,90 +86,12 @@ def directed_edges(rings: list[Ring]) -> list[tuple]:
     return out
 
 
-def covered(p: list[Ring], q: list[Ring], yields: bool) -> list[tuple[int, float, float]]:
-    """What of p's directed edges vanishes in the union with q: edge, and from where to where along it (0 to 1). An edge
-    that both share vanishes if they lie on both sides of it, and if they lie on one side, where p yields."""
-    out, other = [], directed_edges(q)
-    for n, (a, b) in enumerate(directed_edges(p)):
-        dx, dy = b[0] - a[0], b[1] - a[1]
-        square = dx * dx + dy * dy
-        cuts, along = {0.0, 1.0}, []
-        for c, d in other:
-            s, t = _side(a, b, c), _side(a, b, d)
-            u, v = (((e[0] - a[0]) * dx + (e[1] - a[1]) * dy) / square for e in (c, d))
-            if max(abs(s), abs(t)) <= 1e-9 * square:
-                along.append((min(u, v), max(u, v), v > u))
-                cuts |= {u, v}
-            elif min(s, t) <= 0 <= max(s, t):
-                cuts.add(u + (v - u) * s / (s - t))
-        cuts = sorted(c for c in cuts if 0 <= c <= 1)
-        for u, v in zip(cuts, cuts[1:]):
-            m = (u + v) / 2
-            facing = [same for low, high, same in along if low < m < high]
-            if v - u > 1e-12 and (yields or not all(facing) if facing else contains_point(q, a[0] + m * dx, a[1] + m * dy)):
-                out.append((n, u, v))
-    return out
-
-
-def polygons(edges: list[tuple], digits: int = 6) -> list[list[Ring]]:
-    """Polygons whose boundary is made of edges (a, b) with the inside on their left. Ends meet if they agree in so many
-    digits; where more than two edges meet, a ring turns left. Points on straight edges go."""
-    onward: dict[tuple, list] = {}
-    for a, b in sorted({tuple((round(x, digits), round(y, digits)) for x, y in e) for e in edges}):
-        if a != b:
-            onward.setdefault(a, []).append(b)
-    turn = lambda a, b, c: math.atan2(_side(a, b, c), (b[0] - a[0]) * (c[0] - b[0]) + (b[1] - a[1]) * (c[1] - b[1]))
-    loops = []
-    for start in list(onward):
-        while onward[start]:
-            ring = [start, onward[start].pop(0)]
-            while ring[-1] != start and onward.get(ring[-1]):
-                nexts = onward[ring[-1]]
-                nexts.remove(leftmost := max(nexts, key=lambda c: turn(ring[-2], ring[-1], c)))
-                ring.append(leftmost)
-            passed: dict[tuple, None] = {}
-            for b in ring:  # a ring that passes a point twice is two rings
-                if b in passed:
-                    loop = [passed.popitem()[0]]
-                    while loop[-1] != b:
-                        loop.append(passed.popitem()[0])
-                    loops.append(loop[::-1])
-                passed[b] = None
-    rings = []
-    for ring in loops:
-        bent = [b for a, b, c in zip([*ring[-1:], *ring[:-1]], ring, [*ring[1:], *ring[:1]], strict=True) if abs(_side(a, b, c)) > 10**-digits * math.dist(a, c)]
-        if len(bent) > 2:
-            rings.append(bent)
-    outer = sorted(([r] for r in rings if ring_area(r) > 0), key=lambda g: ring_area(g[0]))
-    for hole in (r for r in rings if ring_area(r) < 0):
-        (ax, ay), (bx, by) = hole[:2]
-        n = math.dist(hole[0], hole[1])
-        x, y = (ax + bx) / 2 + (by - ay) / n * 10**-digits, (ay + by) / 2 - (bx - ax) / n * 10**-digits  # just inside the hole
-        around = next((g for g in outer if contains_point(g[:1], x, y)), None)
-        if around is not None:
-            around.append(hole)
-    return outer
-
-
 def simplify(line: Ring, tolerance: float) -> Ring:
     """Douglas-Peucker on an open line; its ends stay."""
     if len(line) < 3:
         return line
-    keep, todo = {0, len(line) - 1}, [(0, len(line) - 1)]
-    while todo:
-        a, b = todo.pop()
-        (ax, ay), (bx, by) = line[a], line[b]
-        n = math.hypot(bx - ax, by - ay)
-        far, at = -1.0, -1
-        for k in range(a + 1, b):
-            x, y = line[k]
-            d = abs((bx - ax) * (ay - y) - (ax - x) * (by - ay)) / n if n else math.hypot(x - ax, y - ay)
-            if d > far:
-                far, at = d, k
-        if far > tolerance:
-            keep.add(at)
-            todo += [(a, at), (at, b)]
-    return [line[k] for k in sorted(keep)]
+    points = np.array(line, float)
+    return [line[k] for k in kept_points(points[:, 0], points[:, 1], tolerance)]
 
 
 def simplify_ring(ring: Ring, tolerance: float) -> Ring:
@@ -220,38 +142,40 @@ def _series() -> tuple[float, list[float], list[float], float]:
     return radius, forward, back, n
 
 
-def to_utm(lon: float, lat: float, epsg: int) -> tuple[float, float]:
+def to_utm(lon: float | np.ndarray, lat: float | np.ndarray, epsg: int) -> tuple:
     """Longitude and latitude to a UTM zone (EPSG 326xx or 327xx), by the transverse Mercator series of third order."""
     radius, forward, _, n = _series()
-    phi, lam = math.radians(lat), math.radians(lon - (epsg % 100 * 6 - 183))
+    phi, lam = np.radians(lat), np.radians(np.subtract(lon, epsg % 100 * 6 - 183))
     e = 2 * math.sqrt(n) / (1 + n)
-    t = math.sinh(math.atanh(math.sin(phi)) - e * math.atanh(e * math.sin(phi)))
-    xi, eta = math.atan2(t, math.cos(lam)), math.atanh(math.sin(lam) / math.sqrt(1 + t * t))
-    x = eta + sum(a * math.cos(2 * k * xi) * math.sinh(2 * k * eta) for k, a in enumerate(forward, 1))
-    y = xi + sum(a * math.sin(2 * k * xi) * math.cosh(2 * k * eta) for k, a in enumerate(forward, 1))
+    t = np.sinh(np.arctanh(np.sin(phi)) - e * np.arctanh(e * np.sin(phi)))
+    xi, eta = np.arctan2(t, np.cos(lam)), np.arctanh(np.sin(lam) / np.sqrt(1 + t * t))
+    x = eta + sum(a * np.cos(2 * k * xi) * np.sinh(2 * k * eta) for k, a in enumerate(forward, 1))
+    y = xi + sum(a * np.sin(2 * k * xi) * np.cosh(2 * k * eta) for k, a in enumerate(forward, 1))
     return FALSE_EASTING + SCALE * radius * x, (FALSE_NORTHING if epsg // 100 == 327 else 0.0) + SCALE * radius * y
 
 
-def from_utm(x: float, y: float, epsg: int) -> tuple[float, float]:
+def from_utm(x: float | np.ndarray, y: float | np.ndarray, epsg: int) -> tuple:
     """UTM to longitude and latitude."""
     radius, _, back, n = _series()
-    eta, xi = (x - FALSE_EASTING) / (SCALE * radius), (y - (FALSE_NORTHING if epsg // 100 == 327 else 0.0)) / (SCALE * radius)
-    xp = xi - sum(b * math.sin(2 * k * xi) * math.cosh(2 * k * eta) for k, b in enumerate(back, 1))
-    ep = eta - sum(b * math.cos(2 * k * xi) * math.sinh(2 * k * eta) for k, b in enumerate(back, 1))
-    chi = math.asin(math.sin(xp) / math.cosh(ep))
+    eta, xi = np.subtract(x, FALSE_EASTING) / (SCALE * radius), np.subtract(y, FALSE_NORTHING if epsg // 100 == 327 else 0.0) / (SCALE * radius)
+    xp = xi - sum(b * np.sin(2 * k * xi) * np.cosh(2 * k * eta) for k, b in enumerate(back, 1))
+    ep = eta - sum(b * np.cos(2 * k * xi) * np.sinh(2 * k * eta) for k, b in enumerate(back, 1))
+    chi = np.arcsin(np.sin(xp) / np.cosh(ep))
     # the conformal latitude is turned back by iteration, to about a nanometre
     e, phi = 2 * math.sqrt(n) / (1 + n), chi
     for _ in range(8):
-        phi = math.asin(math.tanh(math.atanh(math.sin(chi)) + e * math.atanh(e * math.sin(phi))))
-    return epsg % 100 * 6 - 183 + math.degrees(math.atan2(math.sinh(ep), math.cos(xp))), math.degrees(phi)
+        phi = np.arcsin(np.tanh(np.arctanh(np.sin(chi)) + e * np.arctanh(e * np.sin(phi))))
+    return epsg % 100 * 6 - 183 + np.degrees(np.arctan2(np.sinh(ep), np.cos(xp))), np.degrees(phi)
 
 
-def reproject(rings: list[Ring], source: int, target: int) -> list[Ring]:
-    """Rings from one reference system to another: 4326 or UTM zones."""
+def moved(x: np.ndarray, y: np.ndarray, source: int, target: int) -> tuple:
+    """Points from one reference system to another: 4326 or UTM zones."""
     if source == target:
-        return rings
-    out = []
-    for ring in rings:
-        degrees = ring if source == 4326 else [from_utm(x, y, source) for x, y in ring]
-        out.append(degrees if target == 4326 else [to_utm(x, y, target) for x, y in degrees])
-    return out
+        return x, y
+    lon, lat = (x, y) if source == 4326 else from_utm(x, y, source)
+    return (lon, lat) if target == 4326 else to_utm(lon, lat, target)
+
+
+def reproject(rings: list[Ring], source: int, target: int) -> list[Ring]:
+    """Rings from one reference system to another."""
+    return [list(zip(*(v.tolist() for v in moved(*np.array(ring, float).T, source, target)), strict=True)) if ring else [] for ring in rings]

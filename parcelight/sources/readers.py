@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import areas, spatial
+
 RINGS = T.ArrayType(T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])))
 METADATA = "chunk string, eopatch string, patchlet string, chunk_pos int, timestamp timestamp_ntz"
 
@@ -121,10 +123,16 @@ def cubes(spark: SparkSession, path: str, features: list[str]) -> DataFrame:
     return spark.read.parquet(path).where(F.col("feature").isin(features))
 
 
-def parcels_in(parcels: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
-    """Parcels whose box shares a point with the given one: plain comparisons, which reach the scan or the database."""
-    x0, y0, x1, y1 = box
-    return parcels.where((F.col("x0") <= x1) & (F.col("x1") >= x0) & (F.col("y0") <= y1) & (F.col("y1") >= y0))
+def parcels_in(parcels: DataFrame, box: tuple[float, float, float, float], exact: bool = False, key: str = "id") -> DataFrame:
+    """Parcels whose box shares a point with the given one: plain comparisons, which reach the scan or the database. exact:
+    of these, the ones whose shape (rings) does."""
+    x0, y0, x1, y1 = (float(v) for v in box)
+    found = parcels.where((F.col("x0") <= x1) & (F.col("x1") >= x0) & (F.col("y0") <= y1) & (F.col("y1") >= y0))
+    if not exact:
+        return found
+    corners = [F.lit(v).alias(c) for v, c in zip((x0, y0, x1, y1), spatial.BOX, strict=True)]
+    area = parcels.sparkSession.range(1).select(*corners, spatial.rectangle_rings(*corners).alias("rings"))
+    return areas.split_by_area(found, area, max(x1 - x0, y1 - y0), key)[1]
 
 
 def pixel_samples(scenes: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:

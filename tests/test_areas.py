@@ -158,3 +158,15 @@ def test_zones_merge_after_reprojection(spark):
         assert dict((g[0], g[2]) for g in got[:2]) == {"alone": 4, "apart": 4} and got[3][2] == 8
     everything = zones.merged(layer(spark, here), layer(spark, there), (32634, 32635), 32634, 200.0, tolerance=None)
     assert sorted(r["source"] for r in everything.collect()) == ["alone", "alone", "alone", "merged", "merged"]
+
+
+def test_parcels_in_a_box(spark):
+    from parcelight.sources import readers
+
+    rows = layer(spark, [ELL, RINGED, [[(0, 9), (1, 8), (1, 10)]]])
+    box = (4, 4, 9, 9)
+    assert {r["id"] for r in readers.parcels_in(rows, box).collect()} == {0} and readers.parcels_in(rows, box, exact=True).count() == 0
+    assert {r["id"] for r in readers.parcels_in(rows, (2, 2, 9, 9), exact=True).collect()} == {0}
+    assert readers.parcels_in(rows, (25, 4, 26, 6), exact=True).count() == 0 and readers.parcels_in(rows, (25, 4, 26, 7), exact=True).count() == 1
+    moved = spatial.reprojected(rows.unionByName(rows.limit(1).withColumn("rings", F.lit(None).cast(rows.schema["rings"].dataType))), "rings", 32634, 32634)
+    assert sorted(map(str, moved.select("rings").collect())) == sorted(map(str, [*rows.select("rings").collect(), type(rows.first())("rings")(None)]))
