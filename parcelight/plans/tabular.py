@@ -188,7 +188,7 @@ _FIVE = f"({_h('patchlet::varchar || chr(124) || 7')} % 5 + 1)::int"
 
 @query(f"""with {fx.OBS}, f as (select {_FIVE} as fold, count(*) as n from obs group by 1), t as (select range::int as test from range(1, 6)), o as (select test, list_filter([1, 2, 3, 4, 5], lambda x: x <> test) as others from t),
   v as (select test, others, others[({_h('test::varchar || chr(124) || 0')} % 4)::int + 1] as val from o)
-  select test, val::int as val, array_to_string(list_filter(others, lambda x: x <> val), ',') as train, sum(n) filter (where fold = test)::bigint as n_test, sum(n) filter (where fold = val)::bigint as n_val, sum(n) filter (where fold <> test and fold <> val)::bigint as n_train from v, f group by all""")
+  select test, val::int as val, array_to_string(list_filter(others, lambda x: x <> val), ',') as train, coalesce(sum(n) filter (where fold = test), 0)::bigint as n_test, coalesce(sum(n) filter (where fold = val), 0)::bigint as n_val, coalesce(sum(n) filter (where fold <> test and fold <> val), 0)::bigint as n_train from v, f group by all""")
 def loo_fold_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each fold left out in turn, with the pixels that test, validate and train."""
     return sampling.fold_sizes(fx.obs(spark, sf_dir), sampling.fold(F.col("patchlet"), 5, 7), 5)
