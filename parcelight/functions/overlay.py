@@ -190,13 +190,14 @@ def share_point(pairs: Pairs) -> np.ndarray:
             boxes &= np.minimum(f[:, c], f[:, c + 2]) <= np.maximum(e[:, c], e[:, c + 2])
         hit = np.zeros(k.n, bool)
         hit[k.pk[i[boxes & (np.sign(p) * np.sign(q) <= 0) & (np.sign(r) * np.sign(s) <= 0)]]] = True
-        # one may lie in the other: a corner of each against the other's edges
-        for mine, other in ((k, k.turned()), (k.turned(), k)):
-            some = np.flatnonzero((mine.pn > 0) & (mine.qn > 0))
-            corner = mine.p[mine.p0[some]]
-            rows, at = np.repeat(np.arange(len(some)), mine.qn[some]), ranges(mine.q0[some], mine.qn[some])
-            odd = np.bincount(rows[within(corner[rows, 0], corner[rows, 1], other.p[at])], minlength=len(some)) % 2 == 1
-            hit[some[odd]] = True
+        # one may lie in the other. The first may be a part of an area and fall into several rings: any corner of it counts
+        odd = np.bincount(i[within(e[:, 0], e[:, 1], f)], minlength=len(k.p)) % 2 == 1
+        hit[k.pk[odd]] = True
+        some = np.flatnonzero((k.pn > 0) & (k.qn > 0))
+        corner = k.q[k.q0[some]]
+        rows, at = np.repeat(np.arange(len(some)), k.pn[some]), ranges(k.p0[some], k.pn[some])
+        odd = np.bincount(rows[within(corner[rows, 0], corner[rows, 1], k.p[at])], minlength=len(some)) % 2 == 1
+        hit[some[odd]] = True
         out[first : first + k.n] = hit
     return out
 

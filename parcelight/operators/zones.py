@@ -9,6 +9,22 @@ from . import arcs, areas, dissolve, rings, spatial
 from .spatial import BOX
 
 
+def overlap(left: DataFrame, right: DataFrame, cell: float, shrink: float = 1e-4, key: str = "id") -> DataFrame:
+    """Box and rings of what the unions of two zones' tiles (key, box, rings, in one reference system) share, narrowed a
+    little, so that tiles which only touch it are not counted in."""
+    both = areas.shared(left, right, cell, key).select("rings").withColumn("id", F.xxhash64("rings"))
+    return areas.boxed(rings.cut(areas.buffered(both, -shrink).select("rings")))
+
+
+def split(tiles: DataFrame, shared: DataFrame, zone: str, cell: float, widen: float = 1e-5, key: str = "id") -> tuple[DataFrame, DataFrame]:
+    """(the tiles that share a point with the zones' overlap; zone, rings: the union of each zone's other tiles, widened a
+    little)."""
+    apart, hit = areas.split_by_area(tiles, shared, cell, key)
+    unions = rings.polygons(dissolve.outline(apart.withColumn("component", F.col(zone)), cell, key))
+    named = unions.select(F.struct("component", "part").alias("id"), "rings")
+    return hit, areas.buffered(named, widen).select(F.col("id.component").alias(zone), "rings")
+
+
 def merged(
     left: DataFrame,
     right: DataFrame,

@@ -332,3 +332,13 @@ def zone_merge_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = (fx.ells(spark, sf_dir).where(F.col("zone") == z) for z in (0, 1))
     out = zones.merged(a, b, (32634, 32634), 32634, CELL, _area(spark), 12.0, None)
     return rounded(out.groupBy("source", F.round("area", 6).alias("area")).agg(F.count(F.lit(1)).alias("n")), [])
+
+
+@query(f"with {fx.RECTS}, {fx.ELLS}, shared as (select distinct a.gx, a.gy from cells a join cells b on a.gx = b.gx and a.gy = b.gy and a.zone = 0 and b.zone = 1), hit as (select distinct id from cells join shared using (gx, gy)) select zone, id in (from hit) as in_overlap, count(*) as tiles from ells group by all")
+def zone_overlap_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tiles of two zones that meet what their unions share, narrowed by a tenth."""
+    tiles = fx.ells(spark, sf_dir)
+    shared = zones.overlap(*(tiles.where(F.col("zone") == z) for z in (0, 1)), CELL, 0.1)
+    apart, hit = areas.split_by_area(tiles, shared, CELL)
+    both = apart.withColumn("in_overlap", F.lit(False)).unionByName(hit.withColumn("in_overlap", F.lit(True)))
+    return both.groupBy("zone", "in_overlap").agg(F.count(F.lit(1)).alias("tiles"))

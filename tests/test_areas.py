@@ -125,7 +125,7 @@ def test_areas_of_interest(spark, monkeypatch, few):
     monkeypatch.setattr(areas, "FEW_EDGES", few)
     rnd = random.Random(9)
     coast = [(50 + (30 + 12 * (k % 3)) * math.cos(k * math.pi / 40), 50 + (30 + 12 * (k % 3)) * math.sin(k * math.pi / 40)) for k in range(80)]
-    area = [[coast, regular(50, 50, 9, 6, 0.1)[::-1]], [regular(120, 50, 9, 5, 0)]]
+    area = [[coast, regular(50, 50, 9, 6, 0.1)[::-1]], [regular(120, 50, 9, 5, 0)], *[[regular(8 + 20 * k, 99, 0.3, 4, 0)] for k in range(6)]]
     shapes = [[regular(rnd.uniform(0, 130), rnd.uniform(0, 100), rnd.uniform(0.5, 6), rnd.choice([3, 4, 5]), rnd.uniform(0, 6))] for _ in range(300)]
     shapes += [area[1], [regular(50, 50, 12, 8, 0)], [regular(50, 50, 95, 30, 0)], [regular(50, 50, 3, 4, 0)]]
     rows = layer(spark, shapes)
@@ -170,3 +170,17 @@ def test_parcels_in_a_box(spark):
     assert readers.parcels_in(rows, (25, 4, 26, 6), exact=True).count() == 0 and readers.parcels_in(rows, (25, 4, 26, 7), exact=True).count() == 1
     moved = spatial.reprojected(rows.unionByName(rows.limit(1).withColumn("rings", F.lit(None).cast(rows.schema["rings"].dataType))), "rings", 32634, 32634)
     assert sorted(map(str, moved.select("rings").collect())) == sorted(map(str, [*rows.select("rings").collect(), type(rows.first())("rings")(None)]))
+
+
+def test_zones_of_tiles(spark):
+    """Three tiles of each zone in a row, one of each in common: that one is the overlap, the others are the zones."""
+    from parcelight.operators import zones
+
+    box = lambda x: [[(x, 0), (x + 10, 0), (x + 10, 10), (x, 10)]]
+    tiles = layer(spark, [box(0), box(10), box(20), box(20), box(30), box(40)]).withColumn("zone", F.floor(F.col("id") / 3).cast("int"))
+    shared = zones.overlap(tiles.where("zone = 0"), tiles.where("zone = 1"), 10.0)
+    assert abs(sum(map(planar.area, drawn(shared.collect()))) - 100) < 0.01
+    hit, rest = zones.split(tiles, shared, "zone", 10.0, widen=0.001)
+    assert {r["id"] for r in hit.collect()} == {2, 3}
+    got = {r["zone"]: planar.bounds(g) for r, g in zip(rest.collect(), drawn(rest.collect()), strict=True)}
+    assert np.allclose([got[0], got[1]], [(-0.001, -0.001, 20.001, 10.001), (29.999, -0.001, 50.001, 10.001)], atol=1e-5)
