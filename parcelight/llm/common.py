@@ -7,10 +7,11 @@ from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.components import checkpoint_folder
+from ..operators.components import checkpoint_folder, dropped  # noqa: F401
 
 #: Words are runs of anything but space and the ASCII controls 09 to 0D; ``bytes.split()`` cuts at exactly these.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -66,6 +67,17 @@ def tool(key: Hashable, make: Callable[[], object]) -> object:
     return _tool[key]
 
 
+#: Bytes from which on an array has pages of its own, and glibc's name for that setting.
+OWN_PAGES, M_MMAP_THRESHOLD = 1 << 20, -3
+
+
+def own_pages() -> None:
+    """Let arrays of a MB and more go back to the system as soon as they are freed. By default the limit rises with what has
+    been freed, up to 32 MB, and arrays of that size then stay in the process."""
+    if hasattr(ctypes.CDLL(None), "mallopt"):
+        ctypes.CDLL(None).mallopt(M_MMAP_THRESHOLD, OWN_PAGES)
+
+
 def trim() -> None:
     """Give memory that is no longer used back to the system."""
     pa.default_memory_pool().release_unused()
@@ -73,12 +85,21 @@ def trim() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+#: Bytes of a batch on its way between an executor and its Python workers. By default only rows are counted, and 10,000
+#: texts of some KB lie in buffers of both.
+BATCH = "4m"
+
+
 def lean(run: Batches, tools: bool = False) -> Batches:
     """run, for mapInArrow. Worker processes outlive their tasks, so what each operator leaves in them would add up beside
     the executor's heap: unused memory is given back at a task's end, and what ``tool`` holds as well, unless run has use
-    for it."""
+    for it. The session is set to batches of a few MB."""
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        session.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_pages()
         if not tools and _tool:
             _tool.clear()
             trim()
@@ -96,7 +117,11 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [x or b"" for x in column.to_pylist()]
 
 
-def in_parts(batches: Iterator[pa.RecordBatch], name: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+#: Bytes of text that a task works on at a time; its arrays take some 30 times as much.
+PART = 2 << 20
+
+
+def in_parts(batches: Iterator[pa.RecordBatch], name: str = "text", limit: int = PART) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about limit bytes of text each, so that work arrays stay small."""
     for batch in batches:
         sizes = batch.column(batch.schema.get_field_index(name)).cast(pa.binary())
@@ -110,6 +135,30 @@ def in_parts(batches: Iterator[pa.RecordBatch], name: str = "text", limit: int =
             yield batch.slice(start)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """docs (doc, mark, text) with the text's bytes compressed, as they travel."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in in_parts(batches):
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([pack(t) for t in texts(batch)], pa.binary())], ["doc", "mark", "z"])
+
+    return docs.mapInArrow(lean(run), "doc long, mark long, z binary")
+
+
+def unpacked(batches: Iterator[pa.RecordBatch], limit: int = PART) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of the batches with the texts of their column z; about limit bytes of text each, however small they travel."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        start, held, raws = 0, 0, []
+        for i, z in enumerate(batch.column(batch.schema.get_field_index("z"))):
+            raws.append(unpack(z.as_buffer()))
+            held += len(raws[-1])
+            if held >= limit or i + 1 == batch.num_rows:
+                yield batch.slice(start, i + 1 - start), raws
+                start, held, raws = i + 1, 0, []
+
+
 def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """start[0], start[0] + 1, ... for length[0] numbers, then those of the next."""
     return np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))

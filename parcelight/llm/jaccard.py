@@ -17,13 +17,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import components, stored
-from .common import cut, frames, in_parts, lean, small, texts, unsigned_fraction
+from .common import cut, frames, in_parts, lean, ranges, small, texts, unsigned_fraction
 from .meeting import CELL, ROWS, dealt, numbered, pairs
 from .shingles import majority, shingle_hashes
 
 #: Texts sampled and shingles kept for the order; the part of the sample that makes a shingle hot; rows of a shingle
 #: compared without sketches at most.
 SAMPLE, COMMON, HOT, DENSE = 10_000, 100_000, 0.01, 32
+#: Rows with lists of keys read at a time.
+LISTED = 8_000
 _EPS = 1e-9
 
 
@@ -127,6 +129,28 @@ def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.drop("root").join(small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+class Lists:
+    """Lists of keys, as sorted numbers that tell rows and keys apart."""
+
+    def __init__(self, column: pa.ChunkedArray) -> None:
+        lists = column.combine_chunks()
+        self.size = np.diff(lists.offsets.to_numpy())
+        self.start = np.cumsum(self.size) - self.size
+        self.keys, code = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        self.flat = np.sort(np.repeat(np.arange(len(self.size)), self.size) * len(self.keys) + code)
+
+    def least_common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The least key that rows i and j share, for pairs that share one."""
+        pair = np.repeat(np.arange(len(i)), self.size[i])
+        code = self.flat[ranges(self.start[i], self.size[i])] - i[pair] * len(self.keys)
+        wanted = j[pair] * len(self.keys) + code
+        at = np.minimum(np.searchsorted(self.flat, wanted), len(self.flat) - 1)
+        hit = self.flat[at] == wanted
+        first = np.full(len(i), len(self.keys))
+        np.minimum.at(first, pair[hit], code[hit])
+        return self.keys[first]
+
+
 def met(index: DataFrame, key: tuple[str, ...], similarity: float) -> DataFrame:
     """a, b: nodes of rows (node, root, n, pos and maybe sketch and keys) in one group of the key that have different roots
     and may be alike. A group has a bounded number of rows. With keys, all that a node has, a pair is made only under the
@@ -134,9 +158,9 @@ def met(index: DataFrame, key: tuple[str, ...], similarity: float) -> DataFrame:
     with_sketch = "sketch" in index.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in frames(batches, ROWS, key):
+        for t in frames(batches, LISTED if with_sketch else ROWS, key):
             node, root, n, pos = (t[c].to_numpy().astype(np.int64) for c in ("node", "root", "n", "pos"))
-            bits, keys = (folded(t["sketch"]), [set(x) for x in t["keys"].to_pylist()]) if with_sketch else (None, None)
+            bits, keys = (folded(t["sketch"]), Lists(t["keys"])) if with_sketch else (None, None)
             own = t["key"].to_numpy()
             for i, j in pairs(numbered(t, key)):
                 need = np.ceil(similarity / (1 + similarity) * (n[i] + n[j]) - _EPS)
@@ -145,8 +169,11 @@ def met(index: DataFrame, key: tuple[str, ...], similarity: float) -> DataFrame:
                 if with_sketch and len(i):
                     ok = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) <= alike_bits(similarity, n[i] + n[j])
                     i, j = i[ok], j[ok]
-                    least = np.fromiter((min(keys[x] & keys[y]) for x, y in zip(i.tolist(), j.tolist(), strict=True)), np.int64, len(i))
-                    i, j = i[least == own[i]], j[least == own[i]]
+                    mine = np.zeros(len(i), bool)
+                    for k in range(0, len(i), 1 << 14):
+                        some = slice(k, k + (1 << 14))
+                        mine[some] = keys.least_common(i[some], j[some]) == own[i[some]]
+                    i, j = i[mine], j[mine]
                 if len(i):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], ["a", "b"])
 

@@ -19,11 +19,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, frames, in_parts, lean, ranges, small, texts
+from .common import cut, frames, in_parts, lean, packed, ranges, small, texts, unpacked
 
 #: Words of a passage that counts as repeated, and of a seed.
 WINDOW, SEED = 35, 16
@@ -145,30 +144,6 @@ def coded(h: np.ndarray) -> bytes:
     return h.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    """docs (doc, mark, text) with the text's bytes compressed, as they travel."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3).compress
-        for batch in in_parts(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([pack(t) for t in texts(batch)], pa.binary())], ["doc", "mark", "z"])
-
-    return docs.mapInArrow(lean(run), "doc long, mark long, z binary")
-
-
-def unpacked(batches: Iterator[pa.RecordBatch], limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of the batches with the texts of their column z; about limit bytes of text each, however small they travel."""
-    unpack = zstandard.ZstdDecompressor().decompress
-    for batch in batches:
-        start, held, raws = 0, 0, []
-        for i, z in enumerate(batch.column(batch.schema.get_field_index("z"))):
-            raws.append(unpack(z.as_buffer()))
-            held += len(raws[-1])
-            if held >= limit or i + 1 == batch.num_rows:
-                yield batch.slice(start, i + 1 - start), raws
-                start, held, raws = i + 1, 0, []
-
-
 def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, group: int = GROUP) -> DataFrame:
     """doc, mark, start, end: words of docs (doc, mark, text; no two rows alike in doc and mark) that lie in a window of so
     many words which occurs anywhere else. Stretches overlap; end may lie behind a text's last word."""

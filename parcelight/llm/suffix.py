@@ -3,8 +3,8 @@
 Every window of ``WINDOW`` bytes is represented by its anchor: of the ``SPAN`` grams of ``GRAM`` bytes in it, the one with
 the least hash, the rightmost if several. Equal windows have the same anchor at the same place, so only occurrences of
 anchors are dealt out by hash, one for about every 32 bytes, each with a second hash of all that its windows cover.
-Occurrences that agree in both, 128 bits in all, repeat the earliest of them, and only that one goes on; an anchor that
-then occurs once is done. The others come together with the bytes around them, in groups of a bounded size.
+Occurrences that agree in both (64 bits for the anchor's own bytes, 64 for all that is covered) repeat the earliest of
+them, and only that one goes on; an anchor that then occurs once is done. The others come together with the bytes around them, in groups of a bounded size.
 
 In a group, polynomial prefix hashes and binary search give the common extension of any two suffixes. Windows inside the
 common extension of an occurrence and the earliest one repeat. The windows that remain are sorted as suffixes, by
@@ -22,16 +22,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, frames, in_parts, lean, ranges, texts
+from .common import cut, frames, in_parts, lean, packed, ranges, texts, unpacked
 
 WINDOW, SPAN = 100, 64
 GRAM = WINDOW - SPAN + 1
 #: Occurrences of an anchor in a group, rows compared at a time, and bytes hashed at a time.
-GROUP, ROWS, PIECE = 1000, 20_000, 1 << 20
+GROUP, ROWS, PIECE = 1000, 4_000, 1 << 20
+#: Bytes of text looked at together: arrays have an entry for each byte, not for each word.
+BYTES = 1 << 19
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BASES = (0x5851F42D4C957F2D, 0xD6E8FEB86659FD93)
 LAST = (1 << 63) - 1
@@ -304,7 +305,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     who = "doc long, mark long"
 
     def list_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_parts(batches):
+        for batch in in_parts(batches, limit=BYTES):
             row, at, h, _, c = found(texts(batch))
             doc, mark = (batch.column(k).to_numpy()[row] for k in (0, 1))
             # what repeats an earlier occurrence of this very batch is settled; it travels under a key of its own
@@ -360,9 +361,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     by_doc = again.where("part >= 0").groupBy("doc", "mark").agg(F.collect_list(F.struct("pos", "part")).alias("at"))
 
     def with_context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in in_parts(batches, "z", 1 << 20):
-            raws = [unpack(z) for z in batch.column(2).to_pylist()]
+        for batch, raws in unpacked(batches, BYTES):
             row, at, h, owned, _ = found(raws)
             lists = batch.column(3)
             wanted = lists.flatten()
@@ -414,17 +413,6 @@ def repeats(docs: DataFrame) -> DataFrame:
     return marks.groupBy("doc", "mark").agg(F.collect_list(F.struct("pos", "bits")).alias("starts"))
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    """docs (doc, mark, text) with the text's bytes compressed, as they travel."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3).compress
-        for batch in in_parts(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([pack(t) for t in texts(batch)], pa.binary())], ["doc", "mark", "z"])
-
-    return docs.mapInArrow(lean(run), "doc long, mark long, z binary")
-
-
 def covered(n: int, pos: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Which of n bytes lie in a marked window."""
     i, o = windows(bits)
@@ -475,9 +463,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts
     marks = found_.join(again, ["doc", "mark"], "left_anti")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in in_parts(batches, "z", 1 << 20):
-            raws = [unpack(z) for z in batch.column(2).to_pylist()]
+        for batch, raws in unpacked(batches, BYTES):
             row, at, _, owned, _ = found(raws)
             lists = batch.column(3)
             flat = lists.flatten()
