@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelight.llm import bpe, langid, mixing, simhash, suffix
-from parcelight.llm.common import checkpoint_folder, cut, small, table
+from parcelight.llm.common import checkpoint_folder, cut, dropped, small, table
 from parcelight.llm.queries import vocabulary
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -78,11 +78,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what a stage returns is written to the checkpoint folder and read by the next."""
+    """All stages over documents; what a stage returns is written to the checkpoint folder and read by the next, after which
+    it is deleted."""
     checkpoint_folder(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            dropped(spark, f"{folder}/{k - 1}")
     return docs
