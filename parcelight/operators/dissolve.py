@@ -6,23 +6,19 @@ found at once. The result does not depend on the order of layers or the size of
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import overlay
+from . import crowds
 from .components import components
 from .rings import polygons
-from .spatial import BOX, box_join, exact
+from .spatial import BOX
 
 
 def overlap_edges(layer: DataFrame, cell: float, key: str = "id") -> DataFrame:
-    """a < b for rows of one layer whose boxes share a point."""
-    pairs = box_join(layer, layer, cell).select(F.col(f"l.{key}").alias("a"), F.col(f"r.{key}").alias("b"))
-    return pairs.where("a < b")
+    """a < b for rows of one layer whose boxes share a point: not all pairs, but enough to reach the same ones."""
+    return crowds.forest(layer, cell, key)
 
 
 def connected(nodes: DataFrame, edges: DataFrame, key: str = "id") -> DataFrame:
@@ -40,84 +36,20 @@ def dissolve_boxes(layer: DataFrame, cell: float, key: str = "id") -> DataFrame:
 def merge_zones(layer: DataFrame, zone: str, cell: float, max_area: float | None = None, key: str = "id") -> DataFrame:
     """Two zones as one layer: shapes that meet one of the other zone are dissolved, the others pass as they are, and
     merged shapes of max_area or more go."""
-    a, b = (layer.where(F.col(zone) == z) for z in (0, 1))
-    edges = box_join(a, b, cell).select(F.col(f"l.{key}").alias("a"), F.col(f"r.{key}").alias("b"))
-    named = connected(layer, edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), key)
+    named = connected(layer, crowds.forest(layer.where(F.col(zone).isin(0, 1)), cell, key, zone), key)
     merged = named.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
     out = merged.withColumn("box_area", (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")))
     return out if max_area is None else out.where(F.col("box_area") < max_area)
 
 
-FIELDS = ("id", "component", "edge", "t0", "t1", "x0", "y0", "x1", "y1")
-
-
-def _schema(key: str, component: str) -> str:
-    return f"id {key}, component {component}, edge int, {', '.join(f'{c} double' for c in FIELDS[3:])}"
-
-
-def _listed(ids: pa.Array, component: pa.Array, row: np.ndarray, edge: np.ndarray, *values: np.ndarray) -> pa.RecordBatch:
-    take = pa.array(row.astype(np.int64))
-    return pa.RecordBatch.from_arrays([ids.take(take), component.take(take), pa.array(edge.astype(np.int32)), *map(pa.array, values)], FIELDS)
-
-
-def _numbered(shape: np.ndarray) -> np.ndarray:
-    """The number of each edge in its polygon."""
-    start = np.concatenate(([True], shape[1:] != shape[:-1])) if len(shape) else np.zeros(0, bool)
-    return np.arange(len(shape)) - np.maximum.accumulate(np.where(start, np.arange(len(shape)), 0))
-
-
-def edge_ends(layer: DataFrame) -> DataFrame:
-    """For each edge of a layer (id, component, rings) a piece of no length at its end, which also holds its beginning."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            shape, edges = overlay.edges_of(b.column(2))
-            ones, (ax, ay, bx, by) = np.ones(len(shape)), edges.T
-            yield _listed(b.column(0), b.column(1), shape, _numbered(shape), ones, ones, bx, by, ax, ay)
-
-    kinds = dict(layer.dtypes)
-    return layer.select("id", "component", "rings").mapInArrow(run, _schema(kinds["id"], kinds["component"]))
-
-
-def covered(pairs: DataFrame, sides: tuple[int, ...]) -> DataFrame:
-    """What of the left polygons' edges goes: the pieces on such sides of the right one. pairs has l and r (structs with
-    id, component and rings) and yields: whether a piece with both polygons on the same side goes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            p, q = b.column(0), b.column(1)
-            mine, other = overlay.edges_of(p.field("rings")), overlay.edges_of(q.field("rings"))
-            found = overlay.pieces(overlay.Pairs(mine, other, b.num_rows))
-            side, pair, edge = found["side"], found["pair"].astype(int), found["edge"].astype(int)
-            gone = np.isin(side, sides) | ((side == overlay.SAME) & np.asarray(b.column(2))[pair])
-            yield _listed(p.field("id"), p.field("component"), pair[gone], _numbered(mine[0])[edge[gone]], *(found[c][gone] for c in FIELDS[3:]))
-
-    left = pairs.schema["l"].dataType
-    kind = lambda c: left[c].dataType.simpleString()
-    return pairs.select("l", "r", "yields").mapInArrow(run, _schema(kind("id"), kind("component")))
-
-
-def uncovered(parts: DataFrame) -> DataFrame:
-    """component, ax, ay, bx, by: what the pieces of an edge leave of it."""
-    edge = Window.partitionBy("id", "edge")
-    before = edge.orderBy("t0", "t1").rowsBetween(Window.unboundedPreceding, -1)
-    point = lambda t, x, y: F.struct(F.col(t).alias("t"), F.col(x).alias("x"), F.col(y).alias("y"))
-    whole = F.first(F.when((F.col("t0") == 1) & (F.col("t1") == 1), F.struct(F.col("x1").alias("x"), F.col("y1").alias("y"))), ignorenulls=True)
-    begin = F.struct(F.lit(0.0).alias("t"), whole.over(edge)["x"].alias("x"), whole.over(edge)["y"].alias("y"))
-    gaps = parts.withColumn("since", F.coalesce(F.max(point("t1", "x1", "y1")).over(before), begin)).where("t0 - since.t > 1e-12")
-    return gaps.select("component", F.col("since.x").alias("ax"), F.col("since.y").alias("ay"), F.col("x0").alias("bx"), F.col("y0").alias("by"))
-
-
 def outline(layer: DataFrame, cell: float, key: str = "id") -> DataFrame:
     """component, ax, ay, bx, by: what bounds the union of each component's polygons, as edges with the inside on their
     left. layer has key, component, box and rings (null and empty rings bound nothing).
 
-    Each polygon's edges are cut where another one of its component covers them: pairs are compared on their own, and
-    what is left of an edge is the gaps between the covered parts. No component is gathered anywhere.
+    Each polygon's edges are cut where another one of its component covers them. Cells are looked at on their own, and in a
+    cell what is once covered is not compared again. No component is gathered anywhere.
     """
-    layer = layer.where("size(rings) > 0").select(F.col(key).alias("id"), "component", *BOX, "rings")
-    pairs = box_join(layer, layer, cell).where("l.id <> r.id and l.component = r.component").withColumn("yields", F.col("l.id") > F.col("r.id"))
-    return uncovered(edge_ends(layer).unionByName(covered(pairs, (overlay.INSIDE, overlay.OPPOSITE))))
+    return crowds.uncovered(layer.select(F.col(key).alias("id"), "component", *BOX, "rings"), cell, (overlay.INSIDE, overlay.OPPOSITE))
 
 
 def measures(edges: DataFrame) -> DataFrame:
@@ -129,16 +61,15 @@ def measures(edges: DataFrame) -> DataFrame:
 
 
 def met(left: DataFrame, right: DataFrame, cell: float, key: str = "id") -> DataFrame:
-    """Edges a < b for rows of two layers whose polygons share a point."""
-    pairs = exact(box_join(left, right, cell).where(F.col(f"l.{key}") != F.col(f"r.{key}")))
-    a, b = F.col(f"l.{key}"), F.col(f"r.{key}")
-    return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+    """Edges a < b that link what pairs of rows of two layers, of other keys, do whose polygons share a point."""
+    both = left.select(key, *BOX, "rings", F.lit(0).alias("zone")).unionByName(right.select(key, *BOX, "rings", F.lit(1).alias("zone")))
+    return crowds.forest(both, cell, key, "zone", shaped=True)
 
 
 def dissolve(layer: DataFrame, cell: float, key: str = "id") -> tuple[DataFrame, DataFrame]:
     """(key and component of each polygon, the outline of each component): polygons that share a point are one shape."""
     layer = layer.select(key, *BOX, "rings")
-    named = connected(layer, met(layer, layer, cell, key), key)
+    named = connected(layer, crowds.forest(layer, cell, key, shaped=True), key)
     return named.select(key, "component"), outline(named, cell, key)
 
 
