@@ -16,16 +16,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import overlay
-from .spatial import BOX, cells, level
+from . import spatial
+from .spatial import BOX
 
 GROUP = ("grid", "cx", "cy")
 #: Rows read at a time (whole cells), pairs of boxes and pairs of shapes looked at together.
 ROWS, PAIRS, SHAPES = 1 << 14, 1 << 20, 1 << 15
+#: Cells of a grid are 2^STEP times as large as those of the next: crowds need no small cells, and few grids few rows.
+STEP = 3
 
 
 def levels(layer: DataFrame, cell: float) -> list[int]:
-    """The grids of a layer: one for each power of two at most."""
-    return sorted(r["n"] for r in layer.select(level(cell).alias("n")).where("n is not null").distinct().collect())
+    """The grids of a layer: one for each power of eight at most."""
+    return sorted(r["n"] for r in layer.select(spatial.level(cell, STEP).alias("n")).where("n is not null").distinct().collect())
+
+
+def cells(layer: DataFrame, cell: float, others: list[int]) -> DataFrame:
+    return spatial.cells(layer, cell, others, STEP)
 
 
 def boxes() -> list[Column]:

@@ -24,19 +24,19 @@ BOX = ("x0", "y0", "x1", "y1")
 FINEST = -30
 
 
-def level(cell: float) -> Column:
-    """The grid of a box: its cells are 2^level times cell, the least that is no smaller than the box."""
+def level(cell: float, step: int = 1) -> Column:
+    """The grid of a box: its cells are 2^level times cell, the least that is no smaller than the box (of every step-th)."""
     side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) / cell
-    return F.when(side > 2.0**FINEST, F.ceil(F.log2(side)).cast("int")).when(side.isNotNull(), F.lit(FINEST))
+    return F.when(side > 2.0**FINEST, F.ceil(F.log2(side) / step).cast("int") * step).when(side.isNotNull(), F.lit(FINEST))
 
 
-def cells(layer: DataFrame, cell: float, others: list[int]) -> DataFrame:
+def cells(layer: DataFrame, cell: float, others: list[int], step: int = 1) -> DataFrame:
     """A layer with level, for each cell (grid, cx, cy) of its own grid and of the coarser ones of others."""
     own = F.col("level")
     grids = F.concat(F.array(own), F.filter(F.array(*[F.lit(n) for n in others]), lambda n: n > own))
     size = F.pow(F.lit(2.0), F.col("grid")) * cell
     span = lambda a, b: F.sequence(F.floor(F.col(a) / size), F.floor(F.col(b) / size))
-    return layer.withColumn("level", level(cell)).withColumn("grid", F.explode(grids)).withColumn("cx", F.explode(span("x0", "x1"))).withColumn("cy", F.explode(span("y0", "y1")))
+    return layer.withColumn("level", level(cell, step)).withColumn("grid", F.explode(grids)).withColumn("cx", F.explode(span("x0", "x1"))).withColumn("cy", F.explode(span("y0", "y1")))
 
 
 def overlap(a: str, b: str) -> Column:
