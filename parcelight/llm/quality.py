@@ -103,16 +103,22 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
     return Model((vectors @ (out[1] - out[0])).astype(np.float32).tobytes(), float(bias[1] - bias[0]))
 
 
-def learn(labelled: DataFrame, sample: int = 5000) -> Model:
-    """A model from labelled (text, quality): about ``sample`` distinct texts drawn by hash, all if there are fewer, whole.
+def learn(labelled: DataFrame, sample: int = 5000, docs: DataFrame | None = None) -> Model:
+    """A model from labelled (text, quality; or with docs, which has doc_id and text: doc_id, by, the XXH64 of the text, and
+    quality, so that only the texts that are drawn are joined to anything): about ``sample`` distinct texts drawn by hash, all if there are fewer, whole.
 
     A text that is repeated teaches its labels once, so no text outweighs others and none is drawn with all its copies.
     Rows without a label teach nothing; null texts count as empty. Executors send back hashed features with their
     counts, so what the driver holds is bounded by the sample and the number of features.
     """
-    rows = labelled.where("quality in (0, 1)").select("text", F.col("quality").cast("int").alias("quality"), F.xxhash64("text").alias("by"))
+    named = [F.col("text"), F.xxhash64("text").alias("by")] if docs is None else [F.col("doc_id"), F.col("by")]
+    rows = labelled.where("quality in (0, 1)").select(*named, F.col("quality").cast("int").alias("quality"))
     n = rows.agg(F.approx_count_distinct("by")).first()[0]
-    drawn = rows.where(unsigned_fraction(F.col("by"), F.lit(5)) < min(1.0, sample / max(n, 1))).dropDuplicates(["by", "quality"]).drop("by")
+    drawn = rows.where(unsigned_fraction(F.col("by"), F.lit(5)) < min(1.0, sample / max(n, 1))).dropDuplicates(["by", "quality"])
+    if docs is not None:
+        hashed = docs.select(F.col("doc_id").alias("its_id"), "text", F.xxhash64("text").alias("its_hash"))
+        drawn = hashed.join(F.broadcast(drawn), (F.col("its_id") == F.col("doc_id")) & (F.col("its_hash") == F.col("by"))).dropDuplicates(["by", "quality"])  # about sample rows
+    drawn = drawn.select("text", "quality")
     schema = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("times", T.BinaryType()), T.StructField("quality", T.IntegerType()), T.StructField("by", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
