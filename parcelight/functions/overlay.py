@@ -51,16 +51,17 @@ def ring_edges(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return shape[ring][some], ring[some], out[some]
 
 
+def lists(like: pa.Array, size: np.ndarray, values: pa.Array) -> pa.Array:
+    """Lists of so many values, null where like is."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32)), values, mask=like.is_null() if like.null_count else None)
+
+
 def with_points(column: pa.Array, x: np.ndarray, y: np.ndarray) -> pa.Array:
     """Polygons with other points, as many in each ring."""
     rings = column.flatten()
-
-    def lists(like: pa.Array, values: pa.Array) -> pa.Array:
-        size = np.asarray(like.value_lengths().fill_null(0))
-        return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32)), values, mask=like.is_null() if like.null_count else None)
-
+    size = lambda like: np.asarray(like.value_lengths().fill_null(0))
     points = pa.StructArray.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
-    return lists(column, lists(rings, points)).cast(column.type)
+    return lists(column, size(column), lists(rings, size(rings), points)).cast(column.type)
 
 
 class Pairs:

@@ -163,8 +163,26 @@ def shapes(layer: DataFrame, rings: str, change) -> DataFrame:
 
 
 def simplified(layer: DataFrame, rings: str, tolerance: float = 2.5, max_count: int | None = None) -> DataFrame:
-    """Polygons simplified; with max_count only those with more exterior vertices."""
-    return shapes(layer, rings, lambda g: g if max_count is not None and len(g[0]) <= max_count else [planar.simplify_ring(r, tolerance) for r in g])
+    """Polygons simplified; with max_count only those with more exterior vertices. All rings of a batch at once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = b.schema.get_field_index(rings)
+            column = b.column(at)
+            parts = column.flatten()
+            points = parts.flatten()
+            n, size = (np.asarray(v.value_lengths().fill_null(0)).astype(np.int64) for v in (column, parts))
+            x, y = (np.asarray(points.field(k), float) for k in (0, 1))
+            keep = planar.kept_of_rings(x, y, size, tolerance)
+            if max_count is not None:
+                first = np.zeros(len(n), np.int64)
+                first[n > 0] = size[(np.cumsum(n) - n)[n > 0]]
+                keep |= np.repeat(np.repeat(first <= max_count, n), size)
+            left = np.concatenate(([0], np.cumsum(keep)))[np.concatenate(([0], np.cumsum(size)))]
+            made = overlay.lists(parts, np.diff(left), pa.StructArray.from_arrays([pa.array(v[keep]) for v in (x, y)], names=["x", "y"]))
+            yield b.set_column(at, b.schema.field(at), overlay.lists(column, n, made).cast(column.type))
+
+    return layer.mapInArrow(run, layer.schema)
 
 
 def reprojected(layer: DataFrame, rings: str, source: int, target: int) -> DataFrame:

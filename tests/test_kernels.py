@@ -95,3 +95,14 @@ def test_polygon_predicates():
     c = [[(5.0, 5.0), (6.0, 5.0), (6.0, 6.0), (5.0, 6.0)]]
     assert planar.intersects(a, b) and planar.contains(a, b) and not planar.contains(b, a) and not planar.intersects(a, c)
     assert planar.area(a + b) == 15 and planar.centroid(a[0]) == (2.0, 2.0)
+
+
+def test_rings_are_simplified_together_as_one_by_one():
+    rng = np.random.default_rng(3)
+    rings = [rng.integers(0, 12, (n, 2)).astype(float) for n in (0, 1, 3, 4, 5, 8, 30, 0, 60, 4)] + [np.array([(0.0, 0), (5, 0), (10, 0), (10, 10), (5, 10), (0, 10), (0, 5)])]
+    for tolerance in (0.0, 1.0, 2.5, 100.0):
+        flat = np.concatenate(rings)
+        kept = planar.kept_of_rings(flat[:, 0], flat[:, 1], np.array([len(r) for r in rings]), tolerance)
+        for ring, keep in zip(rings, np.split(kept, np.cumsum([len(r) for r in rings])[:-1]), strict=True):
+            points = [tuple(p) for p in ring.tolist()]
+            assert [tuple(p) for p in ring[keep].tolist()] == planar.simplify_ring(points, tolerance)
