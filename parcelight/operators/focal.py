@@ -41,13 +41,26 @@ def boundary(pixels: DataFrame, image: str, extent: str, radius: int, height: in
     return inside.groupBy(image, "row", "col").agg(((F.max("hit") > 0) & (F.max(F.when(F.col("self"), F.col("hit"))) == 0)).cast("int").alias("boundary"))
 
 
+#: Pixels of tiles that are worked on, and given on, together.
+PIXELS = 1 << 18
+
+
+def portions(b: pd.DataFrame, grown: int = 1) -> Iterator[pd.DataFrame]:
+    """Rows with tiles (h, w) in portions of about PIXELS pixels, when each is enlarged grown times."""
+    work = (b["h"].astype("int64") * b["w"] * grown).cumsum().to_numpy()
+    part = (work - 1) // PIXELS if len(work) else work
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(b)]
+    for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+        yield b.iloc[i:j]
+
+
 def on_tiles(tiles: DataFrame, keys: list[str], kernel: Callable[[np.ndarray], np.ndarray], out: str = "px") -> DataFrame:
     """Tiles (keys, h, w, px row by row) with px replaced by what the kernel makes of it; h and w follow."""
     kinds = dict(tiles.dtypes)
     schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), "h int, w int", f"{out} array<double>"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in (p for whole in batches for p in portions(whole, 16)):
             made = [np.asarray(kernel(np.asarray(px, float).reshape(h, w)), float) for px, h, w in zip(b["px"], b["h"], b["w"], strict=True)]
             yield b[keys].assign(h=[m.shape[0] for m in made], w=[m.shape[1] for m in made], **{out: [m.ravel() for m in made]})
 
@@ -97,7 +110,7 @@ def upsampled(tiles: DataFrame, keys: list[str], size: int, scale: int = 2, radi
     square = scale * scale
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in (p for whole in batches for p in portions(whole, square * square)):
             rows = []
             for r in b.itertuples(index=False):
                 y = kernels.smooth_upsample(np.asarray(r.px, float).reshape(r.h, r.w), scale, radius)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels, planar
-from . import rings
+from . import focal, rings
 
 
 def contour_rings(tiles: DataFrame, keys: list[str], threshold: float) -> DataFrame:
@@ -25,7 +25,7 @@ def contour_rings(tiles: DataFrame, keys: list[str], threshold: float) -> DataFr
     schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), "ring int, ring_area double, points array<struct<x: double, y: double>>"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in (p for whole in batches for p in focal.portions(whole, 16)):
             out = []
             for row in b.itertuples(index=False):
                 x = np.asarray(row.px, float).reshape(row.h, row.w)

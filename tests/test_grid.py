@@ -88,3 +88,15 @@ def test_tiles_are_complete_once(spark, tmp_path):
         ingest.drain(stream(), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()  # each run goes on where the last one ended
     got = sorted((r["tile"], r["status"], tuple(r["missing"])) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [("A", "complete", ()), ("B", "failed", ("B03", "B04")), ("C", "complete", ()), ("D", "complete", ())]
+
+
+def test_tiles_are_worked_on_in_portions():
+    import pandas as pd
+
+    from parcelight.operators import focal
+
+    b = pd.DataFrame({"h": [8] * 5000 + [600], "w": [8] * 5000 + [600], "n": range(5001)})
+    parts = list(focal.portions(b, 16))
+    assert pd.concat(parts)["n"].tolist() == list(range(5001))
+    assert max(int((p["h"] * p["w"]).sum()) * 16 for p in parts if len(p) > 1) <= 2 * focal.PIXELS and len(parts) > 15
+    assert [len(p) for p in focal.portions(b.head(0))] in ([], [0])
