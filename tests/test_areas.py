@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from test_dissolve import layer, regular
 from test_rings import drawn, seen
 
-from parcelight.functions import kernels, planar
+from parcelight.functions import kernels, offset, planar
 from parcelight.operators import arcs, areas, dissolve, rings, spatial
 
 ELL = [[(0, 0), (10, 0), (10, 3), (3, 3), (3, 10), (0, 10)]]
@@ -194,3 +194,28 @@ def test_shared_areas_without_tracing(spark, monkeypatch):
     monkeypatch.setattr(rings, "polygons", None)
     mine = {(r["left_id"], r["right_id"]): r["area"] for r in areas.shared_areas(a, b, 4.0).collect()}
     assert len(want) > 50 and mine == pytest.approx(want, abs=1e-4)
+
+
+@pytest.mark.parametrize("by", [-0.6, 0.7])
+def test_pixels_of_buffers_without_tracing(spark, monkeypatch, by):
+    shapes = [ELL, RINGED, DUMBBELL, [regular(15.3, 34.7, 6, 7, 0.2)], [[(-5, -5), (3, -5), (3, 4)]], [[(0, 12), (1, 12), (1, 13), (0, 13)]]]
+    want = sorted(map(tuple, areas.rasterised(areas.buffered(layer(spark, shapes), by), 160, 120, 0.25).collect()))
+    real = areas.closed
+    monkeypatch.setattr(areas, "closed", lambda shape, ends, n: real(shape, ends, n) & (np.arange(n) != 1))  # one goes the longer way
+    assert sorted(map(tuple, areas.rasterised_buffer(layer(spark, shapes), by, 160, 120, 0.25).collect())) == want
+    monkeypatch.setattr(areas, "closed", real)
+    monkeypatch.setattr(rings, "polygons", None)
+    assert sorted(map(tuple, areas.rasterised_buffer(layer(spark, shapes), by, 160, 120, 0.25).collect())) == want
+
+
+def test_segments_that_meet_are_found_a_portion_at_a_time(monkeypatch):
+    e = np.random.default_rng(5).uniform(0, 40, (300, 4))
+    e[:, 2:] = e[:, :2] + np.random.default_rng(6).uniform(-3, 3, (300, 2))
+    e[0] = (0, 0, 40, 40)
+    low, high = np.minimum(e[:, :2], e[:, 2:]), np.maximum(e[:, :2], e[:, 2:])
+    want = {(i, j) for i in range(300) for j in range(i + 1, 300) if (low[i] <= high[j]).all() and (low[j] <= high[i]).all()}
+    monkeypatch.setattr(offset, "MANY", 64)
+    i, j = offset.near_pairs(e)
+    assert len(i) == len(want) and set(zip(i.tolist(), j.tolist(), strict=True)) == want
+    most = [len(range(*s.indices(300))) for s in offset.portions(np.full(300, 10))]
+    assert max(most) <= 8 and sum(most) == 300
