@@ -1,7 +1,7 @@
 """Removal of byte strings that also start earlier in the corpus, by hash-compared suffix sorting.
 
 Every window of ``WINDOW`` bytes is represented by its anchor: of the ``SPAN`` grams of ``GRAM`` bytes in it, the one with
-the least hash, the rightmost if several. Equal windows have the same anchor at the same place, so only occurrences of
+the least hash (of its upper bits), the rightmost if several. Equal windows have the same anchor at the same place, so only occurrences of
 anchors are dealt out by hash, one for about every 32 bytes, each with a second hash of all that its windows cover.
 Occurrences that agree in both (64 bits for the anchor's own bytes, 64 for all that is covered) repeat the earliest of
 them, and only that one goes on; an anchor that then occurs once is done. The others come together with the bytes around them, in groups of a bounded size.
@@ -31,6 +31,8 @@ WINDOW, SPAN = 100, 64
 GRAM = WINDOW - SPAN + 1
 #: Occurrences of an anchor in a group, rows compared at a time, and bytes hashed at a time.
 GROUP, ROWS, PIECE = 1000, 4_000, 1 << 20
+#: Bits of a gram's hash that are compared; the others have room for a place in two pieces.
+PLACE = 42
 #: Bytes of text looked at together: arrays have an entry for each byte, not for each word.
 BYTES = 1 << 19
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -61,11 +63,18 @@ class Hashes:
     def __init__(self, data: np.ndarray, which: int = 0) -> None:
         up, self.down = _powers[which].to(len(data) + 1)
         self.prefix = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=self.prefix[1:])
+        terms = data.astype(np.uint64)
+        terms += np.uint64(1)
+        terms *= up[: len(data)]
+        np.cumsum(terms, out=self.prefix[1:])
 
     def of(self, start: np.ndarray, length) -> np.ndarray:
         return (self.prefix[start + length] - self.prefix[start]) * self.down[start]
 
+    def all(self, length: int) -> np.ndarray:
+        """The hashes of all substrings of that length, by their starts."""
+        return (self.prefix[length:] - self.prefix[:-length]) * self.down[: len(self.prefix) - length]
+
     def extension(self, a: np.ndarray, b: np.ndarray, most: np.ndarray, back: bool = False) -> np.ndarray:
         """Length of the longest common extension from a and b, up to most; back: of what ends there."""
         low, high = np.zeros(len(a), np.int64), most.astype(np.int64).copy()
@@ -85,14 +94,19 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def doubled(x: np.ndarray, pick, fill: int) -> np.ndarray:
-    """pick over x[i : i + SPAN] for each i, beyond the end of x over what there is."""
+def rightmost_least(x: np.ndarray) -> np.ndarray:
+    """Where the least of x[i : i + SPAN] is for each i, the rightmost if several; beyond the end of x of what there is.
+
+    The upper PLACE bits are compared; the place goes into the others, so that one minimum finds both.
+    """
+    last = np.uint64((1 << 64 - PLACE) - 1)
+    x = (x & ~last) | (last - np.arange(len(x), dtype=np.uint64))
     width = 1
     while width < SPAN:
-        rest = np.full_like(x, fill)
-        rest[: len(x) - width] = x[width:]
-        x, width = pick(x, rest), width * 2
-    return x
+        y = x.copy()
+        np.minimum(x[:-width], x[width:], out=y[: len(x) - width])
+        x, width = y, width * 2
+    return (last - (x & last)).astype(np.int64)
 
 
 def offsets(owned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,30 +125,21 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     if len(data) < WINDOW:
         return np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * 3
     n = len(data) - GRAM + 1
-    h = mixed(Hashes(data).of(np.arange(n), GRAM)) | np.uint64(1)
+    h = mixed(Hashes(data).all(GRAM)) | np.uint64(1)
     steps = np.zeros(len(data) + 1, np.int32)
     long = ends - starts >= WINDOW
     np.add.at(steps, starts[long], 1)
     np.add.at(steps, ends[long] - WINDOW + 1, -1)
-    inside = np.cumsum(steps[:n]) > 0
-    least = np.where(inside, doubled(h, np.minimum, ~np.uint64(0)), np.uint64(0))
-    most = doubled(least[::-1], np.maximum, 0)[::-1]
-    at = np.flatnonzero(most == h)
-    hashes = h[at]
-    # an equal gram further right in a window is the window's anchor: what an anchor owns ends before it
-    order = np.lexsort((at, hashes))
-    following = np.full(len(at), np.iinfo(np.int64).max)
-    same = hashes[order[1:]] == hashes[order[:-1]]
-    following[order[:-1][same]] = at[order[1:][same]]
-    padded = np.concatenate((np.zeros(SPAN, np.uint64), least))
-    owned = np.zeros(len(at), np.uint64)
-    for o in range(SPAN):
-        ok = (padded[at - o + SPAN] == hashes) & (at - o + SPAN - 1 < following)
-        owned |= ok.astype(np.uint64) << np.uint64(o)
-    some = owned != 0
-    at, hashes, owned = at[some], hashes[some], owned[some]
-    low, high = offsets(owned)
-    return at, hashes, owned, mixed(Hashes(data, 1).of(at - high, high - low + WINDOW) ^ mixed(owned))
+    inside = np.flatnonzero(np.cumsum(steps[:n]) > 0)
+    if not len(inside):
+        return np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * 3
+    # an anchor's windows are neighbours: their anchors never step back
+    place = rightmost_least(h)[inside]
+    first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+    at = place[first]
+    high, low = at - inside[first], at - inside[np.concatenate((first[1:], [len(inside)])) - 1]
+    owned = below(high + 1) & ~below(low)
+    return at, h[at], owned, mixed(Hashes(data, 1).of(at - high, high - low + WINDOW) ^ mixed(owned))
 
 
 def pieces(rows: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -169,9 +174,7 @@ def found(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
         out.append((row[p], at - starts[p] + base[p], h, owned, c))
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * 3
-    row, at, h, owned, c = (np.concatenate(x) for x in zip(*out, strict=True))
-    order = np.lexsort((at, row))
-    row, at, h, owned, c = row[order], at[order], h[order], owned[order], c[order]
+    row, at, h, owned, c = (np.concatenate(x) for x in zip(*out, strict=True))  # pieces and anchors come by row and place
     new = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (at[1:] != at[:-1]))))
     if len(new) < len(row):
         c = mixed(np.add.reduceat(c, new)) if len(new) else c

@@ -122,3 +122,11 @@ def test_texts_keep_whole_characters(docs):
 
 def test_empty(docs):
     assert suffix.dedup(docs([])).count() == 0
+
+
+def test_places_of_the_least():
+    """One minimum finds the least and its place: the rightmost of equal ones, beyond the end of what there is."""
+    x = np.random.default_rng(3).integers(0, 1 << 40, 500).astype(np.uint64) << np.uint64(24)
+    x[100:180] = x[300:340:3].min()
+    want = [i + len(w) - 1 - int(np.argmin(w[::-1])) for i, w in ((i, x[i : i + suffix.SPAN]) for i in range(len(x)))]
+    assert suffix.rightmost_least(x).tolist() == want
