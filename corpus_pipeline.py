@@ -68,7 +68,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens and digests of each text's tokens."""
-    return bpe.encode(docs, vocabulary("word_bpe_49k.json"), keep=True).drop("decoded")
+    return bpe.encode(docs, vocabulary("word_bpe_49k.json"), keep=True, decoded_too=False)
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages), ("mixture", mixture), ("tokens", tokens)]

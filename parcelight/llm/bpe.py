@@ -22,10 +22,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_parts, lean, tool
+from .common import in_parts, lean, tool, trim
 
-#: Distinct words remembered in a worker.
-KEPT = 200_000
+#: Distinct words remembered in a worker, and pairs of tokens.
+KEPT, PAIRS = 100_000, 200_000
+
+#: Bytes of text encoded together: what becomes of them takes some 20 times as much.
+BYTES = 1 << 18
 
 #: Pretoken pattern of the vocabulary file (fixed value), with white space as Unicode defines it.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
@@ -71,7 +74,7 @@ class Encoder:
             self.match.add_word(s, t)
         self.match.make_automaton()
         self.shorter = [next((place[s[:k]] for k in range(len(s) - 1, 0, -1) if s[:k] in place), -1) for s in self.strings]
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
         self.find = regex.compile(PIECES).findall
         self.blank = regex.compile(r"\p{White_Space}+")
@@ -84,7 +87,8 @@ class Encoder:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether the merges leave a and b side by side."""
-        known = self.pairs.get((a, b))
+        pair = a * len(self.strings) + b
+        known = self.pairs.get(pair)
         if known is not None:
             return known
         p, q, limit = a, b, len(self.strings)
@@ -113,9 +117,9 @@ class Encoder:
                     p = half
                 else:
                     q = half
-        if len(self.pairs) > 4 * KEPT:
+        if len(self.pairs) >= PAIRS:
             self.pairs.clear()
-        self.pairs[a, b] = ok
+        self.pairs[pair] = ok
         return ok
 
     def backtrack(self, symbols: str) -> list[int]:
@@ -183,15 +187,21 @@ class Encoder:
 
 
 def encoder(file: Broadcast) -> Encoder:
-    """One encoder for each worker process."""
-    return tool(("encoder", hash(file.value)), lambda: Encoder(file.value))
+    """One encoder for each worker process; what building it took besides is given back."""
+
+    def make() -> Encoder:
+        out = Encoder(file.value)
+        trim()
+        return out
 
+    return tool(("encoder", hash(file.value)), make)
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: bool = False, decoded_too: bool = True) -> DataFrame:
     """Encode and decode every text of docs with the vocabulary file at path.
 
     Returns doc_id, n_tokens, ids_sha256 (of the ids as little-endian unsigned 32-bit integers), decoded_sha256 (of the
-    decoded text's UTF-8), and with keep also ids (array of int) and decoded (string). One row for each input row, without
+    decoded text's UTF-8), and with keep also ids (array of int) and, with decoded_too, decoded (string). One row for each input row, without
     a shuffle. A null text is the empty text, which has no tokens. Null ids and repeated rows are kept as they are;
     other columns of docs are ignored. Texts of any length are encoded whole.
     """
@@ -201,20 +211,22 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(file)
-        for batch in in_parts(batches):
+        for batch in in_parts(batches, limit=BYTES):
             ids = [e.encode(t or "") for t in batch.column(1).to_pylist()]
-            decoded = [e.decode(x) for x in ids]
-            columns = [
-                batch.column(0),
-                pa.array([len(x) // 4 for x in ids], pa.int64()),
-                pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string()),
-            ]
+            columns = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string())]
+            if "decoded" in names:
+                decoded = [e.decode(x) for x in ids]
+                columns.append(pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string()))
+            else:
+                columns.append(pa.array([hashlib.sha256(e.decode(x)).hexdigest() for x in ids], pa.string()))
             if keep:
-                columns += [pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array([x.decode() for x in decoded], pa.string())]
+                ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
+                columns.append(pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(ids), "<i4")))
+            if "decoded" in names:
+                columns.append(pa.array([x.decode() for x in decoded], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * keep
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep + ["decoded"] * (keep and decoded_too)
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = f"doc_id {dict(base.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep
+    schema = f"doc_id {dict(base.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep + ", decoded string" * (keep and decoded_too)
     return base.mapInArrow(lean(run, tools=True), schema)

@@ -62,3 +62,24 @@ def test_empty(docs):
     path = public_tokenizers.path("word_bpe_49k.json")
     assert bpe.encode(docs([]), path).count() == 0
     assert unigram.token_counts(docs([]), [("a", -1.0)]).count() == 0
+
+
+def test_ids_without_decoded_texts(spark, docs):
+    """The ids alone are sent when nobody wants the decoded texts; all other columns are the same."""
+    table = docs([(1, "The cat's whiskers, café 12"), (2, None), (3, "")])
+    path = public_tokenizers.path("word_bpe_49k.json")
+    both, one = bpe.encode(table, path, keep=True), bpe.encode(table, path, keep=True, decoded_too=False)
+    assert one.columns == both.columns[:-1]
+    assert sorted(both.drop("decoded").collect()) == sorted(one.collect())
+
+
+def test_encoder_keeps_within_its_limits(monkeypatch):
+    """Words and pairs remembered never outgrow their limits, and forgetting them changes no ids."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        file = f.read()
+    words = [f"{a}{b}ing" for a in ("re", "un", "qz", "over") for b in ("act", "bxk", "mak", "zzq", "plow")]
+    plain = bpe.Encoder(file).encode(" ".join(words))
+    monkeypatch.setattr(bpe, "KEPT", 3)
+    monkeypatch.setattr(bpe, "PAIRS", 5)
+    e = bpe.Encoder(file)
+    assert e.encode(" ".join(words)) == plain and len(e.words) <= 3 and len(e.pairs) <= 5
