@@ -17,13 +17,21 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Bytes of files of which joins send nothing to all executors: packed columns and lists are many times as large in memory.
+LARGE = 1 << 20
+
+
 def stored(df: DataFrame) -> tuple[DataFrame, str]:
     """df written as Parquet to the checkpoint folder and read again, and its path. What a loop makes in each round goes
     here: sizes are estimated from files, while a checkpoint carries on the estimate of its plan, and joins of a table
-    with itself would multiply it in every round."""
-    path = f"{checkpoint_folder(df.sparkSession)}/round-{uuid.uuid4().hex}"
+    with itself would multiply it in every round. Large ones are joined by sorting, not through the driver."""
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/round-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path), path
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    size = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+    out = spark.read.parquet(path)
+    return out.hint("merge") if size > LARGE else out, path
 
 
 def dropped(spark: SparkSession, path: str) -> None:

@@ -22,6 +22,9 @@ BOX = ("x0", "y0", "x1", "y1")
 
 #: The finest grid's cells are 2^FINEST times the unit.
 FINEST = -30
+#: Rows of a layer that may be sent to all executors in a join. Sizes are estimated from files, and know nothing of the
+#: shapes that are made of their rows and of the cells in which each row comes.
+FEW = 50_000
 
 
 def level(cell: float, step: int = 1) -> Column:
@@ -49,11 +52,14 @@ def box_join(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
     """Pairs of rows whose boxes share a point: columns l (a struct of the left row) and r. cell is the unit of the grids;
     which one is chosen changes little. A box with a null meets none."""
     sides = left.select(level(cell).alias("n"), F.lit(True).alias("mine")).unionByName(right.select(level(cell).alias("n"), F.lit(False).alias("mine")))
-    found = sides.where("n is not null").distinct().collect()  # one for each power of two
+    found = sides.where("n is not null").groupBy("n", "mine").count().collect()  # one for each power of two
     of = lambda mine: sorted(r["n"] for r in found if r["mine"] == mine)
     if not of(True) or not of(False):
         left, right = left.where("false"), right.where("false")
     a, b = cells(left, cell, of(False) or [0]).alias("a"), cells(right, cell, of(True) or [0]).alias("b")
+    rows = lambda mine: sum(r["count"] for r in found if r["mine"] == mine)
+    if min(rows(True), rows(False)) > FEW:
+        a, b = a.hint("merge"), b.hint("merge")
     size = F.pow(F.lit(2.0), F.col("a.grid")) * cell
     home = (F.floor(F.greatest("a.x0", "b.x0") / size) == F.col("a.cx")) & (F.floor(F.greatest("a.y0", "b.y0") / size) == F.col("a.cy"))
     same = (F.col("a.grid") == F.col("b.grid")) & (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy"))

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from parcelight.operators import spatial
+from parcelight.operators import components, spatial
 
 BOX = "id long, x0 double, y0 double, x1 double, y1 double"
 
@@ -40,3 +40,23 @@ def test_dense_places_and_huge_boxes(spark):
     pairs = spatial.box_join(left, huge, 1.0)
     assert pairs.where("r.x1 = 1e7").count() == 20_000
     assert spatial.box_join(left, huge.where("false"), 1.0).count() == 0
+
+
+def test_large_layers_are_not_broadcast(spark, monkeypatch):
+    """A file's size says little of the shapes made of its rows: joins of many go without the driver, by the same pairs."""
+    at = F.col("id").cast("double")
+    layer = spark.range(300).select("id", at.alias("x0"), at.alias("y0"), (at + 1).alias("x1"), (at + 1).alias("y1"))
+    pairs = lambda: spatial.box_join(layer, layer, 1.0).select("l.id", F.col("r.id").alias("other"))
+    few = pairs()
+    monkeypatch.setattr(spatial, "FEW", 299)
+    many = pairs()
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in many._jdf.queryExecution().executedPlan().toString()
+    assert sorted(few.collect()) == sorted(many.collect()) and many.count() == 3 * 300 - 2
+
+
+def test_large_stored_tables_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(components, "LARGE", 100)
+    table, _ = components.stored(spark.range(1000))
+    joined = table.join(spark.range(1000), "id")
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 1000
