@@ -26,6 +26,8 @@ from .shingles import majority, shingle_hashes
 SAMPLE, COMMON, HOT, DENSE = 10_000, 100_000, 0.01, 32
 #: Rows with lists of keys read at a time.
 LISTED = 8_000
+#: Pairs of two roots that a cell gives in each round; the last one gives all that are left.
+MOST = (1, 8, None)
 _EPS = 1e-9
 
 
@@ -72,7 +74,8 @@ def common_shingles(base: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]
 
 class Corpus:
     """The shingle sets of docs. rows has doc_id, text_hash, node (the set's hash) and fp (SimHash of the set) for each
-    row; sets (node, n, sketch, prefix) for each distinct set, n elements, with its first shingles that are not to miss."""
+    row; sets (node, n, quad, prefix) for each distinct set, n elements, with its sketch folded to 256 bits and its first
+    shingles that are not to miss."""
 
     def __init__(self, docs: DataFrame, similarity: float, size: int, id_col: str, text_col: str) -> None:
         self.similarity, self.size = similarity, size
@@ -98,7 +101,8 @@ class Corpus:
                     yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (node, fp)), pa.array(n, pa.int32()), pa.array(bits, pa.list_(pa.int64())), pa.array(first, pa.list_(pa.int64()))], ["doc_id", "text_hash", "node", "fp", "n", "sketch", "prefix"])
 
         self.rows, _ = stored(self.base.mapInArrow(lean(run), "doc_id long, text_hash long, node long, fp long, n int, sketch array<long>, prefix array<long>"))
-        sets = self.rows.select("node", "n", "sketch", "prefix")
+        quad = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.aggregate(F.filter("sketch", lambda _, i: i % 4 == k), F.lit(0).cast("long"), lambda x, y: x.bitwiseXOR(y)))
+        sets = self.rows.select("node", "n", quad.alias("quad"), "prefix")
         copied = small(cut(self.rows.groupBy("node").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("node")))
         self.sets = sets.join(copied, "node", "left_anti").unionByName(sets.join(copied, "node", "left_semi").dropDuplicates(["node"]))
 
@@ -151,29 +155,43 @@ class Lists:
         return self.keys[first]
 
 
-def met(index: DataFrame, key: tuple[str, ...], similarity: float) -> DataFrame:
-    """a, b: nodes of rows (node, root, n, pos and maybe sketch and keys) in one group of the key that have different roots
-    and may be alike. A group has a bounded number of rows. With keys, all that a node has, a pair is made only under the
-    least key that both have."""
-    with_sketch = "sketch" in index.columns
+def nearest(group: np.ndarray, p: np.ndarray, q: np.ndarray, score: np.ndarray, most: int) -> np.ndarray:
+    """Places of the pairs of roots p and q in a group that have the least scores, so many of each two roots."""
+    low, high = np.minimum(p, q), np.maximum(p, q)
+    order = np.lexsort((score, high, low, group))
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([v[order[1:]] != v[order[:-1]] for v in (group, low, high)])
+    place = np.arange(len(order))
+    return order[place - np.maximum.accumulate(np.where(new, place, 0)) < most]
+
+
+def met(index: DataFrame, key: tuple[str, ...], similarity: float, most: int | None = None) -> DataFrame:
+    """a, b: nodes of rows (node, root, n, pos, sketch and maybe keys) in one group of the key that have different roots
+    and may be alike; with most only so many of each two roots in a group, those whose sketches differ least. A group has
+    a bounded number of rows. With keys, all that a node has, a pair is made only under the least key that both have."""
+    listed = "keys" in index.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in frames(batches, LISTED if with_sketch else ROWS, key):
+        for t in frames(batches, LISTED if listed else ROWS, key):
             node, root, n, pos = (t[c].to_numpy().astype(np.int64) for c in ("node", "root", "n", "pos"))
-            bits, keys = (folded(t["sketch"]), Lists(t["keys"])) if with_sketch else (None, None)
-            own = t["key"].to_numpy()
-            for i, j in pairs(numbered(t, key)):
+            bits, keys = folded(t["sketch"]), Lists(t["keys"]) if listed else None
+            own, group = t["key"].to_numpy(), numbered(t, key)
+            for i, j in pairs(group):
                 need = np.ceil(similarity / (1 + similarity) * (n[i] + n[j]) - _EPS)
                 ok = (root[i] != root[j]) & (np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need)
                 i, j = i[ok], j[ok]
-                if with_sketch and len(i):
-                    ok = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) <= alike_bits(similarity, n[i] + n[j])
-                    i, j = i[ok], j[ok]
+                differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1)
+                ok = differ <= alike_bits(similarity, n[i] + n[j])
+                i, j, differ = i[ok], j[ok], differ[ok]
+                if listed:
                     mine = np.zeros(len(i), bool)
                     for k in range(0, len(i), 1 << 14):
                         some = slice(k, k + (1 << 14))
                         mine[some] = keys.least_common(i[some], j[some]) == own[i[some]]
-                    i, j = i[mine], j[mine]
+                    i, j, differ = i[mine], j[mine], differ[mine]
+                if most is not None:
+                    some = nearest(group[i], root[i], root[j], differ / np.maximum(n[i] + n[j], 1), most)
+                    i, j = i[some], j[some]
                 if len(i):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], ["a", "b"])
 
@@ -205,8 +223,9 @@ def groups(corpus: Corpus, edges: DataFrame, pivots: int = 3, dense: int = DENSE
 
     First each node is compared with one pivot of each shingle that it shares (with ``pivots`` of those that more than
     ``dense`` nodes share). That brings groups together and makes no more pairs than rows; fewer, as all shingles prefer
-    the same pivots. Then all nodes of different groups that still share a shingle are compared, with sketches and in
-    cells of a bounded size where there are many.
+    the same pivots. Then nodes of different groups that still share a shingle are compared, with sketches and in cells of
+    a bounded size where there are many. In a crowd of near copies most of what could be compared is of the same few
+    groups, so the nearest pairs of each two groups come first (MOST), and all that are still apart only at the end.
     """
     similarity = corpus.similarity
     roots = cut(components(edges))
@@ -222,15 +241,35 @@ def groups(corpus: Corpus, edges: DataFrame, pivots: int = 3, dense: int = DENSE
         tried = tried.unionByName(crowded.join(chosen, "key").where(may("p")).select(*pair("p")))
     edges = edges.unionByName(corpus.verified(possible(tried, corpus)))
     roots = cut(components(edges))
-    found = met(rooted(sparse, roots), ("key",), similarity)
+    sketches = corpus.sets.select("node", F.col("quad").alias("sketch"))
+    sparse = cut(apart(sparse, roots).join(sketches, "node"))
     if some:
-        again = rooted(crowded, roots)
-        again = cut(again.join(unlike(again).select("key"), "key", "left_semi"))
+        again = cut(apart(crowded, roots))
         keys = again.groupBy("node").agg(F.collect_set("key").alias("keys"))  # of a prefix at most
-        again = again.join(keys, "node").join(corpus.sets.select("node", "sketch"), "node")
-        found = found.unionByName(met(dealt(again), CELL, similarity))
-    more = corpus.verified(possible(found, corpus))
-    return roots if more.isEmpty() else cut(components(edges.unionByName(more)))
+        crowded = cut(again.join(keys, "node").join(sketches, "node"))
+    for most in MOST:
+        found = met(sparse, ("key",), similarity, most)
+        if some:
+            found = found.unionByName(met(dealt(crowded), CELL, similarity, most))
+        found = cut(found.distinct())
+        if found.isEmpty():
+            break
+        more = corpus.verified(possible(found, corpus))
+        if more.isEmpty():
+            continue
+        edges = edges.unionByName(more)
+        roots = cut(components(edges))
+        if most is not None:
+            sparse = cut(apart(sparse, roots))
+            crowded = cut(apart(crowded, roots)) if some else crowded
+    return roots
+
+
+def apart(index: DataFrame, roots: DataFrame) -> DataFrame:
+    """index with the present roots, without keys all of whose rows have one root. Two nodes of different roots keep all
+    keys that they share."""
+    rows = rooted(index, roots)
+    return rows.join(unlike(rows).select("key"), "key", "left_semi")
 
 
 def possible(candidates: DataFrame, corpus: Corpus) -> DataFrame:

@@ -163,3 +163,18 @@ def test_group_of_near_copies_brute_force(docs, block, monkeypatch):
                     label[a] = label[b] = min(label[a], label[b])
     out = simhash.near_duplicates(docs(rows)).where("kept").collect()
     assert {r["doc_id"] for r in out} == set(label)
+
+
+@pytest.mark.parametrize("listed", [False, True])
+def test_pairs_of_two_roots_come_in_rounds(spark, listed):
+    """Of two large groups a cell gives the nearest pairs first, and without most all; sketches rule pairs out with and
+    without lists of keys."""
+    near, far = [0, 0, 0, 0], [-1, -1, -1, -1]
+    rows = [(5, k, k % 2, 100, 0, near if k < 4 else [1 << (k % 60), 0, 0, 0], [5]) for k in range(40)] + [(5, 99, 99, 100, 0, far, [5])]
+    index = spark.createDataFrame(rows, "key long, node long, root long, n int, pos int, sketch array<long>, keys array<long>")
+    index = index if listed else index.drop("keys")
+    found = lambda most: {(r["a"], r["b"]) for r in jaccard.met(index, ("key",), 0.8, most).collect()}
+    every = {(a, b) for a in range(40) for b in range(a, 40) if (a + b) % 2}
+    assert found(None) == every
+    assert found(4) == {(0, 1), (0, 3), (1, 2), (2, 3)}
+    assert len(found(1)) == 1 and found(1) < found(4)
