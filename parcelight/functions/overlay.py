@@ -203,6 +203,43 @@ def share_point(pairs: Pairs) -> np.ndarray:
     return out
 
 
+def slabs(row: np.ndarray, edges: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, boxes, whole): polygons whose edges are all upright or level, as boxes between the heights of their corners;
+    and which of n rows these make up whole, edges included. Other rows have no boxes. Rows are sorted."""
+    upright, flat = edges[:, 0] == edges[:, 2], edges[:, 1] == edges[:, 3]
+    straight = np.zeros(n, bool)
+    straight[row] = True
+    straight[row[~upright & ~flat]] = False
+    v = np.flatnonzero(upright & straight[row])
+    low, high = np.minimum(edges[v, 1], edges[v, 3]), np.maximum(edges[v, 1], edges[v, 3])
+    owner, y = np.concatenate((row[v], row[v])), np.concatenate((low, high))
+    order = np.lexsort((y, owner))
+    new = np.ones(len(order), bool)
+    new[1:] = (owner[order[1:]] != owner[order[:-1]]) | (y[order[1:]] != y[order[:-1]])
+    name = np.empty(len(order), np.int64)
+    name[order] = np.cumsum(new) - 1
+    height = y[order[new]]
+    begin, end = name[: len(v)], name[len(v) :]
+    k, slab = np.repeat(np.arange(len(v)), end - begin), ranges(begin, end - begin)
+    x = edges[v[k], 0]
+    order = np.lexsort((x, slab))
+    k, slab, x = k[order[::2]], slab[order[::2]], x[order].reshape(-1, 2)  # upright edges of a slab come in pairs
+    own = row[v[k]]
+    boxes = np.stack([x[:, 0], height[slab], x[:, 1], height[slab + 1]], axis=1)
+    order = np.argsort(own, kind="stable")
+    own, boxes = own[order], boxes[order]
+    # a level edge that no single box holds, such as a spike, is no part of what the boxes make up
+    f = np.flatnonzero(flat & straight[row])
+    count = np.bincount(own, minlength=n)
+    m = count[row[f]]
+    k, b = np.repeat(np.arange(len(f)), m), boxes[ranges((np.cumsum(count) - count)[row[f]], m)]
+    e = edges[f[k]]
+    held = (b[:, 0] <= np.minimum(e[:, 0], e[:, 2])) & (np.maximum(e[:, 0], e[:, 2]) <= b[:, 2]) & (b[:, 1] <= e[:, 1]) & (e[:, 1] <= b[:, 3])
+    whole = straight.copy()
+    whole[row[f[np.bincount(k[held], minlength=len(f)) == 0]]] = False
+    return own, boxes, whole
+
+
 def covers(pairs: Pairs) -> np.ndarray:
     """Whether the first polygon of each pair holds all of the second, common edges allowed."""
     mine, other = pieces(pairs.turned()), pieces(pairs)

@@ -206,6 +206,92 @@ def first_met(left: DataFrame, right: DataFrame, cell: float, key: str = "id", o
     return found.groupBy(F.col("k").alias(key)).agg(F.min_by("v.v", "v.o").alias(value))
 
 
+#: Rows of either side of a cell that meet in one place at most, and combinations of rows for each task.
+BLOCK, WORK = 1 << 13, 1 << 25
+
+
+def pairs(left: DataFrame, right: DataFrame, cell: float, key: str = "id", shaped: bool = False) -> DataFrame:
+    """left_id, right_id of all pairs whose boxes share a point (shaped: whose rings do), as ``spatial.box_join`` and
+    ``spatial.exact`` give them. Nothing but keys leaves a cell, so a pair costs no row of boxes and rings.
+
+    Each row of the result is made, and they may grow with the square of the layers; tasks are as many as that work wants,
+    and a cell with more than BLOCK rows of a side is cut into blocks, so none holds more."""
+    shape = ["rings"] if shaped else []
+    sides = [layer.select(F.col(key).alias("id"), *boxes(), *shape, F.lit(mine).alias("mine")) for layer, mine in ((left, True), (right, False))]
+    found = [sorted(r["n"] for r in side.select(spatial.level(cell).alias("n")).where("n is not null").distinct().collect()) for side in sides]
+    if not all(found):
+        sides = [side.where("false") for side in sides]
+    placed = spatial.cells(sides[0], cell, found[1] or [0]).unionByName(spatial.cells(sides[1], cell, found[0] or [0]))
+    per = placed.groupBy(*GROUP).agg(F.count_if("mine").alias("p"), F.count_if(~F.col("mine")).alias("q")).where("p > 0 and q > 0")
+    total = per.agg(F.sum(F.col("p").cast("double") * F.col("q")).alias("work"), F.max(F.greatest("p", "q")).alias("most")).first()
+    n = max(4 * left.sparkSession.sparkContext.defaultParallelism, int((total["work"] or 0) // WORK))
+    blocks = ("i", "j")
+    if (total["most"] or 0) > BLOCK:
+        count = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+        own = lambda c: F.array(F.pmod(F.xxhash64("id"), count(c)).cast("int"))
+        every = lambda c: F.sequence(F.lit(0), count(c) - 1)
+        rows = placed.join(per, [*GROUP])
+        rows = rows.withColumn("i", F.explode(F.when(F.col("mine"), own("p")).otherwise(every("p"))))
+        rows = rows.withColumn("j", F.explode(F.when(F.col("mine"), every("q")).otherwise(own("q")))).drop("p", "q")
+    else:
+        rows = placed.withColumns({c: F.lit(0) for c in blocks})
+    keys = (*GROUP, *blocks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, group in groups(batches, keys):
+            box, own, _ = boxed(t)
+            mine = np.asarray(t["mine"])
+            wide = 2.0 ** t["grid"].to_numpy() * cell
+            at = [t[c].to_numpy() for c in ("cx", "cy")]
+            rings = Shapes(t["rings"]) if shaped else None
+            p, q = np.flatnonzero(mine), np.flatnonzero(~mine)
+            for i, j in cross(group[p], group[q]):
+                i, j = p[i], q[j]
+                ok = (own[i] | own[j]) & meet(box[i], box[j])
+                i, j = i[ok], j[ok]
+                for c in (0, 1):
+                    ok = np.floor(np.maximum(box[i, c], box[j, c]) / wide[i]) == at[c][i]
+                    i, j = i[ok], j[ok]
+                if shaped:
+                    ok = rings.share_point(i, j)
+                    i, j = i[ok], j[ok]
+                if len(i):
+                    yield pa.RecordBatch.from_arrays([t["id"].take(pa.array(i)), t["id"].take(pa.array(j))], ["left_id", "right_id"])
+
+    kind = sides[0].schema["id"].dataType.simpleString()
+    wanted = rows.select("id", *BOX, *shape, "mine", "level", *keys).repartition(n, *keys).sortWithinPartitions(*keys)
+    return wanted.mapInArrow(run, f"left_id {kind}, right_id {kind}")
+
+
+class Shapes:
+    """Rows of polygons, compared as often as wanted. Those with upright and level edges only are taken apart into boxes once,
+    and two of them share a point if two of their boxes do; others are compared edge by edge."""
+
+    def __init__(self, column: pa.Array) -> None:
+        self.edges = Edges(column)
+        row, self.boxes, self.whole = overlay.slabs(self.edges.row, self.edges.all, len(column))
+        self.n = np.bincount(row, minlength=len(column))
+        self.first = np.cumsum(self.n) - self.n
+
+    def share_point(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        hit = np.zeros(len(i), bool)
+        some = np.flatnonzero((self.n[i] > 0) & (self.n[j] > 0))
+        hit[some] = meet(self.boxes[self.first[i[some]]], self.boxes[self.first[j[some]]])
+        some = np.flatnonzero(~hit & (self.n[i] * self.n[j] > 1))
+        work = np.cumsum(self.n[i[some]] * self.n[j[some]])
+        for part in np.split(some, np.searchsorted(work, np.arange(PAIRS, work[-1] if len(work) else 0, PAIRS))):
+            a, b = i[part], j[part]
+            k, x = np.repeat(np.arange(len(part)), self.n[a]), overlay.ranges(self.first[a], self.n[a])
+            m = self.n[b][k]
+            k, x, y = np.repeat(k, m), np.repeat(x, m), overlay.ranges(self.first[b][k], m)
+            hit[part[k[meet(self.boxes[x], self.boxes[y])]]] = True
+        rest = np.flatnonzero(~hit & ~(self.whole[i] & self.whole[j]))
+        for k in range(0, len(rest), SHAPES):
+            part = rest[k : k + SHAPES]
+            hit[part] = overlay.share_point(overlay.Pairs(self.edges.of(i[part]), self.edges.of(j[part]), len(part)))
+        return hit
+
+
 PIECE = ("t0", "t1", "x0", "y0", "x1", "y1")
 
 

@@ -90,3 +90,39 @@ def test_shapes_that_meet(spark):
     found = {r["id"]: r["component"] for r in dissolve.connected(layer, crowds.forest(layer, 2.0, shaped=True)).collect()}
     assert found == roots(rows, lambda a, b: planar.intersects(shapes[a[0]], shapes[b[0]]))
     assert spatial.exact(spatial.box_join(layer, layer, 2.0)).count() > crowds.forest(layer, 2.0, shaped=True).count()
+
+
+SHAPED = "id long, x0 double, y0 double, x1 double, y1 double, rings array<array<struct<x: double, y: double>>>"
+
+
+def polygon(rnd, k):
+    """Boxes, ells, boxes with a hole, boxes with a spike and triangles, on whole numbers so that many only touch."""
+    x, y, w, h = rnd.randrange(40), rnd.randrange(40), rnd.randrange(2, 9), rnd.randrange(2, 9)
+    box = [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+    if k % 5 == 1:
+        rings = [[(x, y), (x + w, y), (x + w, y + 1), (x + 1, y + 1), (x + 1, y + h), (x, y + h)]]
+    elif k % 5 == 2:
+        rings = [box, [(x + 0.5, y + 0.5), (x + w - 0.5, y + 0.5), (x + w - 0.5, y + h - 0.5), (x + 0.5, y + h - 0.5)]]
+    elif k % 5 == 3:
+        rings = [[*box[:2], (x + w, y + 1), (x + w + 4, y + 1), (x + w, y + 1), *box[2:]]]
+    else:
+        rings = [box[:3]] if k % 5 == 4 else [box]
+    xs, ys = zip(*rings[0], strict=True)
+    return (k, float(min(xs)), float(min(ys)), float(max(xs)), float(max(ys)), [[{"x": float(a), "y": float(b)} for a, b in r] for r in rings])
+
+
+@pytest.mark.parametrize("block", [1 << 13, 7])
+def test_pairs_in_cells_are_all_pairs(spark, block, monkeypatch):
+    """As the join of pairs and its check edge by edge give them, also where cells are cut into blocks; in as many tasks as
+    wanted, however small the input is."""
+    monkeypatch.setattr(crowds, "BLOCK", block)
+    rnd = random.Random(block)
+    left = spark.createDataFrame([polygon(rnd, k) for k in range(150)] + [(900, None, 0.0, 1.0, 1.0, None)], SHAPED)
+    right = spark.createDataFrame([polygon(rnd, k) for k in range(1000, 1150)], SHAPED)
+    met = spatial.box_join(left, right, 4.0)
+    for shaped, want in ((False, met), (True, spatial.exact(met))):
+        made = crowds.pairs(left, right, 4.0, shaped=shaped)
+        got = sorted(tuple(r) for r in made.collect())
+        assert got == sorted(tuple(r) for r in want.select("l.id", "r.id").collect())
+        assert made.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    assert crowds.pairs(left, right.where("false"), 4.0, shaped=True).count() == 0
