@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import lru_cache
+
 import numpy as np
 
 
@@ -10,27 +13,37 @@ def disk(radius: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(-radius, radius + 1) for j in range(-radius, radius + 1) if i * i + j * j <= radius * radius]
 
 
-def shifted(x: np.ndarray, i: int, j: int, fill: float) -> np.ndarray:
-    out = np.full_like(x, fill)
-    h, w = x.shape
-    a, b = slice(max(0, -i), min(h, h - i)), slice(max(0, -j), min(w, w - j))
-    out[a, b] = x[max(0, i) : min(h, h + i), max(0, j) : min(w, w + j)]
-    return out
+def overlaps(shape: tuple[int, ...], radius: int) -> Iterator[tuple[tuple, tuple]]:
+    """For each offset of the disk the places of an image that have a pixel there, and those pixels."""
+    h, w = shape[-2:]
+    for i, j in disk(radius):
+        if abs(i) < h and abs(j) < w:
+            yield (..., slice(max(0, -i), min(h, h - i)), slice(max(0, -j), min(w, w - j))), (..., slice(max(0, i), min(h, h + i)), slice(max(0, j), min(w, w + j)))
+
+
+@lru_cache(64)
+def disk_count(height: int, width: int, radius: int) -> np.ndarray:
+    """How many pixels of the disk exist around each pixel."""
+    count = np.zeros((height, width))
+    for to, _ in overlaps(count.shape, radius):
+        count[to] += 1
+    return count
 
 
 def disk_mean(x: np.ndarray, radius: int) -> np.ndarray:
-    """Mean over the disk, of the pixels that exist."""
-    total, count, ones = np.zeros(x.shape), np.zeros(x.shape), np.ones(x.shape)
-    for i, j in disk(radius):
-        total += shifted(x.astype(float), i, j, 0.0)
-        count += shifted(ones, i, j, 0.0)
-    return total / count
+    """Mean over the disk, of the pixels that exist. x: an image or a stack of them, as below."""
+    x = x.astype(float)
+    total = np.zeros(x.shape)
+    for to, at in overlaps(x.shape, radius):
+        total[to] += x[at]
+    return total / disk_count(*x.shape[-2:], radius)
 
 
 def disk_max(x: np.ndarray, radius: int) -> np.ndarray:
-    out = x.astype(float)
-    for i, j in disk(radius):
-        out = np.maximum(out, shifted(x.astype(float), i, j, -np.inf))
+    x = x.astype(float)
+    out = x.copy()
+    for to, at in overlaps(x.shape, radius):
+        np.maximum(out[to], x[at], out=out[to])
     return out
 
 
@@ -122,6 +135,7 @@ def normalised_distance(extent: np.ndarray) -> np.ndarray:
     return out
 
 
+@lru_cache(64)
 def cubic_weights(n: int, scale: int, a: float = -0.5) -> tuple[np.ndarray, np.ndarray]:
     """For each of n * scale places the four source pixels and their weights; half-pixel centres, edges renormalised."""
     x = (np.arange(n * scale) + 0.5) / scale - 0.5
@@ -135,10 +149,10 @@ def cubic_weights(n: int, scale: int, a: float = -0.5) -> tuple[np.ndarray, np.n
 
 def bicubic(x: np.ndarray, scale: int) -> np.ndarray:
     """x enlarged by a whole factor, by separable cubic convolution."""
-    at, w = cubic_weights(x.shape[0], scale)
-    y = np.einsum("ikc,ik->ic", x[at], w)
-    at, w = cubic_weights(x.shape[1], scale)
-    return np.einsum("rik,ik->ri", y[:, at], w)
+    at, w = cubic_weights(x.shape[-2], scale)
+    y = sum(x[..., at[:, k], :] * w[:, k, None] for k in range(4))
+    at, w = cubic_weights(x.shape[-1], scale)
+    return sum(y[..., at[:, k]] * w[:, k] for k in range(4))
 
 
 def upscale(x: np.ndarray, scale: int = 2) -> np.ndarray:
@@ -151,10 +165,18 @@ def combine_upsample(extent: np.ndarray, edge: np.ndarray, scale: int = 2, radiu
     return smooth(upscale(x, scale), radius * scale)
 
 
-def smooth_upsample(x: np.ndarray, scale: int = 2, radius: int = 2) -> np.ndarray:
+def smooth_upsample(x: np.ndarray, scale: int = 2, radius: int = 2, block: tuple[int, int, int] | None = None) -> np.ndarray:
     """What ``combine_upsample`` does to the combined image, without stretching it in between. Each step is a weighted mean,
-    which a stretch before or after it leaves the same but for the stretch; so one at the end does for all."""
-    return disk_mean(bicubic(disk_mean(bicubic(x, scale), radius), scale), radius * scale)
+    which a stretch before or after it leaves the same but for the stretch; so one at the end does for all. With a block
+    (row, col, size in x) only that part of the result is given, and worked out in the last step."""
+    x = bicubic(disk_mean(bicubic(x, scale), radius), scale)
+    if block is None:
+        return disk_mean(x, radius * scale)
+    reach, square = radius * scale, scale * scale
+    ends = [(k * square, min((k + block[2]) * square, n)) for k, n in zip(block[:2], x.shape[-2:], strict=True)]
+    near = [(max(0, a - reach), min(n, b + reach)) for (a, b), n in zip(ends, x.shape[-2:], strict=True)]
+    mean = disk_mean(x[(..., *(slice(a, b) for a, b in near))], reach)
+    return mean[(..., *(slice(a - low, b - low) for (a, b), (low, _) in zip(ends, near, strict=True)))]
 
 
 def upsample_reach(scale: int = 2, radius: int = 2) -> int:

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,30 +99,60 @@ def blocks(tiles: DataFrame, keys: list[str], size: int, halo: int) -> DataFrame
     return cut.select(*keys, "block_row", "block_col", "top", "left", (F.col("bottom") - F.col("top")).alias("h"), (F.col("right") - F.col("left")).alias("w"), F.col("_px").alias("px"))
 
 
+def stacks(b: pa.RecordBatch, like: list[np.ndarray], column: str = "px") -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, their tiles as one array) for the rows of a batch (h, w) that are equal in like, about PIXELS at a time."""
+    h, w = (b[c].to_numpy().astype(np.int64) for c in ("h", "w"))
+    lists = b[column]
+    start, flat = lists.offsets.to_numpy()[:-1], lists.values.to_numpy(zero_copy_only=False)
+    kinds, kind = np.unique(np.stack([h, w, *like], axis=1), axis=0, return_inverse=True)
+    for k, (height, width, *_) in enumerate(kinds):
+        rows = np.flatnonzero(kind.ravel() == k)
+        for some in np.split(rows, range(step := max(1, PIXELS // max(1, height * width)), len(rows), step)):
+            yield some, flat[start[some][:, None] + np.arange(height * width)].reshape(len(some), height, width).astype(float)
+
+
 def upsampled(tiles: DataFrame, keys: list[str], size: int, scale: int = 2, radius: int = 2) -> DataFrame:
     """Extents e and boundaries b of tiles (keys, h, w, e, b) combined, enlarged twice and smoothed, in blocks of size pixels:
     keys, top, left (in the enlarged tile), h, w, px from 0 to 1. Each block works on its own pixels and a halo; the least
-    and the greatest value of a tile are found over all its blocks. The size changes nothing in the pixels. A tile with one
-    value throughout has null pixels."""
+    and the greatest value of a tile are found over all its blocks, in a pass of its own that gives on nothing else. The
+    size changes nothing in the pixels. A tile with one value throughout has null pixels."""
     both = F.zip_with("e", "b", lambda e, b: F.greatest(F.lit(0.0), F.least(F.lit(2.0), 1 + e.cast("double") - b.cast("double"))))
     halo = kernels.upsample_reach(scale, radius)
-    parts = blocks(tiles.select(*keys, "h", "w", both.alias("px")), keys, size, halo)
-    kinds = dict(tiles.dtypes)
+    whole = tiles.select(*keys, "h", "w", both.alias("px"))
     square = scale * scale
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in (p for whole in batches for p in portions(whole, square * square)):
-            rows = []
-            for r in b.itertuples(index=False):
-                y = kernels.smooth_upsample(np.asarray(r.px, float).reshape(r.h, r.w), scale, radius)
-                i, j = r.block_row * size - r.top, r.block_col * size - r.left  # where the block begins in its halo
-                y = y[i * square : (i + min(size, r.h - i)) * square, j * square : (j + min(size, r.w - j)) * square]
-                rows.append((*(getattr(r, k) for k in keys), int(r.block_row * size * square), int(r.block_col * size * square), *y.shape, y.ravel()))
-            yield pd.DataFrame(rows, columns=[*keys, "top", "left", "h", "w", "px"])
-
-    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), "top int, left int, h int, w int, px array<double>"])
-    made = parts.mapInPandas(run, schema)
-    least = made.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min(F.array_min("px")).alias("low"), F.max(F.array_max("px")).alias("high"))
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    span = F.col("high") - F.col("low")
-    return made.join(least, same).select(*keys, "top", "left", "h", "w", F.transform("px", lambda v: F.when(span > 1e-9, (v - F.col("low")) / span)).alias("px"))
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+        """Rows and the pixels of their blocks, enlarged."""
+        for whole_ in batches:
+            pixels = whole_["h"].to_numpy().astype(np.int64) * whole_["w"].to_numpy() * square * square
+            for cut in np.split(np.arange(whole_.num_rows), np.flatnonzero(np.diff(np.cumsum(pixels) // PIXELS)) + 1):
+                b = whole_.slice(cut[0], len(cut)) if len(cut) else whole_
+                begin = [b[c].to_numpy().astype(np.int64) * size - b[o].to_numpy() for c, o in (("block_row", "top"), ("block_col", "left"))]
+                for rows, x in stacks(b, begin):
+                    i, j = (int(v[rows[0]]) for v in begin)  # where the block begins in its halo
+                    y = kernels.smooth_upsample(x, scale, radius, (i, j, size))
+                    yield b.take(pa.array(rows)), y
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, y in made(batches):
+            y = y.reshape(len(y), -1)
+            yield pa.RecordBatch.from_arrays([*(b[k] for k in keys), pa.array(np.fmin.reduce(y, axis=1)), pa.array(y.max(axis=1))], [*keys, "low", "high"])
+
+    def stretched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, y in made(batches):
+            n, h, w = y.shape
+            low, high = (b[c].to_numpy()[:, None] for c in ("low", "high"))
+            span = high - low
+            with np.errstate(divide="ignore", invalid="ignore"):
+                px = pa.array(((y.reshape(n, -1) - low) / span).ravel(), mask=np.repeat(span <= 1e-9, h * w))
+            lists = pa.ListArray.from_arrays(pa.array((np.arange(n + 1) * h * w).astype(np.int32)), px)
+            top, left = (pa.array((b[c].to_numpy() * size * square).astype(np.int32)) for c in ("block_row", "block_col"))
+            yield pa.RecordBatch.from_arrays([*(b[k] for k in keys), top, left, *(pa.array(np.full(n, v, np.int32)) for v in (h, w)), lists], [*keys, "top", "left", "h", "w", "px"])
+
+    kinds = dict(tiles.dtypes)
+    named = ", ".join(f"{k} {kinds[k]}" for k in keys)
+    n = 4 * tiles.sparkSession.sparkContext.defaultParallelism
+    least = blocks(whole, keys, size, halo).mapInArrow(ends, f"{named}, low double, high double")
+    least = least.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    known = whole.join(least, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]).drop(*[f"_{k}" for k in keys]).repartition(n)
+    return blocks(known, [*keys, "low", "high"], size, halo).mapInArrow(stretched, f"{named}, top int, left int, h int, w int, px array<double>")

@@ -287,8 +287,8 @@ def tiff_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def combine_upsample_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As combine_upsample, in blocks that are put together again."""
-    t = _values(spark, sf_dir)
-    edge = focal.on_tiles(t, ["img"], lambda x: kernels.boundary((x > 0).astype(float), 1).astype(float)).select("img", F.col("px").alias("b"))
-    made = focal.upsampled(t.join(edge, "img").select("img", "h", "w", F.col("px").alias("e"), "b"), ["img"], 3)
+    t = _values(spark, sf_dir).withColumn("e", F.col("px")).repartition(4 * spark.sparkContext.defaultParallelism)
+    edge = focal.on_tiles(t, ["img", "e"], lambda x: kernels.boundary((x > 0).astype(float), 1).astype(float), "b")
+    made = focal.upsampled(edge, ["img"], 3)
     out = raster.to_pixels(made, ["img", "top", "left"])
     return rounded(out.select("img", (F.col("top") + F.col("row")).alias("row"), (F.col("left") + F.col("col")).alias("col"), "v"), [])
