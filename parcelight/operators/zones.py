@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import arcs, areas, dissolve, rings, spatial
+from . import arcs, areas, dissolve, outlines, rings, spatial
 from .spatial import BOX
 
 
@@ -16,6 +16,17 @@ def overlap(left: DataFrame, right: DataFrame, cell: float, shrink: float = 1e-4
     return areas.boxed(rings.cut(areas.buffered(both, -shrink).select("rings")))
 
 
+def overlap_edges(left: DataFrame, right: DataFrame, cell: float, shrink: float = 1e-4, key: str = "id") -> DataFrame:
+    """ax, ay, bx, by: the edges of ``overlap``, which is one polygon of very many corners where tiles lie dense; no row
+    holds it. Where edges do not close, point by point, they are traced first as ``overlap`` does."""
+    both = rings.cut(areas.shared(left, right, cell, key).select("rings").withColumn("id", F.xxhash64("rings")))
+    made = rings.cut(rings.mended(rings.cut(rings.snapped(areas.buffer_edges(both, -shrink)))))
+    end = lambda k, n: made.select("component", F.col(f"{k}x").alias("x"), F.col(f"{k}y").alias("y"), F.lit(n).alias("n"))
+    if end("a", 1).unionByName(end("b", -1)).groupBy("component", "x", "y").agg(F.sum("n").alias("n")).where("n <> 0").isEmpty():
+        return made.select(*[(F.col(c) / float(10**rings.DIGITS)).alias(c) for c in rings.XY])
+    return rings.cut(outlines.of(areas.buffered(both, -shrink)))
+
+
 def split(tiles: DataFrame, shared: DataFrame, zone: str, cell: float, widen: float = 1e-5, key: str = "id") -> tuple[DataFrame, DataFrame]:
     """(the tiles that share a point with the zones' overlap; zone, rings: the union of each zone's other tiles, widened a
     little)."""
