@@ -17,7 +17,7 @@ from .overlay import crossing, ranges, side, within
 #: How far beside a piece its winding numbers are taken.
 ASIDE = 1e-6
 #: Pairs of segments, and of points and segments, looked at together.
-MANY = 1 << 20
+MANY = 1 << 18
 
 
 def curve(edges: np.ndarray, ring: np.ndarray, distance: float, quarter: int) -> tuple[np.ndarray, np.ndarray]:
@@ -120,6 +120,21 @@ def winding(x: np.ndarray, y: np.ndarray, e: np.ndarray, point: np.ndarray, shap
     return out.astype(int)
 
 
+def meetings(raw: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(segment, point) where segments i and j cross, and where one ends on the other."""
+    s, t = side(raw[i], raw[j])
+    u, v = side(raw[j], raw[i])
+    proper = (np.sign(s) * np.sign(t) < 0) & (np.sign(u) * np.sign(v) < 0)
+    point = crossing(raw[i[proper]], raw[j[proper]])
+    cuts = [(i[proper], point), (j[proper], point)]
+    for a, b, p, q in ((i, j, s, t), (j, i, u, v)):  # ends on other segments
+        scale = 1e-12 + 1e-9 * np.hypot(raw[a, 2] - raw[a, 0], raw[a, 3] - raw[a, 1])
+        for w, c in ((p, [0, 1]), (q, [2, 3])):
+            on = np.abs(w) <= scale
+            cuts.append((a[on], raw[b[on]][:, c]))
+    return cuts
+
+
 def buffered(edges: np.ndarray, ring: np.ndarray, distance: float, quarter: int = 16) -> np.ndarray:
     """Edges (inside on the left) of what is within a distance of a polygon; of what is farther than it from the outside, if
     it is negative."""
@@ -133,16 +148,8 @@ def buffers(edges: np.ndarray, ring: np.ndarray, shape: np.ndarray, distance: fl
         return np.zeros(0, np.int64), raw
     own = shape[own]
     i, j = near_pairs(raw, own)
-    s, t = side(raw[i], raw[j])
-    u, v = side(raw[j], raw[i])
-    proper = (np.sign(s) * np.sign(t) < 0) & (np.sign(u) * np.sign(v) < 0)
-    point = crossing(raw[i[proper]], raw[j[proper]])
-    cuts = [(i[proper], point), (j[proper], point)]
-    for a, b, p, q in ((i, j, s, t), (j, i, u, v)):  # ends on other segments
-        scale = 1e-12 + 1e-9 * np.hypot(raw[a, 2] - raw[a, 0], raw[a, 3] - raw[a, 1])
-        for w, c in ((p, [0, 1]), (q, [2, 3])):
-            on = np.abs(w) <= scale
-            cuts.append((a[on], raw[b[on]][:, c]))
+    cuts = [cut for k in range(0, len(i), MANY) for cut in meetings(raw, i[k : k + MANY], j[k : k + MANY])]
+    del i, j
     every = np.arange(len(raw))
     edge = np.concatenate([c[0] for c in cuts] + [every, every])
     point = np.concatenate([c[1] for c in cuts] + [raw[:, :2], raw[:, 2:]])
@@ -152,6 +159,7 @@ def buffers(edges: np.ndarray, ring: np.ndarray, shape: np.ndarray, distance: fl
     edge, place, point = edge[some], place[some], point[some]
     order = np.lexsort((place, edge))
     edge, place, point = edge[order], place[order], point[order]
+    del cuts, d, some, order
     part = np.flatnonzero((edge[1:] == edge[:-1]) & (place[1:] - place[:-1] > 1e-12))
     a, b, mine = point[part], point[part + 1], own[edge[part]]
     length = np.hypot(*(b - a).T)
