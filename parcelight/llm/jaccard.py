@@ -134,25 +134,26 @@ def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 class Lists:
-    """Lists of keys, as sorted numbers that tell rows and keys apart."""
+    """Lists of keys in the order of all prefixes, as sorted numbers that tell rows and keys apart."""
 
     def __init__(self, column: pa.ChunkedArray) -> None:
         lists = column.combine_chunks()
         self.size = np.diff(lists.offsets.to_numpy())
         self.start = np.cumsum(self.size) - self.size
         self.keys, code = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        self.code = code
         self.flat = np.sort(np.repeat(np.arange(len(self.size)), self.size) * len(self.keys) + code)
 
-    def least_common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """The least key that rows i and j share, for pairs that share one."""
+    def first_common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The first key that rows i and j share, for pairs that share one."""
         pair = np.repeat(np.arange(len(i)), self.size[i])
-        code = self.flat[ranges(self.start[i], self.size[i])] - i[pair] * len(self.keys)
-        wanted = j[pair] * len(self.keys) + code
+        place = ranges(self.start[i], self.size[i])
+        wanted = j[pair] * len(self.keys) + self.code[place]
         at = np.minimum(np.searchsorted(self.flat, wanted), len(self.flat) - 1)
         hit = self.flat[at] == wanted
-        first = np.full(len(i), len(self.keys))
-        np.minimum.at(first, pair[hit], code[hit])
-        return self.keys[first]
+        first = np.full(len(i), len(self.code))
+        np.minimum.at(first, pair[hit], place[hit])
+        return self.keys[self.code[first]]
 
 
 def nearest(group: np.ndarray, p: np.ndarray, q: np.ndarray, score: np.ndarray, most: int) -> np.ndarray:
@@ -168,7 +169,11 @@ def nearest(group: np.ndarray, p: np.ndarray, q: np.ndarray, score: np.ndarray,
 def met(index: DataFrame, key: tuple[str, ...], similarity: float, most: int | None = None) -> DataFrame:
     """a, b: nodes of rows (node, root, n, pos, sketch and maybe keys) in one group of the key that have different roots
     and may be alike; with most only so many of each two roots in a group, those whose sketches differ least. A group has
-    a bounded number of rows. With keys, all that a node has, a pair is made only under the least key that both have."""
+    a bounded number of rows. With keys, all that a node has in the order of its prefix, a pair is made only under the first
+    one that both have.
+
+    Under the first key that two sets share nothing before it is common, so what comes from there on must do for the
+    similarity; under other keys the pair is not wanted."""
     listed = "keys" in index.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +183,7 @@ def met(index: DataFrame, key: tuple[str, ...], similarity: float, most: int | N
             own, group = t["key"].to_numpy(), numbered(t, key)
             for i, j in pairs(group):
                 need = np.ceil(similarity / (1 + similarity) * (n[i] + n[j]) - _EPS)
-                ok = (root[i] != root[j]) & (np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need)
+                ok = (root[i] != root[j]) & (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need)
                 i, j = i[ok], j[ok]
                 differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1)
                 ok = differ <= alike_bits(similarity, n[i] + n[j])
@@ -187,7 +192,7 @@ def met(index: DataFrame, key: tuple[str, ...], similarity: float, most: int | N
                     mine = np.zeros(len(i), bool)
                     for k in range(0, len(i), 1 << 14):
                         some = slice(k, k + (1 << 14))
-                        mine[some] = keys.least_common(i[some], j[some]) == own[i[some]]
+                        mine[some] = keys.first_common(i[some], j[some]) == own[i[some]]
                     i, j, differ = i[mine], j[mine], differ[mine]
                 if most is not None:
                     some = nearest(group[i], root[i], root[j], differ / np.maximum(n[i] + n[j], 1), most)
@@ -239,13 +244,14 @@ def groups(corpus: Corpus, edges: DataFrame, pivots: int = 3, dense: int = DENSE
     if some:
         chosen = crowded.groupBy("key").agg(*[pivot(s).alias(f"p{s}") for s in range(pivots)]).select("key", F.explode(F.array(*[f"p{s}" for s in range(pivots)])).alias("p"))
         tried = tried.unionByName(crowded.join(chosen, "key").where(may("p")).select(*pair("p")))
-    edges = edges.unionByName(corpus.verified(possible(tried, corpus)))
+    done = cut(tried.distinct())  # pairs that are linked or proved unlike, and need not be looked at again
+    edges = edges.unionByName(corpus.verified(possible(done, corpus)))
     roots = cut(components(edges))
     sketches = corpus.sets.select("node", F.col("quad").alias("sketch"))
     sparse = cut(apart(sparse, roots).join(sketches, "node"))
     if some:
         again = cut(apart(crowded, roots))
-        keys = again.groupBy("node").agg(F.collect_set("key").alias("keys"))  # of a prefix at most
+        keys = again.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("pos", "key")))["key"].alias("keys"))  # of a prefix at most
         crowded = cut(again.join(keys, "node").join(sketches, "node"))
     for most in MOST:
         found = met(sparse, ("key",), similarity, most)
@@ -254,6 +260,8 @@ def groups(corpus: Corpus, edges: DataFrame, pivots: int = 3, dense: int = DENSE
         found = cut(found.distinct())
         if found.isEmpty():
             break
+        found = cut(found.join(done, ["a", "b"], "left_anti"))
+        done = done.unionByName(found)
         more = corpus.verified(possible(found, corpus))
         if more.isEmpty():
             continue
