@@ -177,6 +177,25 @@ def _pieces(k: Pairs) -> dict[str, np.ndarray]:
     return {"pair": k.pk[edge], "edge": edge, "t0": t0, "t1": t1, "x0": a[:, 0], "y0": a[:, 1], "x1": b[:, 0], "y1": b[:, 1], "side": found}
 
 
+def shared_edges(pairs: Pairs) -> tuple[np.ndarray, np.ndarray]:
+    """(pair, edges) that bound what the polygons of each pair share: the pieces of each that lie in the other, and common
+    pieces."""
+    p, q = pieces(pairs), pieces(pairs.turned())
+    keep = [np.isin(p["side"], (INSIDE, SAME)), q["side"] == INSIDE]
+    pair = np.concatenate([f["pair"][k] for f, k in zip((p, q), keep, strict=True)]).astype(np.int64)
+    return pair, np.stack([np.concatenate([f[c][k] for f, k in zip((p, q), keep, strict=True)]) for c in ("x0", "y0", "x1", "y1")], axis=1)
+
+
+def shared_area(pairs: Pairs, unit: float) -> np.ndarray:
+    """How much the polygons of each pair share, from edges rounded to a grid of so many lines to 1."""
+    pair, e = shared_edges(pairs)
+    e = np.round(e * unit)
+    first = np.zeros((pairs.n, 2))  # strips are reckoned from a point of the pair's own, so far places lose no digits
+    first[pair] = e[:, :2]
+    x0, y0, x1, y1 = (e - np.tile(first[pair], 2)).T
+    return np.bincount(pair, (x0 - x1) * (y0 + y1), pairs.n) / 2 / unit / unit
+
+
 def share_point(pairs: Pairs) -> np.ndarray:
     """Whether the polygons of each pair share a point, edges included."""
     out = np.zeros(pairs.n, bool)

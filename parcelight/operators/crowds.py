@@ -210,13 +210,14 @@ def first_met(left: DataFrame, right: DataFrame, cell: float, key: str = "id", o
 BLOCK, WORK = 1 << 13, 1 << 25
 
 
-def pairs(left: DataFrame, right: DataFrame, cell: float, key: str = "id", shaped: bool = False) -> DataFrame:
+def pairs(left: DataFrame, right: DataFrame, cell: float, key: str = "id", shaped: bool = False, area: float | None = None) -> DataFrame:
     """left_id, right_id of all pairs whose boxes share a point (shaped: whose rings do), as ``spatial.box_join`` and
-    ``spatial.exact`` give them. Nothing but keys leaves a cell, so a pair costs no row of boxes and rings.
+    ``spatial.exact`` give them. With area (lines of a grid to 1, to which ends are rounded) also how much their rings share,
+    without pairs that share none. Nothing else leaves a cell, so a pair costs no row of boxes and rings.
 
     Each row of the result is made, and they may grow with the square of the layers; tasks are as many as that work wants,
     and a cell with more than BLOCK rows of a side is cut into blocks, so none holds more."""
-    shape = ["rings"] if shaped else []
+    shape = ["rings"] if shaped or area else []
     sides = [layer.select(F.col(key).alias("id"), *boxes(), *shape, F.lit(mine).alias("mine")) for layer, mine in ((left, True), (right, False))]
     found = [sorted(r["n"] for r in side.select(spatial.level(cell).alias("n")).where("n is not null").distinct().collect()) for side in sides]
     if not all(found):
@@ -243,7 +244,7 @@ def pairs(left: DataFrame, right: DataFrame, cell: float, key: str = "id", shape
             mine = np.asarray(t["mine"])
             wide = 2.0 ** t["grid"].to_numpy() * cell
             at = [t[c].to_numpy() for c in ("cx", "cy")]
-            rings = Shapes(t["rings"]) if shaped else None
+            rings = Shapes(t["rings"]) if shape else None
             p, q = np.flatnonzero(mine), np.flatnonzero(~mine)
             for i, j in cross(group[p], group[q]):
                 i, j = p[i], q[j]
@@ -255,12 +256,18 @@ def pairs(left: DataFrame, right: DataFrame, cell: float, key: str = "id", shape
                 if shaped:
                     ok = rings.share_point(i, j)
                     i, j = i[ok], j[ok]
+                size = []
+                if area:
+                    share = rings.shared_area(i, j, area)
+                    ok = share > 0
+                    i, j, size = i[ok], j[ok], [pa.array(share[ok])]
                 if len(i):
-                    yield pa.RecordBatch.from_arrays([t["id"].take(pa.array(i)), t["id"].take(pa.array(j))], ["left_id", "right_id"])
+                    yield pa.RecordBatch.from_arrays([t["id"].take(pa.array(i)), t["id"].take(pa.array(j)), *size], names)
 
-    kind = sides[0].schema["id"].dataType.simpleString()
+    names = ["left_id", "right_id", *(["area"] if area else [])]
+    mine, other = (side.schema["id"].dataType.simpleString() for side in sides)
     wanted = rows.select("id", *BOX, *shape, "mine", "level", *keys).repartition(n, *keys).sortWithinPartitions(*keys)
-    return wanted.mapInArrow(run, f"left_id {kind}, right_id {kind}")
+    return wanted.mapInArrow(run, f"left_id {mine}, right_id {other}" + (", area double" if area else ""))
 
 
 class Shapes:
@@ -273,18 +280,35 @@ class Shapes:
         self.n = np.bincount(row, minlength=len(column))
         self.first = np.cumsum(self.n) - self.n
 
-    def share_point(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        hit = np.zeros(len(i), bool)
-        some = np.flatnonzero((self.n[i] > 0) & (self.n[j] > 0))
-        hit[some] = meet(self.boxes[self.first[i[some]]], self.boxes[self.first[j[some]]])
-        some = np.flatnonzero(~hit & (self.n[i] * self.n[j] > 1))
+    def combined(self, i: np.ndarray, j: np.ndarray, some: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(pair, box, other box) of some of the pairs, about PAIRS combinations at a time."""
         work = np.cumsum(self.n[i[some]] * self.n[j[some]])
         for part in np.split(some, np.searchsorted(work, np.arange(PAIRS, work[-1] if len(work) else 0, PAIRS))):
             a, b = i[part], j[part]
             k, x = np.repeat(np.arange(len(part)), self.n[a]), overlay.ranges(self.first[a], self.n[a])
             m = self.n[b][k]
-            k, x, y = np.repeat(k, m), np.repeat(x, m), overlay.ranges(self.first[b][k], m)
-            hit[part[k[meet(self.boxes[x], self.boxes[y])]]] = True
+            yield part[np.repeat(k, m)], np.repeat(x, m), overlay.ranges(self.first[b][k], m)
+
+    def shared_area(self, i: np.ndarray, j: np.ndarray, unit: float) -> np.ndarray:
+        """How much rows i and j share, with corners rounded to a grid of so many lines to 1."""
+        out = np.zeros(len(i))
+        boxes, whole = np.round(self.boxes * unit), self.whole[i] & self.whole[j]
+        for k, x, y in self.combined(i, j, np.flatnonzero(whole)):
+            p, q = boxes[x], boxes[y]
+            wide, high = (np.maximum(np.minimum(p[:, c + 2], q[:, c + 2]) - np.maximum(p[:, c], q[:, c]), 0) for c in (0, 1))
+            np.add.at(out, k, wide * high / unit / unit)
+        rest = np.flatnonzero(~whole)
+        for k in range(0, len(rest), SHAPES):
+            part = rest[k : k + SHAPES]
+            out[part] = overlay.shared_area(overlay.Pairs(self.edges.of(i[part]), self.edges.of(j[part]), len(part)), unit)
+        return out
+
+    def share_point(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        hit = np.zeros(len(i), bool)
+        some = np.flatnonzero((self.n[i] > 0) & (self.n[j] > 0))
+        hit[some] = meet(self.boxes[self.first[i[some]]], self.boxes[self.first[j[some]]])
+        for k, x, y in self.combined(i, j, np.flatnonzero(~hit & (self.n[i] * self.n[j] > 1))):
+            hit[k[meet(self.boxes[x], self.boxes[y])]] = True
         rest = np.flatnonzero(~hit & ~(self.whole[i] & self.whole[j]))
         for k in range(0, len(rest), SHAPES):
             part = rest[k : k + SHAPES]
