@@ -29,8 +29,9 @@ from .common import cut, frames, in_parts, lean, packed, ranges, texts, unpacked
 
 WINDOW, SPAN = 100, 64
 GRAM = WINDOW - SPAN + 1
-#: Occurrences of an anchor in a group, rows compared at a time, and bytes hashed at a time.
-GROUP, ROWS, PIECE = 1000, 4_000, 1 << 20
+#: Occurrences of an anchor in a group, rows compared at a time, and bytes hashed at a time: arrays of eight bytes for each
+#: stay in a core's cache, and under the size from which they would be mapped anew each time (``common.own_pages``).
+GROUP, ROWS, PIECE = 1000, 4_000, 1 << 15
 #: Bits of a gram's hash that are compared; the others have room for a place in two pieces.
 PLACE = 42
 #: Bytes of text looked at together: arrays have an entry for each byte, not for each word.
